@@ -1,7 +1,7 @@
 """Word, line and n-gram hashes of Arrow text columns, computed with numpy over whole record batches.
 
-Everything here is a helper that runs inside Spark tasks. A batch is handled in pieces of about a
-megabyte, so that memory does not follow the size of the batch; a single long text is cut at
+Everything here is a helper that runs inside Spark tasks. A batch is handled in pieces of a quarter of
+a megabyte, so that memory does not follow the size of the batch; a single long text is cut at
 separators. Hashes are 64-bit and the same on every machine.
 """
 
@@ -13,9 +13,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 U = np.uint64
 GOLD = U(0x9E3779B97F4A7C15)
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -163,3 +166,12 @@ def ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and text alone. Columns that have the name and type already stay as they are: an alias would
+    keep Spark from seeing that two uses of them are the same exchange."""
+    ready = dict(docs.dtypes)
+    doc_id = F.col(id_col) if id_col == "doc_id" and ready[id_col] == "bigint" else F.col(id_col).cast("long").alias("doc_id")
+    text = F.col(text_col) if text_col == "text" and ready[text_col] == "string" else F.col(text_col).cast("string").alias("text")
+    return docs.select(doc_id, text)

@@ -8,13 +8,14 @@ choose anchors. The steps:
    windows always have an anchor of the same bucket at the same place.
 2. Anchors meet by bucket. A bucket with one context is settled: all but its first holder are
    repeats. Where a bucket has several contexts, one holder of each goes on as an edge.
-3. The windows of edges meet by their own hash; all but the first holder are repeats.
+3. The windows of edges meet, by their own hash or (bytes only) as whole contexts of their bucket; all
+   but the first holder are repeats.
 4. Each document removes what its repeated windows cover.
 
 Before each exchange, a record batch keeps one row for each context or window (its first holder); the
-others are repeats already, and of a bucket with many contexts all but two are dealt out by context
-(they are edges, whatever other batches hold). So no group has more than two rows from each batch,
-however often its text occurs.
+others are repeats already. A bucket with more than CROWD contexts in one batch is crowded: the further
+ones are dealt out by context, and all its edges meet by the hashes of their windows. So no group has
+more than CROWD rows from each batch, however often its text occurs.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ironsift.llm.arrowtext import GOLD, U, mix, pieces, ranges, signed, spread, text_buffers
+from ironsift.llm.arrowtext import GOLD, U, id_and_text, mix, pieces, ranges, signed, spread, text_buffers
 
 ROWS_OUT = 100_000
+CROWD = 8
 
 
 @dataclass
@@ -50,13 +52,16 @@ class Anchors:
 class Plan:
     """anchors: of bytes and row offsets. cleaned: bytes, row offsets, removed units to one output batch.
 
-    within: whether an earlier place of the same document counts.
+    within: whether an earlier place of the same document counts. context_windows: where units are bytes,
+    the window hashes and their starts in texts that lie one after another; contexts are then sent whole,
+    which is shorter than the hashes of all their windows.
     """
 
     anchors: Callable[[np.ndarray, np.ndarray], Anchors]
     cleaned: Callable[[pa.Array, np.ndarray, np.ndarray, Anchors, np.ndarray], pa.RecordBatch]
     length: int
     within: bool
+    context_windows: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None
 
 
 def _parts(batch: pa.RecordBatch, plan: Plan) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Anchors]]:
@@ -93,17 +98,22 @@ def _emit(key: np.ndarray, value: np.ndarray, doc: np.ndarray, sure: np.ndarray,
 
 
 def _firsts(ids: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each entry the index of the first entry (smallest doc, place) with its id."""
+    """For each entry the index of the first entry (smallest row, place) with its id; and the first entries."""
+    by = None
+    if not (np.diff(row) >= 0).all() or ((np.diff(row) == 0) & (np.diff(place) < 0)).any():
+        by = np.lexsort((place, row))
+        ids = ids[by]
     order = np.argsort(ids)
-    new = np.concatenate(([True], ids[order][1:] != ids[order][:-1]))
-    at = np.flatnonzero(new)
-    by = np.lexsort((place, row))
-    rank = np.empty(len(ids), np.int64)
-    rank[by] = np.arange(len(ids))
-    least = by[np.minimum.reduceat(rank[order], at)]
+    sorted_ids = ids[order]
+    at = np.flatnonzero(np.concatenate(([True], sorted_ids[1:] != sorted_ids[:-1])))
+    least = np.minimum.reduceat(order, at)
     first = np.empty(len(ids), np.int64)
     first[order] = np.repeat(least, np.diff(np.concatenate((at, [len(ids)]))))
-    return first, least
+    if by is None:
+        return first, least
+    out = np.empty(len(ids), np.int64)
+    out[by] = by[first]
+    return out, by[least]
 
 
 def _settle(plan: Plan, docs: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, ids: np.ndarray, text_ids: dict[int, int]) -> tuple[np.ndarray, list[tuple[int, int, bytes]]]:
@@ -112,10 +122,10 @@ def _settle(plan: Plan, docs: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: n
     rank[np.argsort(docs, kind="stable")] = np.arange(len(docs))
     same = np.unique(docs, return_inverse=True)[1]
     first, least = _firsts(ids, rank[row], lo)
-    mine = np.arange(len(ids))
-    again = first != mine
-    other = same[row[first]] != same[row]
-    repeat = again & (other | (row[first] == row)) if plan.within else again & other
+    again = np.flatnonzero(first != np.arange(len(ids)))
+    first = first[again]
+    other = same[row[first]] != same[row[again]]
+    repeat = again[other | (row[first] == row[again])] if plan.within else again[other]
     rows, packed = _blobs(row[repeat], lo[repeat], hi[repeat])
     return np.sort(least), [(int(docs[r]), text_ids[int(r)], x) for r, x in zip(rows, packed, strict=True)]
 
@@ -127,35 +137,36 @@ def _anchor_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             text_ids: dict[int, int] = {}
             for a, b, part, own, x in _parts(batch, plan):
                 row = np.searchsorted(x.first, x.lo, "right") - 1
-                got.append((row + a, x.lo - x.first[row], x.hi - x.first[row], x.bucket, x.context))
+                got.append(((row + a).astype(np.int32), (x.lo - x.first[row]).astype(np.int32), (x.hi - x.first[row]).astype(np.int32), x.bucket, x.context))
                 text_ids |= {r + a: _text_id(part, own, r) for r in range(b - a)}
             if not got or not sum(len(x[0]) for x in got):
                 continue
             row, lo, hi, bucket, context = (np.concatenate(x) for x in zip(*got, strict=True))
+            del got
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             kept, known = _settle(plan, docs, row, lo, hi, mix(bucket * GOLD + context), text_ids)
             doc, k, c = docs[row[kept]], bucket[kept], context[kept]
             order = np.argsort(k)
             at = np.flatnonzero(np.concatenate(([True], k[order][1:] != k[order][:-1])))
             size = np.diff(np.concatenate((at, [len(k)])))
-            inner = np.ones(len(k), bool)
-            inner[at] = False
-            inner[at + size - 1] = False
-            sure = np.zeros(len(k), bool)
-            sure[order] = inner
-            yield from _emit(np.where(sure, mix(k ^ mix(c)), k), c, doc, sure, known)
+            crowd, far = np.zeros(len(k), bool), np.zeros(len(k), bool)
+            crowd[order] = np.repeat(size > CROWD, size)
+            far[order] = np.arange(len(k)) - np.repeat(at, size) >= CROWD
+            yield from _emit(np.where(far, mix(k ^ mix(c)), k), c, doc, crowd, known)
 
     return run
 
 
-def _window_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _window_rows(plan: Plan, columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The windows of the edges, one row for each that no earlier document of the batch has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            edges = _lists(batch.column("edges"))
+            edges = [_lists(batch.column(x)) for x in columns]
             got, text_ids = [], {}
             for a, b, part, own, x in _parts(batch, plan):
                 row = np.searchsorted(x.first, x.lo, "right") - 1
-                pick = _held(x.context, row, edges, a, b)
+                pick = np.any([_held(x.context, row, y, a, b) for y in edges], axis=0)
                 at = np.unique(ranges(x.lo[pick], x.hi[pick]))
                 if len(at):
                     row = np.searchsorted(x.first, at, "right") - 1
@@ -166,7 +177,75 @@ def _window_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
             row, at, window = (np.concatenate(x) for x in zip(*got, strict=True))
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             kept, known = _settle(plan, docs, row, at, at + 1, window, text_ids)
-            yield from _emit(window[kept], window[kept], docs[row[kept]], np.zeros(len(kept), bool), known)
+            yield from _emit(window[kept], np.zeros(len(kept), U), docs[row[kept]], np.zeros(len(kept), bool), known)
+
+    return run
+
+
+_CONTEXTS = "key long, doc_id long, text_id long, place long, context binary"
+
+
+def _context_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The whole contexts of the edges, by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in _CONTEXTS.split(", ")]
+        for batch in batches:
+            edges = _lists(batch.column("edges"))
+            docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            for a, b, part, own, x in _parts(batch, plan):
+                row = np.searchsorted(x.first, x.lo, "right") - 1
+                pick = np.flatnonzero(_held(x.context, row, edges, a, b))
+                if not len(pick):
+                    continue
+                row, lo, end = row[pick], x.lo[pick], x.hi[pick] + plan.length - 1
+                ids = np.zeros(b - a, np.int64)
+                for r in np.unique(row):
+                    ids[r] = _text_id(part, own, int(r))
+                size = np.concatenate(([0], np.cumsum(end - lo))).astype(np.int32)
+                context = pa.Array.from_buffers(pa.binary(), len(pick), [None, pa.py_buffer(size), pa.py_buffer(part[ranges(lo, end)])])
+                yield pa.RecordBatch.from_arrays([pa.array(signed(x.bucket[pick])), pa.array(docs[row + a]), pa.array(ids[row]), pa.array(lo - x.first[row]), context], names)
+
+    return run
+
+
+def _settle_contexts(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over rows sorted by key, document and place: which windows of each context also start earlier."""
+
+    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = rows["key"].to_numpy().view(U)
+        doc, text_id, place = (rows[x].to_numpy() for x in ("doc_id", "text_id", "place"))
+        data, offs = text_buffers(rows["context"])
+        windows, start = plan.context_windows(data, offs)
+        row = np.searchsorted(offs, start, "right") - 1
+        at = place[row] + start - offs[row]
+        ids = windows ^ mix(key[row])
+        _, first, group = np.unique(ids, return_index=True, return_inverse=True)
+        least = np.full(len(first), len(doc), np.int64)
+        np.minimum.at(least, group, row)
+        start_at = np.full(len(first), np.iinfo(np.int64).max)
+        mine = row == least[group]
+        np.minimum.at(start_at, group[mine], at[mine])
+        holder = least[group]
+        same = (doc[row] == doc[holder]) & (text_id[row] == text_id[holder])
+        later = (doc[row] > doc[holder]) | (same & (at > start_at[group]))
+        if later.any():
+            by, packed = _blobs(row[later], at[later], at[later] + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(doc[by]), pa.array(text_id[by]), pa.array(packed, pa.binary())], ["doc_id", "text_id", "spans"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+            key = rows["key"].to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            if cut:
+                yield from settle(rows.slice(0, cut).combine_chunks())
+            rest = rows.slice(cut).combine_chunks().to_batches()[0]
+        if rest is not None:
+            yield from settle(pa.Table.from_batches([rest]))
 
     return run
 
@@ -199,7 +278,7 @@ def _clean_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             contexts, windows = _lists(batch.column("contexts")), _lists(batch.column("windows"))
-            packed = [_lists(batch.column(x)) for x in ("known", "known_windows")]
+            packed = [_lists(batch.column(x)) for x in ("known", "known_windows", "known_contexts")]
             for a, b, part, own, x in _parts(batch, plan):
                 row = np.searchsorted(x.first, x.lo, "right") - 1
                 pick = _held(x.context, row, contexts, a, b)
@@ -234,8 +313,8 @@ def _resolved(rows: DataFrame) -> DataFrame:
     before = F.lag("value").over(by)
     marked = rows.withColumn("start", F.when(before.isNull() | (before != F.col("value")), F.col("doc_id")))
     marked = marked.withColumn("holder", F.last("start", ignorenulls=True).over(past))
-    several = F.col("sure") | (F.first("value").over(whole) != F.last("value").over(whole))
-    return marked.withColumn("several", several)
+    marked = marked.withColumn("crowded", F.max("sure").over(whole))
+    return marked.withColumn("several", F.col("crowded") | (F.first("value").over(whole) != F.last("value").over(whole)))
 
 
 def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, schema: str) -> DataFrame:
@@ -244,7 +323,7 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, sc
     Null texts count as empty. A document with a null id is neither a source nor cleaned. Rows that share
     an id are separate documents of the same rank: none is earlier than the other. Other columns are ignored.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = id_and_text(docs, id_col, text_col)
     named = docs.filter(F.col("doc_id").isNotNull())
     known = F.col("spans").isNotNull()
     later = F.col("spans").isNull() & (F.col("doc_id") > F.col("holder"))
@@ -252,10 +331,23 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, sc
     pair = F.when(known, F.struct(F.col("value").alias("text_id"), "spans"))
 
     anchors = _resolved(named.mapInArrow(_anchor_rows(plan), _EXCHANGED)).filter(known | later | edge)
-    found = anchors.groupBy("doc_id").agg(F.collect_set(F.when(later, F.col("value"))).alias("contexts"), F.collect_set(F.when(edge, F.col("value"))).alias("edges"), F.collect_list(pair).alias("known"))
-    joined = docs.join(found.hint("shuffle_hash"), "doc_id", "left")
-
-    at_edges = joined.filter(F.size("edges") > 0).mapInArrow(_window_rows(plan), _EXCHANGED)
-    windows = _resolved(at_edges).filter(known | later)
-    again = windows.groupBy("doc_id").agg(F.collect_set(F.when(later, F.col("value"))).alias("windows"), F.collect_list(pair).alias("known_windows"))
-    return joined.join(again.hint("shuffle_hash"), "doc_id", "left").mapInArrow(_clean_rows(plan), schema)
+    gathered = {"contexts": later, "edges": edge & ~F.col("crowded"), "crowds": edge & F.col("crowded")}
+    found = anchors.groupBy("doc_id").agg(*(F.collect_set(F.when(x, F.col("value"))).alias(k) for k, x in gathered.items()), F.collect_list(pair).alias("known"))
+    # All uses of the texts read the same columns and rows, so that they are dealt out by id only once.
+    joined = named.join(found.hint("shuffle_hash"), "doc_id", "left")
+
+    by_window = ["crowds"] if plan.context_windows else ["edges", "crowds"]
+    some = F.size(by_window[-1]) > 0 if plan.context_windows else (F.size("edges") > 0) | (F.size("crowds") > 0)
+    windows = _resolved(joined.filter(some).mapInArrow(_window_rows(plan, by_window), _EXCHANGED)).filter(known | later)
+    again = windows.groupBy("doc_id").agg(F.collect_set(F.when(later, F.col("key"))).alias("windows"), F.collect_list(pair).alias("known_windows"))
+    whole = joined.join(again.hint("shuffle_hash"), "doc_id", "left")
+    if plan.context_windows:
+        contexts = joined.filter(F.size("edges") > 0).mapInArrow(_context_rows(plan), _CONTEXTS)
+        contexts = contexts.repartition("key").sortWithinPartitions("key", "doc_id", "text_id", "place")
+        spans = contexts.mapInArrow(_settle_contexts(plan), "doc_id long, text_id long, spans binary")
+        spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("text_id", "spans")).alias("known_contexts"))
+        whole = whole.join(spans.hint("shuffle_hash"), "doc_id", "left")
+    else:
+        whole = whole.withColumn("known_contexts", F.lit(None).cast("array<struct<text_id: long, spans: binary>>"))
+    unnamed = docs.filter(F.col("doc_id").isNull())
+    return whole.unionByName(unnamed, allowMissingColumns=True).mapInArrow(_clean_rows(plan), schema)

@@ -7,7 +7,7 @@ at p and p + 36; each level reuses the identifiers of the one before. Suffixes a
 never refined further, and refinement ends at the depth that decides a repeat. Only a sparse set of
 suffixes meets in the exchange: of the q-grams of every window the one with the least identifier (ties:
 the leftmost), which equal windows choose alike. Its bucket is refined by the identifiers at the later
-offsets of all that its windows cover; where the refined bucket differs, single windows are refined to
+offsets of all that its windows cover; where the refined buckets differ, single windows are refined to
 their full depth.
 """
 
@@ -22,7 +22,7 @@ from ironsift.llm.repeats import Anchors, Plan, repeated_windows
 
 LENGTH = 100
 GRAM = 32
-_STARTS = (1 << 20) - 2 * LENGTH
+_STARTS = 1 << 16
 _PLACE = U((1 << 20) - 1)
 _SCHEMA = "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>"
 
@@ -43,19 +43,41 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-def _block(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchors of the window starts that are valid, and the window identifiers of all starts."""
+def _gram_ids(data: np.ndarray) -> np.ndarray:
+    """The bucket identifier of every suffix at depth 32."""
     ids, depth = BYTE_IDS[data], 1
     while depth < GRAM:
         ids = _pair(ids[:-depth], ids[depth:])
         depth *= 2
-    ids = mix(ids)
+    return mix(ids)
+
+
+def _window_ids(ids: np.ndarray) -> np.ndarray:
+    """The bucket identifiers at depth 100 from those at depth 32."""
+    double = _pair(ids[:-GRAM], ids[GRAM:])
+    rest = LENGTH - 2 * GRAM
+    return mix(_pair(double[:-rest], double[rest:]))
+
+
+def _valid(offs: np.ndarray) -> np.ndarray:
+    """Where a window may start, so that it ends in its row."""
+    valid = np.ones(int(offs[-1]), bool)
+    valid[ranges(np.maximum(offs[1:] - LENGTH + 1, offs[:-1]), offs[1:])] = False
+    return valid
+
+
+def _context_windows(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    start = np.flatnonzero(_valid(offs))
+    return _window_ids(_gram_ids(data))[start], start
+
+
+def _block(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchors of the window starts that are valid, and the window identifiers of all starts."""
+    ids = _gram_ids(data)
     keys = (ids & ~_PLACE) | np.arange(len(ids), dtype=U)
     at = (_least(keys, LENGTH - GRAM + 1) & _PLACE).astype(np.int64)
     n = len(at)
-    double = _pair(ids[:-GRAM], ids[GRAM:])
-    rest = LENGTH - 2 * GRAM
-    windows = mix(_pair(double[:-rest], double[rest:]))[:n]
+    windows = _window_ids(ids)[:n]
     valid = valid[:n]
     change = np.ones(n, bool)
     change[1:] = (at[1:] != at[:-1]) | ~valid[:-1]
@@ -73,8 +95,7 @@ def _block(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _anchors(data: np.ndarray, offs: np.ndarray) -> Anchors:
     n = len(data)
-    valid = np.ones(n, bool)
-    valid[ranges(np.maximum(offs[1:] - LENGTH + 1, offs[:-1]), offs[1:])] = False
+    valid = _valid(offs)
     parts, windows = [], np.zeros(n, U)
     for a in range(0, n - LENGTH + 1, _STARTS):
         b = min(n, a + _STARTS + LENGTH - 1)
@@ -119,4 +140,4 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id, or before in the same document. What is left may cut a character, so it is binary. Nulls, empty
     texts, repeated ids and other columns: see repeats.repeated_windows. Texts under 100 bytes stay whole.
     """
-    return repeated_windows(docs, id_col, text_col, Plan(_anchors, _cleaned, LENGTH, within=True), _SCHEMA)
+    return repeated_windows(docs, id_col, text_col, Plan(_anchors, _cleaned, LENGTH, True, _context_windows), _SCHEMA)
