@@ -5,28 +5,107 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ironsift.llm.compression_rules import quality_rules
+from ironsift.llm.decontaminate import decontaminate
+from ironsift.llm.main_text import extract_main_text
+from ironsift.llm.ngram_join import similar_documents
+from ironsift.llm.oracles import ORACLES
+from ironsift.llm.perspectives import rotate_perspectives
+from ironsift.llm.piece_codec import encode_pieces
+from ironsift.llm.quality_model import score_quality
 from ironsift.llm.substring_dedup import dedup_word_runs
 from ironsift.llm.suffix_dedup import dedup_bytes
+from ironsift.llm.token_records import new_folder, read_records, write_records
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sha256(column: str) -> Column:
-    return F.sha2(F.col(column).cast("binary"), 256)
+def _sha256(column: Column) -> Column:
+    return F.sha2(column.cast("binary"), 256)
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_bytes(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), _sha256("kept").alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), _sha256(F.col("kept")).alias("kept_sha256"))
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(_table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id")
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate_perspectives(_table(spark, sf_dir, "conversations"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_word_runs(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
+    return out.select("doc_id", "n_words", "n_removed", _sha256(F.col("kept")).alias("kept_sha256"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    items = _sha256(F.array_join("items", ","))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def piece_digests(encoded: DataFrame) -> DataFrame:
+    ids = _sha256(F.array_join(F.col("ids").cast("array<string>"), ","))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), _sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(encode_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), spans=False))
+
+
+def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = write_records(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2, new_folder(spark))
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return read_records(shards).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
 
+    return corpus_pipeline.run(spark, sf_dir)
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op6_substring_dedup)}
 
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup,
+        op2_ngram_jaccard_join,
+        op3_chat_formatting,
+        op4_quality_classifier,
+        op5_html_extraction,
+        op6_substring_dedup,
+        op7_decontamination,
+        op8_quality_rules,
+        op9_sentencepiece,
+        op10_token_records,
+        pipeline,
+    )
+}
