@@ -31,7 +31,11 @@ def words(text: Column) -> Column:
 
 
 def _fingerprints(df: DataFrame, size: int) -> DataFrame:
-    """Adds prints: of a table with words, the fingerprint of each window of the size, in order."""
+    """Adds prints: of a table with words, the fingerprint of each window of the size, in order.
+
+    Take them apart with the outer forms of explode: for the plain forms Spark adds a filter on the array, moves it
+    below these steps and so computes every step once for each element of the next.
+    """
     gram = GRAM if size == WINDOW else size
     df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     tail = lambda n: F.slice("hashes", F.lit(1), F.greatest(F.size("hashes") - n, F.lit(0)))
@@ -47,10 +51,14 @@ def _fingerprints(df: DataFrame, size: int) -> DataFrame:
 def _windows(df: DataFrame, size: int) -> DataFrame:
     """One row for each window of a table with words: its fingerprint, place and words."""
     kept = [x for x in df.columns if x != "words"]
-    df = _fingerprints(df, size).select(*kept, "words", F.posexplode("prints").alias("place", "print"))
+    df = _fingerprints(df, size).select(*kept, "words", F.posexplode_outer("prints").alias("place", "print")).filter(F.col("print").isNotNull())
     return df.select(*kept, "place", "print", F.slice("words", F.col("place") + 1, F.lit(size)).alias("run"))
 
 
+def _covered(size: int) -> Column:
+    return F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + (size - 1)))))
+
+
 def _small(df: DataFrame) -> DataFrame:
     """A hint to broadcast where the table is small; Spark chooses the join otherwise."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -74,17 +82,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         targets = _windows(own, size).select("item_id", "print", "run").distinct()
         prints = _small(targets.select("print").distinct())
         texts = keyed.select("doc_id", "text_key", words(F.col("text")).alias("words"))
-        found = _fingerprints(texts, size).select("doc_id", "text_key", F.explode(F.array_distinct("prints")).alias("print")).join(prints, "print", "left_semi")
+        found = _fingerprints(texts, size).select("doc_id", "text_key", F.explode_outer(F.array_distinct("prints")).alias("print")).join(prints, "print", "left_semi")
         found = found.groupBy("doc_id", "text_key").agg(F.collect_set("print").alias("shared"))
         suspects = keyed.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "text").join(_small(found), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key")))
         suspects = _fingerprints(suspects.select("doc_id", "text_key", "shared", words(F.col("text")).alias("words")).distinct(), size)
         places = F.filter(F.transform("prints", lambda p, i: F.when(F.array_contains("shared", p), F.struct(i.alias("place"), p.alias("print")))), lambda x: x.isNotNull())
-        near = suspects.select("doc_id", "text_key", "words", F.explode(places).alias("at"))
+        near = suspects.select("doc_id", "text_key", "words", F.explode_outer(places).alias("at")).filter("at IS NOT NULL")
         near = near.select("doc_id", "text_key", "at.place", "at.print", F.slice("words", F.col("at.place") + 1, F.lit(size)).alias("run"))
         matched = near.join(_small(targets), ["print", "run"])
         by_doc = matched.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("places"), F.collect_set("item_id").alias("found"))
-        covered = F.array_distinct(F.flatten(F.transform("places", lambda p, n=size: F.sequence(p, p + n - 1))))
-        hits.append(by_doc.select("doc_id", "text_key", covered.alias("covered"), "found"))
+        hits.append(by_doc.select("doc_id", "text_key", _covered(size).alias("covered"), "found"))
     counts = keyed.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long"))
     none = F.array().cast("array<string>")
     if not hits:

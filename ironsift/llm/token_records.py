@@ -46,6 +46,10 @@ def frame(body: bytes) -> bytes:
     return size + struct.pack("<I", masked(size)) + body + struct.pack("<I", masked(body))
 
 
+def head(doc_id: int | None, width: int) -> bytes:
+    return _BODY.pack(doc_id or 0, doc_id is None, width == 2)
+
+
 def frames(read: Callable[[int], bytes]) -> Iterator[bytes]:
     """The bodies of a stream of records; an error where a checksum doesn't hold or a record is cut."""
     while head := read(_HEAD.size):
@@ -113,7 +117,7 @@ def _written(folder: str, tokenizer_path: str, end_id: int) -> Callable[[Iterato
                     if out is None:
                         system.create_dir(root, recursive=True)
                         out, first = system.open_output_stream(f"{name}.rec"), doc_id
-                    record = frame(_BODY.pack(doc_id or 0, doc_id is None, own.width == 2) + x + end)
+                    record = frame(head(doc_id, own.width) + x + end)
                     out.write(record)
                     index.append((doc_id or 0, at))
                     at += len(record)
