@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ironsift.llm.shared import kept
+
 WINDOW = 10
 GRAM = 5
 BROADCAST_ROWS = 500_000
@@ -50,9 +52,9 @@ def _fingerprints(df: DataFrame, size: int) -> DataFrame:
 
 def _windows(df: DataFrame, size: int) -> DataFrame:
     """One row for each window of a table with words: its fingerprint, place and words."""
-    kept = [x for x in df.columns if x != "words"]
-    df = _fingerprints(df, size).select(*kept, "words", F.posexplode_outer("prints").alias("place", "print")).filter(F.col("print").isNotNull())
-    return df.select(*kept, "place", "print", F.slice("words", F.col("place") + 1, F.lit(size)).alias("run"))
+    rest = [x for x in df.columns if x != "words"]
+    df = _fingerprints(df, size).select(*rest, "words", F.posexplode_outer("prints").alias("place", "print")).filter(F.col("print").isNotNull())
+    return df.select(*rest, "place", "print", F.slice("words", F.col("place") + 1, F.lit(size)).alias("run"))
 
 
 def _covered(size: int) -> Column:
@@ -83,7 +85,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         prints = _small(targets.select("print").distinct())
         texts = keyed.select("doc_id", "text_key", words(F.col("text")).alias("words"))
         found = _fingerprints(texts, size).select("doc_id", "text_key", F.explode_outer(F.array_distinct("prints")).alias("print")).join(prints, "print", "left_semi")
-        found = found.groupBy("doc_id", "text_key").agg(F.collect_set("print").alias("shared"))
+        found = kept(found.groupBy("doc_id", "text_key").agg(F.collect_set("print").alias("shared")), "suspects")
         suspects = keyed.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "text").join(_small(found), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key")))
         suspects = _fingerprints(suspects.select("doc_id", "text_key", "shared", words(F.col("text")).alias("words")).distinct(), size)
         places = F.filter(F.transform("prints", lambda p, i: F.when(F.array_contains("shared", p), F.struct(i.alias("place"), p.alias("print")))), lambda x: x.isNotNull())
@@ -97,7 +99,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     if not hits:
         return counts.select("doc_id", "text", "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated"))
     every = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "text_key").agg(F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("items"))
-    every = every.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit", "items")
+    every = kept(every, "hits").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit", "items")
     out = counts.join(_small(every), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "text", "n_words", n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), (n_hit > 0).alias("contaminated"))
