@@ -30,7 +30,7 @@ from ironsift.llm.shared import kept
 
 WORDS = 5
 PERCENT = 80
-COMMON = 0.002  # a shingle in more than this share of documents is common
+COMMON = 0.0005  # a shingle in more than this share of documents is common
 BROADCAST_ROWS = 1_000_000
 
 
@@ -71,7 +71,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not got:
             continue
         h, n = np.unique(np.concatenate(got), return_counts=True)
-        often = n >= max(4, COMMON * batch.num_rows)
+        often = n >= max(3, COMMON * batch.num_rows)
         yield pa.RecordBatch.from_arrays([pa.array(signed(h[often])), pa.array(n[often])], ["shingle", "n"])
 
 
@@ -212,15 +212,21 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = components(links.select("a", "b").union(copies), "a", "b")
     found = kept(found, "components")
 
-    distance = star.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
+    distance = star.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), F.col("n_shared").alias("with_pivot"), (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
     placed = placed.join(distance, ["pivot", "doc_id"], "left").join(found, "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component_id", "doc_id")).withColumn("distance", F.when(F.col("pivot") == F.col("doc_id"), 0.0).otherwise(F.col("distance")))
+    placed = placed.withColumn("component", F.coalesce("component_id", "doc_id"))
+    is_pivot = F.col("pivot") == F.col("doc_id")
+    placed = placed.withColumns({"distance": F.when(is_pivot, 0.0).otherwise(F.col("distance")), "with_pivot": F.when(is_pivot, F.col("size")).otherwise(F.col("with_pivot"))})
     by_component = placed.groupBy("region", "component").agg(F.count("*").alias("n"))
     open_regions = by_component.groupBy("region").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("n_components")).filter("n_components > 1")
-    placed = kept(placed.join(open_regions, "region").select("region", "doc_id", "place", "size", "pivot", "distance", "component", "main"), "open")
-    left = placed.filter("component <> main").select("region", *(F.col(x).alias(f"l_{x}") for x in ("doc_id", "place", "size", "pivot", "distance", "component")))
-    right = placed.select("region", *(F.col(x).alias(f"r_{x}") for x in ("doc_id", "place", "size", "pivot", "distance", "component", "main")))
-    apart = (F.col("l_pivot") == F.col("r_pivot")) & (F.abs(F.col("l_distance") - F.col("r_distance")) > 1 - PERCENT / 100 + 1e-9)
+    placed = kept(placed.join(open_regions, "region").select("region", "doc_id", "place", "size", "pivot", "distance", "with_pivot", "component", "main"), "open")
+    left = placed.filter("component <> main").select("region", *(F.col(x).alias(f"l_{x}") for x in ("doc_id", "place", "size", "pivot", "distance", "with_pivot", "component")))
+    right = placed.select("region", *(F.col(x).alias(f"r_{x}") for x in ("doc_id", "place", "size", "pivot", "distance", "with_pivot", "component", "main")))
+    # the overlap is at most what both share with the pivot, and what both have beside it
+    beside = F.least(F.col("l_size") - F.col("l_with_pivot"), F.col("r_size") - F.col("r_with_pivot"))
+    most = F.least("l_with_pivot", "r_with_pivot") + beside
+    apart = F.abs(F.col("l_distance") - F.col("r_distance")) > 1 - PERCENT / 100 + 1e-9
+    apart = (F.col("l_pivot") == F.col("r_pivot")) & (apart | (most * (100 + PERCENT) < PERCENT * (F.col("l_size") + F.col("r_size"))))
     once = (F.col("r_component") == F.col("r_main")) | (F.col("l_doc_id") < F.col("r_doc_id"))
     rest = left.join(right, "region").filter(once & (F.col("l_component") != F.col("r_component")) & _near("l_size", "l_place", "r_size", "r_place") & ~F.coalesce(apart, F.lit(False)))
     rest = _measured(rest.select(F.least("l_doc_id", "r_doc_id").alias("a"), F.greatest("l_doc_id", "r_doc_id").alias("b")).distinct(), named).filter(_linked())

@@ -22,4 +22,5 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of the step that is over
     return spark.read.schema(df.schema).parquet(path)
