@@ -23,15 +23,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ironsift.llm.arrowtext import id_and_text
+from ironsift.llm.arrowtext import LOWER, SPACES, id_and_text, pieces, ranges, text_buffers
 from ironsift.llm.shared import kept, shared_dir
 
-CACHE = 500_000
+CACHE = 800_000
+SEPARATOR = "0"
+TOGETHER = 1000
+PART = 1 << 21
+_LETTERS, _PUNCTUATION = np.zeros(256, bool), np.zeros(256, bool)
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+_PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _HEAD = struct.Struct("<QI")
 _BODY = struct.Struct("<q??")
 
@@ -63,9 +70,12 @@ def frames(read: Callable[[int], bytes]) -> Iterator[bytes]:
 
 
 class WordEncoder:
-    """Ids of texts; each distinct run without white space is encoded once and kept in a bounded cache.
+    """Ids of texts; each distinct run without ASCII white space is encoded once and kept in a bounded cache.
 
-    Only for tokenizers that drop white space and whose pre-tokens never cross it.
+    Only for tokenizers that compose and lower characters, drop white space, and whose pre-tokens cross neither it nor
+    the place after a letter. Where the digit SEPARATOR is one
+    token, new runs without it are encoded many at a time with it in between, and taken apart at its id: no other
+    text has that id.
     """
 
     def __init__(self, path: str) -> None:
@@ -74,20 +84,70 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        alone = self._ids([SEPARATOR])[0]
+        self.separator = alone[0] if len(alone) == 1 else None
+        self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [x.replace("\n", " ").split(" ") for x in texts]
-        distinct = set().union(*words)
-        new = list(distinct - self.cache.keys())
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        together = [w for w in words if SEPARATOR not in w] if self.separator is not None else []
+        alone = [w for w in words if SEPARATOR in w] if self.separator is not None else words
+        for w, x in zip(alone, self._ids(alone), strict=True):
+            self.cache[w] = np.array(x, self.kind).tobytes()
+        for a in range(0, len(together), TOGETHER):
+            part = together[a : a + TOGETHER]
+            ids = np.array(self._ids([f" {SEPARATOR} ".join(part)])[0], self.kind)
+            cuts = np.flatnonzero(ids == self.separator) * self.width
+            if len(cuts) != len(part) - 1:
+                raise ValueError("separators don't match the words")
+            raw = ids.tobytes()
+            starts, ends = [0, *(cuts + self.width).tolist()], [*cuts.tolist(), len(raw)]
+            self.cache.update(zip(part, [raw[i:j] for i, j in zip(starts, ends, strict=True)], strict=True))
+
+    def _words(self, data: np.ndarray, offs: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The runs of all texts, and for each text the number of its first. Runs also end between an ASCII letter and
+        ASCII punctuation, where pre-tokens do. A-Z are lowered but before other characters, with which they may compose."""
+        inside = ~SPACES[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1] | (_LETTERS[data[:-1]] & _PUNCTUATION[data[1:]])
+        rows = offs[:-1][offs[:-1] < len(data)]
+        first[rows] = inside[rows]
+        lowered = LOWER[data]
+        lowered[:-1] = np.where(data[1:] < 128, lowered[:-1], data[:-1])
+        starts = np.flatnonzero(first)
+        places = np.cumsum(inside, dtype=np.int32)
+        ends = np.append(places[starts] - 1, places[-1] if len(places) else 0).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(lowered[inside]))
+        return words, np.searchsorted(starts, offs)
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The packed ids of every text; null counts as empty. Texts with a special token's string are encoded whole."""
+        texts = pc.fill_null(texts, "")
+        whole = np.zeros(len(texts), bool)
+        for token in self.special:
+            whole |= pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False)
+        own = {int(i): np.array(self._ids([texts[i].as_py()])[0], self.kind).tobytes() for i in np.flatnonzero(whole)}
+        if own:
+            texts = pc.if_else(pa.array(whole), "", texts)
+        runs, row = self._words(*text_buffers(texts))
+        numbered = runs.dictionary_encode()
+        words = numbered.dictionary.to_pylist()
+        new = [w for w in words if w not in self.cache]
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
-            new = list(distinct)
-        kind = f"<u{self.width}"
-        for word, x in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-            self.cache[word] = np.array(x.ids, kind).tobytes()
-        get = self.cache.__getitem__
-        return [b"".join(map(get, x)) for x in words]
+            new = words
+        self._learn(new)
+        known = [self.cache[w] for w in words]
+        ends = np.cumsum([0, *map(len, known)]) // self.width
+        at = numbered.indices.to_numpy()
+        lo, hi = ends[at], ends[at + 1]
+        ids = np.frombuffer(b"".join(known), self.kind)[ranges(lo, hi)].tobytes()
+        cuts = (np.concatenate(([0], np.cumsum(hi - lo)))[row] * self.width).tolist()
+        return [own.get(k, ids[i:j]) for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -110,9 +170,10 @@ def _written(folder: str, tokenizer_path: str, end_id: int) -> Callable[[Iterato
         name = f"{root}/shard-{task.partitionId():06d}-{task.taskAttemptId()}"
         out, index, at, n_tokens, first = None, [], 0, 0, None
         for batch in batches:
-            for a in range(0, batch.num_rows, 200):
-                part = batch.slice(a, 200)
-                ids = own.encode([x or "" for x in part.column("text").to_pylist()])
+            _, offs = text_buffers(batch.column("text"))
+            for a, b in pieces(offs, PART):
+                part = batch.slice(a, b - a)
+                ids = own.encode(part.column("text"))
                 for doc_id, x in zip(part.column("doc_id").to_pylist(), ids, strict=True):
                     if out is None:
                         system.create_dir(root, recursive=True)
