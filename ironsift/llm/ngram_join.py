@@ -11,7 +11,9 @@ Method: a metric-space join under the Jaccard distance, with pivots, Voronoi reg
   there is measured against it. Documents within 0.2 of the pivot are linked, and need no other pair.
 * What is not linked to the pivot joins its region again, one level down: with documents of other components,
   in the window of the triangle inequality around its distance to the pivot and within the bounds that
-  size and place put on the overlap. That leaves no pair that could add a link between components.
+  size and place put on the overlap. That leaves no pair that could add a link between components. Parity
+  sketches, whose Hamming distance never exceeds the symmetric difference, then spare most of these pairs the
+  exact comparison of their texts; they rule out no link.
 """
 
 from __future__ import annotations
@@ -172,12 +174,64 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(x, pa.int64()) for x in columns)], ["a", "b", "n_shared", "n_union"])
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each document a bit for every residue of its shingles, set where an odd number of them has it. The number
+    of bits is a power of two, twice the size of the set or more."""
+    for batch in batches:
+        bits, size = [], []
+        for a, b, row, h, n in _parts(batch.column("text")):
+            wide = np.array([max(64, 1 << int(2 * x - 1).bit_length()) if x else 64 for x in n.tolist()], np.int64)
+            base = np.concatenate(([0], np.cumsum(wide)))
+            at, times = np.unique(base[row] + (h & (wide[row] - 1).astype(U)).astype(np.int64), return_counts=True)
+            flags = np.zeros(base[-1], np.uint8)
+            flags[at[times & 1 == 1]] = 1
+            raw = np.packbits(flags, bitorder="little").tobytes()
+            size += n.tolist()
+            bits += [raw[i // 8 : j // 8] for i, j in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(bits, pa.binary())], ["doc_id", "size", "bits"])
+
+
+def _folded(bits: bytes, size: int) -> int:
+    """The sketch with 8 * size bits, from one with as many or more."""
+    value, have = int.from_bytes(bits, "little"), len(bits)
+    while have > size:
+        have //= 2
+        value = (value >> 8 * have) ^ (value & ((1 << 8 * have) - 1))
+    return value
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches allow a link: each unequal bit takes a shingle that only one of the two has, and a
+    link leaves (100 - PERCENT) / (100 + PERCENT) of both sizes for these."""
+    for batch in batches:
+        sizes = [x + y for x, y in zip(*(batch.column(k).to_pylist() for k in ("size_a", "size_b")), strict=True)]
+        keep = []
+        for x, y, size in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), sizes, strict=True):
+            least = min(len(x), len(y))
+            unequal = (_folded(x, least) ^ _folded(y, least)).bit_count()
+            keep.append(unequal * (100 + PERCENT) <= (100 - PERCENT) * size)
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _only(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The documents of some pair; all documents where the pairs have too many to broadcast."""
+    wanted = kept(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
+    return docs.join(F.broadcast(wanted), "doc_id", "left_semi") if wanted.count() <= BROADCAST_ROWS else docs
+
+
+def _plausible(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs that their sketches don't rule out."""
+    pairs = kept(pairs, "candidates")
+    sketches = kept(_only(docs, pairs).mapInArrow(_sketches, "doc_id long, size long, bits binary"), "sketches")
+    bits = lambda k: sketches.select(F.col("doc_id").alias(k), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}"))
+    both = pairs.join(bits("b"), "b").join(bits("a"), "a").select("a", "b", "size_a", "size_b", "bits_a", "bits_b")
+    return both.mapInArrow(_possible, "a long, b long").distinct()
+
+
 def _measured(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """a, b and the exact overlap and union of every pair."""
     pairs = kept(pairs, "pairs")
-    wanted = kept(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        docs = docs.join(F.broadcast(wanted), "doc_id", "left_semi")
+    docs = _only(docs, pairs)
     text = lambda k: docs.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
     out = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
     return kept(out.mapInArrow(_measure, "a long, b long, n_shared long, n_union long").distinct(), "measured")
@@ -229,7 +283,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     apart = (F.col("l_pivot") == F.col("r_pivot")) & (apart | (most * (100 + PERCENT) < PERCENT * (F.col("l_size") + F.col("r_size"))))
     once = (F.col("r_component") == F.col("r_main")) | (F.col("l_doc_id") < F.col("r_doc_id"))
     rest = left.join(right, "region").filter(once & (F.col("l_component") != F.col("r_component")) & _near("l_size", "l_place", "r_size", "r_place") & ~F.coalesce(apart, F.lit(False)))
-    rest = _measured(rest.select(F.least("l_doc_id", "r_doc_id").alias("a"), F.greatest("l_doc_id", "r_doc_id").alias("b")).distinct(), named).filter(_linked())
+    rest = rest.select(F.least("l_doc_id", "r_doc_id").alias("a"), F.greatest("l_doc_id", "r_doc_id").alias("b")).distinct()
+    rest = _measured(_plausible(rest, named), named).filter(_linked())
 
     roots = found.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
     found = components(roots.union(rest.select("a", "b")), "a", "b")
