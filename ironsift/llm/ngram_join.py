@@ -32,7 +32,8 @@ from ironsift.llm.shared import kept
 
 WORDS = 5
 PERCENT = 80
-COMMON = 0.0005  # a shingle in more than this share of documents is common
+REPEATED = 8  # a shingle seen so often within batches has a rank of its own among the pivots
+RANKED = 1_000_000  # at most so many shingles have one; beyond, only the most frequent
 BROADCAST_ROWS = 1_000_000
 
 
@@ -67,13 +68,13 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles that are common within a batch. One that is common in the corpus is common in some."""
+    """The shingles that a batch has twice or more, and how often. One that is common in the corpus is repeated in some."""
     for batch in batches:
         got = [h for _, _, _, h, _ in _parts(batch.column("text"))]
         if not got:
             continue
         h, n = np.unique(np.concatenate(got), return_counts=True)
-        often = n >= max(3, COMMON * batch.num_rows)
+        often = n > 1
         yield pa.RecordBatch.from_arrays([pa.array(signed(h[often])), pa.array(n[often])], ["shingle", "n"])
 
 
@@ -241,6 +242,20 @@ def _linked() -> Column:
     return F.col("n_shared") * 100 >= F.col("n_union") * PERCENT
 
 
+def _ranked(docs: DataFrame) -> DataFrame:
+    """shingle and n of the most frequent shingles, RANKED at most. They are taken by whole classes of counts, so that
+    no task sorts them all."""
+    seen = docs.mapInArrow(_frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    seen = kept(seen.filter(F.col("n") >= REPEATED).withColumn("class", F.floor(F.log2("n") * 4)), "counts")
+    total, least = 0, None
+    for row in sorted(seen.groupBy("class").agg(F.count("*").alias("n")).collect(), reverse=True):  # 256 rows at most
+        total += row["n"]
+        if total > RANKED:
+            break
+        least = row["class"]
+    return seen.filter(F.lit(False) if least is None else F.col("class") >= least).select("shingle", "n")
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, links): doc_id, n_shingles and component_id of every document; a, b and the counts of links found.
 
@@ -251,10 +266,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     docs = id_and_text(docs, id_col, text_col)
     named = docs.filter(F.col("doc_id").isNotNull())
-    n_docs = named.count()
-    common = named.mapInArrow(_frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    # at most (mean size of a set) / COMMON shingles can be so frequent
-    common = common.filter(F.col("n") >= max(8, COMMON * n_docs)).toPandas().sort_values("shingle", key=lambda x: x.astype("int64").to_numpy().view("uint64"))
+    common = _ranked(named).toPandas().sort_values("shingle", key=lambda x: x.astype("int64").to_numpy().view("uint64"))
     rows = named.mapInArrow(_region_rows(common["shingle"].to_numpy(np.int64).view(U), common["n"].to_numpy(np.int64)), _ROWS)
     regions = kept(_regions(rows), "regions")
 
