@@ -16,34 +16,43 @@ from ironsift.llm.shared import shared_dir
 from ironsift.llm.substring_dedup import dedup_word_runs
 
 
-def _with_text(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The documents with the texts that an operator left them (doc_id, text), as many as there are of those."""
-    rest = docs.drop("text", "n_chars")
-    return texts.join(rest, "doc_id").withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+def _apart(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """The documents with their other columns renamed apart from those of operators, and these names."""
+    names = {x: f"carried_{x}" for x in docs.columns if x not in ("doc_id", "text")}
+    return docs.withColumnsRenamed(names), tuple(names.values())
+
+
+def _together(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs again, of rows that an operator carried along."""
+    return out.withColumnsRenamed({f"carried_{x}": x for x in docs.columns}).select(*docs.columns)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    kept = quality_rules(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Documents that the quality rules keep. Each row is judged by its own text, whether its id is null or repeated."""
+    apart, carry = _apart(docs)
+    return _together(quality_rules(apart, carry=("text", *carry)).filter("kept").select("doc_id", "text", *carry), docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id."""
-    first = similar_documents(docs)[0].filter("doc_id = component_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    """Of each group of near duplicates the document with the least id. Rows that share an id are one document, so they
+    stay or go together; a row without an id links with nothing and stays."""
+    others = similar_documents(docs)[0].filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the word runs that earlier documents have; a text of which nothing is left goes."""
-    left = dedup_word_runs(docs).filter("kept <> ''").select("doc_id", F.col("kept").alias("text"))
-    return _with_text(docs, left)
+    """Texts without the word runs that earlier documents have; a text of which nothing is left goes. Rows that share
+    an id are cleaned one by one and none is earlier than the other; a row without an id keeps all its words."""
+    apart, carry = _apart(docs)
+    left = dedup_word_runs(apart, carry=carry).filter("kept <> ''").select("doc_id", F.col("kept").alias("text"), *carry)
+    return _together(left, docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
-    clean = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("NOT contaminated").select("doc_id")
-    return docs.join(clean, "doc_id", "left_semi").select(*docs.columns)
+    """Documents without any benchmark window. Each row is judged by its own text, whether its id is null or repeated."""
+    apart, carry = _apart(docs)
+    out = decontaminate(apart, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=carry)
+    return _together(out.filter("NOT contaminated").select("doc_id", "text", *carry), docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

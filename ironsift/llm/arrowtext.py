@@ -168,10 +168,20 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and text alone. Columns that have the name and type already stay as they are: an alias would
+def id_and_text(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and text, and the columns to carry along. Columns that have the name and type already stay as they are: an alias would
     keep Spark from seeing that two uses of them are the same exchange."""
     ready = dict(docs.dtypes)
     doc_id = F.col(id_col) if id_col == "doc_id" and ready[id_col] == "bigint" else F.col(id_col).cast("long").alias("doc_id")
     text = F.col(text_col) if text_col == "text" and ready[text_col] == "string" else F.col(text_col).cast("string").alias("text")
-    return docs.select(doc_id, text)
+    return docs.select(doc_id, text, *(x for x in carry if x not in ("doc_id", "text")))
+
+
+def carried_schema(docs: DataFrame, carry: tuple[str, ...]) -> str:
+    """Names and types of the columns to carry along, to be added to a schema."""
+    return "".join(f", `{x}` {docs.schema[x].dataType.simpleString()}" for x in carry)
+
+
+def with_carried(out: pa.RecordBatch, batch: pa.RecordBatch, a: int, b: int, carry: tuple[str, ...]) -> pa.RecordBatch:
+    """Results of the rows a to b of a batch, with the columns that they carry along."""
+    return pa.RecordBatch.from_arrays([*out.columns, *(batch.column(x).slice(a, b - a) for x in carry)], [*out.schema.names, *carry])

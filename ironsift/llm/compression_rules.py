@@ -7,7 +7,7 @@ below its band, encoded or random text stands above it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ironsift.llm.arrowtext import GOLD, NEWLINES, SPACES, U, grams, id_and_text, mix, pieces, rows_of, spread, text_buffers, tokens
+from ironsift.llm.arrowtext import GOLD, NEWLINES, SPACES, U, carried_schema, grams, id_and_text, mix, pieces, rows_of, spread, text_buffers, tokens, with_carried
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -73,27 +73,33 @@ def _ratios(data: bytes, press: zstandard.ZstdCompressor) -> tuple[float | None,
     return whole, min(chunks, default=None), max(chunks, default=None)
 
 
-def _measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=LEVEL)
-    names = [x.split()[0] for x in _SCHEMA.split(", ")]
-    for batch in batches:
-        data, offs = text_buffers(batch.column("text"))
-        for a, b in pieces(offs):
-            part, own = data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
-            counts = [pa.array(x, pa.int64()) for x in base_counts(part, own)]
-            raw = part.tobytes()
-            ratios = zip(*(_ratios(raw[i:j], press) for i, j in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)), strict=True)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(np.diff(own)), *counts, *(pa.array(x, pa.float64()) for x in ratios)], names)
+def _measures(carry: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=LEVEL)
+        names = [x.split()[0] for x in _SCHEMA.split(", ")]
+        for batch in batches:
+            data, offs = text_buffers(batch.column("text"))
+            for a, b in pieces(offs):
+                part, own = data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
+                counts = [pa.array(x, pa.int64()) for x in base_counts(part, own)]
+                raw = part.tobytes()
+                ratios = zip(*(_ratios(raw[i:j], press) for i, j in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)), strict=True)
+                out = pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(np.diff(own)), *counts, *(pa.array(x, pa.float64()) for x in ratios)], names)
+                yield with_carried(out, batch, a, b, carry)
 
+    return run
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Base counts, ratios, base_failed, reason and kept of every document.
 
     A null text counts as empty: no words, null ratios, base_failed. A null id is carried along; rows that share an
     id are judged one by one. Texts under 128 bytes have no band, and chunks count only in texts over one chunk.
-    reason is the first rule that rejects (null if kept). Other columns are ignored.
+    reason is the first rule that rejects (null if kept). Columns named in carry (text among them) go along with
+    their row; others are ignored.
     """
-    out = id_and_text(docs, id_col, text_col).mapInArrow(_measures, _SCHEMA)
+    docs = id_and_text(docs, id_col, text_col, carry)
+    out = docs.mapInArrow(_measures(carry), _SCHEMA + carried_schema(docs, carry))
     low, high = F.lit(0.0), F.lit(float("inf"))
     for size, least, most in BANDS:
         low = F.when(F.col("n_bytes") >= size, F.lit(least)).otherwise(low)

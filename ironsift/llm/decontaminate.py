@@ -66,15 +66,15 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, n_words, n_hit (words inside any occurrence of a window), items (ids with such windows,
     sorted as strings) and contaminated, for every document.
 
     Null and empty texts, of documents or items, have no words and no hit. Rows that share an id are judged one by
     one; items that share an id count once. A null item id never appears among items, but its words are hit.
-    Other columns are ignored.
+    Columns named in carry go along with their row; others are ignored.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carry)
     keyed = docs.withColumn("text_key", F.xxhash64("text"))
     items = items.select(F.col(item_id_col).cast("string").alias("item_id"), words(F.col(item_text_col)).alias("words")).withColumn("n", F.size("words")).filter("n > 0")
     lengths = [r.n for r in items.select(F.least("n", F.lit(WINDOW)).alias("n")).distinct().collect()]  # 10 at most
@@ -97,9 +97,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     counts = keyed.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long"))
     none = F.array().cast("array<string>")
     if not hits:
-        return counts.select("doc_id", "text", "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated"))
+        return counts.select("doc_id", "text", *carry, "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated"))
     every = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "text_key").agg(F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("items"))
     every = kept(every, "hits").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit", "items")
     out = counts.join(_small(every), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select("doc_id", "text", "n_words", n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", "text", *carry, "n_words", n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), (n_hit > 0).alias("contaminated"))

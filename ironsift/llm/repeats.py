@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ironsift.llm.arrowtext import GOLD, U, id_and_text, mix, pieces, ranges, signed, spread, text_buffers
+from ironsift.llm.arrowtext import GOLD, U, carried_schema, id_and_text, mix, pieces, ranges, signed, spread, text_buffers, with_carried
 
 ROWS_OUT = 100_000
 CROWD = 8
@@ -274,7 +274,7 @@ def _held(values: np.ndarray, row: np.ndarray, lists: tuple[pa.Array, np.ndarray
     return out
 
 
-def _clean_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _clean_rows(plan: Plan, carry: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             contexts, windows = _lists(batch.column("contexts")), _lists(batch.column("windows"))
@@ -297,7 +297,7 @@ def _clean_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                                 lo.append(pairs[:, 0])
                                 hi.append(pairs[:, 1])
                 gone = spread(np.concatenate(lo), np.concatenate(hi) + plan.length - 1, int(x.first[-1]))
-                yield plan.cleaned(batch.column("doc_id").slice(a, b - a), part, own, x, gone)
+                yield with_carried(plan.cleaned(batch.column("doc_id").slice(a, b - a), part, own, x, gone), batch, a, b, carry)
 
     return run
 
@@ -317,20 +317,21 @@ def _resolved(rows: DataFrame) -> DataFrame:
     return marked.withColumn("several", F.col("crowded") | (F.first("value").over(whole) != F.last("value").over(whole)))
 
 
-def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, schema: str) -> DataFrame:
+def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, schema: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each document without what its repeated windows cover, as plan.cleaned returns it.
 
     Null texts count as empty. A document with a null id is neither a source nor cleaned. Rows that share
-    an id are separate documents of the same rank: none is earlier than the other. Other columns are ignored.
+    an id are separate documents of the same rank: none is earlier than the other. Columns named in carry go along with
+    their row; others are ignored.
     """
-    docs = id_and_text(docs, id_col, text_col)
+    docs = id_and_text(docs, id_col, text_col, carry)
     named = docs.filter(F.col("doc_id").isNotNull())
     known = F.col("spans").isNotNull()
     later = F.col("spans").isNull() & (F.col("doc_id") > F.col("holder"))
     edge = F.col("spans").isNull() & (F.col("doc_id") == F.col("holder")) & F.col("several")
     pair = F.when(known, F.struct(F.col("value").alias("text_id"), "spans"))
 
-    anchors = _resolved(named.mapInArrow(_anchor_rows(plan), _EXCHANGED)).filter(known | later | edge)
+    anchors = _resolved(named.select("doc_id", "text").mapInArrow(_anchor_rows(plan), _EXCHANGED)).filter(known | later | edge)
     gathered = {"contexts": later, "edges": edge & ~F.col("crowded"), "crowds": edge & F.col("crowded")}
     found = anchors.groupBy("doc_id").agg(*(F.collect_set(F.when(x, F.col("value"))).alias(k) for k, x in gathered.items()), F.collect_list(pair).alias("known"))
     # All uses of the texts read the same columns and rows, so that they are dealt out by id only once.
@@ -350,4 +351,4 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, sc
     else:
         whole = whole.withColumn("known_contexts", F.lit(None).cast("array<struct<text_id: long, spans: binary>>"))
     unnamed = docs.filter(F.col("doc_id").isNull())
-    return whole.unionByName(unnamed, allowMissingColumns=True).mapInArrow(_clean_rows(plan), schema)
+    return whole.unionByName(unnamed, allowMissingColumns=True).mapInArrow(_clean_rows(plan, carry), schema + carried_schema(docs, carry))

@@ -58,11 +58,11 @@ def _cleaned(doc_id: pa.Array, data: np.ndarray, offs: np.ndarray, found: Anchor
     return pa.RecordBatch.from_arrays([doc_id, packed(pa.string(), data, keep, offs), pa.array(np.diff(first)), pa.array(lost), spans], ["doc_id", "kept", "n_words", "n_removed", "spans"])
 
 
-def dedup_word_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_word_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, kept words joined by one space, n_words, n_removed and the removed word spans of every document.
 
     A word goes when a run of 13 words that covers it also starts in a document with a smaller id, judged on
     the input. Nulls, empty texts, repeated ids and other columns: see repeats.repeated_windows. Texts under
     13 words stay whole.
     """
-    return repeated_windows(docs, id_col, text_col, Plan(_anchors, _cleaned, LENGTH, within=False), _SCHEMA)
+    return repeated_windows(docs, id_col, text_col, Plan(_anchors, _cleaned, LENGTH, within=False), _SCHEMA, carry)

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from ironsift.llm.compression_rules import quality_rules
 from ironsift.llm.decontaminate import decontaminate
 from ironsift.llm.main_text import extract_main_text, main_text
@@ -222,3 +223,28 @@ def test_pipeline(spark):
     bad = {r.doc_id for r in decontaminate(spark.createDataFrame(list(left.items()), "doc_id long, text string"), spark.read.parquet(f"{DATA}/benchmark.parquet")).filter("contaminated").collect()}
     want = {i: hashlib.sha256(",".join(map(str, library.encode(k))).encode()).hexdigest() for i, k in left.items() if i not in bad}
     assert {r.doc_id: r.ids_sha256 for r in rows} == want
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    prose = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    passage = next(r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect() if len(r.text.split()) > 9)
+    more = [(i, x, None) for k, x in enumerate(prose) for i in (None, 20 + k // 2)] + [(11, f"{prose[0]} {passage}", None), (None, f"{prose[1]} {passage}", None)]
+    rows = [(i, t, f"lang {k}", f"source {k}", len(t or "")) for k, (i, t, _) in enumerate(ROWS + more)]
+    alone = spark.createDataFrame([(k, r[1]) for k, r in enumerate(rows)], "doc_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    run = lambda stage: sorted(map(tuple, stage(spark, docs, DATA).collect()), key=repr)
+    want = lambda stay: sorted((rows[k] for k in stay), key=repr)
+
+    good = {r.doc_id for r in quality_rules(alone).filter("kept").collect()}
+    assert {rows[k][0] for k in good} & {rows[k][0] for k in set(range(len(rows))) - good} - {None} and any(rows[k][0] is None for k in good)
+    assert run(corpus_pipeline.keep_good) == want(good)
+
+    bad = {r.doc_id for r in decontaminate(alone, spark.read.parquet(f"{DATA}/benchmark.parquet")).filter("contaminated").collect()}
+    assert {len(rows) - 1, len(rows) - 2} <= bad and ROWS.index((11, "ÀÉÎ " * 60, "u")) not in bad
+    assert run(corpus_pipeline.drop_contaminated) == want(set(range(len(rows))) - bad)
+
+    left = [(i, w, *r[2:4], len(w)) for r, (i, _, _, w) in zip(rows, brute_words([r[:3] for r in rows]), strict=True) if w]
+    assert run(corpus_pipeline.drop_repeats) == sorted(left, key=repr)
+
+    root = {r.doc_id: r.component_id for r in similar_documents(docs)[0].collect()}
+    assert run(corpus_pipeline.keep_one_of_each) == want(k for k, r in enumerate(rows) if r[0] is None or root[r[0]] == r[0])
