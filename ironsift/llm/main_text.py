@@ -2,14 +2,18 @@
 
 Method: a page is cut into blocks at block-level tags. The first pass decides blocks by their density of stop
 words, their length, the share of their characters inside links, and by the kind of element they stand in
-(menus, forms and the like are never main text). Short blocks stay open. The second pass gives open blocks the
-label of the nearest decided neighbours on either side.
+(menus, forms and the like are never main text). Short blocks stay open, and long ones with few stop words. The
+second pass gives open blocks the label of the nearest decided neighbours on either side, and headings that of the
+block after them. Where article and main elements hold most of the good words, open blocks outside are no text and
+no neighbours; good ones outside stay. Only a page without any good block takes the open blocks of these elements,
+if they hold most of its open words.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -150,36 +154,37 @@ def _first_pass(block: Block) -> bool | None:
     words = [x.lower() for x in _WORD.findall(block.text)]
     if len(words) < LONG_WORDS:
         return None
-    dense = sum(x in STOP_WORDS for x in words) >= STOP_DENSITY * len(words)
-    return True if dense or block.content else None
+    return True if sum(x in STOP_WORDS for x in words) >= STOP_DENSITY * len(words) else None
 
 
 def main_text(page: str | None) -> str:
     """The blocks of main text, joined by newlines."""
-    found = blocks(page or "")
+    found = [b for b in blocks(page or "") if not b.excluded]  # what stands apart from the text is no neighbour
+    n_words: Counter[tuple[bool | None, bool]] = Counter()
     for b in found:
         b.good = _first_pass(b)
-    inside = any(b.content and b.good is not False for b in found)
-    if inside:  # the page says where its article is
-        for b in found:
-            if not b.content:
-                b.good = False
-    found = [b for b in found if not b.excluded]  # what stands apart from the text is no neighbour
-    decided = [b.good for b in found]
+        n_words[b.good, b.content] += len(b.text.split())
+    label = True if any(b.good for b in found) else None
+    if n_words[label, True] > n_words[label, False]:  # the page says where most of its text is
+        found = [b for b in found if b.content or b.good]
+        if label is None:
+            for b in found:
+                b.good = b.good is None
     before: list[bool | None] = []
     last = None
-    for x in decided:
+    for b in found:
         before.append(last)
-        last = x if x is not None else last
-    after: list[bool | None] = []
-    last = None
-    for x in reversed(decided):
-        after.append(last)
-        last = x if x is not None else last
-    after.reverse()
-    for b, x, left, right in zip(found, decided, before, after, strict=True):
-        if x is None:
-            b.good = b.content or (bool(right) if b.heading else bool(left) and bool(right) or (left is None and bool(right)) or (right is None and bool(left)))
+        last = b.good if b.good is not None else last
+    last, follows = None, False
+    for b, left in zip(reversed(found), reversed(before), strict=True):
+        right = last
+        if b.good is not None:
+            last = b.good
+        elif b.heading:
+            b.good = follows
+        else:
+            b.good = left is not False and right is not False and bool(left or right)
+        follows = b.good
     return "\n".join(b.text for b in found if b.good)
 
 

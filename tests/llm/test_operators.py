@@ -248,3 +248,15 @@ def test_pipeline_stages_on_awkward_rows(spark):
 
     root = {r.doc_id: r.component_id for r in similar_documents(docs)[0].collect()}
     assert run(corpus_pipeline.keep_one_of_each) == want(k for k, r in enumerate(rows) if r[0] is None or root[r[0]] == r[0])
+
+
+def test_main_text_by_density():
+    good = ["The cat is in the house and it was on the mat with a hat.", "A dog of the house is at the door and it was not in by day."]
+    dull = "Wood iron copper silver gold tin lead zinc nickel chrome cobalt."
+    body = "".join(f"<div>{x}</div>" for x in good)
+    teaser = "<article><h3>Other story</h3></article>"
+    assert main_text(f"<h1>Title</h1>{body}{teaser}") == main_text(f"<h1>Title</h1>{body}") == "\n".join(["Title", *good])
+    assert main_text(f"<article><h1>T</h1><p>{good[1]}</p><h2>More</h2><p>End.</p></article><div>{good[0]}</div><div>Cart</div>") == "\n".join(["T", good[1], "More", "End.", good[0]])
+    links = "<p><a href=x>All of the other stories that we have for you in the archive</a></p>"
+    assert main_text(f"<article>{links}<p>{dull}</p>{links}<p>Short.</p>{links}<p>{good[0]}</p></article>") == good[0]
+    assert main_text(f"<article><h1>T</h1><p>{dull}</p></article><div>Cart</div>") == f"T\n{dull}"
