@@ -56,8 +56,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
-    return piece_digests(encode_pieces(docs, tokenizer_file("piece_bpe_32k.model"), spans=False))
+    """Token counts and digests of what is left, source spans of the pieces included."""
+    return piece_digests(encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")))
 
 
 STAGES = [

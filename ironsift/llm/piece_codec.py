@@ -122,11 +122,10 @@ class Codec:
         for segment, x, text in zip(new, ids, self.library.decode(ids, num_threads=1), strict=True):
             self.cache[segment] = np.array(x, "<i4").tobytes(), text
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[str], list[tuple[str, np.ndarray]] | None]:
-        """Per text its ids (packed) and what they decode to."""
-        plain = self.prefixed and not self.normalize.chars.units and not self.normalize.trim
-        known = [(MARK + x.replace(" ", MARK) if x else "") if plain else self.normalize(x)[0] for x in texts]
-        parts = [_SEGMENT.findall(x) if self.separable else [x] for x in known]
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[str], list[tuple[str, np.ndarray]]]:
+        """Per text its ids (packed), what they decode to, and its normalised form with source places."""
+        normal = [self.normalize(x) for x in texts]
+        parts = [_SEGMENT.findall(x) if self.separable else [x] for x, _ in normal]
         self._learn(set().union(*parts))
         ids, decoded = [], []
         for part in parts:
@@ -134,13 +133,12 @@ class Codec:
             ids.append(b"".join([x[0] for x in both]))
             text = "".join([x[1] for x in both])
             decoded.append(text[1:] if self.prefixed and text.startswith(" ") else text)
-        return ids, decoded, None
+        return ids, decoded, normal
 
-    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Source byte range of every piece."""
-        normal, places = self.normalize(text)
+    def spans(self, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Source byte range of every piece of a normalised text, given the source places of its bytes."""
         size = self.sizes[ids]
-        if np.isin(ids, self.unknown).any() or size.sum() != len(normal.encode()):
+        if any((ids == x).any() for x in self.unknown) or size.sum() != len(places) - 1:
             raise ValueError("pieces don't add up to the normalised text")
         end = np.cumsum(size)
         return places[end - size], places[end]
@@ -163,13 +161,13 @@ def _encoded(path: str, spans: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
             _, offs = text_buffers(batch.column("text"))
             for a, b in pieces(offs):
                 texts = [x or "" for x in batch.column("text").slice(a, b - a).to_pylist()]
-                packed, decoded, _ = own.encode(texts)
+                packed, decoded, normal = own.encode(texts)
                 ids = np.frombuffer(b"".join(packed), "<i4")
                 at = pa.array(np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed]))), pa.int32())
                 columns = [batch.column("doc_id").slice(a, b - a), pa.ListArray.from_arrays(at, pa.array(ids)), pa.array(decoded)]
                 names = ["doc_id", "ids", "decoded"]
                 if spans:
-                    both = [own.spans(t, np.frombuffer(x, "<i4")) for t, x in zip(texts, packed, strict=True)]
+                    both = [own.spans(places, np.frombuffer(x, "<i4")) for (_, places), x in zip(normal, packed, strict=True)]
                     for k, name in enumerate(("starts", "ends")):
                         columns.append(pa.ListArray.from_arrays(at, pa.array(np.concatenate([x[k] for x in both]), pa.int64())))
                         names.append(name)

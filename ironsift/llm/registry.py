@@ -74,11 +74,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def piece_digests(encoded: DataFrame) -> DataFrame:
     ids = _sha256(F.array_join(F.col("ids").cast("array<string>"), ","))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), _sha256(F.col("decoded")).alias("decoded_sha256"))
+    """Counts and digests of ids, decoded texts and the source spans of all pieces."""
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), _sha256(F.col("decoded")).alias("decoded_sha256"), F.xxhash64("starts", "ends").alias("spans_xxhash64"))
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_digests(encode_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), spans=False))
+    return piece_digests(encode_pieces(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model")))
 
 
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:

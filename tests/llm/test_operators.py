@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ironsift.llm.compression_rules import quality_rules
@@ -14,7 +15,7 @@ from ironsift.llm.decontaminate import decontaminate
 from ironsift.llm.main_text import extract_main_text, main_text
 from ironsift.llm.ngram_join import similar_documents
 from ironsift.llm.perspectives import rotate_perspectives
-from ironsift.llm.piece_codec import CharacterMap, Normalizer, encode_pieces
+from ironsift.llm.piece_codec import CharacterMap, Normalizer, codec, encode_pieces
 from ironsift.llm.quality_model import isotonic
 from ironsift.llm.registry import ORACLES, QUERIES, tokenizer_file
 from ironsift.llm.substring_dedup import dedup_word_runs
@@ -260,3 +261,24 @@ def test_main_text_by_density():
     links = "<p><a href=x>All of the other stories that we have for you in the archive</a></p>"
     assert main_text(f"<article>{links}<p>{dull}</p>{links}<p>Short.</p>{links}<p>{good[0]}</p></article>") == good[0]
     assert main_text(f"<article><h1>T</h1><p>{dull}</p></article><div>Cart</div>") == f"T\n{dull}"
+
+
+def test_piece_spans(spark):
+    import sentencepiece
+
+    model = tokenizer_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    table = spark.read.parquet(f"{DATA}/documents.parquet")
+    for text, normal in zip(["", " a  b", "é▁\n"], codec(model).encode(["", " a  b", "é▁\n"])[2], strict=True):
+        assert normal[0] == ("▁" + text.replace(" ", "▁") if text else "") and len(normal[1]) == len(normal[0].encode()) + 1
+    encoded = encode_pieces(table, model).select("doc_id", "ids", "starts", "ends", F.xxhash64("starts", "ends").alias("digest")).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in table.collect()}
+    assert len(encoded) == len(texts)
+    for r in encoded:
+        assert r.starts[1:] == r.ends[:-1] and (not r.ids or (r.starts[0], r.ends[-1]) == (0, len(texts[r.doc_id])))
+        for k, (i, a, b) in enumerate(zip(r.ids, r.starts, r.ends, strict=True)):
+            source, piece = texts[r.doc_id][a:b], library.id_to_piece(i)
+            assert source == bytes([int(piece[3:5], 16)]) if library.is_byte(i) else "▁" * (k == 0) + source.decode().replace(" ", "▁") == piece
+    digests = {r.doc_id: r.digest for r in encoded}
+    assert {r.doc_id: r.spans_xxhash64 for r in QUERIES["op9_sentencepiece"](spark, DATA).collect()} == digests
+    assert "spans_xxhash64" in corpus_pipeline.encode(spark, table, DATA).columns
