@@ -1,8 +1,10 @@
 """Quality rules: base counts, and compression bands that reject repetitive or incompressible text.
 
 Method: the zstandard ratio (compressed bytes by bytes) of the whole document, and of each fixed chunk of
-4096 bytes, must lie in a band that depends on the length; short text compresses less. Repetitive text falls
-below its band, encoded or random text stands above it.
+4096 bytes, must lie in a band that depends on the length; short text compresses less. What follows the last
+full chunk is judged by the band of its own length, and again within the chunk that ends with the text.
+Repetitive text falls below its band; base64 and random printable text stand above it from 256 bytes on. Random
+hexadecimal digits (0.50 to 0.53) are as dense as prose below 16384 bytes, and pass there.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ironsift.llm.arrowtext import GOLD, NEWLINES, SPACES, U, carried_schema, grams, id_and_text, mix, pieces, rows_of, spread, text_buffers, tokens, with_carried
@@ -22,13 +24,15 @@ MAX_REPEAT_PERCENT = 50
 CHUNK = 4096
 LEVEL = 3
 #: Length in bytes from which the band holds, lowest and highest ratio. Below the first no band holds.
-BANDS = ((128, 0.45, 1.05), (256, 0.42, 0.95), (512, 0.40, 0.90), (1024, 0.38, 0.85), (2048, 0.37, 0.82), (4096, 0.35, 0.80), (16384, 0.32, 0.78), (65536, 0.28, 0.78))
+#: The highest lie between prose and base64: from 1024 bytes on prose was seen at 0.70 at most, from 4096 on at 0.55, from 16384
+#: on 0.47; base64 has 0.85 or more up to 512 bytes, and never less than 0.75.
+BANDS = ((128, 0.45, 1.05), (256, 0.42, 0.84), (512, 0.40, 0.78), (1024, 0.38, 0.74), (2048, 0.37, 0.70), (4096, 0.35, 0.65), (16384, 0.32, 0.49), (65536, 0.28, 0.48))
 #: The band of every full chunk.
-CHUNK_LOW, CHUNK_HIGH = 0.25, 0.90
+CHUNK_LOW, CHUNK_HIGH = 0.25, 0.65
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(x) for x in "#*$%&|<>"]] = True
-_SCHEMA = "doc_id long, n_bytes long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double, min_chunk_ratio double, max_chunk_ratio double"
+_SCHEMA = "doc_id long, n_bytes long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double, min_chunk_ratio double, max_chunk_ratio double, tail_ratio double"
 
 
 def _again(row: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,13 +68,25 @@ def base_counts(data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return [np.diff(first), _sums(letters, offs), _sums(SYMBOLS[data], offs), _sums(dup_lines, line_first), _sums(repeat, first)]
 
 
-def _ratios(data: bytes, press: zstandard.ZstdCompressor) -> tuple[float | None, float | None, float | None]:
+def _ratios(data: bytes, press: zstandard.ZstdCompressor) -> tuple[float | None, float | None, float | None, float | None]:
     n = len(data)
     if not n:
-        return None, None, None
+        return None, None, None, None
     whole = len(press.compress(data)) / n
     chunks = [len(press.compress(data[a : a + CHUNK])) / CHUNK for a in range(0, n - CHUNK + 1, CHUNK)] if n > CHUNK else []
-    return whole, min(chunks, default=None), max(chunks, default=None)
+    tail = n % CHUNK if n > CHUNK else 0
+    if tail:
+        chunks.append(len(press.compress(data[-CHUNK:])) / CHUNK)
+    return whole, min(chunks, default=None), max(chunks, default=None), len(press.compress(data[-tail:])) / tail if tail else None
+
+
+def _band(n_bytes: Column) -> tuple[Column, Column]:
+    """Lowest and highest ratio for a length."""
+    low, high = F.lit(0.0), F.lit(float("inf"))
+    for size, least, most in BANDS:
+        low = F.when(n_bytes >= size, F.lit(least)).otherwise(low)
+        high = F.when(n_bytes >= size, F.lit(most)).otherwise(high)
+    return low, high
 
 
 def _measures(carry: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -94,18 +110,17 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Base counts, ratios, base_failed, reason and kept of every document.
 
     A null text counts as empty: no words, null ratios, base_failed. A null id is carried along; rows that share an
-    id are judged one by one. Texts under 128 bytes have no band, and chunks count only in texts over one chunk.
+    id are judged one by one. Texts under 128 bytes have no band, and chunks count only in texts over one chunk; tail_ratio is null in others and in whole chunks.
     reason is the first rule that rejects (null if kept). Columns named in carry (text among them) go along with
     their row; others are ignored.
     """
     docs = id_and_text(docs, id_col, text_col, carry)
     out = docs.mapInArrow(_measures(carry), _SCHEMA + carried_schema(docs, carry))
-    low, high = F.lit(0.0), F.lit(float("inf"))
-    for size, least, most in BANDS:
-        low = F.when(F.col("n_bytes") >= size, F.lit(least)).otherwise(low)
-        high = F.when(F.col("n_bytes") >= size, F.lit(most)).otherwise(high)
+    low, high = _band(F.col("n_bytes"))
+    tail_low, tail_high = _band(F.col("n_bytes") % CHUNK)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     reason = F.when(F.col("n_words") < MIN_WORDS, "few words").when(failed, "repeated words")
     reason = reason.when(F.col("ratio") < low, "repetitive").when(F.col("ratio") > high, "incompressible")
     reason = reason.when(F.col("min_chunk_ratio") < CHUNK_LOW, "repetitive chunk").when(F.col("max_chunk_ratio") > CHUNK_HIGH, "incompressible chunk")
+    reason = reason.when(F.col("tail_ratio") < tail_low, "repetitive tail").when(F.col("tail_ratio") > tail_high, "incompressible tail")
     return out.withColumns({"base_failed": failed, "reason": reason}).withColumn("kept", F.col("reason").isNull())

@@ -1,8 +1,11 @@
 """Each operator against a brute-force version, on awkward rows and on the small tables."""
 
+import base64
 import collections
 import hashlib
+import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -282,3 +285,18 @@ def test_piece_spans(spark):
     digests = {r.doc_id: r.digest for r in encoded}
     assert {r.doc_id: r.spans_xxhash64 for r in QUERIES["op9_sentencepiece"](spark, DATA).collect()} == digests
     assert "spans_xxhash64" in corpus_pipeline.encode(spark, table, DATA).columns
+
+
+def test_rules_on_tails_and_encoded_text(spark):
+    rng = random.Random(7)
+    table = quality_rules(spark.read.parquet(f"{DATA}/documents.parquet"), carry=("text",)).filter("kept AND n_bytes > 1000 AND ratio > 0.42").collect()
+    prose = " ".join(r.text for r in sorted(table, key=lambda r: r.doc_id) if r.text.isascii())[:28672]
+    assert len(prose) == 28672
+    sentence = "This sentence is the same as the one before it. "
+    base64_of = lambda n: base64.encodebytes(rng.randbytes(n)).decode()
+    printable = "".join(rng.choice(string.ascii_letters + string.digits + string.punctuation + " ") for _ in range(4095))
+    texts = [prose, prose[:27001], prose + (sentence * 90)[:4095], prose + (sentence * 90)[:1000], prose + printable, prose + base64_of(1500), base64_of(60_000), base64_of(6000), "\n".join(rng.randbytes(32).hex() for _ in range(1200))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.reason for r in quality_rules(docs).collect()}
+    assert got[0] is None and got[1] is None
+    assert all(got[k] for k in range(2, len(texts))), got
