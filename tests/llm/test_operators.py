@@ -300,3 +300,17 @@ def test_rules_on_tails_and_encoded_text(spark):
     got = {r.doc_id: r.reason for r in quality_rules(docs).collect()}
     assert got[0] is None and got[1] is None
     assert all(got[k] for k in range(2, len(texts))), got
+
+
+def test_pieces_of_every_row(spark):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
+    texts = [t for _, t, _ in ROWS] + [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    texts += ["  two blanks  first and last  ", "\n\n line\n\n\nbreaks \n \t tabs\r\n", "▁ literal ▁▁ marks▁", " ▁", "🙂 ́e​", "a" * 300]
+    rows = encode_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), tokenizer_file("piece_bpe_32k.model")).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    for r in rows:
+        text = texts[r.doc_id] or ""
+        assert list(r.ids) == library.encode(text), text[:80]
+        assert r.decoded == library.decode(list(r.ids)), text[:80]
