@@ -8,25 +8,28 @@ choose anchors. The steps:
    windows always have an anchor of the same bucket at the same place.
 2. Anchors meet by bucket. A bucket with one context is settled: all but its first holder are
    repeats. Where a bucket has several contexts, one holder of each goes on as an edge.
-3. The windows of edges meet, by their own hash or (bytes only) as whole contexts of their bucket; all
+3. Where the plan refines buckets, edges are split into runs of finer buckets, which meet and are settled in the
+   same way; what is ambiguous still goes on as an edge.
+4. The windows of edges meet, by their own hash or (bytes only) as whole contexts of their bucket; all
    but the first holder are repeats.
-4. Each document removes what its repeated windows cover.
+5. Each document removes what its repeated windows cover.
 
 Before each exchange, a record batch keeps one row for each context or window (its first holder); the
 others are repeats already. A bucket with more than CROWD contexts in one batch is crowded: the further
-ones are dealt out by context, and all its edges meet by the hashes of their windows. So no group has
-more than CROWD rows from each batch, however often its text occurs.
+ones are dealt out by context. So no group has more than CROWD rows from each batch, however often its text occurs.
+Edges of a crowded bucket, or of one with more than TOGETHER contexts in all, meet by the hashes of their windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,6 +37,7 @@ from ironsift.llm.arrowtext import GOLD, U, carried_schema, id_and_text, mix, pi
 
 ROWS_OUT = 100_000
 CROWD = 8
+TOGETHER = 64
 
 
 @dataclass
@@ -46,21 +50,27 @@ class Anchors:
     context: np.ndarray
     windows: np.ndarray
     first: np.ndarray  # the first unit of each row, with the total at the end
+    anchor: np.ndarray | None = None  # for plans that refine: the place of each anchor's gram, and the ids of all grams
+    ids: np.ndarray | None = None
+
+
+Runs = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # lo, hi, bucket, context
 
 
 @dataclass
 class Plan:
     """anchors: of bytes and row offsets. cleaned: bytes, row offsets, removed units to one output batch.
 
-    within: whether an earlier place of the same document counts. context_windows: where units are bytes,
-    the window hashes and their starts in texts that lie one after another; contexts are then sent whole,
-    which is shorter than the hashes of all their windows.
+    within: whether an earlier place of the same document counts. refine: the runs into which some anchors are split,
+    with finer buckets. context_windows: where units are bytes, the window hashes and their starts in texts that
+    lie one after another; contexts are then sent whole, which is shorter than the hashes of all their windows.
     """
 
     anchors: Callable[[np.ndarray, np.ndarray], Anchors]
     cleaned: Callable[[pa.Array, np.ndarray, np.ndarray, Anchors, np.ndarray], pa.RecordBatch]
     length: int
     within: bool
+    refine: Callable[[Anchors, np.ndarray], Runs] | None = None
     context_windows: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]] | None = None
 
 
@@ -130,15 +140,27 @@ def _settle(plan: Plan, docs: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: n
     return np.sort(least), [(int(docs[r]), text_ids[int(r)], x) for r, x in zip(rows, packed, strict=True)]
 
 
-def _anchor_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _edges(plan: Plan, batch: pa.RecordBatch, deep: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Anchors, Runs]]:
+    """The parts of a batch with the runs of their anchors, or (deep) with the finer runs of those that are edges."""
+    if deep:
+        edges = [_lists(batch.column(x)) for x in ("edges", "crowds")]
+    for a, b, part, own, x in _parts(batch, plan):
+        runs = x.lo, x.hi, x.bucket, x.context
+        if deep:
+            row = np.searchsorted(x.first, x.lo, "right") - 1
+            runs = plan.refine(x, np.any([_held(x.context, row, y, a, b) for y in edges], axis=0))
+        yield a, b, part, own, x, runs
+
+
+def _anchor_rows(plan: Plan, deep: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got: list[tuple[np.ndarray, ...]] = []
             text_ids: dict[int, int] = {}
-            for a, b, part, own, x in _parts(batch, plan):
-                row = np.searchsorted(x.first, x.lo, "right") - 1
-                got.append(((row + a).astype(np.int32), (x.lo - x.first[row]).astype(np.int32), (x.hi - x.first[row]).astype(np.int32), x.bucket, x.context))
-                text_ids |= {r + a: _text_id(part, own, r) for r in range(b - a)}
+            for a, b, part, own, x, (lo, hi, bucket, context) in _edges(plan, batch, deep):
+                row = np.searchsorted(x.first, lo, "right") - 1
+                got.append(((row + a).astype(np.int32), (lo - x.first[row]).astype(np.int32), (hi - x.first[row]).astype(np.int32), bucket, context))
+                text_ids |= {int(r) + a: _text_id(part, own, int(r)) for r in np.unique(row)}
             if not got or not sum(len(x[0]) for x in got):
                 continue
             row, lo, hi, bucket, context = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -158,16 +180,16 @@ def _anchor_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 
 
 def _window_rows(plan: Plan, columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The windows of the edges, one row for each that no earlier document of the batch has."""
+    """The windows of the last edges, one row for each that no earlier document of the batch has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             edges = [_lists(batch.column(x)) for x in columns]
             got, text_ids = [], {}
-            for a, b, part, own, x in _parts(batch, plan):
-                row = np.searchsorted(x.first, x.lo, "right") - 1
-                pick = np.any([_held(x.context, row, y, a, b) for y in edges], axis=0)
-                at = np.unique(ranges(x.lo[pick], x.hi[pick]))
+            for a, b, part, own, x, (lo, hi, _, context) in _edges(plan, batch, plan.refine is not None):
+                row = np.searchsorted(x.first, lo, "right") - 1
+                pick = np.any([_held(context, row, y, a, b) for y in edges], axis=0)
+                at = np.unique(ranges(lo[pick], hi[pick]))
                 if len(at):
                     row = np.searchsorted(x.first, at, "right") - 1
                     got.append((row + a, at - x.first[row], x.windows[at]))
@@ -191,20 +213,20 @@ def _context_rows(plan: Plan) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _CONTEXTS.split(", ")]
         for batch in batches:
-            edges = _lists(batch.column("edges"))
+            edges = _lists(batch.column("last_edges"))
             docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, b, part, own, x in _parts(batch, plan):
-                row = np.searchsorted(x.first, x.lo, "right") - 1
-                pick = np.flatnonzero(_held(x.context, row, edges, a, b))
+            for a, b, part, own, x, (lo, hi, bucket, context) in _edges(plan, batch, plan.refine is not None):
+                row = np.searchsorted(x.first, lo, "right") - 1
+                pick = np.flatnonzero(_held(context, row, edges, a, b))
                 if not len(pick):
                     continue
-                row, lo, end = row[pick], x.lo[pick], x.hi[pick] + plan.length - 1
+                row, lo, end = row[pick], lo[pick], hi[pick] + plan.length - 1
                 ids = np.zeros(b - a, np.int64)
                 for r in np.unique(row):
                     ids[r] = _text_id(part, own, int(r))
                 size = np.concatenate(([0], np.cumsum(end - lo))).astype(np.int32)
                 context = pa.Array.from_buffers(pa.binary(), len(pick), [None, pa.py_buffer(size), pa.py_buffer(part[ranges(lo, end)])])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(x.bucket[pick])), pa.array(docs[row + a]), pa.array(ids[row]), pa.array(lo - x.first[row]), context], names)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(bucket[pick])), pa.array(docs[row + a]), pa.array(ids[row]), pa.array(lo - x.first[row]), context], names)
 
     return run
 
@@ -277,12 +299,17 @@ def _held(values: np.ndarray, row: np.ndarray, lists: tuple[pa.Array, np.ndarray
 def _clean_rows(plan: Plan, carry: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contexts, windows = _lists(batch.column("contexts")), _lists(batch.column("windows"))
-            packed = [_lists(batch.column(x)) for x in ("known", "known_windows", "known_contexts")]
-            for a, b, part, own, x in _parts(batch, plan):
+            contexts, finer, windows = (_lists(batch.column(x)) for x in ("contexts", "finer_contexts", "windows"))
+            packed = [_lists(batch.column(x)) for x in ("known", "finer_known", "known_windows", "known_contexts")]
+            deep = plan.refine is not None and len(finer[0]) > 0
+            for a, b, part, own, x, runs in _edges(plan, batch, deep):
                 row = np.searchsorted(x.first, x.lo, "right") - 1
                 pick = _held(x.context, row, contexts, a, b)
                 lo, hi = [x.lo[pick]], [x.hi[pick]]
+                if deep:
+                    pick = _held(runs[3], np.searchsorted(x.first, runs[0], "right") - 1, finer, a, b)
+                    lo.append(runs[0][pick])
+                    hi.append(runs[1][pick])
                 if windows[1][b] > windows[1][a]:
                     every = np.arange(x.first[-1])
                     at = np.flatnonzero(_held(x.windows, np.searchsorted(x.first, every, "right") - 1, windows, a, b))
@@ -306,15 +333,39 @@ _EXCHANGED = "key long, value long, doc_id long, sure boolean, spans binary"
 
 
 def _resolved(rows: DataFrame) -> DataFrame:
-    """Rows dealt out by key: which are repeats of a smaller document, and which keys have several values."""
+    """Rows dealt out by key: which are repeats of a smaller document, which keys have several values, and which many."""
     by = Window.partitionBy("key").orderBy("value", "doc_id")
     whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     past = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.lag("value").over(by)
     marked = rows.withColumn("start", F.when(before.isNull() | (before != F.col("value")), F.col("doc_id")))
     marked = marked.withColumn("holder", F.last("start", ignorenulls=True).over(past))
-    marked = marked.withColumn("crowded", F.max("sure").over(whole))
-    return marked.withColumn("several", F.col("crowded") | (F.first("value").over(whole) != F.last("value").over(whole)))
+    marked = marked.withColumns({"crowded": F.max("sure").over(whole), "n_values": F.count("start").over(whole)})
+    return marked.withColumns({"several": F.col("crowded") | (F.col("n_values") > 1), "crowded": F.col("crowded") | (F.col("n_values") > TOGETHER)})
+
+
+def _known() -> Column:
+    return F.col("spans").isNotNull()
+
+
+def _later() -> Column:
+    return F.col("spans").isNull() & (F.col("doc_id") > F.col("holder"))
+
+
+def _edge() -> Column:
+    return F.col("spans").isNull() & (F.col("doc_id") == F.col("holder")) & F.col("several")
+
+
+def _known_spans() -> Column:
+    return F.collect_list(F.when(_known(), F.struct(F.col("value").alias("text_id"), "spans")))
+
+
+def _by_document(rows: DataFrame, names: tuple[str, str, str, str]) -> DataFrame:
+    """For each document the contexts that are repeats, those that are edges of small and of large buckets, and the
+    repeats that its batch has found."""
+    kinds = (_later(), _edge() & ~F.col("crowded"), _edge() & F.col("crowded"))
+    sets = [F.collect_set(F.when(x, F.col("value"))).alias(k) for x, k in zip(kinds, names[:3], strict=True)]
+    return _resolved(rows).filter(_known() | _later() | _edge()).groupBy("doc_id").agg(*sets, _known_spans().alias(names[3]))
 
 
 def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, schema: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -326,29 +377,29 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, plan: Plan, sc
     """
     docs = id_and_text(docs, id_col, text_col, carry)
     named = docs.filter(F.col("doc_id").isNotNull())
-    known = F.col("spans").isNotNull()
-    later = F.col("spans").isNull() & (F.col("doc_id") > F.col("holder"))
-    edge = F.col("spans").isNull() & (F.col("doc_id") == F.col("holder")) & F.col("several")
-    pair = F.when(known, F.struct(F.col("value").alias("text_id"), "spans"))
-
-    anchors = _resolved(named.select("doc_id", "text").mapInArrow(_anchor_rows(plan), _EXCHANGED)).filter(known | later | edge)
-    gathered = {"contexts": later, "edges": edge & ~F.col("crowded"), "crowds": edge & F.col("crowded")}
-    found = anchors.groupBy("doc_id").agg(*(F.collect_set(F.when(x, F.col("value"))).alias(k) for k, x in gathered.items()), F.collect_list(pair).alias("known"))
+    found = _by_document(named.select("doc_id", "text").mapInArrow(_anchor_rows(plan), _EXCHANGED), ("contexts", "edges", "crowds", "known"))
     # All uses of the texts read the same columns and rows, so that they are dealt out by id only once.
     joined = named.join(found.hint("shuffle_hash"), "doc_id", "left")
+    some = (F.size("edges") > 0) | (F.size("crowds") > 0)
+    spans = "array<struct<text_id: long, spans: binary>>"
+    if plan.refine:
+        finer = _by_document(joined.filter(some).mapInArrow(_anchor_rows(plan, deep=True), _EXCHANGED), ("finer_contexts", "last_edges", "last_crowds", "finer_known"))
+        joined = joined.join(finer.hint("shuffle_hash"), "doc_id", "left")
+    else:
+        joined = joined.withColumns({"finer_contexts": F.lit(None).cast("array<long>"), "finer_known": F.lit(None).cast(spans), "last_edges": F.col("edges"), "last_crowds": F.col("crowds")})
 
-    by_window = ["crowds"] if plan.context_windows else ["edges", "crowds"]
-    some = F.size(by_window[-1]) > 0 if plan.context_windows else (F.size("edges") > 0) | (F.size("crowds") > 0)
-    windows = _resolved(joined.filter(some).mapInArrow(_window_rows(plan, by_window), _EXCHANGED)).filter(known | later)
-    again = windows.groupBy("doc_id").agg(F.collect_set(F.when(later, F.col("key"))).alias("windows"), F.collect_list(pair).alias("known_windows"))
+    by_window = ["last_crowds"] if plan.context_windows else ["last_edges", "last_crowds"]
+    some = reduce(Column.__or__, (F.size(x) > 0 for x in by_window))
+    windows = _resolved(joined.filter(some).mapInArrow(_window_rows(plan, by_window), _EXCHANGED)).filter(_known() | _later())
+    again = windows.groupBy("doc_id").agg(F.collect_set(F.when(_later(), F.col("key"))).alias("windows"), _known_spans().alias("known_windows"))
     whole = joined.join(again.hint("shuffle_hash"), "doc_id", "left")
     if plan.context_windows:
-        contexts = joined.filter(F.size("edges") > 0).mapInArrow(_context_rows(plan), _CONTEXTS)
+        contexts = joined.filter(F.size("last_edges") > 0).mapInArrow(_context_rows(plan), _CONTEXTS)
         contexts = contexts.repartition("key").sortWithinPartitions("key", "doc_id", "text_id", "place")
-        spans = contexts.mapInArrow(_settle_contexts(plan), "doc_id long, text_id long, spans binary")
-        spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("text_id", "spans")).alias("known_contexts"))
-        whole = whole.join(spans.hint("shuffle_hash"), "doc_id", "left")
+        repeats = contexts.mapInArrow(_settle_contexts(plan), "doc_id long, text_id long, spans binary")
+        repeats = repeats.groupBy("doc_id").agg(F.collect_list(F.struct("text_id", "spans")).alias("known_contexts"))
+        whole = whole.join(repeats.hint("shuffle_hash"), "doc_id", "left")
     else:
-        whole = whole.withColumn("known_contexts", F.lit(None).cast("array<struct<text_id: long, spans: binary>>"))
+        whole = whole.withColumn("known_contexts", F.lit(None).cast(spans))
     unnamed = docs.filter(F.col("doc_id").isNull())
     return whole.unionByName(unnamed, allowMissingColumns=True).mapInArrow(_clean_rows(plan, carry), schema + carried_schema(docs, carry))

@@ -1,14 +1,19 @@
 """Suffix-array dedup: bytes of every string of a given length that also starts earlier are removed.
 
 Method: bucket-pointer refinement of the suffixes. The bucket identifier of a suffix is the hash of its
-first q = 32 bytes, built by pairing the identifiers of its halves. Deeper buckets come from the
-identifiers of later offsets: depth 64 pairs the identifiers at p and p + 32, depth 100 those of depth 64
-at p and p + 36; each level reuses the identifiers of the one before. Suffixes alone in their bucket are
-never refined further, and refinement ends at the depth that decides a repeat. Only a sparse set of
-suffixes meets in the exchange: of the q-grams of every window the one with the least identifier (ties:
-the leftmost), which equal windows choose alike. Its bucket is refined by the identifiers at the later
-offsets of all that its windows cover; where the refined buckets differ, single windows are refined to
-their full depth.
+first q = 32 bytes, built by pairing the identifiers of its halves. Buckets are refined by the identifiers
+of later offsets, and each level reuses the identifiers of the one before.
+
+* Of the q-grams of every window of 100 bytes only the one with the least identifier (ties: the leftmost) is put
+  into its bucket, which equal windows choose alike. A bucket whose suffixes stand in one context is settled, and a
+  suffix alone in its bucket is never refined.
+* Ambiguous buckets are refined by an exchange on the pair (identifier at p, identifier at p + 32); windows
+  that end before p + 64 are sorted on (identifier at p, identifier at p - 32), which they hold. Most are settled then.
+* What is still ambiguous is refined to its full depth: depth 64 pairs the identifiers at p and p + 32, depth 100
+  those of depth 64 at p and p + 36. Small buckets do so where they meet, of large ones single windows are dealt out by
+  their identifier of depth 100.
+
+No suffix is ranked: order doesn't matter for equality, so identifiers are 64-bit hashes, the same in every task.
 """
 
 from __future__ import annotations
@@ -71,40 +76,51 @@ def _context_windows(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np
     return _window_ids(_gram_ids(data))[start], start
 
 
-def _block(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchors of the window starts that are valid, and the window identifiers of all starts."""
-    ids = _gram_ids(data)
+def _gram_places(ids: np.ndarray) -> np.ndarray:
+    """For the start of every window the place of the gram with the least identifier in it, the leftmost of equals."""
     keys = (ids & ~_PLACE) | np.arange(len(ids), dtype=U)
-    at = (_least(keys, LENGTH - GRAM + 1) & _PLACE).astype(np.int64)
-    n = len(at)
-    windows = _window_ids(ids)[:n]
-    valid = valid[:n]
-    change = np.ones(n, bool)
-    change[1:] = (at[1:] != at[:-1]) | ~valid[:-1]
-    lo = np.flatnonzero(valid & change)
-    stop = np.ones(n, bool)
-    stop[:-1] = change[1:] | ~valid[1:]
-    hi = np.flatnonzero(valid & stop) + 1
+    return (_least(keys, LENGTH - GRAM + 1) & _PLACE).astype(np.int64)
+
+
+def _anchors(data: np.ndarray, offs: np.ndarray) -> Anchors:
+    """The anchors of rows that lie one after another. Identifiers are made block by block, but runs are found over all
+    blocks and end with their row only, so that the anchors of a text don't depend on what stands around it."""
+    n = len(data)
+    count = max(0, n - LENGTH + 1)
+    ids, windows, at = np.zeros(max(0, n - GRAM + 1), U), np.zeros(n, U), np.zeros(count, np.int64)
+    for a in range(0, count, _STARTS):
+        part = _gram_ids(data[a : a + _STARTS + LENGTH - 1])
+        ids[a : a + len(part)] = part
+        b = min(count, a + _STARTS)
+        at[a:b] = _gram_places(part) + a
+        windows[a:b] = _window_ids(part)
+    valid = _valid(offs)[:count]
+    change = np.ones(count + 1, bool)  # whether a window and the one before have different anchors
+    change[1:count] = (at[1:] != at[:-1]) | ~valid[:-1] | ~valid[1:]
+    lo, hi = np.flatnonzero(valid & change[:-1]), np.flatnonzero(valid & change[1:]) + 1
     anchor = at[lo]
+    return Anchors(lo, hi, ids[anchor], _contexts(ids, anchor, lo, hi), windows, offs, anchor, ids)
+
+
+def _contexts(ids: np.ndarray, anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The identifier of all that the windows lo to hi of an anchor cover, from those at later and later offsets."""
     last = hi - 1 + LENGTH - GRAM
     context = mix(ids[anchor] + (anchor - lo).astype(U) * GOLD + (hi - lo).astype(U))
     for step in range(0, 2 * LENGTH - GRAM, GRAM):
         context = _pair(context, ids[np.minimum(lo + step, last)])
-    return lo, hi, ids[anchor], mix(context), windows
+    return mix(context)
 
 
-def _anchors(data: np.ndarray, offs: np.ndarray) -> Anchors:
-    n = len(data)
-    valid = _valid(offs)
-    parts, windows = [], np.zeros(n, U)
-    for a in range(0, n - LENGTH + 1, _STARTS):
-        b = min(n, a + _STARTS + LENGTH - 1)
-        lo, hi, bucket, context, ids = _block(data[a:b], valid[a:b])
-        windows[a : a + len(ids)] = ids
-        parts.append((lo + a, hi + a, bucket, context))
-    if not parts:
-        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(0, U))]
-    return Anchors(*(np.concatenate(x) for x in zip(*parts, strict=True)), windows, offs)  # type: ignore[misc]
+def _refined(found: Anchors, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One refinement of the buckets of some anchors: their windows that hold the next 32 bytes are sorted on the bucket
+    identifier there, the others, which hold the 32 bytes before, on the identifier there. Equal windows stay together."""
+    lo, hi, bucket, anchor = found.lo[pick], found.hi[pick], found.bucket[pick], found.anchor[pick]
+    cut = np.clip(anchor + 2 * GRAM - LENGTH, lo, hi)
+    right, left = cut < hi, lo < cut
+    ids = found.ids
+    keys = np.concatenate((_pair(bucket[right], ids[anchor[right] + GRAM]), _pair(bucket[left] ^ GOLD, ids[anchor[left] - GRAM])))
+    lo, hi, anchor = (np.concatenate(x) for x in ((cut[right], lo[left]), (hi[right], cut[left]), (anchor[right], anchor[left])))
+    return lo, hi, mix(keys), _contexts(ids, anchor, lo, hi)
 
 
 def span_lists(gone: np.ndarray, first: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -140,4 +156,4 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id, or before in the same document. What is left may cut a character, so it is binary. Nulls, empty
     texts, repeated ids and other columns: see repeats.repeated_windows. Texts under 100 bytes stay whole.
     """
-    return repeated_windows(docs, id_col, text_col, Plan(_anchors, _cleaned, LENGTH, True, _context_windows), _SCHEMA)
+    return repeated_windows(docs, id_col, text_col, Plan(_anchors, _cleaned, LENGTH, True, _refined, _context_windows), _SCHEMA)
