@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ironsift.llm.shared import kept
+from ironsift.llm.shared import Kept
 
 
-def _step(links: DataFrame, large: bool) -> DataFrame:
+def _step(links: DataFrame, large: bool, tables: Kept) -> DataFrame:
     """Every node hands its least neighbour to its larger (large) or smaller (small) neighbours.
 
-    The least neighbour is a grouped minimum, joined back to the links: a node with very many links is
-    aggregated before the shuffle, and Spark may split its join.
+    The least neighbour is a grouped minimum, kept as a table and joined back to the links: a node with very many links
+    is aggregated before the shuffle, and as nothing stands between the shuffles and the join, Spark may split it.
     """
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else links
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+    least = tables.keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "least")
     out = both.join(least, "u")
     if large:
         out = out.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -30,15 +30,18 @@ def _state(links: DataFrame) -> tuple[int, int]:
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """doc_id and component_id (least reachable id) of every node with a link to another one."""
+    """node and root (the least node it is connected with) of every node with a link to another one."""
+    tables = Kept(links.sparkSession)
     links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    links = kept(links, "links")
+    links = tables.keep(links, "links")
     state = _state(links)
     while True:
-        links = kept(_step(_step(links, large=True), large=False), "links")
-        now = _state(links)
+        middle = tables.keep(_step(links, True, tables), "links")
+        after = tables.keep(_step(middle, False, tables), "links")
+        tables.drop(links, middle)
+        links, now = after, _state(after)
         if now == state:
             break
         state = now
-    root = links.select(F.col("u").alias("doc_id"), F.col("v").alias("component_id"))
-    return root.union(root.select("component_id", "component_id").distinct())
+    root = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return root.union(root.select("root", "root").distinct())

@@ -1,24 +1,33 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles are alike, exactly, without all pairs.
 
-Method: a metric-space join under the Jaccard distance, with pivots, Voronoi regions and windows.
-
-* The first pivots are single shingles. A document is nearest to a shingle of its own; among these, the one
-  that is rarest in the corpus gives its home region. A document within distance 0.2 of another lacks at
-  most a fifth of its shingles, so each document is replicated to the regions of its rarest fifth (and one):
-  two linked documents always share one of these regions. Rarity only orders the pivots (very common
-  shingles come last); which pairs are found doesn't depend on it.
-* Each region picks as its pivot the document with the least place in its window, and every document
-  there is measured against it. Documents within 0.2 of the pivot are linked, and need no other pair.
-* What is not linked to the pivot joins its region again, one level down: with documents of other components,
-  in the window of the triangle inequality around its distance to the pivot and within the bounds that
-  size and place put on the overlap. That leaves no pair that could add a link between components. Parity
-  sketches, whose Hamming distance never exceeds the symmetric difference, then spare most of these pairs the
-  exact comparison of their texts; they rule out no link.
+Method: a metric-space join under the Jaccard distance, with document pivots, regions around them, windows of the triangle
+inequality and recursion. Equal sets are one node from the start; all that follows is about nodes.
+
+* Seeds. Where two documents share nothing their distance is 1 whatever the pivot, so distances alone cannot part a
+  corpus of unlike texts. Each node therefore enters the regions of the first shingles of its set in an order common to
+  all: two nodes within distance 0.2 share one of the first fifth (and one) of their shingles. Shingles of cells that
+  are counted far more often than others come last in this order.
+* Pivots. Each region has a node as its pivot and all others are measured against it. Those within 0.2 are linked to
+  it, which mostly closes the region: it holds one component only.
+* Open regions of a few nodes are joined node by node, between components.
+* The nodes of large open regions (passages that many documents share) join again among themselves, now in the order
+  of the exact number of nodes that hold each shingle: shared passages come last and open no region but for nodes that
+  consist of them.
+* Regions that are still large are in a dense part of the space, and are joined recursively by distance. Each takes several
+  pivots and every node is measured against them; the nodes within 0.2 of a pivot are its ball and are linked to it. A node
+  between 0.2 and 0.4 from a pivot is on the boundary and is replicated to that pivot's region, where it meets the
+  nodes of the ball in the window of the triangle inequality: where its distance (or a lower bound of it) exceeds
+  theirs by over 0.2, a link is ruled out. Nodes beyond 0.4 have no link into the ball. What lies in no ball goes to the next level, with twice as many
+  pivots, until few are left.
+
+Parity sketches, whose Hamming distance never exceeds the symmetric difference of two sets, bound distances from below and
+spare most pairs the comparison of their texts; they rule out no link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,13 +37,16 @@ from pyspark.sql.window import Window
 
 from ironsift.llm.arrowtext import GOLD, LOWER_IDS, U, grams, id_and_text, mix, pieces, range_hashes, rows_of, signed, text_buffers, tokens
 from ironsift.llm.components import components
-from ironsift.llm.shared import kept
+from ironsift.llm.shared import Kept
 
 WORDS = 5
 PERCENT = 80
-REPEATED = 8  # a shingle seen so often within batches has a rank of its own among the pivots
-RANKED = 1_000_000  # at most so many shingles have one; beyond, only the most frequent
-BROADCAST_ROWS = 1_000_000
+RADIUS = 1 - PERCENT / 100 + 1e-9
+NEAR = 60  # similarity in percent at twice the distance of a link
+FEW = 32  # a region of so many nodes is joined node by node
+PIVOTS = 8  # of a large region at the first level of the recursion
+CELLS, SLICES = 22, 16  # bits of a shingle's hash that say in which cell it is counted; parts in which cells are summed
+TEXTS = 256  # so many texts are measured against one copy of a pivot's
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,101 +66,136 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
     return row, hashes, np.bincount(row, minlength=len(offs) - 1)
 
 
+def set_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A hash of each row's set, from two that are independent."""
+    first = np.concatenate(([0], np.cumsum(n)))
+    sums = np.concatenate(([U(0)], np.cumsum(mix(h ^ GOLD), dtype=U)))
+    return mix(range_hashes(h, first[:-1], first[1:]) ^ mix(sums[first[1:]] - sums[first[:-1]]))
+
+
+def window_size(n: np.ndarray) -> np.ndarray:
+    return n - (PERCENT * n + 99) // 100 + 1
+
+
 def _parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     data, offs = text_buffers(column)
     for a, b in pieces(offs):
         yield a, b, *shingle_sets(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """For each row a bit for every residue of its shingles, set where an odd number of them has it. The number of bits is
+    a power of two, twice the size of the set or more."""
+    wide = np.array([max(64, 1 << int(2 * x - 1).bit_length()) if x else 64 for x in n.tolist()], np.int64)
+    base = np.concatenate(([0], np.cumsum(wide)))
+    at, times = np.unique(base[row] + (h & (wide[row] - 1).astype(U)).astype(np.int64), return_counts=True)
+    flags = np.zeros(base[-1], np.uint8)
+    flags[at[times & 1 == 1]] = 1
+    raw = np.packbits(flags, bitorder="little").tobytes()
+    return [raw[i // 8 : j // 8] for i, j in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
+
+
+#: A row with a region is a place of a node in it: of a batch's pivot (held: nodes of the batch there), or of another node and the
+#: batch's pivot. A row without one says which node a document is (pivot: the document), once in a batch with its sketch.
+_ROWS = "key long, region long, node long, place int, size int, pivot long, pivot_place int, pivot_size int, held int, bits binary"
+
+
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (h >> U(64 - CELLS)).astype(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often shingles fall into each cell, by slices of all cells."""
+    total = np.zeros(1 << CELLS, "<u4")
     for batch in batches:
-        n = [x for *_, x in _parts(batch.column("text"))]
-        n = pa.array(np.concatenate(n) if n else np.zeros(0), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n], ["doc_id", "n_shingles"])
+        for a in range(0, batch.num_rows, 4000):
+            got = [_cells(h) for _, _, _, h, _ in _parts(batch.column("text").slice(a, 4000))]
+            if got:
+                total += np.bincount(np.concatenate(got), minlength=len(total)).astype("<u4")
+    parts = total.reshape(SLICES, -1)
+    some = np.flatnonzero(parts.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())], ["slice", "counts"])
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles that a batch has twice or more, and how often. One that is common in the corpus is repeated in some."""
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
-        got = [h for _, _, _, h, _ in _parts(batch.column("text"))]
-        if not got:
-            continue
-        h, n = np.unique(np.concatenate(got), return_counts=True)
-        often = n > 1
-        yield pa.RecordBatch.from_arrays([pa.array(signed(h[often])), pa.array(n[often])], ["shingle", "n"])
+        for k, x in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
+            total[k] = total.get(k, 0) + np.frombuffer(x.as_buffer(), "<u4").astype("<u8")
+    for k, x in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["slice", "counts"])
 
 
-_ROWS = "key long, region long, doc_id long, place int, size int, pivot long, pivot_place int, pivot_size int, held int"
+def frequency_classes(docs: DataFrame) -> np.ndarray:
+    """A class for each cell of shingle hashes: 0 for a common count, one more for each doubling beyond. The counts are of all
+    documents; the table has 2 ** CELLS bytes whatever the corpus. It only orders shingles and rules nothing out."""
+    parts = docs.select("text").mapInArrow(_counted, "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_summed, "slice int, counts binary")
+    total = np.zeros((SLICES, (1 << CELLS) // SLICES), "<u8")
+    for row in parts.toLocalIterator():  # SLICES rows of fixed size
+        total[row["slice"]] = np.frombuffer(row["counts"], "<u8")
+    total = total.ravel()
+    common = max(1.0, 2 * total.sum() / len(total))
+    return np.maximum(0, np.floor(np.log2(np.maximum(total, 1) / common)) + 1).astype(np.uint8)
 
 
-def _region_rows(common: np.ndarray, often: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Each document in the regions of its window. Of documents with equal sets a batch places only the first;
-    of the documents of a region, the batch's own pivot alone goes on to meet those of other batches."""
+def _seed_rows(classes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each node in the regions of its window. Of the nodes of a region, the batch's own pivot alone goes on to meet those of
+    other batches, so that no region has more rows under its key than there are batches."""
 
-    def places(column: pa.Array) -> Iterator[tuple[np.ndarray, ...]]:
+    def places(column: pa.Array) -> Iterator[tuple]:
         for a, _, row, h, n in _parts(column):
-            f = np.zeros(len(h), np.int64)
-            if len(common) and len(h):
-                at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-                f = np.where(common[at] == h, often[at], 0)
-            first = np.concatenate(([0], np.cumsum(n)))
-            sums = np.concatenate(([U(0)], np.cumsum(mix(h ^ GOLD), dtype=U)))
-            both = range_hashes(h, first[:-1], first[1:]) ^ mix(sums[first[1:]] - sums[first[:-1]])
-            order = np.lexsort((h, f, row))
-            place = np.arange(len(h)) - first[row]
-            window = n - (PERCENT * n + 99) // 100 + 1
-            within = place < window[row]
-            yield row[within] + a, h[order][within], place[within], n, both
+            order = np.lexsort((h, classes[_cells(h)], row))
+            place = np.arange(len(h)) - np.concatenate(([0], np.cumsum(n)))[row]
+            within = place < window_size(n)[row]
+            yield row[within] + a, h[order][within], place[within], n, set_ids(h, n), _sketches(row, h, n)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in _ROWS.split(", ")]
-        for batch in batches:
-            got = list(places(batch.column("text")))
-            if not got:
-                continue
-            row, region, place = (np.concatenate([x[k] for x in got]) for k in range(3))
-            n, both = (np.concatenate([x[k] for x in got]) for k in (3, 4))
-            docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            by = np.lexsort((docs, both))
-            new = np.concatenate(([True], both[by][1:] != both[by][:-1]))
-            same = np.empty(len(docs), np.int64)
-            same[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-            copies = np.flatnonzero((same != np.arange(len(docs))) & (n > 0))
-            stay = same[row] == row
-            row, region, place = row[stay], region[stay], place[stay]
-            doc, size = docs[row], n[row]
-            order = np.lexsort((doc, place, region))
-            doc, size, region, place = doc[order], size[order], region[order], place[order]
-            at = np.flatnonzero(np.concatenate(([True], region[1:] != region[:-1]))) if len(region) else np.zeros(0, np.int64)
-            held = np.diff(np.concatenate((at, [len(region)])))
-            lead = np.repeat(at, held)
-            own = lead == np.arange(len(region))
-            key = np.where(own, region, mix(region ^ mix(doc.view(U))))
-            none = ~own
-            for a in range(0, len(region), 100_000):
-                c = slice(a, a + 100_000)
-                far = [pa.array(x[lead[c]], kind, mask=~none[c]) for x, kind in ((doc, pa.int64()), (place, pa.int32()), (size, pa.int32()))]
-                columns = [pa.array(signed(key[c])), pa.array(signed(region[c])), pa.array(doc[c]), pa.array(place[c], pa.int32()), pa.array(size[c], pa.int32()), *far, pa.array(np.where(own[c], np.repeat(held, held)[c], 0), pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names)
-            if len(copies):
-                m = len(copies)
-                columns = [pa.array(signed(mix(docs[copies].view(U)))), pa.nulls(m, pa.int64()), pa.array(docs[copies]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.array(docs[same[copies]]), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.array(np.zeros(m), pa.int32())]
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-    return run
+    return lambda batches: _seed_batches(batches, places)
 
 
-def _regions(rows: DataFrame) -> DataFrame:
-    """Rows of regions with two documents or more, each with the pivot to measure against; and copies."""
+def _seed_batches(batches: Iterator[pa.RecordBatch], places: Callable[[pa.Array], Iterator[tuple]]) -> Iterator[pa.RecordBatch]:
+    names = [x.split()[0] for x in _ROWS.split(", ")]
+    for batch in batches:
+        got = list(places(batch.column("text")))
+        if not got:
+            continue
+        row, region, place, n, node = (np.concatenate([x[k] for x in got]) for k in range(5))
+        bits = [y for x in got for y in x[5]]
+        docs = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        node = np.where(n > 0, node, mix(docs.view(U) ^ GOLD))  # without words a document is like no other
+        by = np.lexsort((docs, node))
+        new = np.concatenate(([True], node[by][1:] != node[by][:-1]))
+        leads = np.zeros(len(docs), bool)
+        leads[by[new]] = True
+        m = len(docs)
+        none = [pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.array(np.zeros(m), pa.int32())]
+        sketch = pa.array([x if k else None for x, k in zip(bits, leads.tolist(), strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(signed(mix(docs.view(U)))), pa.nulls(m, pa.int64()), pa.array(signed(node)), pa.nulls(m, pa.int32()), pa.array(n, pa.int32()), pa.array(docs), *none, sketch], names)
+        stay = leads[row]
+        row, region, place = row[stay], region[stay], place[stay]
+        of, size = signed(node)[row], n[row]
+        order = np.lexsort((of, region))
+        of, size, region, place = of[order], size[order], region[order], place[order]
+        at = np.flatnonzero(np.concatenate(([True], region[1:] != region[:-1]))) if len(region) else np.zeros(0, np.int64)
+        held = np.diff(np.concatenate((at, [len(region)])))
+        lead = np.repeat(at, held)
+        own = lead == np.arange(len(region))
+        key = np.where(own, region, mix(region ^ mix(of.view(U))))
+        for a in range(0, len(region), 100_000):
+            c = slice(a, a + 100_000)
+            far = [pa.array(x[lead[c]], kind, mask=own[c]) for x, kind in ((of, pa.int64()), (place, pa.int32()), (size, pa.int32()))]
+            near = [pa.array(signed(key[c])), pa.array(signed(region[c])), pa.array(of[c]), pa.array(place[c], pa.int32()), pa.array(size[c], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*near, *far, pa.array(np.where(own[c], np.repeat(held, held)[c], 0), pa.int32()), pa.nulls(len(of[c]), pa.binary())], names)
+
+
+def _seeds(rows: DataFrame) -> DataFrame:
+    """Rows of regions with two nodes or more, each with the pivot to measure against; and the rows without a region."""
     lead = F.col("pivot").isNull()
-    by = Window.partitionBy("key").orderBy("place", "doc_id")
-    whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    for x in ("doc_id", "place", "size"):
-        rows = rows.withColumn(f"first_{x}", F.first(x).over(by))
-    rows = rows.withColumn("total", F.sum("held").over(whole))
-    rows = rows.filter(~lead | (F.col("total") > 1))
-    pick = {"pivot": "doc_id", "pivot_place": "place", "pivot_size": "size"}
-    return rows.select("region", "doc_id", "place", "size", *(F.when(lead, F.col(f"first_{x}")).otherwise(F.col(k)).alias(k) for k, x in pick.items()))
+    by = Window.partitionBy("key").orderBy("node")
+    alone = (F.lead("node").over(by).isNull() & F.lag("node").over(by).isNull()) & (F.col("held") == 1)
+    first = {x: F.first(x).over(by) for x in ("node", "place", "size")}
+    rows = rows.withColumns({"alone": lead & alone, **{f"first_{k}": v for k, v in first.items()}}).filter(~F.col("alone"))
+    pick = {"pivot": "node", "pivot_place": "place", "pivot_size": "size"}
+    return rows.select("region", "node", "place", "size", *(F.when(lead, F.col(f"first_{x}")).otherwise(F.col(k)).alias(k) for k, x in pick.items()), "bits")
 
 
 def _near(size_a: str, place_a: str, size_b: str, place_b: str) -> Column:
@@ -158,40 +205,6 @@ def _near(size_a: str, place_a: str, size_b: str, place_b: str) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (F.least(a - F.col(place_a), b - F.col(place_b)) * (100 + PERCENT) >= need)
 
 
-def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        one, two = text_buffers(batch.column("text_a")), text_buffers(batch.column("text_b"))
-        shared, union = [], []
-        for a, b in pieces(one[1] + two[1]):
-            keys, sizes = [], []
-            for data, offs in (one, two):
-                row, h, n = shingle_sets(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                keys.append((row, mix(h ^ mix(row.astype(U) + U(1)))))
-                sizes.append(n)
-            both = np.bincount(keys[0][0][np.isin(keys[0][1], keys[1][1])], minlength=b - a)
-            shared.append(both)
-            union.append(sizes[0] + sizes[1] - both)
-        columns = [np.concatenate(x) if x else np.zeros(0) for x in (shared, union)]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(x, pa.int64()) for x in columns)], ["a", "b", "n_shared", "n_union"])
-
-
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each document a bit for every residue of its shingles, set where an odd number of them has it. The number
-    of bits is a power of two, twice the size of the set or more."""
-    for batch in batches:
-        bits, size = [], []
-        for a, b, row, h, n in _parts(batch.column("text")):
-            wide = np.array([max(64, 1 << int(2 * x - 1).bit_length()) if x else 64 for x in n.tolist()], np.int64)
-            base = np.concatenate(([0], np.cumsum(wide)))
-            at, times = np.unique(base[row] + (h & (wide[row] - 1).astype(U)).astype(np.int64), return_counts=True)
-            flags = np.zeros(base[-1], np.uint8)
-            flags[at[times & 1 == 1]] = 1
-            raw = np.packbits(flags, bitorder="little").tobytes()
-            size += n.tolist()
-            bits += [raw[i // 8 : j // 8] for i, j in zip(base[:-1].tolist(), base[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(bits, pa.binary())], ["doc_id", "size", "bits"])
-
-
 def _folded(bits: bytes, size: int) -> int:
     """The sketch with 8 * size bits, from one with as many or more."""
     value, have = int.from_bytes(bits, "little"), len(bits)
@@ -201,105 +214,218 @@ def _folded(bits: bytes, size: int) -> int:
     return value
 
 
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sketches allow a link: each unequal bit takes a shingle that only one of the two has, and a
-    link leaves (100 - PERCENT) / (100 + PERCENT) of both sizes for these."""
-    for batch in batches:
-        sizes = [x + y for x, y in zip(*(batch.column(k).to_pylist() for k in ("size_a", "size_b")), strict=True)]
-        keep = []
-        for x, y, size in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), sizes, strict=True):
-            least = min(len(x), len(y))
-            unequal = (_folded(x, least) ^ _folded(y, least)).bit_count()
-            keep.append(unequal * (100 + PERCENT) <= (100 - PERCENT) * size)
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def _only(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The documents of some pair; all documents where the pairs have too many to broadcast."""
-    wanted = kept(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    return docs.join(F.broadcast(wanted), "doc_id", "left_semi") if wanted.count() <= BROADCAST_ROWS else docs
+def _possible(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs whose sketches allow a similarity, with a lower bound of their distance: each unequal bit takes a shingle that only
+    one of the two has, and the similarity leaves (100 - percent) / (100 + percent) of both sizes for these."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, bound = [], []
+            columns = (batch.column(k).to_pylist() for k in ("bits_a", "bits_b", "size_a", "size_b"))
+            for x, y, m, n in zip(*columns, strict=True):
+                least = min(len(x), len(y))
+                unequal = max(abs(m - n), (_folded(x, least) ^ _folded(y, least)).bit_count())
+                keep.append(unequal * (100 + percent) <= (100 - percent) * (m + n))
+                bound.append(2 * unequal / max(1, m + n + unequal))
+            out = batch.select(["a", "b", "doc_a", "doc_b"]).append_column("bound", pa.array(bound, pa.float64()))
+            yield out.filter(pa.array(keep, pa.bool_()))
 
-def _plausible(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that their sketches don't rule out."""
-    pairs = kept(pairs, "candidates")
-    sketches = kept(_only(docs, pairs).mapInArrow(_sketches, "doc_id long, size long, bits binary"), "sketches")
-    bits = lambda k: sketches.select(F.col("doc_id").alias(k), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}"))
-    both = pairs.join(bits("b"), "b").join(bits("a"), "a").select("a", "b", "size_a", "size_b", "bits_a", "bits_b")
-    return both.mapInArrow(_possible, "a long, b long").distinct()
+    return run
 
 
-def _measured(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b and the exact overlap and union of every pair."""
-    pairs = kept(pairs, "pairs")
-    docs = _only(docs, pairs)
-    text = lambda k: docs.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}"))
-    out = pairs.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
-    return kept(out.mapInArrow(_measure, "a long, b long, n_shared long, n_union long").distinct(), "measured")
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows by pivot a and part, the pivot's own text first: the overlap of every other text with it. Rows whose text
+    is not that of their node (another document of the same id) don't count."""
+    of, own = None, np.zeros(0, U)
+    for batch in batches:
+        columns = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("a", "part", "node", "own")}
+        done: list[tuple[int, int, int, int]] = []
+        for a, _, row, h, n in _parts(batch.column("text")):
+            first, ids = np.concatenate(([0], np.cumsum(n))), signed(set_ids(h, n))
+            for k in range(len(n)):
+                i = a + k
+                if ids[k] != columns["node"][i]:
+                    continue
+                mine = h[first[k] : first[k + 1]]
+                if columns["own"][i]:
+                    of, own = (columns["a"][i], columns["part"][i]), mine.copy()
+                elif of == (columns["a"][i], columns["part"][i]):
+                    at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+                    shared = int((own[at] == mine).sum())
+                    done.append((int(of[0]), int(ids[k]), shared, len(own) + len(mine) - shared))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], pa.int64()) for k in range(4)], ["a", "b", "n_shared", "n_union"])
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every shingle of the nodes asked for."""
+    for batch in batches:
+        wanted = batch.column("node").to_numpy(zero_copy_only=False)
+        for a, _, row, h, n in _parts(batch.column("text")):
+            ids = signed(set_ids(h, n))
+            stay = (ids == wanted[a : a + len(n)])[row]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h[stay])), pa.array(ids[row[stay]]), pa.array(n[row[stay]], pa.int32())], ["region", "node", "size"])
+
+
+class _Join:
+    """One join: its documents (doc_id, text), the sketches of its nodes, and the tables it keeps."""
+
+    def __init__(self, docs: DataFrame, few: int) -> None:
+        self.docs, self.few = docs, few
+        self.tables = Kept(docs.sparkSession)
+        rows = docs.mapInArrow(_seed_rows(frequency_classes(docs)), _ROWS)
+        self.seeds = self.tables.keep(_seeds(rows), "seeds")
+        sets = self.seeds.filter(F.col("region").isNull()).select("node", F.col("pivot").alias("doc_id"), "size", "bits")
+        first = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        # Each node once, with its first document: the first of its batch too, so it has the sketch.
+        self.nodes = self.tables.keep(sets.filter(F.col("bits").isNotNull()).join(first, ["node", "doc_id"], "left_semi").dropDuplicates(["node"]), "nodes")
+        self.members = sets.select("doc_id", "node")
+
+    def same_document(self) -> DataFrame:
+        """Links between the nodes of documents that share an id."""
+        of = self.members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")
+        return self.members.join(of, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
+
+    def plausible(self, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+        """a, b, doc_a, doc_b and a lower bound of the distance of the pairs that their sketches don't rule out."""
+        side = lambda k: self.nodes.select(F.col("node").alias(k), F.col("doc_id").alias(f"doc_{k}"), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}"))
+        both = pairs.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a")
+        both = both.select("a", "b", "doc_a", "doc_b", "size_a", "size_b", "bits_a", "bits_b")
+        return self.tables.keep(both.mapInArrow(_possible(percent), "a long, b long, doc_a long, doc_b long, bound double"), "pairs")
+
+    def measured(self, pairs: DataFrame) -> DataFrame:
+        """a, b and the exact overlap and union of plausible pairs. The texts of the b's of one a are measured in parts
+        of about TEXTS, each with one copy of a's text, so that no task holds more and no copy is made for each pair."""
+        if pairs.isEmpty():
+            return self.docs.sparkSession.createDataFrame([], "a long, b long, n_shared long, n_union long")
+        parts = self.tables.keep(pairs.groupBy("a").agg(F.ceil(F.count("*") / TEXTS).alias("parts")), "parts")
+        pairs = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts"))
+        texts = self.docs.select("doc_id", "text")
+        others = pairs.select("a", "part", F.col("b").alias("node"), F.lit(False).alias("own"), F.col("doc_b").alias("doc_id"))
+        pivots = pairs.select("a", "part", F.col("a").alias("node"), F.lit(True).alias("own"), F.col("doc_a").alias("doc_id")).distinct()
+        rows = others.union(pivots).join(texts, "doc_id").select("a", "part", "node", "own", "text")
+        rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"), "node")
+        out = rows.mapInArrow(_measure, "a long, b long, n_shared long, n_union long")
+        return self.tables.keep(out.dropDuplicates(["a", "b"]), "measured")
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked, with the exact overlap and union."""
+        return self.measured(self.plausible(pairs)).filter(_linked())
+
+    def open(self, places: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Places in small and in large regions that hold several components, with the node's component."""
+        rooted = places.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+        rooted = self.tables.keep(rooted, "rooted")
+        parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"))
+        sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
+        sizes = self.tables.keep(sizes.select("region", (F.col("n") > self.few).alias("large")), "sizes")
+        rooted = rooted.join(sizes, "region")
+        return tuple(rooted.filter(F.col("large") == x).drop("large") for x in (False, True))  # type: ignore[return-value]
+
+    def ranked(self, nodes: DataFrame) -> DataFrame:
+        """Places of the nodes in the regions of their rarest shingles, by the exact number of these nodes that hold each.
+
+        Shingles of one node come first and open no region, so only the others are ordered."""
+        wanted = nodes.join(self.nodes.select("node", "doc_id"), "node")
+        texts = self.tables.keep(self.docs.join(wanted, "doc_id").select("node", "doc_id", "text"), "texts")
+        self.docs = texts.select("doc_id", "text")  # all that the next levels measure
+        rows = texts.mapInArrow(_shingles, "region long, node long, size int")
+        rows = self.tables.keep(rows, "shingles")
+        often = self.tables.keep(rows.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1"), "often")
+        rows = rows.join(often, "region")
+        by = Window.partitionBy("node").orderBy("n", "region")
+        common = F.count("*").over(Window.partitionBy("node"))
+        rows = rows.withColumn("place", (F.col("size") - common + F.row_number().over(by) - 1).cast("int"))
+        return self.tables.keep(rows.filter(F.col("place") <= F.floor((100 - PERCENT) * F.col("size") / 100)).select("region", "node", "size", "place"), "ranked")
+
+    def by_distance(self, places: DataFrame, found: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+        """Links of regions that are large, by recursion over balls around pivots (see the method), and the components that they
+        make with those known. The largest component of a region is one already: pivots are taken from the other
+        nodes, which are all that can add a link."""
+        links, pivots, level = [], PIVOTS, 0
+        while True:
+            rooted = self.tables.keep(places.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root"), "rooted")
+            parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"), F.min("node").alias("least"))
+            sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"))
+            sizes = self.tables.keep(sizes.filter("n > most").select("region", "n", "main", (F.col("n") - F.col("most")).alias("minors")), "sizes")
+            rooted = rooted.join(sizes, "region").withColumn("minor", F.col("component") != F.col("main")).drop("main")
+            small = rooted.filter(F.col("n") <= self.few)
+            new = [self.links(_apart(small, small.filter("minor"), ~F.col("x_minor") | (F.col("x_node") > F.col("y_node"))))]
+            rooted = self.tables.keep(rooted.filter(F.col("n") > self.few), "large")
+            if not rooted.isEmpty():
+                least = self.tables.keep(rooted.filter("minor").groupBy("region").agg(F.min("node").alias("least")), "least")
+                chosen = rooted.filter("minor").join(least, "region").filter((F.col("node") == F.col("least")) | (F.pmod(F.xxhash64("node", F.lit(level)), "minors") < pivots))
+                chosen = self.tables.keep(chosen.select("region", F.col("node").alias("pivot"), F.col("component").alias("of")), "pivots")
+                pairs = rooted.join(chosen, "region").filter((F.col("node") != F.col("pivot")) & (F.col("minor") | (F.col("component") != F.col("of"))))
+                pairs = self.tables.keep(pairs.select("region", "node", "size", "place", "component", "minor", "pivot"), "around")
+                near = self.plausible(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), NEAR)
+                new.append(self.measured(near.filter(F.col("bound") <= RADIUS)).filter(_linked()))
+                exact = new[-1].select("a", "b", (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
+                near = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("pivot"), F.col("b").alias("node"), "bound", "distance")
+                around = self.tables.keep(pairs.join(near, ["pivot", "node"]), "windows")
+                ball = around.filter(F.col("distance").isNotNull() & F.col("minor"))
+                new.append(self.links(_apart(around, ball, F.col("x_bound") <= F.col("y_distance") + RADIUS, "pivot")))
+                done = ball.select("region", "node").union(chosen.select("region", "pivot")).distinct()
+                places = self.tables.keep(rooted.join(done, ["region", "node"], "left_anti").select("region", "node", "size", "place"), "outside")
+            made = reduce(DataFrame.unionByName, new)
+            links.append(made)
+            if not made.isEmpty():
+                roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
+                found = self.tables.keep(components(made.select("a", "b").union(roots), "a", "b"), "found")
+            if rooted.isEmpty():
+                return links, found
+            pivots, level = 2 * pivots, level + 1
+
+
+def _apart(x: DataFrame, y: DataFrame, where: Column, *on: str) -> DataFrame:
+    """Pairs of nodes of a region that are in different components and may be linked; where: a condition on those with both sides alike."""
+    x, y = (t.select("region", *on, *(F.col(c).alias(f"{k}_{c}") for c in t.columns if c not in ("region", *on))) for k, t in (("x", x), ("y", y)))
+    met = x.join(y, ["region", *on]).filter((F.col("x_node") != F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & _near("x_size", "x_place", "y_size", "y_place"))
+    return met.filter(where).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
 
 
 def _linked() -> Column:
     return F.col("n_shared") * 100 >= F.col("n_union") * PERCENT
 
 
-def _ranked(docs: DataFrame) -> DataFrame:
-    """shingle and n of the most frequent shingles, RANKED at most. They are taken by whole classes of counts, so that
-    no task sorts them all."""
-    seen = docs.mapInArrow(_frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    seen = kept(seen.filter(F.col("n") >= REPEATED).withColumn("class", F.floor(F.log2("n") * 4)), "counts")
-    total, least = 0, None
-    for row in sorted(seen.groupBy("class").agg(F.count("*").alias("n")).collect(), reverse=True):  # 256 rows at most
-        total += row["n"]
-        if total > RANKED:
-            break
-        least = row["class"]
-    return seen.filter(F.lit(False) if least is None else F.col("class") >= least).select("shingle", "n")
-
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", few: int = FEW) -> tuple[DataFrame, DataFrame]:
+    """(documents, spanning): doc_id, n_shingles and component_id (the class of linked documents) of every document; and the
+    measured links, between sets (a, b: their 64-bit hashes), that connect each class. These are not all links: within a
+    class, pairs whose link would connect nothing further are not measured.
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(documents, links): doc_id, n_shingles and component_id of every document; a, b and the counts of links found.
-
-    The links are enough to connect all that is linked, between documents with different sets; equal sets of one
-    batch are joined without a pair. Null and empty texts have no shingles and no links. A document with a null id
-    links with nothing and has a null component. Rows that share an id are one document, linked when any of its
-    texts is. Other columns are ignored.
+    Null and empty texts have no shingles and no links. A document with a null id links with nothing and has a null
+    component. Rows that share an id are one document, linked when any of its texts is. Other columns are ignored. few: regions
+    of more nodes are split further; results don't depend on it. Sets and shingles are told apart by 64-bit hashes.
     """
     docs = id_and_text(docs, id_col, text_col)
-    named = docs.filter(F.col("doc_id").isNotNull())
-    common = _ranked(named).toPandas().sort_values("shingle", key=lambda x: x.astype("int64").to_numpy().view("uint64"))
-    rows = named.mapInArrow(_region_rows(common["shingle"].to_numpy(np.int64).view(U), common["n"].to_numpy(np.int64)), _ROWS)
-    regions = kept(_regions(rows), "regions")
-
-    copies = regions.filter(F.col("region").isNull()).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
-    placed = regions.filter(F.col("region").isNotNull())
-    near = placed.filter((F.col("pivot") != F.col("doc_id")) & _near("size", "place", "pivot_size", "pivot_place"))
-    star = _measured(near.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), named)
-    links = star.filter(_linked())
-    found = components(links.select("a", "b").union(copies), "a", "b")
-    found = kept(found, "components")
-
-    distance = star.select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), F.col("n_shared").alias("with_pivot"), (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
-    placed = placed.join(distance, ["pivot", "doc_id"], "left").join(found, "doc_id", "left")
-    placed = placed.withColumn("component", F.coalesce("component_id", "doc_id"))
-    is_pivot = F.col("pivot") == F.col("doc_id")
-    placed = placed.withColumns({"distance": F.when(is_pivot, 0.0).otherwise(F.col("distance")), "with_pivot": F.when(is_pivot, F.col("size")).otherwise(F.col("with_pivot"))})
-    by_component = placed.groupBy("region", "component").agg(F.count("*").alias("n"))
-    open_regions = by_component.groupBy("region").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("n_components")).filter("n_components > 1")
-    placed = kept(placed.join(open_regions, "region").select("region", "doc_id", "place", "size", "pivot", "distance", "with_pivot", "component", "main"), "open")
-    left = placed.filter("component <> main").select("region", *(F.col(x).alias(f"l_{x}") for x in ("doc_id", "place", "size", "pivot", "distance", "with_pivot", "component")))
-    right = placed.select("region", *(F.col(x).alias(f"r_{x}") for x in ("doc_id", "place", "size", "pivot", "distance", "with_pivot", "component", "main")))
-    # the overlap is at most what both share with the pivot, and what both have beside it
-    beside = F.least(F.col("l_size") - F.col("l_with_pivot"), F.col("r_size") - F.col("r_with_pivot"))
-    most = F.least("l_with_pivot", "r_with_pivot") + beside
-    apart = F.abs(F.col("l_distance") - F.col("r_distance")) > 1 - PERCENT / 100 + 1e-9
-    apart = (F.col("l_pivot") == F.col("r_pivot")) & (apart | (most * (100 + PERCENT) < PERCENT * (F.col("l_size") + F.col("r_size"))))
-    once = (F.col("r_component") == F.col("r_main")) | (F.col("l_doc_id") < F.col("r_doc_id"))
-    rest = left.join(right, "region").filter(once & (F.col("l_component") != F.col("r_component")) & _near("l_size", "l_place", "r_size", "r_place") & ~F.coalesce(apart, F.lit(False)))
-    rest = rest.select(F.least("l_doc_id", "r_doc_id").alias("a"), F.greatest("l_doc_id", "r_doc_id").alias("b")).distinct()
-    rest = _measured(_plausible(rest, named), named).filter(_linked())
-
-    roots = found.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b"))
-    found = components(roots.union(rest.select("a", "b")), "a", "b")
-    out = docs.mapInArrow(_sizes, "doc_id long, n_shingles long").join(found, "doc_id", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out, links.union(rest)
+    join = _Join(docs.filter(F.col("doc_id").isNotNull()), few)
+    tables, pair = join.tables, lambda x: x.select("a", "b")
+    placed = join.seeds.filter(F.col("region").isNotNull())
+    near = placed.filter((F.col("pivot") != F.col("node")) & _near("size", "place", "pivot_size", "pivot_place"))
+    links = [join.links(near.select(F.col("pivot").alias("a"), F.col("node").alias("b")))]
+    found = tables.keep(components(pair(links[0]).union(join.same_document()), "a", "b"), "found")
+
+    small, large = join.open(placed.select("region", "node", "size", "place"), found)
+    links.append(join.links(_apart(small, small, F.col("x_node") < F.col("y_node"))))
+    roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    found = tables.keep(components(pair(links[1]).union(roots), "a", "b"), "found")
+    large = tables.keep(large.select("node").distinct(), "large")
+    if not large.isEmpty():
+        more, found = join.by_distance(join.ranked(large), found)
+        links += more
+    spanning = reduce(DataFrame.unionByName, links)
+
+    rooted = join.nodes.select("node", F.col("doc_id").alias("first"), "size").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = tables.keep(rooted, "rooted")
+    least = tables.keep(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    classes = tables.keep(rooted.join(least, "root").select("node", F.col("size").cast("long").alias("n_shingles"), "component_id"), "classes")
+    out = tables.keep(join.members, "members").join(classes, "node").select("doc_id", "n_shingles", "component_id")
+    tables.drop(join.seeds)
+    unnamed = docs.filter(F.col("doc_id").isNull()).mapInArrow(_sizes, "doc_id long, n_shingles long")
+    return out.unionByName(unnamed.withColumn("component_id", F.lit(None).cast("long"))), spanning
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [x for *_, x in _parts(batch.column("text"))]
+        n = pa.array(np.concatenate(n) if n else np.zeros(0), pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n], ["doc_id", "n_shingles"])

@@ -7,20 +7,48 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset (tests on one machine) a folder of our own."""
+    """spark.checkpoint.dir of the session. Where it is unset, a temporary folder will do for a local master; on a
+    cluster every machine would write to a folder of its own, so that is an error."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("ironsift.shared.dir", None)
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="spark-ironsift-")
         spark.conf.set("ironsift.shared.dir", known)
     return known
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: later steps neither repeat nor lose it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files of the step that is over
-    return spark.read.schema(df.schema).parquet(path)
+    """df written as Parquet in the shared folder and read again: later steps neither repeat nor lose it. The shuffle files
+    of the step go with it."""
+    return Kept(df.sparkSession).keep(df, name)
+
+
+class Kept:
+    """Tables of one run in a folder of their own; what no later step reads is dropped."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder = spark, f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        before = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes kept tables. Nothing that still runs may read them."""
+        from pyarrow import fs
+
+        for table in tables:
+            for folder in {x.rpartition("/")[0] for x in table.inputFiles()}:
+                system, path = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
+                system.delete_dir(path)
