@@ -5,10 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Machine codes, severities, dispatch methods and device buckets.
-ARCH = {0x14C: "x86", 0x8664: "x64", 0x1C4: "arm", 0xAA64: "arm64"}
+# Machine codes, severities, sources by dispatch method, device classes, kinds of sources by trust, names of checks.
+ARCH = {0x14C: "x86", 0x8664: "x64", 0xAA64: "arm64"}
 SEVERITY = {"CRITICAL": 4, "HIGH": 3, "MEDIUM": 2, "LOW": 1, "INFO": 0}
-TRUST = {"first-party catalog": "first_party", "mirror": "mirror", "aggregator": "aggregator", "re-host": "re_host", "embedded": "embedded"}
+SOURCE_BY_METHOD = {
+    "METHOD_BUFFERED": "IRP->AssociatedIrp.SystemBuffer",
+    "METHOD_IN_DIRECT": "IRP->MdlAddress (direct I/O) + SystemBuffer",
+    "METHOD_OUT_DIRECT": "IRP->MdlAddress (direct I/O) + SystemBuffer",
+    "METHOD_NEITHER": "IRP->UserBuffer / Type3InputBuffer (raw, unvalidated user pointers)",
+}
+UNRESOLVED_SOURCE = "user-controlled IRP input (method unresolved)"
+DEVICE_CLASSES = [
+    ("PhysicalMemory|Phy|MapIo", "memory"),
+    (r"\\Hid|\\Kbd|\\Mou", "hid"),
+    (r"\\DISK|\\Volume|\\CdRom|Nvme|Scsi", "disk"),
+    (r"\\Nd|\\Tcp|\\Udp|\\Ip", "net"),
+    (r"\\Usb", "usb"),
+    (r"\\Beep|\\Null|\\Rand", "generic"),
+]
+TRUST = {"dell-oem-catalog": "first_party", "techpowerup-mirror": "mirror", "aggregator-rehost": "aggregator", "samlab-rehost": "re_host", "cpuid-embedded": "embedded"}
+ENTRY_SIGNATURE = "NTSTATUS DriverEntry(PDRIVER_OBJECT, PUNICODE_STRING)"
+DISPATCH_SIGNATURE = "NTSTATUS (PDEVICE_OBJECT DeviceObject, PIRP Irp)"
+CALLER_CHECKS = ("privilege", "sedebug", "administrator", "integrity", "token")
 
 
 def _lookup(values: dict, key: Column) -> Column:
@@ -40,8 +58,13 @@ def token(url: Column) -> Column:
 
 
 def title_of_slug(url: Column) -> Column:
-    last = F.substring_index(F.regexp_replace(url, r"[?#].*$", ""), "/", -1)
-    return F.trim(F.regexp_replace(F.regexp_replace(last, r"\.[A-Za-z0-9]+$", ""), "[-_]+", " "))
+    """The title in a landing address: what follows the folder after the first "/_", with dashes as blanks and without the
+    words that every slug has. Another address, or an empty title, is the title itself."""
+    tail = F.regexp_extract(url, "(?s)/_(.*)$", 1)
+    part = F.when(F.contains(tail, F.lit("/")), F.regexp_extract(tail, "(?s)^[^/]*/(.*)$", 1)).otherwise(tail)
+    part = F.coalesce(F.try_url_decode(F.replace(part, F.lit("+"), F.lit("%2B"))), part)
+    title = F.trim(F.replace(F.replace(F.replace(part, F.lit("Download-"), F.lit("")), F.lit("-free"), F.lit("")), F.lit("-"), F.lit(" ")))
+    return F.when(F.contains(url, F.lit("/_")), F.coalesce(F.nullif(title, F.lit("")), url)).otherwise(url)
 
 
 def host(url: Column) -> Column:
@@ -75,7 +98,8 @@ def little_endian(content: Column, at: Column, size: int) -> Column:
 
 
 def arch(machine: Column) -> Column:
-    return F.coalesce(_lookup(ARCH, machine.cast("int")), F.lit("unknown"))
+    """The architecture of a machine code, null for another code."""
+    return _lookup(ARCH, machine.cast("int"))
 
 
 def run_id(ts: Column, short: str) -> Column:
@@ -111,9 +135,14 @@ def trust_tier(kind: Column) -> Column:
     return F.coalesce(_lookup(TRUST, kind), F.lit("unknown"))
 
 
-def signature_text(name: Column) -> Column:
-    """How a function of this class of name is declared."""
-    return F.when(name == "DriverEntry", F.lit("NTSTATUS DriverEntry(PDRIVER_OBJECT, PUNICODE_STRING)")).when(name.startswith("IRP_MJ_"), F.concat(F.lit("NTSTATUS "), name, F.lit("(PDEVICE_OBJECT, PIRP)"))).otherwise(F.concat(F.lit("void "), name, F.lit("(...)")))
+def signature_text(name: Column, is_entry: Column) -> Column:
+    """How a function of this class of name is declared; null where its shape is not known."""
+    return F.when(is_entry, ENTRY_SIGNATURE).when(name.startswith("IRP_MJ_"), DISPATCH_SIGNATURE)
+
+
+def source_text(method: Column) -> Column:
+    """Where the input of a request comes from, by its method."""
+    return F.coalesce(_lookup(SOURCE_BY_METHOD, F.coalesce(method, F.lit(""))), F.lit(UNRESOLVED_SOURCE))
 
 
 def severity_order(severity: Column) -> Column:
@@ -124,6 +153,11 @@ def signature_status(signed: Column, expired: Column) -> Column:
     return F.when(~F.coalesce(signed, F.lit(False)), "unsigned").when(F.coalesce(expired, F.lit(False)), "expired").otherwise("signed")
 
 
+def collected_signature_status(accepted: Column) -> Column:
+    """The same for a collector's own check, which may be missing."""
+    return F.when(accepted, "signed").when(~accepted, "unsigned").otherwise("unknown")
+
+
 def pick_cve(cves: Column, tags: Column) -> Column:
     """The CVE of the first non-empty entry, or else of the first tag that has one, upper-case; or null."""
     find = lambda x: F.nullif(F.upper(F.regexp_extract(x, r"(?i)CVE-\d{4}-\d{3,7}", 0)), F.lit(""))
@@ -131,27 +165,52 @@ def pick_cve(cves: Column, tags: Column) -> Column:
     return F.coalesce(first, F.get(F.filter(F.transform(tags, find), lambda x: x.isNotNull()), F.lit(0)))
 
 
-def device_buckets(names: Column, rules: dict[str, str]) -> Column:
-    """Sorted buckets with a pattern that finds any name; generic where names exist and none is found."""
-    hit = F.array_compact(F.array(*(F.when(_any(names, p), F.lit(b)) for b, p in sorted(rules.items()))))
-    return F.when(F.size(hit) > 0, hit).when(F.size(names) > 0, F.array(F.lit("generic"))).otherwise(F.array().cast("array<string>"))
+def device_buckets(names: Column, rules: list[tuple[str, str]] | None = None) -> Column:
+    """Sorted classes with a pattern that finds any name; generic where names exist and none is found."""
+    found = lambda pattern: F.exists(names, lambda n: n.rlike("(?i)" + pattern))
+    hit = F.array_compact(F.array(*(F.when(found(p), F.lit(c)) for p, c in rules or DEVICE_CLASSES)))
+    return F.when(F.size(hit) > 0, F.array_sort(F.array_distinct(hit))).when(F.size(names) > 0, F.array(F.lit("generic"))).otherwise(F.array().cast("array<string>"))
 
 
-def _any(names: Column, pattern: str) -> Column:
-    return F.exists(names, lambda n: n.rlike("(?i)" + pattern))
+def _has(text: Column, *words: str) -> Column:
+    return F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))
 
 
 def present_checks(lines: Column) -> Column:
-    text = F.lower(F.array_join(lines, " "))
-    rules = {"access_check": ["access check", "privilege"], "length_check": ["length", "size"], "probe": ["probefor"], "seh": ["__try", "exception"]}
-    any_of = lambda words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))
-    return F.array_compact(F.array(*(F.when(any_of(v), F.lit(k)) for k, v in rules.items())))
+    """The checks that free text names clearly."""
+    text = F.lower(F.array_join(F.coalesce(lines, F.array().cast("array<string>")), " "))
+    rules = {
+        "ProbeForRead": _has(text, "probeforread", "probe for read"),
+        "ProbeForWrite": _has(text, "probeforwrite", "probe for write"),
+        "input_length_check": _has(text, "inputbufferlength", "input length") | (_has(text, "input buffer") & _has(text, "length")),
+        "output_length_check": _has(text, "outputbufferlength", "output length"),
+        "caller_privilege_check": _has(text, *CALLER_CHECKS),
+    }
+    return F.array_compact(F.array(*(F.when(v, F.lit(k)) for k, v in rules.items())))
 
 
 def expected_checks(method: Column, has_sink: Column) -> Column:
+    """The checks that a request of this method ought to make, given whether it reaches a sink."""
     none = F.array().cast("array<string>")
-    return F.array_union(F.array(F.lit("access_check"), F.lit("length_check")), F.array_union(F.when(method == "METHOD_NEITHER", F.array(F.lit("probe"), F.lit("seh"))).otherwise(none), F.when(has_sink, F.array(F.lit("sink_guard"))).otherwise(none)))
+    sink = F.when(has_sink, F.array(F.lit("input_length_check"), F.lit("caller_privilege_check"))).otherwise(none)
+    raw = F.when(method == "METHOD_NEITHER", F.array(F.lit("ProbeForRead"), F.lit("ProbeForWrite"), F.lit("input_length_check"))).otherwise(none)
+    return F.array_union(sink, raw)
 
 
 def gaps(present: Column, method: Column, has_sink: Column) -> Column:
-    return F.array_sort(F.array_except(expected_checks(method, has_sink), present))
+    """Expected checks that are missing, sorted. Either narrower check of the caller implies the broad one."""
+    narrow = F.arrays_overlap(present, F.array(F.lit("caller_integrity_check"), F.lit("caller_sid_check")))
+    whole = F.when(narrow, F.array_union(present, F.array(F.lit("caller_privilege_check")))).otherwise(present)
+    return F.array_sort(F.array_except(expected_checks(method, has_sink), whole))
+
+
+def common(a: Column, b: Column) -> Column:
+    return F.array_sort(F.array_intersect(a, b))
+
+
+def lacking(wanted: Column, have: Column) -> Column:
+    return F.array_sort(F.array_except(wanted, have))
+
+
+def united(a: Column, b: Column) -> Column:
+    return F.array_sort(F.array_union(a, b))

@@ -58,7 +58,8 @@ def priority_order(df: DataFrame, col: str, priority: list[str]) -> DataFrame:
 
 def shard(df: DataFrame, key: str, n: int, seed: int | None = None) -> DataFrame:
     """Adds shard: by a seeded hash of the key, so that no row waits for the others; a plain remainder without a seed."""
-    value = F.col(key) if seed is None else F.xxhash64(F.col(key), F.lit(seed))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")).cast("binary"))
+    value = F.col(key) if seed is None else F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long")
     return df.withColumn("shard", F.pmod(value, F.lit(n)).cast("long"))
 
 
@@ -68,3 +69,7 @@ def preview(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame
 
 def rank_order(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("rank"), "item")
+
+
+def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b).distinct()

@@ -28,25 +28,25 @@ def profile_dims(spark: SparkSession, docs: dict[str, dict]) -> dict[str, DataFr
 
 def match_symbols(imports: DataFrame, dim: DataFrame) -> DataFrame:
     """item, symbol, category and severity of catalogued imports, in the item's casing, each symbol once."""
-    return imports.select("item", "symbol").distinct().join(F.broadcast(dim), F.lower("symbol") == F.col("symbol_lower")).drop("symbol_lower")
+    return imports.select("item", "symbol").distinct().join(dim, F.lower("symbol") == F.col("symbol_lower")).drop("symbol_lower")
 
 
 def match_profiles(symbols: DataFrame, profile_symbol: DataFrame) -> DataFrame:
     """item, scope, role and hits: distinct symbols in a profile's list, casing respected."""
-    return symbols.select("item", "symbol").distinct().join(F.broadcast(profile_symbol), "symbol").groupBy("item", "scope", "role").agg(F.count("*").alias("hits"))
+    return symbols.select("item", "symbol").distinct().join(profile_symbol, "symbol").groupBy("item", "scope", "role").agg(F.count("*").alias("hits"))
 
 
 def match_patterns(names: DataFrame, patterns: DataFrame) -> DataFrame:
-    """item, scope and hits: patterns that find any name of the item."""
-    found = names.select("item", "name").distinct().join(F.broadcast(patterns), F.expr("regexp_like(name, pattern)"))
-    return found.groupBy("item", "scope").agg(F.count_distinct("pattern").alias("hits"))
+    """item, scope and hits: patterns that find any name of the item. Each distinct name meets the patterns once."""
+    found = names.select("name").distinct().join(patterns, F.expr("regexp_like(name, pattern)")).select("name", "scope", "pattern")
+    return names.select("item", "name").distinct().join(found, "name").groupBy("item", "scope").agg(F.count_distinct("pattern").alias("hits"))
 
 
 def rank(by_role: DataFrame, by_pattern: DataFrame, weights: DataFrame) -> DataFrame:
     """item, scope, rank and qualifies of every item that hits anything of a profile."""
     term = F.when(F.col("role") == "must_have_one", "must_have_one").when(F.col("role") == "weight_each", "dangerous_imports")
     terms = by_role.select("item", "scope", term.alias("term"), "hits").filter("term IS NOT NULL").unionByName(by_pattern.select("item", "scope", F.lit("device_match").alias("term"), "hits"))
-    scored = terms.join(F.broadcast(weights), ["scope", "term"], "left")
+    scored = terms.join(weights, ["scope", "term"], "left")
     must = F.col("term") == "must_have_one"
     return scored.groupBy("item", "scope").agg(F.sum(F.col("hits") * F.coalesce("weight", F.lit(0))).alias("rank"), F.coalesce(F.max(must & (F.col("hits") > 0)), F.lit(False)).alias("qualifies"))
 
@@ -77,14 +77,14 @@ def shortlist(matches: DataFrame, scope: str, min_rank: int = 1) -> DataFrame:
 def match_categories(terms: DataFrame, cats: DataFrame) -> DataFrame:
     """term and category pairs that are equal or contain each other (both lists are small)."""
     t, c = F.lower("term"), F.lower("category")
-    return terms.join(F.broadcast(cats), F.contains(t, c) | F.contains(c, t))
+    return terms.join(cats, F.contains(t, c) | F.contains(c, t))
 
 
 def elect_classes(imports: DataFrame, rules: DataFrame) -> DataFrame:
     """item and class: a rule fires when all its conditions do, a condition on any of its values; generic else."""
     n = rules.groupBy("class", "rule").agg(F.count_distinct("cond").alias("n_conds"))
-    hit = imports.select("item", "symbol").distinct().join(F.broadcast(rules), F.col("symbol") == F.col("value"))
-    fired = hit.groupBy("item", "class", "rule").agg(F.count_distinct("cond").alias("n")).join(F.broadcast(n), ["class", "rule"]).filter("n = n_conds").select("item", "class").distinct()
+    hit = imports.select("item", "symbol").distinct().join(rules, F.col("symbol") == F.col("value"))
+    fired = hit.groupBy("item", "class", "rule").agg(F.count_distinct("cond").alias("n")).join(n, ["class", "rule"]).filter("n = n_conds").select("item", "class").distinct()
     rest = imports.select("item").distinct().join(fired, "item", "left_anti").withColumn("class", F.lit("generic"))
     return fired.unionByName(rest)
 

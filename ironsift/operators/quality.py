@@ -43,6 +43,21 @@ def violations(df: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.explode(F.array_compact(F.array(*entries))).alias("v")).select("key", "v.*")
 
 
+# The weights that every profile has.
+WEIGHTS = ("must_have_one", "dangerous_imports", "ioctl_match", "device_match", "string_match", "method_match", "clone_hit")
+
+
+def weight_rules() -> list[Rule]:
+    """All weights are there, and none is negative."""
+    return [Rule(w, kind, arg) for w in WEIGHTS for kind, arg in (("required", None), ("minimum", 0))]
+
+
+def name_mismatches(df: DataFrame, path: str, name: str) -> DataFrame:
+    """Profiles whose name isn't the stem of their file: path, name, stem, with severity warn."""
+    stem = F.regexp_extract(F.col(path), r"([^/\\\\]*?)(\.[^./\\\\]*)?$", 1)
+    return df.select(F.col(path).alias("path"), F.col(name).alias("name"), stem.alias("stem"), F.lit("warn").alias("severity")).filter("name <> '' AND name <> stem")
+
+
 def unknown_columns(df: DataFrame, allowed: list[str]) -> list[str]:
     return sorted(set(df.columns) - set(allowed))
 

@@ -33,9 +33,14 @@ def span_to_next(df: DataFrame, item: str, section: str, addr: str, end: str) ->
     return df.withColumn("span", F.when(same, following - F.col(addr)).otherwise(F.col(end) - F.col(addr)))
 
 
-def running_total(df: DataFrame, group: str, order: list[str]) -> DataFrame:
-    w = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("running", F.count("*").over(w))
+def running_total(df: DataFrame, group: str, order: list[str], width: int) -> DataFrame:
+    """Adds running: the place of each row in its group. The first column of the order is a number; rows are numbered within
+    blocks of that width and offset by the blocks before, so that a large group is no single task."""
+    df = df.withColumn("_block", F.floor(F.col(order[0]) / width))
+    before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = df.groupBy(group, "_block").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = F.row_number().over(Window.partitionBy(group, "_block").orderBy(*order))
+    return df.withColumn("_at", within).join(offsets, [group, "_block"]).withColumn("running", F.col("_before") + F.col("_at")).drop("_block", "_at", "_before")
 
 
 def streaks(df: DataFrame, key: str, order: str, hit: str, reset: str, threshold: int) -> DataFrame:

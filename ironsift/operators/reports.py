@@ -5,28 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ironsift.functions.columns import gaps, present_checks
+from ironsift.functions.columns import gaps, present_checks, source_text
+
+_NONE = "array<string>"
+
+
+def classified(ioctls: DataFrame, dim: DataFrame) -> DataFrame:
+    """Requests (item, pos, method, api_calls and more) with sinks: name, category and severity of their catalogued calls in order."""
+    calls = ioctls.select("item", "pos", F.posexplode("api_calls").alias("at", "name"))
+    known = calls.join(dim, F.lower("name") == F.col("symbol_lower"))
+    sinks = F.array_sort(F.collect_list(F.struct("at", "name", "category", "severity")))
+    known = known.groupBy("item", "pos").agg(F.transform(sinks, lambda s: F.struct(s["name"].alias("name"), s["category"].alias("category"), s["severity"].alias("severity"))).alias("sinks"))
+    none = F.array().cast("array<struct<name: string, category: string, severity: string>>")
+    return ioctls.join(known, ["item", "pos"], "left").withColumn("sinks", F.coalesce("sinks", none))
 
 
 def sink_hints(ioctls: DataFrame, dim: DataFrame) -> DataFrame:
-    """Rows of ioctls (item, pos, method, api_calls, risk_factors) with the catalogued calls, where there is something to say."""
-    calls = ioctls.select("item", "pos", F.posexplode_outer("api_calls").alias("at", "call"))
-    known = calls.join(F.broadcast(dim), F.lower("call") == F.col("symbol_lower")).groupBy("item", "pos").agg(F.array_sort(F.collect_list(F.struct("at", "call"))).alias("s"))
-    out = ioctls.join(known, ["item", "pos"], "left").withColumn("sinks", F.coalesce(F.col("s.call"), F.array().cast("array<string>"))).drop("s")
-    return out.filter((F.size("sinks") > 0) | (F.size("risk_factors") > 0))
+    """Requests with sinks, risk factors, primitives or bug classes: where their input comes from, the sinks and their categories."""
+    out = classified(ioctls, dim)
+    for c in ("risk_factors", "primitives", "bug_classes"):
+        out = out.withColumn(c, F.coalesce(F.col(c), F.array().cast(_NONE)) if c in out.columns else F.array().cast(_NONE))
+    out = out.filter((F.size("sinks") > 0) | (F.size("risk_factors") > 0) | (F.size("primitives") > 0) | (F.size("bug_classes") > 0))
+    return out.withColumns({"source": source_text(F.col("method")), "sink_categories": F.array_sort(F.array_distinct(F.col("sinks.category")))})
 
 
 def unresolved_hints(findings: DataFrame, ioctls: DataFrame, dim: DataFrame) -> DataFrame:
     """For items without any ioctl: catalogued import findings, each with the item's hidden-function candidates."""
     rest = findings.join(ioctls.select("item").distinct(), "item", "left_anti")
     hidden = rest.filter(F.col("title").contains("hidden function")).groupBy("item").agg(F.array_sort(F.collect_set("function")).alias("candidates"))
-    named = rest.join(F.broadcast(dim), F.lower("function") == F.col("symbol_lower")).withColumnRenamed("severity", "catalog_severity")
+    named = rest.join(dim, F.lower("function") == F.col("symbol_lower")).withColumnRenamed("severity", "catalog_severity")
     return named.join(hidden, "item", "left").select("item", "function", "category", F.coalesce("finding_severity", "catalog_severity").alias("severity"), "candidates")
 
 
 def gap_rows(ioctls: DataFrame) -> DataFrame:
-    """item, pos and missing checks of each ioctl with any."""
-    return ioctls.withColumn("missing", gaps(present_checks(F.col("security_checks")), F.col("method"), F.size("sinks") > 0)).filter(F.size("missing") > 0)
+    """Classified requests that miss checks they ought to make: missing, and reason (what is missing on the way to which sinks)."""
+    missing = gaps(present_checks(F.col("security_checks")), F.col("method"), F.size("sinks") > 0)
+    out = ioctls.withColumn("missing", missing).filter(F.size("missing") > 0)
+    names = F.array_join("missing", ", ")
+    reaches = F.concat(F.coalesce(F.nullif("method", F.lit("")), F.lit("handler")), F.lit(" reaches "), F.array_join(F.col("sinks.name"), ", "), F.lit(" without "), names)
+    return out.withColumn("reason", F.when(F.size("sinks") > 0, reaches).otherwise(F.concat("method", F.lit(" takes raw user pointers without "), names)))
 
 
 def hint_counts(items: DataFrame, **tables: DataFrame) -> DataFrame:
@@ -54,7 +71,25 @@ def index_rows(identity: DataFrame, run: dict[str, str], signals: DataFrame) ->
 
 
 def one_liners(df: DataFrame) -> DataFrame:
-    return df.withColumn("one_liner", F.format_string("%s: rank %d in %s", F.col("item").cast("string"), "rank", "scope"))
+    """One line for each candidate of a scope (item, scope, rank), 300 characters at most."""
+    return df.withColumn("one_liner", F.left(F.format_string("%s: rank %d in %s", F.col("item").cast("string"), "rank", "scope"), F.lit(300)))
+
+
+def item_summaries(items: DataFrame) -> DataFrame:
+    """item and a summary text: its scopes with ranks (matches), its catalogued symbols, and (none) where it has none."""
+    listed = lambda c: F.coalesce(F.nullif(F.array_join(c, "\n"), F.lit("")), F.lit("_(none)_"))
+    scopes = F.transform("matches", lambda m: F.format_string("- %s: %d", m["scope"], m["rank"]))
+    symbols = F.transform("symbols", lambda s: F.concat(F.lit("- "), s))
+    return items.select("item", F.concat(F.lit("# "), F.col("item").cast("string"), F.lit("\n\n## Scopes\n"), listed(scopes), F.lit("\n\n## Symbols\n"), listed(symbols)).alias("summary"))
+
+
+def select_functions(handlers: DataFrame, patterns: list[str], must_have: list[str]) -> DataFrame:
+    """item, fn and selector of functions that a profile asks for: handlers whose code fits a pattern of the profile, and
+    functions that call a symbol that it must have. handlers: item, fn, code, symbol (called, one row each)."""
+    coded = handlers.filter(F.exists(F.array(*map(F.lit, patterns)), lambda p: F.regexp_like("code", p))) if patterns else handlers.limit(0)
+    called = handlers.filter(F.col("symbol").isin(*must_have))
+    pick = lambda df, name: df.select("item", "fn").distinct().withColumn("selector", F.lit(name))
+    return pick(coded, "handlers_dispatched_from_matching_ioctl").unionByName(pick(called, "functions_calling_any_of_must_have_one"))
 
 
 def promote_functions(functions: DataFrame, calls: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:

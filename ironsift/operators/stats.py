@@ -26,16 +26,28 @@ def corpus_totals(df: DataFrame, source: str, is_new: str) -> DataFrame:
     return df.rollup(source).agg(F.count_if(~F.col(is_new)).alias("baseline"), F.count_if(is_new).alias("new"), F.count("*").alias("total"))
 
 
+def backfill_report(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: items in all, with any match, and changed, between two tables of items (item, matches)."""
+    both = after.select("item", F.coalesce("matches", F.array().cast(after.schema["matches"].dataType)).alias("now"))
+    both = both.join(before.select("item", F.col("matches").alias("then")), "item", "left").withColumn("then", F.coalesce("then", F.array().cast(after.schema["matches"].dataType)))
+    return both.agg(F.count("*").alias("total"), F.count_if(F.size("now") > 0).alias("with_any_match"), F.count_if(F.col("now") != F.col("then")).alias("changed"))
+
+
 def rank_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """scope and newly added matches between two rank tables (item, scope), most first."""
     return after.join(before, ["item", "scope"], "left_anti").groupBy("scope").agg(F.count("*").alias("added")).orderBy(F.desc("added"), "scope")
 
 
-def merge_names(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
-    """Ordered distinct names of a handler in one, such as IRP_MJ_A+B; a single one keeps its name."""
-    ordered = F.array_distinct(F.array_sort(F.collect_list(F.struct(order, name)))[name])
-    rest = F.transform(F.slice(ordered, F.lit(2), F.size(ordered)), lambda x: F.regexp_replace(x, "^IRP_MJ_", ""))
-    return df.groupBy(*keys).agg(F.concat_ws("+", F.get(ordered, F.lit(0)), F.array_join(rest, "+")).alias("n"), F.size(ordered).alias("k")).select(*keys, F.when(F.col("k") == 1, F.rtrim(F.col("n"), F.lit("+"))).otherwise(F.col("n")).alias("name"))
+PREFIX = "IRP_MJ_"  # fixed value: what the names of dispatch slots begin with
+
+
+def merge_names(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """keys and name: the distinct slot names of a handler in order. A single one stays as it is; several are joined by +
+    without their prefix, after one prefix."""
+    ordered = F.array_distinct(F.array_sort(F.collect_list(F.struct(*order, name)))[name])
+    short = F.transform(ordered, lambda x: F.regexp_replace(x, f"^{PREFIX}", ""))
+    joined = F.when(F.size(ordered) == 1, F.get(ordered, F.lit(0))).otherwise(F.concat(F.lit(PREFIX), F.array_join(short, "+")))
+    return df.groupBy(*keys).agg(joined.alias("name"))
 
 
 def signed_yield(df: DataFrame, source: str, accepted: str) -> DataFrame:

@@ -14,14 +14,22 @@ def triage_status(candidates: DataFrame, index: DataFrame) -> DataFrame:
     return candidates.join(done, ["item", "scope"], "left").withColumn("status", status).drop("done")
 
 
-def triage(ranks: DataFrame, symbols: DataFrame, index: DataFrame, scope: str, wanted: list[str]) -> DataFrame:
-    """Candidates of a scope or with a wanted symbol: rank, the symbols hit, and whether they were studied."""
+def triage(ranks: DataFrame, symbols: DataFrame, index: DataFrame, scope: str, wanted: list[str], clones: DataFrame | None = None) -> DataFrame:
+    """Candidates of a scope, with a wanted symbol, or with a clone (item): rank, the symbols hit, and whether they were studied."""
     own = ranks.filter((F.col("scope") == scope) & F.col("qualifies")).select("item", "rank")
     hit = symbols.filter(F.col("symbol").isin(*wanted)).groupBy("item").agg(F.array_sort(F.collect_set("symbol")).alias("symbols_hit"))
-    both = own.join(hit, "item", "full_outer").select("item", F.lit(scope).alias("scope"), F.coalesce("rank", F.lit(0)).alias("rank"), F.coalesce("symbols_hit", F.array().cast("array<string>")).alias("symbols_hit"))
+    both = own.join(hit, "item", "full_outer")
+    if clones is not None:
+        both = both.join(clones.select("item").distinct(), "item", "full_outer")
+    both = both.select("item", F.lit(scope).alias("scope"), F.coalesce("rank", F.lit(0)).alias("rank"), F.coalesce("symbols_hit", F.array().cast("array<string>")).alias("symbols_hit"))
     return triage_status(both, index)
 
 
+def scan_counts(df: DataFrame, key: str) -> DataFrame:
+    """One row: rows scanned, and what is left with one row for each key."""
+    return df.groupBy(key).agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows_scanned"), F.count(key).alias("rows_after_dedup"))
+
+
 def near_misses(ranks: DataFrame, candidates: DataFrame, related: list[str]) -> DataFrame:
     return ranks.filter(F.col("scope").isin(*related) & F.col("qualifies")).join(candidates, "item", "left_anti")
 
@@ -40,10 +48,23 @@ def work_list(items: DataFrame, key: str, keys: DataFrame | None = None, short:
     return skip_done(items, done, key) if done is not None else items
 
 
+def work_list_counts(items: DataFrame, key: str, keys: DataFrame | None = None, short: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
+    """step, n_before and n_after of every filter of a work list, in order, from one pass over the items."""
+    steps = [(name, t) for name, t in (("keys", keys), ("shortlist", short), ("done", done)) if t is not None]
+    for name, t in steps:
+        items = items.join(t.select(key, F.lit(True).alias(f"_{name}")).distinct(), key, "left")
+    passed, counts = F.lit(True), []
+    for name, _ in steps:
+        hit = F.coalesce(F.col(f"_{name}"), F.lit(False))
+        before, passed = passed, passed & (~hit if name == "done" else hit)
+        counts.append(F.struct(F.lit(name).alias("step"), F.count_if(before).alias("n_before"), F.count_if(passed).alias("n_after")))
+    return items.agg(F.array(*counts).alias("s")).select(F.inline("s"))
+
+
 def search_terms(terms: DataFrame, aliases: DataFrame) -> DataFrame:
     """The query of the scope that a term names; the term itself where none does."""
     known = aliases.groupBy(F.lower("alias").alias("a")).agg(F.min("search").alias("search"))
-    return terms.join(F.broadcast(known), F.lower("term") == F.col("a"), "left").select("term", F.coalesce("search", "term").alias("search"))
+    return terms.join(known, F.lower("term") == F.col("a"), "left").select("term", F.coalesce("search", "term").alias("search"))
 
 
 def attribute(items: DataFrame, manifests: DataFrame) -> DataFrame:

@@ -84,17 +84,17 @@ def src4_latest_snapshot(t: Tables) -> DataFrame:
 
 @query(f"WITH {_DIM} SELECT p_name, category, severity FROM part JOIN dim ON lower(p_name) = symbol_lower")
 def src5_symbol_dim(t: Tables) -> DataFrame:
-    return t.part.join(F.broadcast(match.symbol_dim(t.spark, CATALOG)), F.lower("p_name") == F.col("symbol_lower")).select("p_name", "category", "severity")
+    return t.part.join(match.symbol_dim(t.spark, CATALOG), F.lower("p_name") == F.col("symbol_lower")).select("p_name", "category", "severity")
 
 
 @query(f"WITH {_PROFILE} SELECT p_partkey, scope, role FROM part JOIN prof ON p_name = symbol")
 def src6_profile_dims(t: Tables) -> DataFrame:
-    return t.part.join(F.broadcast(match.profile_dims(t.spark, PROFILES)["symbols"]), F.col("p_name") == F.col("symbol")).select("p_partkey", "scope", "role")
+    return t.part.join(match.profile_dims(t.spark, PROFILES)["symbols"], F.col("p_name") == F.col("symbol")).select("p_partkey", "scope", "role")
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, CAST(octet_length(encode(text)) AS BIGINT) AS size FROM documents")
 def src8_content_hash(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
+    return t.documents.select("doc_id", tables.content_hash(F.col("text")).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
 
 
 @query("SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1)) AS link FROM pages")
@@ -104,12 +104,12 @@ def src9_extract_links(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id, CAST(octet_length(encode(text)) AS BIGINT) AS row_bytes FROM documents WHERE octet_length(encode(text)) >= 4096")
 def snk2_long_texts(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.octet_length("text").cast("long").alias("row_bytes")).filter("row_bytes >= 4096")
+    return tables.row_size_violations(t.documents, "doc_id", text="text")
 
 
-@query(None)
+@query("SELECT doc_id, row_bytes FROM (SELECT doc_id, CAST(octet_length(encode(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars})::VARCHAR)) + 1 AS BIGINT) AS row_bytes FROM documents) WHERE row_bytes >= 4096")
 def snk2_row_size(t: Tables) -> DataFrame:
-    return tables.row_size_violations(t.documents, "doc_id")
+    return tables.row_size_violations(t.documents.select("doc_id", "text", "lang", "source", "n_chars"), "doc_id")
 
 
 @query("SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
@@ -172,10 +172,10 @@ def flt10_resume(t: Tables) -> DataFrame:
     return worklist.resume(t.customer, ledger, "c_custkey", ("purchase", "signup")).select("c_custkey")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id >= 100 AND md5(text) NOT IN (SELECT md5(text) FROM documents WHERE doc_id < 100)")
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND md5(text) NOT IN (SELECT md5(text) FROM documents JOIN labels USING (doc_id))")
 def flt11_new_content(t: Tables) -> DataFrame:
-    keyed = t.documents.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"))
-    return worklist.new_content(keyed.filter("doc_id >= 100"), keyed.filter("doc_id < 100"), "key").select("doc_id")
+    keyed, labels = t.documents.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key")), t.labels.select("doc_id")
+    return worklist.new_content(keyed.join(labels, "doc_id", "left_anti"), keyed.join(labels, "doc_id", "left_semi"), "key").select("doc_id")
 
 
 @query("SELECT p_partkey FROM part WHERE p_type = 'PROMO' OR p_size % 7 = 1")
@@ -273,6 +273,11 @@ def ddp12_shard(t: Tables) -> DataFrame:
     return dedup.shard(t.orders.select("o_orderkey"), "o_orderkey", 8)
 
 
+@query("SELECT o_orderkey, CAST('0x' || left(md5('7:' || o_orderkey), 8) AS BIGINT) % 8 AS shard FROM orders")
+def ddp12_seeded_shard(t: Tables) -> DataFrame:
+    return dedup.shard(t.orders.select("o_orderkey"), "o_orderkey", 8, seed=7)
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n FROM lineitem) WHERE n <= 5")
 def ddp13_preview(t: Tables) -> DataFrame:
     return dedup.preview(t.lineitem, "l_orderkey", [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")], 5).select("l_orderkey", "l_linenumber", "l_partkey")
@@ -302,14 +307,15 @@ def jn3_match_patterns(t: Tables) -> DataFrame:
 
 
 def _clone_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
-    family = F.md5(F.left(F.regexp_replace(F.lower("text"), "[^a-z]", ""), F.lit(40)).cast("binary"))
+    """The documents without a label are the items, those with one the known samples; a family has the same letters."""
+    family = F.md5(F.regexp_replace(F.lower("text"), "[^a-z]", "").cast("binary"))
     keyed = t.documents.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"), family.alias("family"))
-    items = keyed.filter("doc_id >= 100").withColumnRenamed("doc_id", "item")
-    return items, keyed.filter("doc_id < 100").select(F.col("doc_id").alias("ref_id"), F.col("doc_id").alias("ref_pos"), "key", "family")
+    items = keyed.join(t.labels.select("doc_id"), "doc_id", "left_anti").withColumnRenamed("doc_id", "item")
+    return items, keyed.join(t.labels.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("ref_id"), F.col("doc_id").alias("ref_pos"), "key", "family")
 
 
-_CLONES = """keyed AS (SELECT doc_id, md5(text) AS key, md5(left(regexp_replace(lower(text), '[^a-z]', '', 'g'), 40)) AS family FROM documents),
-items AS (SELECT * FROM keyed WHERE doc_id >= 100), samples AS (SELECT * FROM keyed WHERE doc_id < 100),
+_CLONES = """keyed AS (SELECT doc_id, md5(text) AS key, md5(regexp_replace(lower(text), '[^a-z]', '', 'g')) AS family FROM documents),
+items AS (SELECT * FROM keyed WHERE doc_id NOT IN (SELECT doc_id FROM labels)), samples AS (SELECT * FROM keyed WHERE doc_id IN (SELECT doc_id FROM labels)),
 exact AS (SELECT i.doc_id AS item, i.key, min(s.doc_id) AS ref_id, 1.0::DOUBLE AS similarity FROM items i JOIN samples s USING (key) GROUP BY ALL),
 fam AS (SELECT i.doc_id AS item, s.key, s.doc_id AS ref_id, 0.6::DOUBLE AS similarity FROM items i JOIN samples s USING (family) WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.item = i.doc_id AND e.key = s.key))"""
 
@@ -435,10 +441,19 @@ def agg8_rank_diff(t: Tables) -> DataFrame:
     return stats.rank_diff(ranked.filter("rank < 16"), ranked)
 
 
-@query("SELECT l_orderkey, l_suppkey % 2 AS handler, string_agg(l_returnflag, '+' ORDER BY f) AS name FROM (SELECT l_orderkey, l_suppkey % 2 AS l_suppkey, l_returnflag, min(l_linenumber * 1000000 + l_partkey) AS f FROM lineitem GROUP BY ALL) GROUP BY ALL")
+@query(f"WITH {_MATCHES}, b AS (SELECT item, list(scope ORDER BY rank DESC, scope) AS scopes FROM ranks WHERE qualifies AND rank < 16 GROUP BY item) SELECT count(*) AS total, count(*) FILTER (m.item IS NOT NULL) AS with_any_match, count(*) FILTER (coalesce(array_to_string(m.scopes, ','), '') <> coalesce(array_to_string(b.scopes, ','), '')) AS changed FROM orders LEFT JOIN m ON m.item = o_orderkey LEFT JOIN b ON b.item = o_orderkey")
+def agg8_backfill_report(t: Tables) -> DataFrame:
+    ranked = t.ranks().filter("qualifies")
+    now = t.orders.select(F.col("o_orderkey").alias("item")).join(match.scope_matches(ranked), "item", "left")
+    return stats.backfill_report(match.scope_matches(ranked.filter("rank < 16")), now)
+
+
+@query("""WITH f AS (SELECT l_orderkey, l_suppkey % 2 AS handler, CASE WHEN l_linestatus = 'O' THEN 'IRP_MJ_' ELSE '' END || l_returnflag AS slot, min((l_linenumber, l_partkey, l_suppkey)) AS f FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, handler, CASE WHEN count(*) = 1 THEN min(slot) ELSE 'IRP_MJ_' || string_agg(regexp_replace(slot, '^IRP_MJ_', ''), '+' ORDER BY f, slot) END AS name FROM f GROUP BY ALL""")
 def agg9_merge_names(t: Tables) -> DataFrame:
-    rows = t.lineitem.withColumns({"handler": F.col("l_suppkey") % 2, "at": F.col("l_linenumber").cast("long") * 1_000_000 + F.col("l_partkey")})
-    return stats.merge_names(rows, ["l_orderkey", "handler"], "at", "l_returnflag")
+    slot = F.concat(F.when(F.col("l_linestatus") == "O", "IRP_MJ_").otherwise(""), "l_returnflag")
+    rows = t.lineitem.withColumns({"handler": F.col("l_suppkey") % 2, "slot": slot})
+    return stats.merge_names(rows, ["l_orderkey", "handler"], ["l_linenumber", "l_partkey", "l_suppkey"], "slot")
 
 
 @query("SELECT source, count(*) AS recovered, count(*) FILTER (quality = 1) AS signed FROM documents JOIN labels USING (doc_id) GROUP BY 1")
@@ -474,7 +489,7 @@ def win1_span_to_next(t: Tables) -> DataFrame:
 
 @query("SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY event_id) AS running FROM events")
 def win2_running_total(t: Tables) -> DataFrame:
-    return ranges.running_total(t.events, "event_type", ["event_id"]).select("event_id", "running")
+    return ranges.running_total(t.events, "event_type", ["event_id"], 1000).select("event_id", "running")
 
 
 @query("""WITH i AS (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM events),
@@ -495,26 +510,46 @@ def win4_first_line(t: Tables) -> DataFrame:
 
 def _gated(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("item")).agg(
-        F.collect_list(F.struct(F.lit(0).cast("double").alias("raw_ptr"), F.col("l_extendedprice").alias("raw_size"), (F.col("l_returnflag") != "N").alias("executable"), (F.col("l_discount") * 100).alias("entropy"))).alias("sections"),
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_returnflag").alias("name"), F.lit(0).cast("double").alias("raw_ptr"), F.col("l_extendedprice").alias("raw_size"), (F.col("l_returnflag") != "N").alias("executable"), (F.col("l_discount") * 100).alias("entropy")))).alias("sections"),
         F.array_sort(F.collect_set("l_linestatus")).alias("modules"),
     )
     heads = t.orders.select(F.col("o_orderkey").alias("item"), F.col("o_totalprice").alias("size"), F.when(F.col("o_orderpriority") != "5-LOW", 1).alias("machine"), F.when(F.col("o_orderstatus") == "P", 2).otherwise(1).alias("subsystem"), (F.col("o_custkey") % 5 != 0).alias("has_signature"))
     heads = heads.join(lines, "item")
-    return gate.gate(heads, heads.filter("item % 97 = 0"), "present", ("o",))
+    return gate.gate(heads, t.orders.filter("o_orderdate < DATE '1995-01-20'").select(F.col("o_orderkey").alias("item")), "present", ("o",))
 
 
-_GATE = """g AS (SELECT o_orderkey AS item, CASE WHEN o_orderkey % 97 = 0 THEN 'blacklisted' WHEN o_totalprice = 0 THEN 'corrupted' WHEN o_orderpriority = '5-LOW' THEN 'not-pe'
+_GATE = """g AS (SELECT o_orderkey AS item, o_totalprice AS size, CASE WHEN o_orderdate < DATE '1995-01-20' THEN 'blacklisted' WHEN o_totalprice = 0 THEN 'corrupted' WHEN o_orderpriority = '5-LOW' THEN 'not-pe'
 WHEN bool_or(l_extendedprice > 0 AND l_extendedprice > o_totalprice) THEN 'corrupted' WHEN o_orderstatus = 'P' THEN 'wrong-subsystem'
 WHEN NOT bool_or(l_linestatus = 'O') THEN 'kernel-imports-unresolved' WHEN o_custkey % 5 = 0 THEN 'signature-policy-mismatch'
-WHEN bool_or(l_returnflag <> 'N') AND bool_and(l_returnflag = 'N' OR l_discount * 100 > 7.5) THEN 'packed-unknown' END AS reason
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice, o_orderpriority, o_orderstatus, o_custkey)"""
+WHEN bool_or(l_returnflag <> 'N') AND bool_and(l_returnflag = 'N' OR l_discount * 100 > 7.5) THEN 'packed-unknown' END AS reason,
+arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey)) FILTER (l_extendedprice > o_totalprice) AS section, arg_min(l_extendedprice, (l_linenumber, l_partkey, l_suppkey)) FILTER (l_extendedprice > o_totalprice) AS stop,
+lower(min(l_linestatus)) AS module, max(l_discount * 100) FILTER (l_returnflag <> 'N') AS worst
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderdate, o_totalprice, o_orderpriority, o_orderstatus, o_custkey),
+d AS (SELECT item, size, reason, CASE reason WHEN 'blacklisted' THEN 'operator opted this item out' WHEN 'not-pe' THEN 'header could not be parsed'
+WHEN 'corrupted' THEN CASE WHEN size = 0 THEN 'file is empty (0 bytes)' ELSE 'section ' || chr(39) || section || chr(39) || ' data ends at ' || CAST(trunc(stop) AS BIGINT) || ' but file is ' || CAST(trunc(size) AS BIGINT) || ' bytes' END
+WHEN 'wrong-subsystem' THEN 'IMAGE_SUBSYSTEM = 2 (WINDOWS_GUI) -- expected 1 (NATIVE)' WHEN 'kernel-imports-unresolved' THEN 'imports ' || chr(39) || module || chr(39) || ' but no kernel module'
+WHEN 'signature-policy-mismatch' THEN 'policy=present but no signature' WHEN 'packed-unknown' THEN printf('entropy heuristic (all exec sections > 7.5, max %.2f)', worst) END AS reason_detail FROM g)"""
 
 
-@query(f"WITH {_GATE} SELECT item, reason, CASE WHEN reason = 'wrong-subsystem' THEN 'subsystem 2' ELSE reason END AS reason_detail FROM g")
+@query(f"WITH {_GATE} SELECT item, reason, reason_detail FROM d")
 def gate_rules(t: Tables) -> DataFrame:
     return _gated(t).select("item", "reason", "reason_detail")
 
 
+@query("SELECT l_orderkey AS item, bool_or(lower(p_name) IN ('small ring', 'hot gear')) AS known FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def gate6_module_names(t: Tables) -> DataFrame:
+    """The gate's own test of module names, with every name of the fixed list standing for itself."""
+    names = t.symbols().groupBy("item").agg(F.collect_set(F.when(F.col("symbol") == "small ring", "NTOSKRNL.exe").when(F.col("symbol") == "hot gear", "msrpc.sys").otherwise("user32.dll")).alias("modules"))
+    none = F.array().cast("array<struct<name: string, raw_ptr: double, raw_size: double, executable: boolean, entropy: double>>")
+    heads = names.withColumns({"size": F.lit(1), "machine": F.lit(1), "subsystem": F.lit(1), "has_signature": F.lit(True), "sections": none})
+    return gate.gate(heads, heads.filter("false")).select("item", F.col("reason").isNull().alias("known"))
+
+
+@query(f"WITH {_GATE} SELECT item, reason, reason_detail, nullif(size, 0) AS size_bytes FROM d WHERE reason IS NOT NULL")
+def gate9_rejected_rows(t: Tables) -> DataFrame:
+    return gate.rejected_rows(_gated(t))
+
+
 @query(f"WITH {_GATE} SELECT reason, count(*) AS n FROM g WHERE reason IS NOT NULL GROUP BY 1")
 def agg10_rejections(t: Tables) -> DataFrame:
     return gate.rejections_by_reason(_gated(t))
@@ -528,15 +563,16 @@ def cln3_pick_cve(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", C.pick_cve(cves, tags).alias("cve"))
 
 
-@query("SELECT doc_id AS ref_id, CASE WHEN doc_id % 2 = 0 THEN 'CVE-2024-1234' END AS cve FROM documents WHERE doc_id % 5 <> 0")
+@query("SELECT doc_id AS ref_id, CASE WHEN n_chars > 1000 THEN 'CVE-2024-1234' END AS cve FROM documents WHERE lang <> 'de'")
 def cln4_project_clones(t: Tables) -> DataFrame:
-    rows = t.documents.select(F.when(F.col("doc_id") % 5 != 0, F.col("doc_id")).alias("ref_id"), F.when(F.col("doc_id") % 2 == 0, "CVE-2024-1234").otherwise("CVE-2024-12x").alias("cve"))
+    rows = t.documents.select(F.when(F.col("lang") != "de", F.col("doc_id")).alias("ref_id"), F.when(F.col("n_chars") > 1000, "CVE-2024-1234").otherwise("CVE-2024-12x").alias("cve"))
     return clones.project_clones(rows, strict=True)
 
 
-@query(None)
+@query(f"WITH {_CLONES}, h AS (SELECT item, string_agg(ref_id || ':' || similarity, ',' ORDER BY ref_id::VARCHAR, similarity) AS hits FROM (SELECT item, ref_id, similarity FROM exact UNION ALL SELECT item, ref_id, similarity FROM fam) GROUP BY 1) SELECT doc_id AS item, 'computed' AS status, coalesce(hits, '') AS hits FROM items LEFT JOIN h ON h.item = doc_id")
 def cln5_clone_status(t: Tables) -> DataFrame:
-    return clones.clone_status(*_clone_tables(t))
+    hits = F.transform("hits", lambda x: F.concat_ws(":", x["ref_id"], x["similarity"].cast("string")))
+    return clones.clone_status(*_clone_tables(t)).withColumn("hits", F.array_join(hits, ","))
 
 
 @query("SELECT l_orderkey AS item, md5(string_agg(lower(p_type) || '.' || lower(p_name), ',' ORDER BY l_linenumber, l_partkey, l_suppkey)) AS family FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
@@ -547,15 +583,24 @@ def cln6_family_key(t: Tables) -> DataFrame:
 def _ioctls(t: Tables) -> DataFrame:
     calls = t.imports().groupBy("item").agg(F.array_sort(F.collect_list(F.struct("ordinal", "symbol")))["symbol"].alias("api_calls"))
     method = F.when(F.col("item") % 2 == 0, "METHOD_NEITHER").otherwise("METHOD_BUFFERED")
-    return calls.select("item", F.lit(0).alias("pos"), method.alias("method"), "api_calls", F.array().cast("array<string>").alias("risk_factors"), F.array(F.lit("Length check"), F.when(F.col("item") % 3 == 0, "ProbeForRead").otherwise("none")).alias("security_checks"))
+    check = F.when(F.col("item") % 3 == 0, "calls ProbeForRead").when(F.col("item") % 3 == 1, "input length compared").otherwise("SeDebug wanted")
+    many = F.when(F.size("api_calls") > 6, F.array(F.lit("many calls")))
+    return calls.select("item", F.lit(0).alias("pos"), method.alias("method"), "api_calls", F.array().cast("array<string>").alias("risk_factors"), many.alias("primitives"), F.array(F.lit("check"), check).alias("security_checks"))
 
 
-_SINKS = f"{_DIM}, sinks AS (SELECT l_orderkey AS item, string_agg(p_name, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS sinks FROM lineitem JOIN part ON l_partkey = p_partkey JOIN dim ON lower(p_name) = symbol_lower GROUP BY 1)"
+_SINKS = f"""{_DIM}, calls AS (SELECT l_orderkey AS item, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+known AS (SELECT l_orderkey AS item, string_agg(p_name || ':' || category || ':' || severity, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS sinks, string_agg(p_name, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS names,
+string_agg(DISTINCT category, ',' ORDER BY category) AS categories FROM lineitem JOIN part ON l_partkey = p_partkey JOIN dim ON lower(p_name) = symbol_lower GROUP BY 1),
+sinks AS (SELECT item, coalesce(sinks, '') AS sinks, coalesce(names, '') AS names, coalesce(categories, '') AS categories, n > 6 AS many, CASE WHEN item % 2 = 0 THEN 'METHOD_NEITHER' ELSE 'METHOD_BUFFERED' END AS method FROM calls LEFT JOIN known USING (item))"""
+_MISSING = f"""{_SINKS}, e AS (SELECT *, CASE item % 3 WHEN 0 THEN 'ProbeForRead' WHEN 1 THEN 'input_length_check' ELSE 'caller_privilege_check' END AS present,
+list_distinct(list_concat(CASE WHEN sinks <> '' THEN ['input_length_check', 'caller_privilege_check'] ELSE []::VARCHAR[] END, CASE WHEN method = 'METHOD_NEITHER' THEN ['ProbeForRead', 'ProbeForWrite', 'input_length_check'] ELSE []::VARCHAR[] END)) AS expected FROM sinks),
+m AS (SELECT item, method, names, list_sort(list_filter(expected, lambda x: x <> present)) AS missing FROM e)"""
 
 
-@query(f"WITH {_SINKS} SELECT item, sinks FROM sinks")
+@query(f"WITH {_SINKS} SELECT item, sinks, categories, CASE method WHEN 'METHOD_NEITHER' THEN 'IRP->UserBuffer / Type3InputBuffer (raw, unvalidated user pointers)' ELSE 'IRP->AssociatedIrp.SystemBuffer' END AS source FROM sinks WHERE sinks <> '' OR many")
 def rpt1_sink_hints(t: Tables) -> DataFrame:
-    return reports.sink_hints(_ioctls(t), match.symbol_dim(t.spark, CATALOG)).select("item", F.array_join("sinks", ",").alias("sinks"))
+    text = F.transform("sinks", lambda x: F.concat_ws(":", x["name"], x["category"], x["severity"]))
+    return reports.sink_hints(_ioctls(t), match.symbol_dim(t.spark, CATALOG)).select("item", F.array_join(text, ",").alias("sinks"), F.array_join("sink_categories", ",").alias("categories"), "source")
 
 
 @query(f"WITH {_DIM} SELECT DISTINCT l_orderkey AS item, p_name AS function, category, severity FROM lineitem JOIN part ON l_partkey = p_partkey JOIN dim ON lower(p_name) = symbol_lower WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
@@ -565,10 +610,21 @@ def rpt2_unresolved_hints(t: Tables) -> DataFrame:
     return reports.unresolved_hints(found, ioctls, match.symbol_dim(t.spark, CATALOG)).select("item", "function", "category", "severity")
 
 
-@query(f"WITH {_SINKS} SELECT item, CASE WHEN item % 2 = 0 AND item % 3 = 0 THEN 'access_check,seh,sink_guard' WHEN item % 2 = 0 THEN 'access_check,probe,seh,sink_guard' ELSE 'access_check,sink_guard' END AS missing FROM sinks")
+@query(f"WITH {_MISSING} SELECT item, array_to_string(missing, ',') AS missing, CASE WHEN names <> '' THEN method || ' reaches ' || names || ' without ' ELSE method || ' takes raw user pointers without ' END || array_to_string(missing, ', ') AS reason FROM m WHERE len(missing) > 0")
 def rpt5_gaps(t: Tables) -> DataFrame:
-    hints = reports.sink_hints(_ioctls(t), match.symbol_dim(t.spark, CATALOG))
-    return reports.gap_rows(hints).select("item", F.array_join("missing", ",").alias("missing"))
+    return reports.gap_rows(reports.classified(_ioctls(t), match.symbol_dim(t.spark, CATALOG))).select("item", F.array_join("missing", ",").alias("missing"), "reason")
+
+
+@query("SELECT doc_id, array_to_string(list_filter([CASE WHEN contains(t, 'input') THEN 'input_length_check' END, CASE WHEN contains(t, 'the') THEN 'caller_privilege_check' END], lambda x: x IS NOT NULL), ',') AS present FROM (SELECT doc_id, lower(text) AS t FROM documents)")
+def rpt3_present_checks(t: Tables) -> DataFrame:
+    lines = F.array(F.when(F.contains(F.lower("text"), F.lit("input")), "Input Buffer of some length").otherwise("nothing"), F.when(F.contains(F.lower("text"), F.lit("the")), "an Administrator").otherwise("nothing"))
+    return t.documents.select("doc_id", F.array_join(C.present_checks(lines), ",").alias("present"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_custkey % 2 = 0 THEN 'input_length_check,caller_privilege_check,ProbeForRead,ProbeForWrite' WHEN o_orderstatus = 'F' THEN 'ProbeForRead,ProbeForWrite,input_length_check' WHEN o_custkey % 2 = 0 THEN 'input_length_check,caller_privilege_check' ELSE '' END AS expected FROM orders")
+def rpt4_expected_checks(t: Tables) -> DataFrame:
+    method = F.when(F.col("o_orderstatus") == "F", "METHOD_NEITHER")
+    return t.orders.select("o_orderkey", F.array_join(C.expected_checks(method, F.col("o_custkey") % 2 == 0), ",").alias("expected"))
 
 
 @query("SELECT c_custkey AS item, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n_orders, (SELECT count(*) FROM events WHERE user_id = c_custkey) AS n_events FROM customer")
@@ -576,16 +632,26 @@ def rpt6_hint_counts(t: Tables) -> DataFrame:
     return reports.hint_counts(t.customer.select(F.col("c_custkey").alias("item")), n_orders=t.orders.select(F.col("o_custkey").alias("item")), n_events=t.events.select(F.col("user_id").alias("item")))
 
 
-@query(None)
+@query(f"WITH {_MATCHES} SELECT o_orderkey AS item, o_orderstatus AS status, '20240101T000000Z-alpha' AS run_id, 'bundles/' || o_orderkey || '/20240101T000000Z-alpha' AS bundle_path, coalesce(array_to_string(scopes, ','), '') AS scopes, ranked[1] AS best FROM orders LEFT JOIN m ON m.item = o_orderkey")
 def rpt7_index_rows(t: Tables) -> DataFrame:
     run = {"run_id": "20240101T000000Z-alpha", "scope_profile": "alpha", "generated_at": "2024-01-01T00:00:00Z"}
-    return reports.index_rows(t.orders.select(F.col("o_orderkey").alias("item"), "o_orderstatus"), run, match.scope_matches(t.ranks()))
+    rows = reports.index_rows(t.orders.select(F.col("o_orderkey").alias("item"), "o_orderstatus"), run, match.scope_matches(t.ranks()))
+    matches = F.col("signals.matches")
+    return rows.select("identity.item", F.col("identity.o_orderstatus").alias("status"), "run.run_id", "run.bundle_path", F.coalesce(F.array_join(matches["scope"], ","), F.lit("")).alias("scopes"), F.get(matches, F.lit(0))["rank"].alias("best"))
 
 
-@query(f"WITH {_SYMBOLS} SELECT item, CASE WHEN bool_or(regexp_matches(symbol, 'gear')) AND bool_or(regexp_matches(symbol, '^red')) THEN 'drive,red' WHEN bool_or(regexp_matches(symbol, 'gear')) THEN 'drive' WHEN bool_or(regexp_matches(symbol, '^red')) THEN 'red' ELSE 'generic' END AS buckets FROM symbols GROUP BY item")
+@query(f"""WITH {_SYMBOLS}, n AS (SELECT item, CASE WHEN contains(symbol, 'gear') THEN '\\Device\\USBpad' WHEN contains(symbol, 'ring') THEN 'SCSIPort' WHEN contains(symbol, 'bolt') THEN '\\Device\\physicalmemory' WHEN contains(symbol, 'plate') THEN '\\DosDevices\\Mouse' ELSE 'other' END AS name FROM symbols)
+SELECT item, coalesce(string_agg(DISTINCT class, ',' ORDER BY class), 'generic') AS classes FROM n LEFT JOIN (VALUES ('\\Device\\USBpad', 'usb'), ('SCSIPort', 'disk'), ('\\Device\\physicalmemory', 'memory'), ('\\DosDevices\\Mouse', 'hid')) c(name, class) USING (name) GROUP BY item""")
 def rpt8_device_buckets(t: Tables) -> DataFrame:
-    names = t.symbols().groupBy("item").agg(F.collect_set("symbol").alias("names"))
-    return names.select("item", F.array_join(C.device_buckets(F.col("names"), {"drive": "GEAR", "red": "^red"}), ",").alias("buckets"))
+    has = lambda x: F.contains("symbol", F.lit(x))
+    name = F.when(has("gear"), "\\Device\\USBpad").when(has("ring"), "SCSIPort").when(has("bolt"), "\\Device\\physicalmemory").when(has("plate"), "\\DosDevices\\Mouse").otherwise("other")
+    names = t.symbols().groupBy("item").agg(F.collect_set(name).alias("names"))
+    return names.select("item", F.array_join(C.device_buckets(F.col("names")), ",").alias("classes"))
+
+
+@query("SELECT doc_id, CASE quality WHEN 1 THEN 'signed' WHEN 0 THEN 'unsigned' ELSE 'unknown' END AS status FROM documents LEFT JOIN labels USING (doc_id)")
+def rpt9_collected_status(t: Tables) -> DataFrame:
+    return t.documents.join(t.labels, "doc_id", "left").select("doc_id", C.collected_signature_status(F.col("quality") == 1).alias("status"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'unsigned' WHEN o_custkey % 2 = 0 THEN 'expired' ELSE 'signed' END AS status, CASE o_orderpriority WHEN '2-HIGH' THEN 3 WHEN '5-LOW' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 0 END::BIGINT AS severity FROM orders")
@@ -593,9 +659,9 @@ def rpt9_signature_status(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", C.signature_status(F.col("o_orderstatus") != "O", F.col("o_custkey") % 2 == 0).alias("status"), C.severity_order(F.regexp_extract("o_orderpriority", "-(.*)", 1)).alias("severity"))
 
 
-@query(f"WITH {_SYMBOLS} SELECT item, string_agg(symbol, ',' ORDER BY symbol) AS symbols FROM symbols WHERE item % 2 = 0 GROUP BY item")
+@query(f"WITH {_SYMBOLS} SELECT item, string_agg(symbol, ',' ORDER BY symbol) AS symbols FROM symbols WHERE contains(symbol, 'bolt') GROUP BY item")
 def rpt10_dangerous_from_findings(t: Tables) -> DataFrame:
-    title = F.concat(F.when(F.col("item") % 2 == 0, "Dangerous import: ").otherwise("Note: "), F.col("symbol"))
+    title = F.concat(F.when(F.contains("symbol", F.lit("bolt")), "Dangerous import: ").otherwise("Note: "), F.col("symbol"))
     return reports.dangerous_from_findings(t.symbols().select("item", title.alias("title"))).withColumn("symbols", F.array_join("symbols", ","))
 
 
@@ -613,6 +679,22 @@ def rpt12_one_liners(t: Tables) -> DataFrame:
     return reports.one_liners(t.ranks()).select("item", "one_liner")
 
 
+@query(f"""WITH {_RANKS}, k AS (SELECT item, string_agg('- ' || symbol, chr(10) ORDER BY symbol) AS symbols FROM known GROUP BY 1), x AS (SELECT item, string_agg('- ' || scope || ': ' || rank, chr(10) ORDER BY rank DESC, scope) AS scopes FROM ranks WHERE qualifies GROUP BY 1)
+SELECT o_orderkey AS item, '# ' || o_orderkey || chr(10) || chr(10) || '## Scopes' || chr(10) || coalesce(scopes, '_(none)_') || chr(10) || chr(10) || '## Symbols' || chr(10) || coalesce(symbols, '_(none)_') AS summary FROM orders LEFT JOIN x ON x.item = o_orderkey LEFT JOIN k ON k.item = o_orderkey""")
+def rpt12_item_summaries(t: Tables) -> DataFrame:
+    symbols = match.match_symbols(t.symbols(), match.symbol_dim(t.spark, CATALOG)).groupBy("item").agg(F.array_sort(F.collect_set("symbol")).alias("symbols"))
+    items = t.orders.select(F.col("o_orderkey").alias("item")).join(match.scope_matches(t.ranks()), "item", "left").join(symbols, "item", "left")
+    return reports.item_summaries(items)
+
+
+@query("""WITH h AS (SELECT l_orderkey AS item, l_linenumber AS fn, l_returnflag AS code, p_name AS symbol FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT DISTINCT item, fn, 'handlers_dispatched_from_matching_ioctl' AS selector FROM h WHERE regexp_matches(code, '^[AR]') UNION ALL SELECT DISTINCT item, fn, 'functions_calling_any_of_must_have_one' FROM h WHERE symbol IN ('red bolt', 'hot gear')""")
+def rpt13_select_functions(t: Tables) -> DataFrame:
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    handlers = rows.select(F.col("l_orderkey").alias("item"), F.col("l_linenumber").alias("fn"), F.col("l_returnflag").alias("code"), F.col("p_name").alias("symbol"))
+    return reports.select_functions(handlers, ["^[AR]"], PROFILES["alpha"]["must_have_one"])
+
+
 @query("""WITH RECURSIVE c AS (SELECT user_id AS item, event_id AS caller, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS callee FROM events),
 r AS (SELECT user_id AS item, event_id AS fn, 0 AS d FROM events WHERE event_type = 'purchase' UNION SELECT c.item, caller, d + 1 FROM c JOIN r ON r.item = c.item AND r.fn = callee WHERE d < 3)
 SELECT DISTINCT item, fn FROM r""")
@@ -626,12 +708,14 @@ def rpt13_promote_functions(t: Tables) -> DataFrame:
 # Triage ------------------------------------------------------------------------------------------
 
 _TRIAGE = f"""{_RANKS}, own AS (SELECT item, rank FROM ranks WHERE scope = 'alpha' AND qualifies), hit AS (SELECT item, string_agg(symbol, ',' ORDER BY symbol) AS symbols_hit FROM symbols WHERE symbol IN ('old bolt', 'blue gear') GROUP BY 1),
-cand AS (SELECT item, coalesce(rank, 0) AS rank, coalesce(symbols_hit, '') AS symbols_hit, CASE WHEN item IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') THEN 'already_analyzed_deep' ELSE 'needs_deep_rerun' END AS status FROM own FULL JOIN hit USING (item))"""
+clone AS (SELECT DISTINCT c_custkey AS item FROM customer JOIN orders ON o_orderkey = c_custkey),
+cand AS (SELECT item, coalesce(rank, 0) AS rank, coalesce(symbols_hit, '') AS symbols_hit, CASE WHEN item IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') THEN 'already_analyzed_deep' ELSE 'needs_deep_rerun' END AS status FROM own FULL JOIN hit USING (item) FULL JOIN clone USING (item))"""
 
 
 def _triaged(t: Tables) -> DataFrame:
     index = t.orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("item"), F.lit("alpha").alias("scope"))
-    return triage.triage(t.ranks(), t.symbols(), index, "alpha", ["old bolt", "blue gear"])
+    cloned = t.orders.join(t.customer, F.col("o_orderkey") == F.col("c_custkey")).select(F.col("c_custkey").alias("item"))
+    return triage.triage(t.ranks(), t.symbols(), index, "alpha", ["old bolt", "blue gear"], cloned)
 
 
 @query(f"WITH {_TRIAGE} SELECT * FROM cand")
@@ -639,6 +723,11 @@ def tri1_triage(t: Tables) -> DataFrame:
     return _triaged(t).select("item", "rank", F.array_join("symbols_hit", ",").alias("symbols_hit"), "status")
 
 
+@query("SELECT count(*) AS rows_scanned, count(DISTINCT user_id) AS rows_after_dedup FROM events")
+def tri1_scan_counts(t: Tables) -> DataFrame:
+    return triage.scan_counts(t.events, "user_id")
+
+
 @query(f"WITH {_TRIAGE} SELECT item, scope, rank FROM ranks WHERE scope = 'beta' AND qualifies AND item NOT IN (SELECT item FROM own)")
 def tri2_near_misses(t: Tables) -> DataFrame:
     ranked = t.ranks()
@@ -662,10 +751,22 @@ def tri5_recompute(t: Tables) -> DataFrame:
     return triage.recompute(t.customer.select(F.col("c_custkey").alias("item")), t.orders.filter("o_totalprice > 250000").select(F.col("o_custkey").alias("item")), rebuild=False)
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40) AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
-def tri6_work_list(t: Tables) -> DataFrame:
+def _work(t: Tables) -> list[DataFrame]:
     key = lambda cond: t.lineitem.filter(cond).select(F.col("l_orderkey").alias("o_orderkey"))
-    return triage.work_list(t.orders.select("o_orderkey"), "o_orderkey", t.orders.filter("o_orderkey % 3 = 0").select("o_orderkey"), key("l_quantity > 40"), key("l_returnflag = 'R'"))
+    return [t.orders.filter("o_orderpriority <> '5-LOW'").select("o_orderkey"), key("l_quantity > 40"), key("l_returnflag = 'R'")]
+
+
+_STEPS = "s AS (SELECT o_orderpriority <> '5-LOW' AS a, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 40) AS b, o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AS c, o_orderkey FROM orders)"
+
+
+@query(f"WITH {_STEPS} SELECT o_orderkey FROM s WHERE a AND b AND c")
+def tri6_work_list(t: Tables) -> DataFrame:
+    return triage.work_list(t.orders.select("o_orderkey"), "o_orderkey", *_work(t))
+
+
+@query(f"WITH {_STEPS} SELECT 'keys' AS step, count(*) AS n_before, count(*) FILTER (a) AS n_after FROM s UNION ALL SELECT 'shortlist', count(*) FILTER (a), count(*) FILTER (a AND b) FROM s UNION ALL SELECT 'done', count(*) FILTER (a AND b), count(*) FILTER (a AND b AND c) FROM s")
+def tri6_work_list_counts(t: Tables) -> DataFrame:
+    return triage.work_list_counts(t.orders.select("o_orderkey"), "o_orderkey", *_work(t))
 
 
 # Scalars and sets --------------------------------------------------------------------------------
@@ -684,12 +785,23 @@ def scl2_urls(t: Tables) -> DataFrame:
     return t.pages.select("page_id", C.absolute_url(u, "https://a.example").alias("full_url"), C.query_parameter(u, "ref").alias("ref"), C.host(u).alias("host"), C.base_name(u).alias("base"), C.unit_key(u).alias("unit_key"))
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(regexp_replace(url, '[?#].*$', ''), '[^/]*$'), '\\.[A-Za-z0-9]+$', ''), '[-_]+', ' ', 'g')) AS title FROM pages")
+@query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'A b ' || page_id ELSE url END AS title FROM pages")
 def scl5_title_of_slug(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", C.title_of_slug(F.col("url")).alias("title"))
+    landing = F.concat(F.lit("https://h.example/_7/Download-A%20b-"), F.col("page_id").cast("string"), F.lit("-free"))
+    return t.pages.select("page_id", C.title_of_slug(F.when(F.col("page_id") % 2 == 0, landing).otherwise(F.col("url"))).alias("title"))
 
 
-@query("SELECT p_partkey, CAST(floor((p_size + 0.5) * 1048576) AS BIGINT) AS bytes, replace(p_name, ' ', '_') AS slug, CASE p_size % 3 WHEN 0 THEN 'x86' WHEN 1 THEN 'x64' ELSE 'unknown' END AS arch, left(p_name, 5) AS short FROM part")
+@query("SELECT page_id, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS token FROM pages")
+def scl4_token(t: Tables) -> DataFrame:
+    return t.pages.select("page_id", C.token(F.replace("url", F.lit("utm_source="), F.lit("t="))).alias("token"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE '' END AS tags FROM orders")
+def scl15_or_empty(t: Tables) -> DataFrame:
+    return t.orders.select("o_orderkey", F.array_join(C.or_empty(F.when(F.col("o_orderstatus") == "F", F.array("o_orderpriority"))), ",").alias("tags"))
+
+
+@query("SELECT p_partkey, CAST(floor((p_size + 0.5) * 1048576) AS BIGINT) AS bytes, replace(p_name, ' ', '_') AS slug, CASE p_size % 3 WHEN 0 THEN 'x86' WHEN 1 THEN 'x64' END AS arch, left(p_name, 5) AS short FROM part")
 def scl7_scalars(t: Tables) -> DataFrame:
     machine = F.when(F.col("p_size") % 3 == 0, 0x14C).when(F.col("p_size") % 3 == 1, 0x8664).otherwise(1)
     return t.part.select("p_partkey", C.size_bytes(F.concat(F.col("p_size").cast("string"), F.lit(".5 MB"))).alias("bytes"), C.slug(F.concat(F.lit("--"), F.col("p_name"), F.lit("!"))).alias("slug"), C.arch(machine).alias("arch"), C.truncate(F.col("p_name"), 5).alias("short"))
@@ -700,11 +812,13 @@ def scl11_run_id(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", C.run_id(F.col("o_orderdate"), "alpha").alias("run_id"), C.iso_utc(F.col("o_orderdate")).alias("iso"))
 
 
-@query("SELECT p_partkey, p_name || '|' || p_type AS parts, CASE WHEN p_type = 'PROMO' THEN 'mirror' ELSE 'unknown' END AS tier, CASE WHEN p_size = 1 THEN 'NTSTATUS DriverEntry(PDRIVER_OBJECT, PUNICODE_STRING)' ELSE 'void ' || p_name || '(...)' END AS signature FROM part")
+@query("""SELECT p_partkey, p_name || '|' || p_type AS parts, CASE WHEN p_size < 10 THEN 'first_party' WHEN p_size < 20 THEN 'mirror' WHEN p_size < 25 THEN 'aggregator' WHEN p_size < 30 THEN 're_host' WHEN p_size < 35 THEN 'embedded' ELSE 'unknown' END AS tier,
+CASE WHEN p_size = 1 THEN 'NTSTATUS DriverEntry(PDRIVER_OBJECT, PUNICODE_STRING)' WHEN p_size < 20 THEN 'NTSTATUS (PDEVICE_OBJECT DeviceObject, PIRP Irp)' END AS signature FROM part""")
 def scl12_lists(t: Tables) -> DataFrame:
-    raw = F.concat(F.col("p_name"), F.lit("; ,"), F.col("p_type"), F.lit(";"))
-    name = F.when(F.col("p_size") == 1, "DriverEntry").otherwise(F.col("p_name"))
-    return t.part.select("p_partkey", F.array_join(C.split_list(raw), "|").alias("parts"), C.trust_tier(F.when(F.col("p_type") == "PROMO", "mirror").otherwise("x")).alias("tier"), C.signature_text(name).alias("signature"))
+    raw, size = F.concat(F.col("p_name"), F.lit("; ,"), F.col("p_type"), F.lit(";")), F.col("p_size")
+    kind = F.when(size < 10, "dell-oem-catalog").when(size < 20, "techpowerup-mirror").when(size < 25, "aggregator-rehost").when(size < 30, "samlab-rehost").when(size < 35, "cpuid-embedded").otherwise("x")
+    name = F.when(size < 20, F.concat(F.lit("IRP_MJ_"), "p_name")).otherwise(F.col("p_name"))
+    return t.part.select("p_partkey", F.array_join(C.split_list(raw), "|").alias("parts"), C.trust_tier(kind).alias("tier"), C.signature_text(name, size == 1).alias("signature"))
 
 
 @query(f"WITH {_SYMBOLS}, {_DIM} SELECT item, string_agg(symbol, ',' ORDER BY symbol) AS symbols FROM symbols JOIN dim ON lower(symbol) = symbol_lower GROUP BY item")
@@ -718,14 +832,14 @@ def scl13_catalogued(t: Tables) -> DataFrame:
 SELECT l_orderkey, array_to_string(list_sort(list_intersect(f, ['A', 'R'])), ',') AS both, array_to_string(list_sort(list_filter(['A', 'N', 'R'], lambda x: NOT list_contains(f, x))), ',') AS missing, array_to_string(list_sort(list_distinct(list_concat(f, ['Z']))), ',') AS every FROM s""")
 def set1_arrays(t: Tables) -> DataFrame:
     lit = lambda *x: F.array(*map(F.lit, x))
-    join = lambda c: F.array_join(F.array_sort(c), ",")
     s = t.lineitem.groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("f"))
-    return s.select("l_orderkey", join(F.array_intersect("f", lit("A", "R"))).alias("both"), join(F.array_except(lit("A", "N", "R"), "f")).alias("missing"), join(F.array_union("f", lit("Z"))).alias("every"))
+    both, missing, every = C.common(F.col("f"), lit("A", "R")), C.lacking(lit("A", "N", "R"), F.col("f")), C.united(F.col("f"), lit("Z"))
+    return s.select("l_orderkey", *(F.array_join(c, ",").alias(k) for k, c in (("both", both), ("missing", missing), ("every", every))))
 
 
 @query("SELECT o_custkey AS key FROM orders UNION SELECT user_id FROM events")
 def set4_union_distinct(t: Tables) -> DataFrame:
-    return t.orders.select(F.col("o_custkey").alias("key")).union(t.events.select("user_id")).distinct()
+    return dedup.union_distinct(t.orders.select(F.col("o_custkey").alias("key")), t.events.select(F.col("user_id").alias("key")))
 
 
 # Data quality ------------------------------------------------------------------------------------
@@ -749,3 +863,29 @@ def dq6_summary(t: Tables) -> DataFrame:
 def dq8_rank_regressions(t: Tables) -> DataFrame:
     ranked = t.ranks().select("item", "scope", "rank")
     return quality.rank_regressions(ranked, ranked.withColumn("rank", F.col("rank") - F.col("item") % 2))
+
+
+_KINDS = [
+    *quality.weight_rules(),
+    quality.Rule("name", "min_length", 9), quality.Rule("name", "max_length", 10), quality.Rule("name", "const", "red bolt", "warn"),
+    quality.Rule("tags", "min_items", 2), quality.Rule("tags", "max_items", 2), quality.Rule("tags", "unique"), quality.Rule("at", "utc"),
+]
+
+
+@query("""WITH p AS (SELECT p_partkey AS key, p_name AS name, p_size - 5 AS w, nullif(p_size, 1) AS x, len(p_type) AS n FROM part)
+SELECT key, 'must_have_one' AS path, 'minimum' AS rule, 'error' AS severity FROM p WHERE w < 0 UNION ALL SELECT key, 'clone_hit', 'required', 'error' FROM p WHERE x IS NULL
+UNION ALL SELECT key, 'name', 'min_length', 'error' FROM p WHERE length(name) < 9 UNION ALL SELECT key, 'name', 'max_length', 'error' FROM p WHERE length(name) > 10 UNION ALL SELECT key, 'name', 'const', 'warn' FROM p WHERE name <> 'red bolt'
+UNION ALL SELECT key, 'tags', 'min_items', 'error' FROM p WHERE w < 5 UNION ALL SELECT key, 'tags', 'max_items', 'error' FROM p WHERE w >= 20 UNION ALL SELECT key, 'tags', 'unique', 'error' FROM p WHERE w >= 20 UNION ALL SELECT key, 'at', 'utc', 'error' FROM p WHERE w >= 30""")
+def dq7_rule_kinds(t: Tables) -> DataFrame:
+    """All seven weights of a profile, and the kinds of rules that dq1 doesn't use."""
+    size, one = F.col("p_size") - 5, F.lit(1)
+    tags = F.when(size < 5, F.array("p_name")).when(size < 20, F.array("p_name", "p_type")).otherwise(F.array("p_name", "p_type", "p_name"))
+    weights = {w: one for w in quality.WEIGHTS} | {"must_have_one": size, "clone_hit": F.nullif("p_size", F.lit(1))}
+    rows = t.part.withColumns({"key": F.col("p_partkey"), "name": F.col("p_name"), "tags": tags, "at": F.when(size < 30, "2024-01-01T00:00:00Z").otherwise("2024-01-01"), **weights})
+    return quality.violations(rows, "key", _KINDS).drop("value")
+
+
+@query("SELECT 'profiles/' || p_name || '.yaml' AS path, p_type AS name, p_name AS stem, 'warn' AS severity FROM part WHERE p_size > 25 AND p_type <> p_name")
+def dq4_name_mismatches(t: Tables) -> DataFrame:
+    files = t.part.select(F.concat(F.lit("profiles/"), "p_name", F.lit(".yaml")).alias("path"), F.when(F.col("p_size") > 25, F.col("p_type")).otherwise(F.col("p_name")).alias("name"))
+    return quality.name_mismatches(files, "path", "name")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ironsift.operators.dedup import latest_per_key
 from ironsift.operators.match import fingerprint
+from ironsift.sources.tables import audit_lines
 
 
 def start_fingerprint(items: DataFrame, catalog: list[str], profiles: dict[str, dict], sink: str, checkpoint: str) -> StreamingQuery:
@@ -27,9 +29,9 @@ def new_to_store(store: str, key: str) -> Callable[[DataFrame, int], None]:
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         try:
-            known = spark.read.parquet(store).filter(F.col("batch_id") != batch_id)
+            known = spark.read.parquet(store).filter(F.col("batch_id") != batch_id).select(key)
             batch = batch.join(known, key, "left_anti")
-        except Exception as e:  # the store has no table yet
+        except AnalysisException as e:  # the store has no table yet
             if "PATH_NOT_FOUND" not in str(e):
                 raise
         batch.dropDuplicates([key]).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store)
@@ -37,18 +39,38 @@ def new_to_store(store: str, key: str) -> Callable[[DataFrame, int], None]:
     return step
 
 
-def latest_view(view: str, keys: list[str], ts: str, seq: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch step: the latest row of each key, one version of the view for each batch."""
+def latest_view(view: str, keys: list[str], ts: str, seq: str, compact: int = 20) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch step: the latest row of each key of the batch, appended under the batch's id (a repeat replaces it). Each
+    compact-th batch folds all so far into a base, so that the cost of a batch follows its rows and not the view's."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id:
-            rows = rows.unionByName(batch.sparkSession.read.parquet(f"{view}/{batch_id - 1}"))
-        latest_per_key(rows, keys, ts, seq).write.mode("overwrite").parquet(f"{view}/{batch_id}")
+        latest_per_key(batch, keys, ts, seq).write.mode("overwrite").parquet(f"{view}/log/batch_id={batch_id}")
+        if batch_id % compact == compact - 1:
+            read_latest(batch.sparkSession, view, keys, ts, seq).write.mode("overwrite").parquet(f"{view}/base/upto={batch_id}")
 
     return step
 
 
+def read_latest(spark: SparkSession, view: str, keys: list[str], ts: str, seq: str) -> DataFrame:
+    """The latest row of each key: the newest base, and the batches after it."""
+    rows = spark.read.parquet(f"{view}/log")
+    try:
+        base = spark.read.parquet(f"{view}/base")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return latest_per_key(rows.drop("batch_id"), keys, ts, seq)
+    upto = base.agg(F.max("upto")).first()[0]
+    return latest_per_key(rows.filter(F.col("batch_id") > upto).drop("batch_id").unionByName(base.filter(F.col("upto") == upto).drop("upto")), keys, ts, seq)
+
+
+def rows_and_rejects(lines: DataFrame, schema: str, rows: str, rejects: str, checkpoint: str) -> tuple[StreamingQuery, StreamingQuery]:
+    """Rows of a stream of JSON lines, and a dead letter of the lines that are none; a bad line never stops the stream."""
+    start = lambda df, path, name: df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True).start()
+    good, bad = audit_lines(lines, schema)
+    return start(good, rows, "rows"), start(bad, rejects, "rejects")
+
+
 def live_totals(items: DataFrame, source: str) -> DataFrame:
     return items.groupBy(source).agg(F.count("*").alias("n"))
 
