@@ -34,14 +34,14 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     tables = Kept(links.sparkSession)
     links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     links = tables.keep(links, "links")
-    state = _state(links)
+    state = None
     while True:
-        middle = tables.keep(_step(links, True, tables), "links")
+        before, middle = state, tables.keep(_step(links, True, tables), "links")
+        state = _state(middle)
+        if state == before and middle.groupBy("u").count().filter("count > 1").isEmpty():  # every node is linked to its root alone
+            break
         after = tables.keep(_step(middle, False, tables), "links")
         tables.drop(links, middle)
-        links, now = after, _state(after)
-        if now == state:
-            break
-        state = now
+        links, state = after, _state(after)
     root = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return root.union(root.select("root", "root").distinct())

@@ -13,12 +13,12 @@ inequality and recursion. Equal sets are one node from the start; all that follo
 * The nodes of large open regions (passages that many documents share) join again among themselves, now in the order
   of the exact number of nodes that hold each shingle: shared passages come last and open no region but for nodes that
   consist of them.
-* Regions that are still large are in a dense part of the space, and are joined recursively by distance. Each takes several
-  pivots and every node is measured against them; the nodes within 0.2 of a pivot are its ball and are linked to it. A node
+* Regions that are still large are in a dense part of the space, and are joined recursively by distance. Each takes
+  pivots, first the node in its middle, and every node is measured against them; the nodes within 0.2 of a pivot are its ball and are linked to it. A node
   between 0.2 and 0.4 from a pivot is on the boundary and is replicated to that pivot's region, where it meets the
   nodes of the ball in the window of the triangle inequality: where its distance (or a lower bound of it) exceeds
-  theirs by over 0.2, a link is ruled out. Nodes beyond 0.4 have no link into the ball. What lies in no ball goes to the next level, with twice as many
-  pivots, until few are left.
+  theirs by over 0.2, a link is ruled out. Nodes beyond 0.4 have no link into the ball. What lies in no ball goes to the next level, with more pivots, until
+  few are left.
 
 Parity sketches, whose Hamming distance never exceeds the symmetric difference of two sets, bound distances from below and
 spare most pairs the comparison of their texts; they rule out no link.
@@ -44,7 +44,7 @@ PERCENT = 80
 RADIUS = 1 - PERCENT / 100 + 1e-9
 NEAR = 60  # similarity in percent at twice the distance of a link
 FEW = 32  # a region of so many nodes is joined node by node
-PIVOTS = 8  # of a large region at the first level of the recursion
+PIVOTS = 8  # of a large region at the second level of the recursion; the first takes the node in the middle
 CELLS, SLICES = 22, 16  # bits of a shingle's hash that say in which cell it is counted; parts in which cells are summed
 TEXTS = 256  # so many texts are measured against one copy of a pivot's
 
@@ -173,7 +173,7 @@ def _seed_batches(batches: Iterator[pa.RecordBatch], places: Callable[[pa.Array]
         stay = leads[row]
         row, region, place = row[stay], region[stay], place[stay]
         of, size = signed(node)[row], n[row]
-        order = np.lexsort((of, region))
+        order = np.lexsort((of, place, region))
         of, size, region, place = of[order], size[order], region[order], place[order]
         at = np.flatnonzero(np.concatenate(([True], region[1:] != region[:-1]))) if len(region) else np.zeros(0, np.int64)
         held = np.diff(np.concatenate((at, [len(region)])))
@@ -190,7 +190,7 @@ def _seed_batches(batches: Iterator[pa.RecordBatch], places: Callable[[pa.Array]
 def _seeds(rows: DataFrame) -> DataFrame:
     """Rows of regions with two nodes or more, each with the pivot to measure against; and the rows without a region."""
     lead = F.col("pivot").isNull()
-    by = Window.partitionBy("key").orderBy("node")
+    by = Window.partitionBy("key").orderBy("place", "node")
     alone = (F.lead("node").over(by).isNull() & F.lag("node").over(by).isNull()) & (F.col("held") == 1)
     first = {x: F.first(x).over(by) for x in ("node", "place", "size")}
     rows = rows.withColumns({"alone": lead & alone, **{f"first_{k}": v for k, v in first.items()}}).filter(~F.col("alone"))
@@ -297,7 +297,7 @@ class _Join:
         of about TEXTS, each with one copy of a's text, so that no task holds more and no copy is made for each pair."""
         if pairs.isEmpty():
             return self.docs.sparkSession.createDataFrame([], "a long, b long, n_shared long, n_union long")
-        parts = self.tables.keep(pairs.groupBy("a").agg(F.ceil(F.count("*") / TEXTS).alias("parts")), "parts")
+        parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TEXTS).alias("parts"))
         pairs = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts"))
         texts = self.docs.select("doc_id", "text")
         others = pairs.select("a", "part", F.col("b").alias("node"), F.lit(False).alias("own"), F.col("doc_b").alias("doc_id"))
@@ -339,47 +339,57 @@ class _Join:
 
     def by_distance(self, places: DataFrame, found: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         """Links of regions that are large, by recursion over balls around pivots (see the method), and the components that they
-        make with those known. The largest component of a region is one already: pivots are taken from the other
-        nodes, which are all that can add a link."""
-        links, pivots, level = [], PIVOTS, 0
+        make with those known. The largest component of a region is one already, so that every link to be found has a node
+        outside of it. By the places of a region's shingle, the smaller set of a link has it among its first ninth (core):
+        pivots are the core nodes outside the largest component, and where none is left, its own core meets the others."""
+        links, pivots, level = [], 0, 0
         while True:
             rooted = self.tables.keep(places.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root"), "rooted")
-            parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"), F.min("node").alias("least"))
-            sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"))
-            sizes = self.tables.keep(sizes.filter("n > most").select("region", "n", "main", (F.col("n") - F.col("most")).alias("minors")), "sizes")
-            rooted = rooted.join(sizes, "region").withColumn("minor", F.col("component") != F.col("main")).drop("main")
+            core = (F.col("size") - F.col("place")) * (100 + PERCENT) >= 2 * PERCENT * F.col("size")
+            rooted = rooted.withColumn("core", core)
+            parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"), F.count_if("core").alias("cores"))
+            main = F.max_by(F.struct("component", "n", "cores"), F.struct("n", "component"))
+            sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), main.alias("m"), F.sum("cores").alias("cores")).filter("n > m.n AND cores > 0")
+            sizes = sizes.select("region", "n", F.col("m.component").alias("main"), (F.col("cores") - F.col("m.cores")).alias("minors"))
+            rooted = self.tables.keep(rooted.join(sizes, "region").withColumn("minor", F.col("component") != F.col("main")).drop("main"), "open")
             small = rooted.filter(F.col("n") <= self.few)
             new = [self.links(_apart(small, small.filter("minor"), ~F.col("x_minor") | (F.col("x_node") > F.col("y_node"))))]
-            rooted = self.tables.keep(rooted.filter(F.col("n") > self.few), "large")
+            rest = rooted.filter((F.col("n") > self.few) & (F.col("minors") == 0))
+            new.append(self.links(_apart(rest.filter("core AND NOT minor"), rest.filter("minor"), F.lit(True))))
+            rooted = rooted.filter((F.col("n") > self.few) & (F.col("minors") > 0))
             if not rooted.isEmpty():
-                least = self.tables.keep(rooted.filter("minor").groupBy("region").agg(F.min("node").alias("least")), "least")
-                chosen = rooted.filter("minor").join(least, "region").filter((F.col("node") == F.col("least")) | (F.pmod(F.xxhash64("node", F.lit(level)), "minors") < pivots))
-                chosen = self.tables.keep(chosen.select("region", F.col("node").alias("pivot"), F.col("component").alias("of")), "pivots")
-                pairs = rooted.join(chosen, "region").filter((F.col("node") != F.col("pivot")) & (F.col("minor") | (F.col("component") != F.col("of"))))
-                pairs = self.tables.keep(pairs.select("region", "node", "size", "place", "component", "minor", "pivot"), "around")
+                # The node with the least place has hardly a shingle that is rarer than those of the region: it is in the middle.
+                least = rooted.filter("minor AND core").groupBy("region").agg(F.min_by("node", F.struct("place", "node")).alias("least"))
+                drawn = F.xxhash64("node", F.lit(level)) / 2.0**64 + 0.5 < F.lit(pivots) / F.col("minors")  # of similar regions mostly the same
+                chosen = rooted.filter("minor AND core").join(least, "region").filter((F.col("node") == F.col("least")) | drawn)
+                chosen = self.tables.keep(chosen.select("region", F.col("node").alias("pivot")), "pivots")
+                pairs = rooted.join(chosen, "region").filter(F.col("node") != F.col("pivot"))
+                pairs = self.tables.keep(pairs.select("region", "node", "pivot"), "around")
                 near = self.plausible(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), NEAR)
                 new.append(self.measured(near.filter(F.col("bound") <= RADIUS)).filter(_linked()))
-                exact = new[-1].select("a", "b", (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
-                near = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("pivot"), F.col("b").alias("node"), "bound", "distance")
-                around = self.tables.keep(pairs.join(near, ["pivot", "node"]), "windows")
-                ball = around.filter(F.col("distance").isNotNull() & F.col("minor"))
-                new.append(self.links(_apart(around, ball, F.col("x_bound") <= F.col("y_distance") + RADIUS, "pivot")))
-                done = ball.select("region", "node").union(chosen.select("region", "pivot")).distinct()
-                places = self.tables.keep(rooted.join(done, ["region", "node"], "left_anti").select("region", "node", "size", "place"), "outside")
             made = reduce(DataFrame.unionByName, new)
             links.append(made)
-            if not made.isEmpty():
+            if level == 0 and not made.isEmpty():  # most links are found here, and most regions closed by them
                 roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
                 found = self.tables.keep(components(made.select("a", "b").union(roots), "a", "b"), "found")
             if rooted.isEmpty():
                 return links, found
-            pivots, level = 2 * pivots, level + 1
-
-
-def _apart(x: DataFrame, y: DataFrame, where: Column, *on: str) -> DataFrame:
-    """Pairs of nodes of a region that are in different components and may be linked; where: a condition on those with both sides alike."""
-    x, y = (t.select("region", *on, *(F.col(c).alias(f"{k}_{c}") for c in t.columns if c not in ("region", *on))) for k, t in (("x", x), ("y", y)))
-    met = x.join(y, ["region", *on]).filter((F.col("x_node") != F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & _near("x_size", "x_place", "y_size", "y_place"))
+            ball = new[-1].select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
+            near = near.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "bound").join(ball, ["pivot", "node"], "left")
+            info = rooted.select("node", "size").distinct().join(found, "node", "left").select("node", "size", F.lit(0).alias("place"), F.coalesce("root", "node").alias("component"))
+            around = self.tables.keep(near.join(info, "node"), "windows")
+            window = F.col("y_distance").isNull() & (F.col("y_bound") <= F.col("x_distance") + RADIUS)
+            links.append(self.links(_apart(around.filter("distance IS NOT NULL").drop("bound"), around, window, "pivot")))
+            done = pairs.join(ball, ["pivot", "node"], "left_semi").select("region", "node").union(chosen.select("region", "pivot")).distinct()
+            places = rooted.join(done, ["region", "node"], "left_anti").select("region", "node", "size", "place")
+            pivots, level = 4 * pivots if level else PIVOTS, level + 1
+
+
+def _apart(x: DataFrame, y: DataFrame, where: Column, on: str = "region") -> DataFrame:
+    """Pairs of nodes that share a region (or a pivot), are in different components and may be linked; where: a condition on those
+    with the columns of both sides."""
+    x, y = (t.select(on, *(F.col(c).alias(f"{k}_{c}") for c in t.columns if c != on)) for k, t in (("x", x), ("y", y)))
+    met = x.join(y, on).filter((F.col("x_node") != F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & _near("x_size", "x_place", "y_size", "y_place"))
     return met.filter(where).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
 
 
@@ -406,18 +416,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     small, large = join.open(placed.select("region", "node", "size", "place"), found)
     links.append(join.links(_apart(small, small, F.col("x_node") < F.col("y_node"))))
-    roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    found = tables.keep(components(pair(links[1]).union(roots), "a", "b"), "found")
     large = tables.keep(large.select("node").distinct(), "large")
     if not large.isEmpty():
         more, found = join.by_distance(join.ranked(large), found)
         links += more
+    roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
+    found = tables.keep(components(reduce(DataFrame.union, (pair(x) for x in links[1:]), roots), "a", "b"), "found")
     spanning = reduce(DataFrame.unionByName, links)
 
     rooted = join.nodes.select("node", F.col("doc_id").alias("first"), "size").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = tables.keep(rooted, "rooted")
     least = tables.keep(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
-    classes = tables.keep(rooted.join(least, "root").select("node", F.col("size").cast("long").alias("n_shingles"), "component_id"), "classes")
+    classes = rooted.join(least, "root").select("node", F.col("size").cast("long").alias("n_shingles"), "component_id")
     out = tables.keep(join.members, "members").join(classes, "node").select("doc_id", "n_shingles", "component_id")
     tables.drop(join.seeds)
     unnamed = docs.filter(F.col("doc_id").isNull()).mapInArrow(_sizes, "doc_id long, n_shingles long")

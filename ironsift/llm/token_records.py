@@ -60,6 +60,8 @@ def head(doc_id: int | None, width: int) -> bytes:
 def frames(read: Callable[[int], bytes]) -> Iterator[bytes]:
     """The bodies of a stream of records; an error where a checksum doesn't hold or a record is cut."""
     while head := read(_HEAD.size):
+        if len(head) != _HEAD.size:
+            raise ValueError("damaged record length")
         size, check = _HEAD.unpack(head)
         if masked(head[:8]) != check:
             raise ValueError("damaged record length")
@@ -69,13 +71,20 @@ def frames(read: Callable[[int], bytes]) -> Iterator[bytes]:
         yield body
 
 
+#: Texts that show whether a tokenizer treats runs of a text apart from one another.
+_PROBES = [
+    "Two Words", "Tab\tand\nline  two", "It's a-b, c.d! (e) f_g", "\u00c9 e\u0301 A\u0301B I\u0307 \u0130", "0 10 x0y 0", "na\u00efve \ufb01n \u01c5", "\u4e2d\u6587 \u5b57", "#x #Y ... !!", "A,B a ,b",
+    "don't STOP it'll", "100% 3.14 1,000", " lead and trail ", "", "\u200b a\u00a0b", "\ud55c\uad6d\uc5b4 \u0e44\u0e17\u0e22",
+]
+
+
 class WordEncoder:
     """Ids of texts; each distinct run without ASCII white space is encoded once and kept in a bounded cache.
 
-    Only for tokenizers that compose and lower characters, drop white space, and whose pre-tokens cross neither it nor
-    the place after a letter. Where the digit SEPARATOR is one
-    token, new runs without it are encoded many at a time with it in between, and taken apart at its id: no other
-    text has that id.
+    That is right for tokenizers that compose and lower characters, drop white space, and whose pre-tokens cross neither
+    it nor the place after a letter. Whether one is such is verified as it is loaded, by its parts and on probes; for any
+    other, whole texts are encoded. Where the digit SEPARATOR is one token, new runs without it are encoded many
+    at a time with it in between, and taken apart at its id: no other text has that id.
     """
 
     def __init__(self, path: str) -> None:
@@ -89,6 +98,21 @@ class WordEncoder:
         self.separator = alone[0] if len(alone) == 1 else None
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
         self.cache: dict[str, bytes] = {}
+        self.by_runs = True
+        self.by_runs = self._by_runs()
+
+    def _by_runs(self) -> bool:
+        probes = [*_PROBES, " ".join(_PROBES), "".join(_PROBES)]
+        whole = [np.array(x, self.kind).tobytes() for x in self._ids(probes)]
+        try:
+            return self._drops_blanks() and self.encode(pa.array(probes)) == whole
+        except ValueError:
+            return False
+
+    def _drops_blanks(self) -> bool:
+        """Whether the tokenizer's first step parts a text at white space and forgets it."""
+        step = self.library.pre_tokenizer
+        return step is not None and step.pre_tokenize_str(" \t\n\r ") == [] and len(step.pre_tokenize_str("a b")) == 2
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -127,6 +151,8 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The packed ids of every text; null counts as empty. Texts with a special token's string are encoded whole."""
         texts = pc.fill_null(texts, "")
+        if not self.by_runs:
+            return [np.array(x, self.kind).tobytes() for x in self._ids(texts.to_pylist())]
         whole = np.zeros(len(texts), bool)
         for token in self.special:
             whole |= pc.match_substring(texts, token, ignore_case=True).to_numpy(zero_copy_only=False)
@@ -238,5 +264,53 @@ def read_records(shards: DataFrame) -> DataFrame:
     return based.repartition(n, F.xxhash64("path")).mapInArrow(_read, "doc_id long, start long, ids binary")
 
 
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for record_file in batch.column("path").to_pylist():
+            system, path = fs.FileSystem.from_uri(record_file)
+            with system.open_input_stream(path.removesuffix(".rec") + ".idx") as f:
+                entries = np.frombuffer(f.read(), "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array([record_file] * len(entries), pa.string()), pa.array(entries[:, 0]), pa.array(entries[:, 1])], ["path", "doc_id", "at"])
+
+
+def read_index(shards: DataFrame) -> DataFrame:
+    """path, doc_id (0 for a null id) and byte offset (at) of every record, from the index files alone."""
+    return shards.select("path").repartition(max(1, shards.count()), F.xxhash64("path")).mapInArrow(_index, "path string, doc_id long, at long")
+
+
+def _seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        out, files = ([], []), {}
+        for record_file, doc_id, at in zip(*(batch.column(k).to_pylist() for k in ("path", "doc_id", "at")), strict=True):
+            if record_file not in files:
+                system, path = fs.FileSystem.from_uri(record_file)
+                files[record_file] = system.open_input_file(path)
+            files[record_file].seek(at)
+            own, ids = parse(next(frames(files[record_file].read), b"") or _damaged())
+            if (own or 0) != doc_id:
+                raise ValueError("index and records don't agree")
+            out[0].append(own)
+            out[1].append(ids.tobytes())
+        for f in files.values():
+            f.close()
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], ["doc_id", "ids"])
+
+
+def _damaged() -> bytes:
+    raise ValueError("index points beyond the records")
+
+
+def read_shuffled(shards: DataFrame, seed: int) -> DataFrame:
+    """doc_id and ids of every record, dealt out and ordered by a seeded hash of their places: tasks seek to records by the
+    index, and a record that isn't the one that the index tells of is an error."""
+    order = F.xxhash64("path", "at", F.lit(seed))
+    dealt = read_index(shards).withColumn("order", order).repartition("order").sortWithinPartitions("order")
+    return dealt.select("path", "doc_id", "at").mapInArrow(_seek, "doc_id long, ids binary")
+
+
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/records-{uuid.uuid4().hex}"

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from ironsift.llm import quality_model, token_records
 from ironsift.llm.compression_rules import quality_rules
 from ironsift.llm.decontaminate import decontaminate
 from ironsift.llm.main_text import extract_main_text, main_text
@@ -23,7 +24,7 @@ from ironsift.llm.quality_model import isotonic
 from ironsift.llm.registry import ORACLES, QUERIES, tokenizer_file
 from ironsift.llm.substring_dedup import dedup_word_runs
 from ironsift.llm.suffix_dedup import dedup_bytes
-from ironsift.llm.token_records import frame, frames, new_folder, read_records, write_records
+from ironsift.llm.token_records import frame, frames, new_folder, read_index, read_records, read_shuffled, write_records
 from tests.conftest import DATA
 from tests.oracle import spark_rows, sql_rows
 
@@ -138,24 +139,71 @@ def test_rules(docs):
         assert r.base_failed == (len(w) < 50 or 100 * len(hit) > 50 * len(w)) and (not r.kept or not r.base_failed)
 
 
-def test_pieces(docs):
-    import sentencepiece
-
-    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
-    for r, text in [(r, t) for r in encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")).collect() for i, t, _ in ROWS if i == r.doc_id and library.encode(t or "") == list(r.ids)]:
-        assert r.decoded == library.decode(list(r.ids)) and (not r.ids or (r.starts[0] == 0 and r.ends[-1] == len(text.encode())))
+def test_pieces_without_spans(docs):
     assert encode_pieces(docs, tokenizer_file("piece_bpe_32k.model"), spans=False).count() == len(ROWS)
 
 
+def character_map(entries):
+    """A compiled character map: a double-array trie of the keys, and the strings that its leaves point at."""
+    strings, at = b"", {}
+    for key, text in entries.items():
+        at[key.encode()] = len(strings)
+        strings += text.encode() + b"\0"
+    units, used = [0] * 4096, {0}
+
+    def build(node, keys):
+        """Places the children of a node, whose keys have their first bytes gone."""
+        labels = sorted({k[0] for k, _ in keys if k} | ({0} if any(not k for k, _ in keys) else set()))
+        base = next(x for x in range(1, 2000) if all(x ^ c not in used for c in labels))
+        units[node] |= (base ^ node) << 10
+        used.update(base ^ c for c in labels)
+        for c in labels:
+            if c == 0:
+                units[base] = 1 << 31 | next(v for k, v in keys if not k)
+                units[node] |= 1 << 8
+            else:
+                units[base ^ c] |= c
+        for c in labels:
+            if c:
+                build(base ^ c, [(k[1:], v) for k, v in keys if k and k[0] == c])
+
+    build(0, list(at.items()))
+    table = np.array(units, "<u4")
+    return np.array([table.nbytes], "<u4").tobytes() + table.tobytes() + strings
+
+
+MAP = {"a": "bc", "ab": "q", "é": "e", "ﬁ": "fi", "\t": " ", "e\u0301": "é"}
+
+
 def test_character_map():
-    # one entry "a" -> "bc": the root leads to "a", whose leaf points at the string
-    units = np.zeros(512, "<u4")
-    units[0] = 1 << 10
-    units[1 ^ ord("a")] = 1 << 10 | 1 << 8 | ord("a")
-    units[1 ^ ord("a") ^ 1] = 1 << 31
-    chars = CharacterMap(np.array([units.nbytes], "<u4").tobytes() + units.tobytes() + b"bc\0")
+    chars = CharacterMap(character_map(MAP))
+    assert chars.longest(b"abc", 0) == (b"q", 2) and chars.longest(b"ac", 0) == (b"bc", 1) and chars.longest(b"xa", 0) is None
     text, places = Normalizer(chars, dummy_prefix=True, trim=True)("  xa é ")
-    assert text == "▁xbc▁é" and places.tolist() == [0, 0, 0, 2, 3, 3, 4, 4, 4, 5, 5, 8] or places[-1] == len("  xa é ".encode())
+    assert text == "▁xbc▁e" and places.tolist() == [0, 0, 0, 2, 3, 3, 4, 4, 4, 5, 8]
+
+
+@pytest.mark.parametrize("trim", [False, True])
+@pytest.mark.parametrize("prefix", [False, True])
+def test_model_with_a_character_map(tmp_path, prefix, trim):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        model.ParseFromString(f.read())
+    model.normalizer_spec.precompiled_charsmap = character_map(MAP)
+    model.normalizer_spec.add_dummy_prefix, model.normalizer_spec.remove_extra_whitespaces = prefix, trim
+    (tmp_path / "mapped.model").write_bytes(model.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "mapped.model"))
+    texts = ["", "a cab in the ﬁeld", "é e\u0301 tab\there", "  two  blanks  ", "abab aab", "line\n\nbreak", "🙂 a"]
+    ids, decoded, normal = codec(str(tmp_path / "mapped.model")).encode(texts)
+    for text, packed, plain, (form, places) in zip(texts, ids, decoded, normal, strict=True):
+        own = np.frombuffer(packed, "<i4")
+        assert own.tolist() == library.encode(text), text
+        assert plain == library.decode(own.tolist()), text
+        if own.size:
+            starts, ends = codec(str(tmp_path / "mapped.model")).spans(places, own)
+            assert starts[1:].tolist() == ends[:-1].tolist() and ends[-1] == len(text.encode())
 
 
 def test_records(spark, docs, empty):
@@ -171,8 +219,35 @@ def test_records(spark, docs, empty):
     data = frame(b"abc") + frame(b"")
     read = lambda d: (lambda f: list(frames(f.read)))(__import__("io").BytesIO(d))
     assert read(data) == [b"abc", b""]
-    with pytest.raises(ValueError):
-        read(data[:12] + b"x" + data[13:])
+    for bad in (data[:12] + b"x" + data[13:], data[:5], data[:-1], data + b"\0"):
+        with pytest.raises(ValueError):
+            read(bad)
+
+
+def test_index(spark, docs, empty):
+    path = tokenizer_file("word_bpe_49k.json")
+    shards = write_records(docs, path, 2, new_folder(spark))
+    whole = sorted((r.doc_id or 0, bytes(r.ids)) for r in read_records(shards).collect())
+    assert sorted((r.doc_id or 0, bytes(r.ids)) for r in read_shuffled(shards, 7).collect()) == whole
+    orders = [[r.doc_id for r in read_shuffled(shards, k).coalesce(1).collect()] for k in (7, 7, 8)]
+    assert orders[0] == orders[1] != orders[2]
+    index = read_index(shards)
+    assert index.count() == len(ROWS) == shards.agg(F.sum("n_records")).first()[0]
+    assert read_shuffled(write_records(empty, path, 2, new_folder(spark)), 1).count() == 0
+    moved = index.withColumn("doc_id", F.col("doc_id") + 1)
+    with pytest.raises(Exception, match="don't agree"):
+        moved.select("path", "doc_id", "at").mapInArrow(token_records._seek, "doc_id long, ids binary").collect()
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    other, known = (token_records.WordEncoder(tokenizer_file(x)) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    assert known.by_runs and not other.by_runs
+    library = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+    texts = ["Hello  world", "", "a\n b", LONG[:500]]
+    assert other.encode(pa.array([*texts, None])) == [np.array(library.encode(t, add_special_tokens=False).ids, other.kind).tobytes() for t in [*texts, ""]]
 
 
 def test_perspectives(spark):
@@ -203,10 +278,55 @@ def test_quality(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in out)
 
 
-def test_empty_tables(empty):
-    for f in (dedup_word_runs, dedup_bytes, quality_rules):
+def test_fit_is_ridge_of_all_rows(spark):
+    """Weights against one system solved from all training rows, and the curve against their bins."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abc de.\n"), n)) for n in rng.integers(0, 400, 300)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, "no id"), (7, texts[3]), (301, None), (302, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, float(len(t) > 150)) for k, t in enumerate(texts)] + [(5, 1.0), (6, None), (8, 9.0), (None, 1.0)], "doc_id long, label double")
+    measured = docs.mapInArrow(quality_model._measured, "doc_id long, " + ", ".join(f"{c} double" for c in quality_model.FEATURES))
+    model = quality_model.fit(measured, labels)
+    frame = measured.toPandas()
+    known = labels.toPandas().query("label in (0, 1) and doc_id == doc_id").groupby("doc_id").label.mean()
+    frame = frame[frame.doc_id.isin(known.index)]
+    fold = frame.doc_id.map(lambda x: zlib.crc32(str(int(x)).encode()) % 4)
+    train = frame[fold < 2]
+    z, y = model.fourier(train[quality_model.FEATURES].to_numpy()), known[train.doc_id].to_numpy()
+    penalty = np.diag(np.append(np.full(quality_model.N_FOURIER, quality_model.RIDGE * len(z) / quality_model.N_FOURIER), 1e-9 * len(z)))
+    assert np.allclose(model.fourier(frame[quality_model.FEATURES].to_numpy()) @ np.linalg.solve(z.T @ z + penalty, z.T @ y), model.fourier(frame[quality_model.FEATURES].to_numpy()) @ model.weights, atol=1e-5)
+    assert (np.diff(model.curve[1]) >= 0).all()
+    out = quality_model.score_quality(docs, labels.withColumnRenamed("label", "quality")).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if r.doc_id in (301, 302)}) == 1 and not next(r for r in out if r.doc_id is None).held_out
+    none = quality_model.score_quality(docs, labels.limit(0).withColumnRenamed("label", "quality")).collect()
+    assert {round(r.score, 1) for r in none} == {0.5}
+
+
+def test_repeated_rows_and_clashing_names(spark):
+    rows = [(1, 0, "ann", "hi"), (1, 0, "ann", "hi"), (1, 1, "bob", "yo")]
+    got = {r.speaker: r for r in rotate_perspectives(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS place", "2 AS segment", "3 AS body")).collect()}
+    assert (got["ann"].n_turns, got["ann"].n_target_turns, got["bob"].n_target_turns) == (3, 2, 1)
+    page = "<p>The cat is in the house and it was on the mat with a hat.</p>"
+    pages = spark.createDataFrame([(1, "u", page), (1, "u", page), (None, None, ""), (2, "v", page * 3000)], "page_id long, url string, html string").selectExpr("*", "'x' AS text", "1 AS n_chars")
+    assert sorted(r.n_chars for r in extract_main_text(pages).collect()) == [0, 57, 57, 3000 * 58 - 1]
+    docs = spark.createDataFrame([(1, BASE), (2, None)], "doc_id long, text string").selectExpr("*", "1 AS label", "2 AS spans", "3 AS holder", "4 AS items", "5 AS start", "6 AS place", "7 AS kept", "8 AS bits", "9 AS fold")
+    items = spark.createDataFrame([(1, BASE)], "item_id long, text string").selectExpr("*", "1 AS n", "2 AS words")
+    for df in (dedup_word_runs(docs), dedup_bytes(docs), quality_rules(docs), similar_documents(docs)[0], decontaminate(docs, items), encode_pieces(docs, tokenizer_file("piece_bpe_32k.model")), read_records(write_records(docs, tokenizer_file("word_bpe_49k.json"), 2, new_folder(spark)))):
+        assert df.count() == 2
+
+
+def test_empty_tables(spark, empty):
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    for f in (dedup_word_runs, dedup_bytes, quality_rules, lambda x: decontaminate(x, items), lambda x: encode_pieces(x, tokenizer_file("piece_bpe_32k.model")), lambda x: quality_model.score_quality(x, labels)):
         assert f(empty).count() == 0
     assert similar_documents(empty)[0].count() == 0
+    assert rotate_perspectives(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+    assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    whole = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, whole, DATA).count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
