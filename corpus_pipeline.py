@@ -1,4 +1,9 @@
-"""A training-data pipeline of five stages; each is written as Parquet and read again as the next one's documents."""
+"""A training-data pipeline of five stages; each is written as Parquet and read again as the next one's documents.
+
+Every stage takes null ids, null and empty texts, repeated ids and further columns as its docstring says, carries the other
+columns of a row along with it, and returns an empty table for an empty one. This module belongs to the optional
+subpackage and can't be imported without it; only that subpackage's registry imports it.
+"""
 
 from __future__ import annotations
 
