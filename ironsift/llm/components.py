@@ -35,7 +35,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     links = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     links = tables.keep(links, "links")
     state = None
-    while True:
+    while not links.isEmpty():
         before, middle = state, tables.keep(_step(links, True, tables), "links")
         state = _state(middle)
         if state == before and middle.groupBy("u").count().filter("count > 1").isEmpty():  # every node is linked to its root alone

@@ -421,7 +421,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         more, found = join.by_distance(join.ranked(large), found)
         links += more
     roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    found = tables.keep(components(reduce(DataFrame.union, (pair(x) for x in links[1:]), roots), "a", "b"), "found")
+    if not reduce(DataFrame.union, (pair(x) for x in links[1:])).isEmpty():
+        found = tables.keep(components(reduce(DataFrame.union, (pair(x) for x in links[1:]), roots), "a", "b"), "found")
     spanning = reduce(DataFrame.unionByName, links)
 
     rooted = join.nodes.select("node", F.col("doc_id").alias("first"), "size").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
