@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ironsift.llm.byte_bpe import encode_ranked
 from ironsift.llm.compression_rules import quality_rules
 from ironsift.llm.decontaminate import decontaminate
 from ironsift.llm.main_text import extract_main_text
@@ -88,6 +89,12 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(shards).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_ranked(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+    ids = _sha256(F.array_join(F.col("ids").cast("array<string>"), ","))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -107,6 +114,7 @@ QUERIES = {
         op8_quality_rules,
         op9_sentencepiece,
         op10_token_records,
+        op12_byte_bpe,
         pipeline,
     )
 }
