@@ -11,6 +11,7 @@ from ironsift.llm.decontaminate import decontaminate
 from ironsift.llm.main_text import extract_main_text
 from ironsift.llm.ngram_join import similar_documents
 from ironsift.llm.oracles import ORACLES
+from ironsift.llm.periodic_runs import find_runs
 from ironsift.llm.perspectives import rotate_perspectives
 from ironsift.llm.piece_codec import encode_pieces
 from ironsift.llm.quality_model import score_quality
@@ -89,6 +90,29 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(shards).select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the documents (by the checksum of their id) repeat a part of their words up to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    n = F.size("words").cast("long")
+    planted = chosen.withColumn("n", n).withColumn("g", F.floor(F.col("h") / 10)).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    planted = planted.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    tail = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", place(i).cast("int"))), " ")
+    return planted.select("doc_id", F.when(F.col("n") > 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_runs(with_planted_runs(_table(spark, sf_dir, "documents")))
+    longer = lambda r, s: r["length"] * s["period"] > s["length"] * r["period"]
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda s, r: F.when(longer(r, s), r).otherwise(s))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n"))))
+    out = out.withColumn("best", best)
+    ratio = F.expr("(1000 * best.length) div best.period").alias("exponent_milli")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", ratio, _sha256(listed).alias("runs_sha256"), _sha256(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_ranked(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"))
     ids = _sha256(F.array_join(F.col("ids").cast("array<string>"), ","))
@@ -114,6 +138,7 @@ QUERIES = {
         op8_quality_rules,
         op9_sentencepiece,
         op10_token_records,
+        op11_periodic_runs,
         op12_byte_bpe,
         pipeline,
     )
