@@ -41,4 +41,20 @@ p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b
 l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 r(doc_id, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id WHERE r.c < l.b)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c AS component_id FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m ON m.doc_id = w.doc_id""",
+    "op13_collocations": """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, """ + _LOWER.format(text="coalesce(text, '')") + """ AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY 1 HAVING sum(len(w)) > 0),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) v(k) WHERE len(w) >= k),
+f AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+x AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT x.lang, x.phrase, a, cut, l.f AS l, r.f AS r, (2000000::HUGEINT * a) // (l.f + r.f) AS score FROM x
+  JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(w[1:cut], ' ') JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS i FROM c, (VALUES (2), (3)) v(m) WHERE m < k),
+o AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM i GROUP BY ALL),
+e AS (SELECT lang, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM b LEFT JOIN o USING (lang, phrase) JOIN n USING (lang) WHERE coalesce(100 * longer < 80 * a, true))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM e
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000""",
 }

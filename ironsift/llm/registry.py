@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ironsift.llm.byte_bpe import encode_ranked
+from ironsift.llm.collocations import collocations
 from ironsift.llm.compression_rules import quality_rules
 from ironsift.llm.decontaminate import decontaminate
 from ironsift.llm.main_text import extract_main_text
@@ -119,6 +120,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -140,6 +145,7 @@ QUERIES = {
         op10_token_records,
         op11_periodic_runs,
         op12_byte_bpe,
+        op13_collocations,
         pipeline,
     )
 }
