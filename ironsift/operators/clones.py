@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ironsift.operators.dedup import first_per_key
-
 EXACT, FAMILY = 1.0, 0.6
+#: What a hit tells of the sample besides its reference, where the snapshot has it.
+TOLD = ("cve", "category", "filename")
 
 
 def family_key(imports: DataFrame) -> DataFrame:
@@ -16,21 +16,44 @@ def family_key(imports: DataFrame) -> DataFrame:
     return imports.groupBy("item").agg(F.md5(F.array_join(parts["name"], ",").cast("binary")).alias("family"))
 
 
+def _lowered(column: str) -> Column:
+    return F.nullif(F.lower(column), F.lit(""))
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """Keys and families in lower case; an empty one is none."""
+    return df.withColumns({x: _lowered(x) for x in ("key", "family") if x in df.columns})
+
+
+def _told(samples: DataFrame) -> list[str]:
+    return ["ref_id", *(x for x in TOLD if x in samples.columns)]
+
+
+def _order(samples: DataFrame) -> list[str]:
+    return [x for x in ("ref_pos", "pos") if x in samples.columns]
+
+
 def clone_exact(items: DataFrame, samples: DataFrame) -> DataFrame:
-    first = first_per_key(samples.withColumn("key", F.lower("key")), ["key"], ["ref_pos"])
-    return items.join(first.select("key", "ref_id"), "key").select("item", "key", "ref_id", F.lit(EXACT).alias("similarity"))
+    """item, key, the first sample with that key, similarity. Casing doesn't matter; an item without a key has no hit."""
+    told = _told(samples)
+    known = _keyed(samples).filter("key IS NOT NULL").groupBy("key").agg(F.min_by(F.struct(*told), F.struct(*_order(samples))).alias("s"))
+    return _keyed(items).filter("key IS NOT NULL").select("item", "key").join(known, "key").select("item", "key", "s.*", F.lit(EXACT).alias("similarity"))
 
 
 def clone_family(items: DataFrame, samples: DataFrame, exact: DataFrame) -> DataFrame:
-    """Every sample of the family but those that are exact matches of the item."""
-    pairs = items.select("item", "family").join(samples.select("family", "ref_id", F.lower("key").alias("sample_key")), "family")
-    known = exact.select("item", F.col("key").alias("sample_key"))
-    return pairs.join(known, ["item", "sample_key"], "left_anti").select("item", F.col("sample_key").alias("key"), "ref_id", F.lit(FAMILY).alias("similarity"))
+    """Every sample of the item's family but those that are its exact match. What has no family is in none."""
+    told = _told(samples)
+    known = _keyed(samples).filter("family IS NOT NULL").select("family", F.col("key").alias("sample_key"), *told)
+    pairs = _keyed(items).filter("family IS NOT NULL").select("item", "family").join(known, "family")
+    matched = exact.select("item", F.col("key").alias("sample_key")).distinct()
+    return pairs.join(matched, ["item", "sample_key"], "left_anti").select("item", F.col("sample_key").alias("key"), *told, F.lit(FAMILY).alias("similarity"))
 
 
 def clones(items: DataFrame, samples: DataFrame) -> DataFrame:
+    """Exact hits and family hits, told apart by match_type."""
     exact = clone_exact(items, samples)
-    return exact.unionByName(clone_family(items, samples, exact))
+    family = clone_family(items, samples, exact)
+    return exact.withColumn("match_type", F.lit("sha256-exact")).unionByName(family.withColumn("match_type", F.lit("imphash")))
 
 
 def clone_status(items: DataFrame, samples: DataFrame | None) -> DataFrame:

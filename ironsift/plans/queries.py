@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ironsift.functions import columns as C
 from ironsift.operators import clones, dedup, gate, match, quality, ranges, reports, stats, triage, worklist
-from ironsift.sources import tables
+from ironsift.sources import shared, snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,6 +82,38 @@ def src4_latest_snapshot(t: Tables) -> DataFrame:
     return tables.latest_snapshot(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate")
 
 
+def _written_snapshots(t: Tables) -> str:
+    """Three snapshots of the documents as known samples, written as entries a line; the base folder."""
+    base, n = shared.new_folder(t.spark, "snapshots"), F.col("doc_id")
+    cve = F.when(n % 4 == 0, F.to_json(F.array(F.lit(""), F.format_string("cve-2021-%d", n + 1000)))).when(n % 4 == 1, F.format_string('"see CVE-2022-%d"', n + 2000))
+    tags = F.when(n % 4 == 2, F.array("lang", F.format_string("Cve-2023-%d", n + 3000))).otherwise(F.array("lang"))
+    sample = lambda sha, name: F.struct(sha.alias("SHA256"), F.upper(F.md5(F.left("text", F.lit(12)).cast("binary"))).alias("Imphash"), name.alias("Filename"))
+    samples = F.array(sample(F.upper(F.sha2(F.col("text").cast("binary"), 256)), F.format_string("doc-%d.sys", "doc_id")), sample(F.lit(""), F.lit(None).cast("string")))
+    entries = t.documents.select(n, F.format_string("ref-%d", "doc_id").alias("Id"), F.parse_json(F.coalesce(cve, F.lit("null"))).alias("CVE"), F.col("source").alias("Category"), tags.alias("Tags"), samples.alias("KnownVulnerableSamples"))
+    for k, day in enumerate(("2024-01-01", "2024-02-01", "2024-03-01")):
+        entries.filter(n % 3 == k).repartitionByRange("doc_id").sortWithinPartitions("doc_id").drop("doc_id").write.json(f"{base}/{day}/catalog/drivers.json")
+    return base
+
+
+_SNAPSHOT = """snap AS (SELECT doc_id, 'ref-' || doc_id AS ref_id, CASE doc_id % 4 WHEN 0 THEN 'CVE-2021-' || (doc_id + 1000) WHEN 1 THEN 'CVE-2022-' || (doc_id + 2000) WHEN 2 THEN 'CVE-2023-' || (doc_id + 3000) END AS cve,
+source AS category, CASE pos WHEN 0 THEN 'doc-' || doc_id || '.sys' END AS filename, CASE pos WHEN 0 THEN sha256(coalesce(text, '')) END AS key, md5(left(text, 12)) AS family, pos FROM documents, (VALUES (0), (1)) v(pos) WHERE doc_id % 3 = 2)"""
+
+
+@query(f"WITH {_SNAPSHOT} SELECT ref_id, cve, category, filename, key, family, pos FROM snap")
+def src4_snapshot(t: Tables) -> DataFrame:
+    return snapshots.load_snapshot(t.spark, _written_snapshots(t), lines=True).select("ref_id", "cve", "category", "filename", "key", "family", "pos")
+
+
+@query(f"""WITH {_SNAPSHOT}, items AS (SELECT doc_id AS item, sha256(text) AS key, md5(left(text, 12)) AS family FROM documents WHERE doc_id % 3 <> 2),
+e AS (SELECT item, arg_min(ref_id, doc_id) AS ref_id, arg_min(cve, doc_id) AS cve, arg_min(filename, doc_id) AS filename, items.key FROM items JOIN snap ON snap.key = items.key GROUP BY item, items.key)
+SELECT item, 'sha256-exact' AS match_type, ref_id, cve, filename FROM e UNION ALL
+SELECT items.item, 'imphash', s.ref_id, s.cve, s.filename FROM items JOIN snap s USING (family) LEFT JOIN e ON e.item = items.item AND e.key = s.key WHERE e.item IS NULL""")
+def src4_snapshot_clones(t: Tables) -> DataFrame:
+    """Documents outside the newest snapshot, looked up in it."""
+    items = t.documents.filter(F.col("doc_id") % 3 != 2).select(F.col("doc_id").alias("item"), F.sha2(F.col("text").cast("binary"), 256).alias("key"), F.md5(F.left("text", F.lit(12)).cast("binary")).alias("family"))
+    return clones.clones(items, snapshots.load_snapshot(t.spark, _written_snapshots(t), lines=True)).select("item", "match_type", "ref_id", "cve", "filename")
+
+
 @query(f"WITH {_DIM} SELECT p_name, category, severity FROM part JOIN dim ON lower(p_name) = symbol_lower")
 def src5_symbol_dim(t: Tables) -> DataFrame:
     return t.part.join(match.symbol_dim(t.spark, CATALOG), F.lower("p_name") == F.col("symbol_lower")).select("p_name", "category", "severity")
@@ -307,15 +339,19 @@ def jn3_match_patterns(t: Tables) -> DataFrame:
 
 
 def _clone_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """The documents without a label are the items, those with one the known samples; a family has the same letters."""
-    family = F.md5(F.regexp_replace(F.lower("text"), "[^a-z]", "").cast("binary"))
-    keyed = t.documents.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"), family.alias("family"))
-    items = keyed.join(t.labels.select("doc_id"), "doc_id", "left_anti").withColumnRenamed("doc_id", "item")
-    return items, keyed.join(t.labels.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("ref_id"), F.col("doc_id").alias("ref_pos"), "key", "family")
-
-
-_CLONES = """keyed AS (SELECT doc_id, md5(text) AS key, md5(regexp_replace(lower(text), '[^a-z]', '', 'g')) AS family FROM documents),
-items AS (SELECT * FROM keyed WHERE doc_id NOT IN (SELECT doc_id FROM labels)), samples AS (SELECT * FROM keyed WHERE doc_id IN (SELECT doc_id FROM labels)),
+    """Open orders are the items, finished ones the known samples: the customer is the key (in different casing), the first two imports are the
+    family. A tenth has no family, a tenth an empty one."""
+    n = F.col("o_orderkey")
+    own = clones.family_key(t.imports().filter("ordinal <= 2")).select(F.col("item").alias("o_orderkey"), F.col("family").alias("own"))
+    family = F.when(n % 10 == 0, F.lit(None).cast("string")).when(n % 10 == 1, "").otherwise(F.col("own"))
+    keyed = t.orders.join(own, "o_orderkey").select("o_orderkey", "o_orderstatus", F.md5(F.col("o_custkey").cast("string").cast("binary")).alias("key"), family.alias("family"))
+    items = keyed.filter("o_orderstatus <> 'F'").select(n.alias("item"), F.upper("key").alias("key"), F.upper("family").alias("family"))
+    return items, keyed.filter("o_orderstatus = 'F'").select(n.alias("ref_id"), n.alias("ref_pos"), "key", "family")
+
+
+_CLONES = """own AS (SELECT l_orderkey AS item, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS n, lower(p_type) || '.' || lower(p_name) AS name FROM lineitem JOIN part ON l_partkey = p_partkey),
+keyed AS (SELECT o_orderkey, o_orderstatus, md5(o_custkey::VARCHAR) AS key, CASE WHEN o_orderkey % 10 > 1 THEN family END AS family FROM orders JOIN (SELECT item, md5(string_agg(name, ',' ORDER BY n)) AS family FROM own WHERE n <= 2 GROUP BY 1) ON item = o_orderkey),
+items AS (SELECT *, o_orderkey AS doc_id FROM keyed WHERE o_orderstatus <> 'F'), samples AS (SELECT *, o_orderkey AS doc_id FROM keyed WHERE o_orderstatus = 'F'),
 exact AS (SELECT i.doc_id AS item, i.key, min(s.doc_id) AS ref_id, 1.0::DOUBLE AS similarity FROM items i JOIN samples s USING (key) GROUP BY ALL),
 fam AS (SELECT i.doc_id AS item, s.key, s.doc_id AS ref_id, 0.6::DOUBLE AS similarity FROM items i JOIN samples s USING (family) WHERE NOT EXISTS (SELECT 1 FROM exact e WHERE e.item = i.doc_id AND e.key = s.key))"""
 
@@ -390,7 +426,7 @@ def jn14_elect_classes(t: Tables) -> DataFrame:
     return match.elect_classes(t.symbols(), t.spark.createDataFrame(_RULES, "class string, rule int, cond int, value string"))
 
 
-@query(f"WITH {_CLONES} SELECT * FROM exact UNION ALL SELECT * FROM fam")
+@query(f"WITH {_CLONES} SELECT *, 'sha256-exact' AS match_type FROM exact UNION ALL SELECT *, 'imphash' FROM fam")
 def jn15_clones(t: Tables) -> DataFrame:
     return clones.clones(*_clone_tables(t))
 
@@ -575,6 +611,12 @@ def cln5_clone_status(t: Tables) -> DataFrame:
     return clones.clone_status(*_clone_tables(t)).withColumn("hits", F.array_join(hits, ","))
 
 
+@query(f"WITH {_CLONES} SELECT doc_id AS item, 'not_computed' AS status, true AS hits_missing FROM items")
+def cln5_without_snapshot(t: Tables) -> DataFrame:
+    missing = snapshots.load_snapshot(t.spark, shared.new_folder(t.spark, "no-snapshots"))
+    return clones.clone_status(_clone_tables(t)[0], missing).select("item", "status", F.col("hits").isNull().alias("hits_missing"))
+
+
 @query("SELECT l_orderkey AS item, md5(string_agg(lower(p_type) || '.' || lower(p_name), ',' ORDER BY l_linenumber, l_partkey, l_suppkey)) AS family FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
 def cln6_family_key(t: Tables) -> DataFrame:
     return clones.family_key(t.imports())
