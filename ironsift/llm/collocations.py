@@ -1,11 +1,11 @@
 """Phrases whose words occur together more often than apart, counted by HAT-tries.
 
-Each task counts the phrases of its texts in a trie of word numbers. The root has a subtree for each first word; below it a
-container is a hash table from the rest of a phrase to its count, and one that grows too large bursts: it becomes a
-node with a container for each next word (a container of single words stays a table). A task that holds too many
-entries spills its largest subtrees whole, each as a run sorted by phrase. Runs are dealt out by prefix (language and
-first word) and merged by summing; prefixes of very frequent words, at most 4096, are dealt out by whole phrase, since
-one of them may have a large part of all runs.
+Each task counts the phrases of its texts in a trie of word numbers, a batch of texts at a time. It begins as one container,
+a table of phrases and counts in the order of their numbers. A container that grows too large bursts in two: between two first
+words, and where all its phrases have the same first word, between two second words below that, and so on; so it always covers neighbouring
+subtrees of one node. A task that holds too many entries spills its largest containers whole, each as a run in order.
+Runs are dealt out by prefix (language and first word) and merged by summing; prefixes of very frequent words, at most 4096,
+are dealt out by whole phrase, since one of them may have a large part of all runs.
 
 Counting goes from short to long phrases, since no phrase is more frequent than its parts: first words, then pairs of
 frequent words, then phrases of three and four words whose pairs are all frequent. What is frequent so far comes to the
@@ -16,13 +16,15 @@ more phrases than it is made for, but never stops a frequent one; exact counts d
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,127 +36,146 @@ from ironsift.llm.shared import Kept
 MAX_BITS = 1 << 27
 HOT_SHARE = 4096
 BATCH = 1 << 16
+TOGETHER = 1 << 22
+GAP = pa.scalar(b" ", pa.large_binary())
+NAMES = ["part", "lang", "phrase", "f"]
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09]] = True
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 NO_LANG = "und"
+Run = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
 class Memory:
     """Bounds of a task's trie: entries of one container, entries of all, and numbered words."""
 
-    container: int = 4096
-    entries: int = 1_000_000
+    container: int = 1 << 16
+    entries: int = 2_000_000
     words: int = 500_000
 
 
-class Node:
-    """A place in the trie: the count of the phrase that ends here, and either a table of rests or a child for each next word."""
-
-    __slots__ = ("children", "count", "deep", "table")
-
-    def __init__(self) -> None:
-        self.count = 0
-        self.deep = False  # whether a rest in the table has several words
-        self.table: dict[bytes, int] = {}
-        self.children: dict[bytes, Node] | None = None
-
-    def add(self, rest: bytes, n: int, most: int) -> bool:
-        """Counts a phrase; whether it is new."""
-        node = self
-        while rest and node.children is not None:
-            child = node.children.get(rest[:4])
-            if child is None:
-                child = node.children[rest[:4]] = Node()
-            node, rest = child, rest[4:]
-        if not rest:
-            node.count += n
-            return node.count == n
-        known = node.table.get(rest)
-        node.table[rest] = n + (known or 0)
-        node.deep |= len(rest) > 4
-        if node.deep and len(node.table) > most:
-            node.burst()
-        return known is None
-
-    def burst(self) -> None:
-        self.children = {}
-        for rest, n in self.table.items():
-            child = self.children.setdefault(rest[:4], Node())
-            if len(rest) == 4:
-                child.count = n
-            else:
-                child.table[rest[4:]] = n
-                child.deep |= len(rest) > 8
-        self.table = {}
-
-    def phrases(self, head: bytes) -> Iterator[tuple[bytes, int]]:
-        if self.count:
-            yield head, self.count
-        yield from ((head + rest, n) for rest, n in self.table.items())
-        for key, child in (self.children or {}).items():
-            yield from child.phrases(head + key)
+def _merged(head: np.ndarray, tail: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Phrases in order, each once, with the sum of its counts."""
+    order = np.lexsort((tail, head)) if tail.any() else np.argsort(head, kind="stable")
+    head, tail, n = head[order], tail[order], n[order]
+    new = np.ones(len(head), bool)
+    new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+    at = np.flatnonzero(new)
+    return head[at], tail[at], np.add.reduceat(n, at) if len(at) else n
+
+
+class Container:
+    """Phrases from one key up to the next container's first: the numbers of two words in head, of two more in tail (0 for
+    none). What was added last waits until it is as much as the rest."""
+
+    __slots__ = ("head", "n", "tail", "waiting")
+
+    def __init__(self, head: np.ndarray, tail: np.ndarray, n: np.ndarray) -> None:
+        self.head, self.tail, self.n = head, tail, n
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def held(self) -> int:
+        return len(self.head) + sum(len(x[0]) for x in self.waiting)
+
+    def add(self, head: np.ndarray, tail: np.ndarray, n: np.ndarray, most: int) -> bool:
+        """Whether the container is too large now."""
+        self.waiting.append((head, tail, n))
+        if self.held() - len(self.head) >= max(len(self.head), most // 4):
+            self.settle()
+        return len(self.head) > most
+
+    def settle(self) -> None:
+        if self.waiting:
+            parts = [(self.head, self.tail, self.n), *self.waiting]
+            self.head, self.tail, self.n = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            self.waiting = []
+
+    def burst(self) -> Container:
+        """Takes out the upper part: the cut is between two first words if it can be, else one word further down."""
+        words = (self.head >> U(32), self.head, self.tail >> U(32), self.tail)
+        for key in words:
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            if len(cuts):
+                break
+        at = int(cuts[np.argmin(np.abs(cuts - len(self.head) // 2))])
+        upper = Container(self.head[at:], self.tail[at:], self.n[at:])
+        self.head, self.tail, self.n = self.head[:at], self.tail[:at], self.n[:at]
+        return upper
 
 
 class HatTrie:
-    """Counts of phrases; a phrase is the bytes of its word numbers (four each, high byte first)."""
+    """Counts of phrases of word numbers, which begin at 1."""
 
     def __init__(self, memory: Memory) -> None:
         self.memory = memory
-        self.roots: dict[bytes, Node] = {}
-        self.sizes: Counter[bytes] = Counter()
-        self.entries = 0
-        self.numbers: dict[tuple[str, bytes], int] = {}
-        self.words: list[tuple[str, bytes]] = []
-
-    def number(self, lang: str, word: bytes) -> int:
-        n = self.numbers.setdefault((lang, word), len(self.words))
-        if n == len(self.words):
-            self.words.append((lang, word))
-        return n
-
-    def add_all(self, counts: Iterable[tuple[bytes, int]]) -> None:
-        for phrase, n in counts:
-            head = phrase[:4]
-            root = self.roots.get(head)
-            if root is None:
-                root = self.roots[head] = Node()
-            if root.add(phrase[4:], n, self.memory.container):
-                self.entries += 1
-                self.sizes[head] += 1
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, U)
+        self.containers = [Container(none, none, np.zeros(0, np.int64))]
+        self.firsts = [(0, 0)]  # the least phrase that each container may hold
+        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.words: list[bytes] = [b""]
+        self.langs: list[str] = [""]
+        self.hashes: list[np.ndarray] = [np.zeros(1, U)]
+
+    def number(self, lang: str, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+        """The numbers of distinct words of a language."""
+        known = self.numbers.setdefault(lang, {})
+        new = [k for k, x in enumerate(words) if x not in known]
+        known.update(zip([words[k] for k in new], range(len(self.words), len(self.words) + len(new)), strict=True))
+        self.words += [words[k] for k in new]
+        self.langs += [lang] * len(new)
+        self.hashes.append(hashes[new])
+        return np.array([known[x] for x in words], np.int64)
+
+    def add(self, head: np.ndarray, tail: np.ndarray) -> None:
+        """Counts phrases, given as often as they occur."""
+        head, tail, n = _merged(head, tail, np.ones(len(head), np.int64))
+        lo = 0
+        while lo < len(head):
+            k = bisect_right(self.firsts, (int(head[lo]), int(tail[lo]))) - 1
+            hi = len(head)
+            if k + 1 < len(self.firsts):
+                first, second = self.firsts[k + 1]
+                a, b = np.searchsorted(head, [U(first)], "left")[0], np.searchsorted(head, [U(first)], "right")[0]
+                hi = int(a + np.searchsorted(tail[a:b], U(second), "left"))
+            own = self.containers[k]
+            too_large = own.add(head[lo:hi], tail[lo:hi], n[lo:hi], self.memory.container)
+            while too_large:
+                upper = own.burst()
+                self.containers.insert(k + 1, upper)
+                self.firsts.insert(k + 1, (int(upper.head[0]), int(upper.tail[0])))
+                own = max(own, upper, key=lambda x: len(x.head))
+                k = self.containers.index(own)
+                too_large = len(own.head) > self.memory.container
+            lo = hi
 
     def full(self) -> bool:
-        return self.entries > self.memory.entries or len(self.words) > self.memory.words
-
-    def run(self, head: bytes) -> tuple[str, bytes, list[tuple[bytes, int]]]:
-        """Takes a subtree out: its language, its first word and its phrases with their counts, in order."""
-        lang, word = self.words[int.from_bytes(head, "big")]
-        texts = self.words
-        out = []
-        for key, n in self.roots.pop(head).phrases(head):
-            at = np.frombuffer(key, ">u4").tolist() if len(key) > 4 else [int.from_bytes(key, "big")]
-            out.append((b" ".join([texts[k][1] for k in at]), n))
-        self.entries -= self.sizes.pop(head)
-        out.sort()
-        return lang, word, out
-
-    def spill(self) -> Iterator[tuple[str, bytes, list[tuple[bytes, int]]]]:
-        """The runs of the largest subtrees, until half of the memory is free; of all, where there are too many words."""
+        return sum(x.held() for x in self.containers) > self.memory.entries or len(self.words) > self.memory.words
+
+    def spill(self) -> Iterator[Run]:
+        """The largest containers, until half of the memory is free; all, where there are too many words."""
         if len(self.words) > self.memory.words:
             yield from self.all_runs()
             return
-        for head, _ in self.sizes.most_common():
-            if 2 * self.entries <= self.memory.entries:
+        left = sum(x.held() for x in self.containers)
+        none = np.zeros(0, U)
+        for own in sorted(self.containers, key=Container.held, reverse=True):
+            if 2 * left <= self.memory.entries:
                 return
-            yield self.run(head)
+            left -= own.held()
+            own.settle()
+            yield own.head, own.tail, own.n
+            own.head, own.tail, own.n = none, none, none.astype(np.int64)
 
-    def all_runs(self) -> Iterator[tuple[str, bytes, list[tuple[bytes, int]]]]:
-        for head in sorted(self.roots, key=lambda x: self.words[int.from_bytes(x, "big")]):
-            yield self.run(head)
-        self.numbers.clear()
-        self.words.clear()
+    def all_runs(self) -> Iterator[Run]:
+        for own in self.containers:
+            own.settle()
+            yield own.head, own.tail, own.n
+        self.clear()
 
 
 def _salt(lang: str) -> int:
@@ -209,100 +230,107 @@ def bit_filter(spark: SparkSession, phrases: DataFrame) -> BitFilter:
     return BitFilter(spark.sparkContext.broadcast(bytes(bits)), size)
 
 
-def _phrases(data: np.ndarray, offs: np.ndarray, langs: list[str], trie: HatTrie, lengths: tuple[int, ...], words_kept: BitFilter | None, pairs_kept: BitFilter | None) -> tuple[Counter[bytes], dict[str, int]]:
-    """Counts of the phrases of some texts, and of all words by language."""
+def _count(data: np.ndarray, offs: np.ndarray, langs: list[str], trie: HatTrie, lengths: tuple[int, ...], words_kept: BitFilter | None, pairs_kept: BitFilter | None) -> dict[str, int]:
+    """Counts the phrases of some texts; returns the number of all words by language."""
     hashes, start, end = tokens(data, offs, BLANK | BREAK, LOWER_IDS)
     row, first = rows_of(start, offs)
     totals: dict[str, int] = {}
     for lang, n in zip(langs, np.diff(first).tolist(), strict=True):
         totals[lang] = totals.get(lang, 0) + n
-    breaks = np.cumsum(BREAK[data])
-    same = (row[1:] == row[:-1]) & (breaks[start[1:]] == breaks[start[:-1]])  # whether the next word is of the same piece
-    salts = {x: _salt(x) for x in totals}
-    keyed = mix(hashes ^ np.array([salts[x] for x in langs], U)[row])
+    breaks = np.cumsum(BREAK[data], dtype=np.int32)[start] if len(start) else start
+    same = (row[1:] == row[:-1]) & (breaks[1:] == breaks[:-1])  # whether the next word is of the same piece
+    codes = {x: k for k, x in enumerate(totals)}
+    code = np.array([codes[x] for x in langs], np.int64)[row]
+    keyed = mix(hashes ^ np.array([_salt(x) for x in totals], U)[code])
     if words_kept is not None:
         ok = words_kept(keyed)
         same &= ok[1:] & ok[:-1]
     if pairs_kept is not None:
         at = np.flatnonzero(same)
         same[at] = pairs_kept(_pairs(keyed)[at])
-    reach = np.zeros(len(start), np.int64)  # words that may follow
+    follow = np.zeros(len(start), np.int8)  # words that may follow
     for _ in range(max(lengths) - 1):
-        reach[:-1] = np.where(same, np.minimum(reach[1:] + 1, max(lengths) - 1), 0)
-    used = np.zeros(len(start) + max(lengths), bool)
-    starts = {k: np.flatnonzero(reach >= k - 1) for k in lengths}
+        follow[:-1] = np.where(same, np.minimum(follow[1:] + 1, max(lengths) - 1), 0)
+    starts = {k: np.flatnonzero(follow >= k - 1) for k in lengths}
+    used = np.zeros(len(start), bool)
     for k, at in starts.items():
         for j in range(k):
             used[at + j] = True
-    numbers = _numbers(data, start, end, row, np.flatnonzero(used[: len(start)]), langs, trie)
-    raw = numbers.astype(">u4").tobytes()
-    counts: Counter[bytes] = Counter()
+    numbers = _numbers(data, start, end, code, list(totals), keyed, np.flatnonzero(used), trie)
+    heads, tails = [], []
     for k, at in starts.items():
-        counts.update([raw[i : i + 4 * k] for i in (4 * at).tolist()])
-    return counts, totals
+        word = [numbers[at + j] if j < k else U(0) for j in range(4)]
+        heads.append(word[0] << U(32) | word[1])
+        tails.append(np.zeros(len(at), U) | word[2] << U(32) | word[3])
+    trie.add(np.concatenate(heads), np.concatenate(tails))
+    return totals
 
 
-def _numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray, used: np.ndarray, langs: list[str], trie: HatTrie) -> np.ndarray:
+def _numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray, code: np.ndarray, langs: list[str], keyed: np.ndarray, used: np.ndarray, trie: HatTrie) -> np.ndarray:
     """The trie's numbers of the used words, by their exact lower-cased bytes and language; 0 for others."""
     inside = np.zeros(len(data) + 1, np.int8)
     inside[start[used]] = 1
     inside[end[used]] -= 1
     ends = np.concatenate(([0], np.cumsum(end[used] - start[used])))
-    packed = pa.Array.from_buffers(pa.large_binary(), len(used), [None, pa.py_buffer(ends), pa.py_buffer(LOWER[data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]])])
+    packed = pa.Array.from_buffers(pa.large_binary(), len(used), [None, pa.py_buffer(ends), pa.py_buffer(LOWER[data[np.cumsum(inside[:-1], dtype=np.int8).view(bool)]])])
     coded = packed.dictionary_encode()
-    words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-    distinct = {x: k for k, x in enumerate(dict.fromkeys(langs))}
-    code = np.array([distinct[x] for x in langs], np.int64)[row[used]]
-    keys, back = np.unique(code * max(1, len(words)) + which, return_inverse=True)
-    names = list(distinct)
-    found = [trie.number(names[k // len(words)], words[k % len(words)]) for k in keys.tolist()]
-    out = np.zeros(len(start), np.uint32)
-    out[used] = np.array(found, np.uint32)[back]
+    words, which = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    keys, at, back = np.unique(code[used] * max(1, len(words)) + which, return_index=True, return_inverse=True)
+    found = np.zeros(len(keys), np.int64)
+    cuts = np.searchsorted(keys, np.arange(len(langs) + 1) * max(1, len(words)))
+    for lang, a, b in zip(langs, cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            found[a:b] = trie.number(lang, words.take(pa.array(keys[a:b] % len(words))).to_pylist(), keyed[used[at[a:b]]])
+    out = np.zeros(len(start), U)
+    out[used] = found.astype(U)[back]
     return out
 
 
-def _batches(runs: Iterable[tuple[str, bytes, list[tuple[bytes, int]]]], hot: set[tuple[str, bytes]]) -> Iterator[pa.RecordBatch]:
-    names = ["part", "lang", "phrase", "f"]
-    parts, langs, phrases, counts = [], [], [], []
-    for lang, word, run in runs:
-        salt = zlib.crc32(lang.encode())
-        if (lang, word) in hot:
-            parts += [zlib.crc32(x, salt) for x, _ in run]
-        else:
-            parts += [zlib.crc32(word, salt)] * len(run)
-        langs += [lang] * len(run)
-        phrases += [x for x, _ in run]
-        counts += [n for _, n in run]
-        if len(parts) >= BATCH:
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], names)
-            parts, langs, phrases, counts = [], [], [], []
-    if parts:
-        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], names)
-
-
-def _counted(lengths: tuple[int, ...], words_kept: BitFilter | None, pairs_kept: BitFilter | None, hot: set[tuple[str, bytes]], memory: Memory) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _batches(trie: HatTrie, runs: Callable[[], Iterator[Run]], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs as rows. A phrase is dealt out by the hash of its first word, or of all words where the first is a hot one."""
+    words, langs, hashes = pa.array(trie.words, pa.large_binary()), pa.array(trie.langs).dictionary_encode(), np.concatenate(trie.hashes)
+    for head, tail, n in runs():
+        for a in range(0, len(n), BATCH):
+            parts = head[a : a + BATCH], tail[a : a + BATCH]
+            number = [(x >> U(s) & U(0xFFFFFFFF)).astype(np.int64) for x in parts for s in (32, 0)]
+            size = np.sum([x > 0 for x in number], 0)
+            part = hashes[number[0]]
+            whole = part
+            for x in number[1:]:
+                whole = np.where(x > 0, mix(whole * GOLD + hashes[x]), whole)
+            part = np.where(np.isin(part, hot), whole, part)
+            phrases = np.empty(len(part), object)
+            for k in range(1, 5):
+                own = np.flatnonzero(size == k)
+                if len(own):
+                    text = [words.take(pa.array(x[own])) for x in number[:k]]
+                    phrases[own] = pc.binary_join_element_wise(*text, GAP).to_pylist()
+            lang = langs.take(pa.array(number[0])).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), lang, pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n[a : a + BATCH])], NAMES)
+
+
+def _counted(lengths: tuple[int, ...], words_kept: BitFilter | None, pairs_kept: BitFilter | None, hot: np.ndarray, memory: Memory) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, totals = HatTrie(memory), Counter()
         for batch in batches:
             data, offs = text_buffers(batch.column("text"))
             langs = batch.column("lang").to_pylist()
-            for a, b in pieces(offs):
-                counts, words = _phrases(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], langs[a:b], trie, lengths, words_kept, pairs_kept)
-                trie.add_all(counts.items())
-                totals.update(words)
+            for a, b in pieces(offs, TOGETHER):
+                totals.update(_count(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], langs[a:b], trie, lengths, words_kept, pairs_kept))
                 if trie.full():
-                    yield from _batches(trie.spill(), hot)
-        yield from _batches(trie.all_runs(), hot)
+                    yield from _batches(trie, trie.spill, hot)
+        yield from _batches(trie, trie.all_runs, hot)
         if 1 in lengths:  # an empty phrase stands for all words of a language
-            yield from _batches(((x, b"", [(b"", n)]) for x, n in totals.items()), set())
+            names = list(totals)
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.crc32(x.encode()) for x in names], pa.int64()), pa.array(names, pa.string()), pa.array([""] * len(names), pa.string()), pa.array([totals[x] for x in names], pa.int64())], NAMES)
 
     return run
 
 
-def count_phrases(docs: DataFrame, lengths: tuple[int, ...], words_kept: BitFilter | None = None, pairs_kept: BitFilter | None = None, hot: set[tuple[str, bytes]] | None = None, memory: Memory | None = None) -> DataFrame:
+def count_phrases(docs: DataFrame, lengths: tuple[int, ...], words_kept: BitFilter | None = None, pairs_kept: BitFilter | None = None, hot: np.ndarray | None = None, memory: Memory | None = None) -> DataFrame:
     """lang, phrase and f of the phrases of the given lengths whose words and pairs the filters let through. With length 1, the empty
     phrase stands for all words of a language."""
-    counted = docs.select("lang", "text").mapInArrow(_counted(lengths, words_kept, pairs_kept, hot or set(), memory or Memory()), "part long, lang string, phrase string, f long")
+    counted = docs.select("lang", "text").mapInArrow(_counted(lengths, words_kept, pairs_kept, np.zeros(0, U) if hot is None else hot, memory or Memory()), "part long, lang string, phrase string, f long")
     return counted.repartition("part").groupBy("part", "lang", "phrase").agg(F.sum("f").alias("f")).drop("part")
 
 
@@ -345,8 +373,8 @@ def collocations(docs: DataFrame, least: int = 30, cover: int = 80, top: int = 2
     totals = ones.filter("phrase = ''").select("lang", F.col("f").alias("n"))
     words = ones.filter("phrase <> ''")
     n = totals.agg(F.sum("n")).first()[0] or 0
-    often = words.filter(_wide("f") * HOT_SHARE >= n).select("lang", "phrase").collect()  # HOT_SHARE at most
-    hot = {(x, y.encode()) for x, y in often}
+    often = words.filter(_wide("f") * HOT_SHARE >= n).select("lang", "phrase")  # HOT_SHARE at most
+    hot = np.array([r.h for r in often.mapInArrow(_hashes, "h long").collect()], np.int64).view(U)
     words_kept = bit_filter(spark, words)
     twos = tables.keep(count_phrases(docs, (2,), words_kept, None, hot, memory).filter(enough), "twos")
     pairs_kept = bit_filter(spark, twos)

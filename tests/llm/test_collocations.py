@@ -15,7 +15,7 @@ from ironsift.llm.registry import ORACLES, QUERIES
 from tests.conftest import DATA
 from tests.oracle import spark_rows, sql_rows
 
-TIGHT = Memory(container=4, entries=40, words=25)
+TIGHT = Memory(container=4, entries=40, words=12)
 
 
 def brute(rows, least=30, cover=80, top=2000):
@@ -72,24 +72,27 @@ def test_empty_table(spark):
 
 
 def test_trie_bursts_and_spills():
-    trie = HatTrie(Memory(container=3, entries=50, words=1000))
-    pick, counts = random.Random(2), Counter()
-    for _ in range(3000):
-        words = tuple(f"w{pick.randrange(6)}" for _ in range(pick.randint(1, 4)))
-        counts[" ".join(words).encode()] += 1
-        numbers = [trie.number("en", x.encode()) for x in words]
-        trie.add_all([(np.array(numbers, ">u4").tobytes(), 1)])
-    assert any(x.children is not None for x in trie.roots.values())
-    assert trie.full()
-    runs = [run for _, _, run in trie.spill()]
-    assert 0 < 2 * trie.entries <= 50 or not trie.roots
-    runs += [run for _, _, run in trie.all_runs()]
-    assert all(run == sorted(run) for run in runs)
-    merged = Counter()
-    for run in runs:
-        merged.update(dict(run))
-    assert merged == counts
-    assert trie.entries == 0
+    trie = HatTrie(Memory(container=20, entries=300, words=1000))
+    pick, counts, merged = random.Random(2), Counter(), Counter()
+
+    def collect(runs):
+        for head, tail, n in runs:
+            keys = list(zip(head.tolist(), tail.tolist(), strict=True))
+            assert keys == sorted(set(keys))
+            merged.update(dict(zip(keys, n.tolist(), strict=True)))
+
+    for _ in range(40):
+        phrases = [tuple(pick.randrange(1, 7) if j < size else 0 for j in range(4)) for size in (pick.randint(1, 4) for _ in range(100))]
+        keys = [(a << 32 | b, c << 32 | d) for a, b, c, d in phrases]
+        counts.update(keys)
+        trie.add(*np.array(keys, U).T)
+        assert trie.firsts == sorted(trie.firsts) and len(trie.firsts) == len(trie.containers)
+        if trie.full():
+            collect(trie.spill())
+            assert sum(x.held() for x in trie.containers) <= 150
+    assert len(trie.containers) > 5
+    collect(trie.all_runs())
+    assert merged == counts and len(trie.containers) == 1
 
 
 def test_filter_stops_nothing_frequent(spark, monkeypatch):
