@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ironsift.functions import columns as C
-from ironsift.operators import clones, dedup, gate, match, quality, ranges, reports, stats, triage, worklist
+from ironsift.operators import clones, dedup, gate, match, nested_rules, quality, ranges, reports, stats, triage, worklist
 from ironsift.sources import shared, snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -896,6 +896,74 @@ def dq1_violations(t: Tables) -> DataFrame:
     return quality.violations(t.orders, "o_orderkey", _DQ).drop("value")
 
 
+#: Customers with their orders, these with their lines, and lines with marks: rules of every kind on three levels.
+_DOCUMENT = {
+    "type": "object",
+    "required": ["c_name", "orders"],
+    "additionalProperties": False,
+    "properties": {
+        "c_name": {"type": "string", "pattern": "[0-8]$"},
+        "orders": {"type": "array", "minItems": 5, "items": {"$ref": "#/$defs/order"}},
+    },
+    "$defs": {
+        "order": {
+            "required": ["status", "priority", "note", "lines"],
+            "properties": {
+                "status": {"enum": ["F", "O"]},
+                "kind": {"const": "order"},
+                "priority": {"type": "string", "minLength": 6, "maxLength": 8},
+                "note": {"oneOf": [{"type": "string"}, {"type": "null"}]},
+                "placed": {"type": "string", "format": "date-time"},
+                "lines": {
+                    "minItems": 2,
+                    "maxItems": 6,
+                    "items": {
+                        "additionalProperties": False,
+                        "properties": {
+                            "qty": {"type": "number", "minimum": 5, "maximum": 48},
+                            "marks": {"type": "array", "uniqueItems": True, "items": {"pattern": "^[AFNO]$"}},
+                        },
+                    },
+                },
+            },
+        }
+    },
+}
+
+
+def _customer_documents(t: Tables) -> DataFrame:
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").alias("qty"), F.array("l_returnflag", "l_linestatus", F.when(F.col("l_partkey") % 9 == 0, F.col("l_linestatus")).otherwise("O")).alias("marks"), F.when(F.col("l_partkey") % 50 == 0, "x").alias("extra"))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    n = F.col("o_orderkey")
+    placed = F.when(n % 20 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(C.iso_utc(F.col("o_orderdate")))
+    own = F.transform("lines", lambda x: F.struct(x["qty"].alias("qty"), x["marks"].alias("marks"), x["extra"].alias("extra")))
+    order = F.struct("o_orderkey", F.col("o_orderstatus").alias("status"), F.when(n % 30 == 0, "other").otherwise("order").alias("kind"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"), F.lit(None).cast("string").alias("note"), placed.alias("placed"), own.alias("lines"))
+    orders = t.orders.join(lines, "o_orderkey", "left").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list(order)).alias("orders"))
+    return t.customer.select("c_custkey", "c_name", F.when(F.col("c_custkey") % 25 == 0, F.col("c_mktsegment")).alias("surplus")).join(orders, "c_custkey", "left")
+
+
+@query("""WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus) - 1 AS i, [l_returnflag, l_linestatus, CASE WHEN l_partkey % 9 = 0 THEN l_linestatus ELSE 'O' END] AS marks FROM lineitem),
+o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS j, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n_lines FROM orders JOIN customer ON c_custkey = o_custkey),
+x AS (SELECT o.*, l.*, lpad(j::VARCHAR, 10, '0') AS jj, lpad(i::VARCHAR, 10, '0') AS ii FROM o JOIN l ON l_orderkey = o_orderkey),
+m AS (SELECT *, unnest(range(0, 3)) AS k FROM x),
+v AS (SELECT c_custkey AS key, 'c_name' AS place, 'c_name' AS path, 'pattern' AS rule, c_name AS value FROM customer WHERE c_name LIKE '%9'
+UNION ALL SELECT c_custkey, 'surplus', 'surplus', 'additionalProperties', c_mktsegment FROM customer WHERE c_custkey % 25 = 0
+UNION ALL SELECT c_custkey, 'orders', 'orders', 'required', NULL FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT o_custkey, 'orders', 'orders', 'minItems', NULL FROM o GROUP BY o_custkey HAVING count(*) < 5
+UNION ALL SELECT o_custkey, 'orders/' || lpad(j::VARCHAR, 10, '0') || '/' || r.f, 'orders/' || j || '/' || r.f, r.rule, r.value FROM o,
+  LATERAL (SELECT unnest([{f: 'status', rule: 'enum', value: o_orderstatus, bad: o_orderstatus = 'P'}, {f: 'kind', rule: 'const', value: 'other', bad: o_orderkey % 30 = 0}, {f: 'priority', rule: 'required', value: NULL, bad: o_orderpriority = '5-LOW'},
+    {f: 'priority', rule: 'minLength', value: o_orderpriority, bad: length(o_orderpriority) < 6 AND o_orderpriority <> '5-LOW'}, {f: 'priority', rule: 'maxLength', value: o_orderpriority, bad: length(o_orderpriority) > 8},
+    {f: 'placed', rule: 'format', value: strftime(o_orderdate, '%Y-%m-%d'), bad: o_orderkey % 20 = 0}, {f: 'lines', rule: 'required', value: NULL, bad: n_lines = 0}, {f: 'lines', rule: 'minItems', value: '[]', bad: n_lines = 1}, {f: 'lines', rule: 'maxItems', value: '[]', bad: n_lines > 6}]) AS r) WHERE r.bad
+UNION ALL SELECT o_custkey, 'orders/' || jj || '/lines/' || ii || '/' || r.f, 'orders/' || j || '/lines/' || i || '/' || r.f, r.rule, r.value FROM x,
+  LATERAL (SELECT unnest([{f: 'qty', rule: 'minimum', value: 'q', bad: l_quantity < 5}, {f: 'qty', rule: 'maximum', value: 'q', bad: l_quantity > 48}, {f: 'extra', rule: 'additionalProperties', value: 'x', bad: l_partkey % 50 = 0}, {f: 'marks', rule: 'uniqueItems', value: '[]', bad: len(list_distinct(marks)) < 3}]) AS r) WHERE r.bad
+UNION ALL SELECT o_custkey, 'orders/' || jj || '/lines/' || ii || '/marks/' || lpad(k::VARCHAR, 10, '0'), 'orders/' || j || '/lines/' || i || '/marks/' || k, 'pattern', marks[k + 1] FROM m WHERE marks[k + 1] = 'R')
+SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY place, rule) - 1 AS INTEGER) AS n, path, rule, CASE WHEN rule IN ('minItems', 'maxItems', 'uniqueItems') THEN '[]' WHEN path LIKE '%/qty' THEN 'q' ELSE value END AS value FROM v""")
+def dq1_nested_violations(t: Tables) -> DataFrame:
+    out = nested_rules.nested_violations(_customer_documents(t), "c_custkey", _DOCUMENT)
+    value = F.when(F.col("rule").isin("minItems", "maxItems", "uniqueItems"), "[]").when(F.col("path").endswith("/qty"), "q").otherwise(F.col("value"))
+    return out.select("key", "n", "path", "rule", value.alias("value"))
+
+
 @query(f"WITH {_VIOLATIONS} SELECT path, rule, count(*) AS n, NOT bool_or(severity = 'error') AS passed FROM v GROUP BY ALL")
 def dq6_summary(t: Tables) -> DataFrame:
     return quality.quality_summary(quality.violations(t.orders, "o_orderkey", _DQ))
