@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TERMS = ("must_have_one", "dangerous_imports", "device_match", "ioctl_match", "string_match", "method_match", "clone_match")
-
+from ironsift.operators.dims import local_table, small
+from ironsift.operators.patterns import find_patterns
 
 def symbol_dim(spark: SparkSession, rows: list[tuple[str, str, str | None]]) -> DataFrame:
     """symbol_lower, category, severity of a catalog (a list in the program); the later entry wins, severity defaults to medium."""
     last = {s.lower(): (s.lower(), c, v or "medium") for s, c, v in rows}
-    return spark.createDataFrame(list(last.values()), "symbol_lower string, category string, severity string")
+    return local_table(spark, last.values(), "symbol_lower string, category string, severity string")
 
 
 def profile_dims(spark: SparkSession, docs: dict[str, dict]) -> dict[str, DataFrame]:
@@ -20,37 +20,68 @@ def profile_dims(spark: SparkSession, docs: dict[str, dict]) -> dict[str, DataFr
     patterns = [(s, k, x) for s, d in docs.items() for k in ("device_name", "ioctl", "string") for x in d.get(k, [])]
     weights = [(s, t, int(w)) for s, d in docs.items() for t, w in d.get("weights", {}).items()]
     return {
-        "symbols": spark.createDataFrame(symbols, "scope string, role string, symbol string"),
-        "patterns": spark.createDataFrame(patterns, "scope string, kind string, pattern string"),
-        "weights": spark.createDataFrame(weights, "scope string, term string, weight long"),
+        "symbols": local_table(spark, symbols, "scope string, role string, symbol string"),
+        "patterns": local_table(spark, patterns, "scope string, kind string, pattern string"),
+        "weights": local_table(spark, weights, "scope string, term string, weight long"),
     }
 
 
+def _known(imports: DataFrame, dim: DataFrame) -> DataFrame:
+    """item, symbol, category and severity of catalogued imports, as often as they occur: the catalog filters before anything is shuffled."""
+    return imports.select("item", "symbol").join(small(dim), F.lower("symbol") == F.col("symbol_lower")).drop("symbol_lower")
+
+
 def match_symbols(imports: DataFrame, dim: DataFrame) -> DataFrame:
     """item, symbol, category and severity of catalogued imports, in the item's casing, each symbol once."""
-    return imports.select("item", "symbol").distinct().join(dim, F.lower("symbol") == F.col("symbol_lower")).drop("symbol_lower")
+    return _known(imports, dim).distinct()
+
+
+def _hits(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """The number of distinct values of a group; there are no more than the profiles have."""
+    return df.groupBy(*by).agg(F.size(F.collect_set(value)).cast("long").alias("hits"))
 
 
 def match_profiles(symbols: DataFrame, profile_symbol: DataFrame) -> DataFrame:
     """item, scope, role and hits: distinct symbols in a profile's list, casing respected."""
-    return symbols.select("item", "symbol").distinct().join(profile_symbol, "symbol").groupBy("item", "scope", "role").agg(F.count("*").alias("hits"))
+    return _hits(symbols.select("item", "symbol").join(small(profile_symbol), "symbol"), ["item", "scope", "role"], "symbol")
 
 
 def match_patterns(names: DataFrame, patterns: DataFrame) -> DataFrame:
-    """item, scope and hits: patterns that find any name of the item. Each distinct name meets the patterns once."""
-    found = names.select("name").distinct().join(patterns, F.expr("regexp_like(name, pattern)")).select("name", "scope", "pattern")
-    return names.select("item", "name").distinct().join(found, "name").groupBy("item", "scope").agg(F.count_distinct("pattern").alias("hits"))
+    """item, scope and hits: patterns that find any name of the item."""
+    return _hits(find_patterns(names.select("item", "name"), patterns.select("scope", "pattern")), ["item", "scope"], "pattern")
+
+
+#: The weight that counts for each role of a symbol.
+_TERM = {"must_have_one": "must_have_one", "weight_each": "dangerous_imports"}
+
+
+def _term(role: Column) -> Column:
+    return F.when(role == "must_have_one", _TERM["must_have_one"]).when(role == "weight_each", _TERM["weight_each"])
 
 
 def rank(by_role: DataFrame, by_pattern: DataFrame, weights: DataFrame) -> DataFrame:
     """item, scope, rank and qualifies of every item that hits anything of a profile."""
-    term = F.when(F.col("role") == "must_have_one", "must_have_one").when(F.col("role") == "weight_each", "dangerous_imports")
-    terms = by_role.select("item", "scope", term.alias("term"), "hits").filter("term IS NOT NULL").unionByName(by_pattern.select("item", "scope", F.lit("device_match").alias("term"), "hits"))
-    scored = terms.join(weights, ["scope", "term"], "left")
+    terms = by_role.select("item", "scope", _term(F.col("role")).alias("term"), "hits").filter("term IS NOT NULL").unionByName(by_pattern.select("item", "scope", F.lit("device_match").alias("term"), "hits"))
+    scored = terms.join(small(weights), ["scope", "term"], "left")
     must = F.col("term") == "must_have_one"
     return scored.groupBy("item", "scope").agg(F.sum(F.col("hits") * F.coalesce("weight", F.lit(0))).alias("rank"), F.coalesce(F.max(must & (F.col("hits") > 0)), F.lit(False)).alias("qualifies"))
 
 
+def rank_items(imports: DataFrame, names: DataFrame, dim: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """The same ranks from imports (item, symbol), names (item, name), the catalog and the profiles, with one shuffle: what is hit is
+    gathered by item and scope once, as sets that are no larger than the profiles."""
+    symbols = _known(imports, dim).select("item", "symbol").join(small(dims["symbols"]), "symbol")
+    hit = lambda term, value: F.struct(term.alias("term"), F.col(value).alias("value")).alias("hit")
+    by_symbol = symbols.select("item", "scope", hit(_term(F.col("role")), "symbol")).filter("hit.term IS NOT NULL")
+    devices = find_patterns(names.select("item", "name"), dims["patterns"].filter("kind = 'device_name'").select("scope", "pattern"))
+    gathered = by_symbol.unionByName(devices.select("item", "scope", hit(F.lit("device_match"), "pattern"))).groupBy("item", "scope").agg(F.collect_set("hit").alias("hits"))
+    table = small(dims["weights"].groupBy("scope").agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("weights")))
+    weight = lambda h: F.coalesce(F.element_at("weights", h["term"]), F.lit(0).cast("long"))
+    total = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + weight(h))
+    must = F.exists("hits", lambda h: h["term"] == "must_have_one")
+    return gathered.join(table, "scope", "left").select("item", "scope", total.alias("rank"), must.alias("qualifies"))
+
+
 def scope_matches(ranks: DataFrame) -> DataFrame:
     """item and its qualifying scopes, by falling rank and then name."""
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("rank")).alias("minus"), "scope")))
@@ -75,18 +106,19 @@ def shortlist(matches: DataFrame, scope: str, min_rank: int = 1) -> DataFrame:
 
 
 def match_categories(terms: DataFrame, cats: DataFrame) -> DataFrame:
-    """term and category pairs that are equal or contain each other (both lists are small)."""
+    """term and category pairs that are equal or contain each other (the categories are few)."""
     t, c = F.lower("term"), F.lower("category")
-    return terms.join(cats, F.contains(t, c) | F.contains(c, t))
+    return terms.join(small(cats), F.contains(t, c) | F.contains(c, t))
 
 
 def elect_classes(imports: DataFrame, rules: DataFrame) -> DataFrame:
     """item and class: a rule fires when all its conditions do, a condition on any of its values; generic else."""
-    n = rules.groupBy("class", "rule").agg(F.count_distinct("cond").alias("n_conds"))
-    hit = imports.select("item", "symbol").distinct().join(rules, F.col("symbol") == F.col("value"))
-    fired = hit.groupBy("item", "class", "rule").agg(F.count_distinct("cond").alias("n")).join(n, ["class", "rule"]).filter("n = n_conds").select("item", "class").distinct()
-    rest = imports.select("item").distinct().join(fired, "item", "left_anti").withColumn("class", F.lit("generic"))
-    return fired.unionByName(rest)
+    sized = rules.join(rules.groupBy("class", "rule").agg(F.count_distinct("cond").alias("n_conds")), ["class", "rule"])
+    met = F.struct("class", "rule", "n_conds", "cond")
+    hits = imports.select("item", "symbol").join(small(sized), F.col("symbol") == F.col("value"), "left").groupBy("item").agg(F.collect_set(F.when(F.col("value").isNotNull(), met)).alias("met"))
+    complete = F.filter("met", lambda m: F.size(F.filter("met", lambda o: (o["class"] == m["class"]) & (o["rule"] == m["rule"]))) == m["n_conds"])
+    classes = F.array_distinct(F.transform(complete, lambda m: m["class"]))
+    return hits.select("item", F.explode(F.when(F.size(classes) > 0, classes).otherwise(F.array(F.lit("generic")))).alias("class"))
 
 
 def scan_strings(texts: DataFrame, strings: list[tuple[str, str, str]]) -> DataFrame:

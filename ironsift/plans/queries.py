@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ironsift.functions import columns as C
-from ironsift.operators import clones, dedup, gate, match, nested_rules, quality, ranges, reports, stats, triage, worklist
+from ironsift.operators import clones, dedup, dims, gate, match, nested_rules, patterns, quality, ranges, reports, stats, triage, worklist
 from ironsift.sources import shared, snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +36,8 @@ class Tables:
         return rows.select(F.col("l_orderkey").alias("item"), F.col("p_name").alias("symbol"))
 
     def ranks(self) -> DataFrame:
-        found = match.match_symbols(self.symbols(), match.symbol_dim(self.spark, CATALOG))
-        dims = match.profile_dims(self.spark, PROFILES)
-        names = self.symbols().withColumnRenamed("symbol", "name")
-        devices = match.match_patterns(names, dims["patterns"].filter("kind = 'device_name'"))
-        return match.rank(match.match_profiles(found, dims["symbols"]), devices, dims["weights"])
+        symbols = self.symbols()
+        return match.rank_items(symbols, symbols.withColumnRenamed("symbol", "name"), match.symbol_dim(self.spark, CATALOG), match.profile_dims(self.spark, PROFILES))
 
 
 CATALOG = [("Red Bolt", "fasteners", "high"), ("Small Ring", "fasteners", None), ("hot gear", "drive", "high"), ("blue gear", "drive", "low"), ("old bolt", "fasteners", "low"), ("large plate", "plate", "medium"), ("red bolt", "late", "critical")]
@@ -338,6 +335,16 @@ def jn3_match_patterns(t: Tables) -> DataFrame:
     return match.match_patterns(t.symbols().withColumnRenamed("symbol", "name"), match.profile_dims(t.spark, PROFILES)["patterns"])
 
 
+@query("""WITH p AS (SELECT DISTINCT p_name AS a FROM part), pat AS (SELECT 'red.*' || split_part(a, ' ', 2) || '$' AS pattern FROM p UNION SELECT '(?i)' || upper(a) FROM p UNION SELECT '^' || left(a, 2) FROM p UNION SELECT split_part(a, ' ', 1) || '|zz' FROM p)
+SELECT p_partkey AS item, pattern FROM part JOIN pat ON regexp_matches(p_name, pattern)""")
+def jn3_many_patterns(t: Tables) -> DataFrame:
+    """Patterns made of all part names: with a literal after a gap, without casing, with a short literal, with a choice."""
+    first, second = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2))
+    kinds = [F.concat(F.lit("red.*"), second, F.lit("$")), F.concat(F.lit("(?i)"), F.upper("p_name")), F.concat(F.lit("^"), F.left("p_name", F.lit(2))), F.concat(first, F.lit("|zz"))]
+    pats = t.part.select(F.explode(F.array(*kinds)).alias("pattern")).distinct()
+    return patterns.find_patterns(t.part.select(F.col("p_partkey").alias("item"), F.col("p_name").alias("name")), pats).select("item", "pattern")
+
+
 def _clone_tables(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Open orders are the items, finished ones the known samples: the customer is the key (in different casing), the first two imports are the
     family. A tenth has no family, a tenth an empty one."""
@@ -387,7 +394,7 @@ def jn8_search_terms(t: Tables) -> DataFrame:
 
 @query("SELECT p_partkey, category FROM part, (VALUES ('gear'), ('small ring set'), ('bolt')) c(category) WHERE contains(lower(p_name), category) OR contains(category, lower(p_name))")
 def jn9_match_categories(t: Tables) -> DataFrame:
-    cats = t.spark.createDataFrame([("gear",), ("small ring set",), ("bolt",)], "category string")
+    cats = dims.local_table(t.spark, [("gear",), ("small ring set",), ("bolt",)], "category string")
     return match.match_categories(t.part.select("p_partkey", F.col("p_name").alias("term")), cats).select("p_partkey", "category")
 
 
@@ -423,7 +430,7 @@ _RULES = [("disk", 1, 1, "red bolt"), ("disk", 1, 1, "old bolt"), ("disk", 1, 2,
 UNION ALL SELECT DISTINCT item, 'net' FROM symbols WHERE symbol = 'blue gear')
 SELECT * FROM f UNION ALL SELECT DISTINCT item, 'generic' FROM symbols WHERE item NOT IN (SELECT item FROM f)""")
 def jn14_elect_classes(t: Tables) -> DataFrame:
-    return match.elect_classes(t.symbols(), t.spark.createDataFrame(_RULES, "class string, rule int, cond int, value string"))
+    return match.elect_classes(t.symbols(), dims.local_table(t.spark, _RULES, "class string, rule int, cond int, value string"))
 
 
 @query(f"WITH {_CLONES} SELECT *, 'sha256-exact' AS match_type FROM exact UNION ALL SELECT *, 'imphash' FROM fam")
@@ -436,6 +443,15 @@ def agg1_rank(t: Tables) -> DataFrame:
     return t.ranks()
 
 
+@query(f"WITH {_RANKS} SELECT * FROM ranks")
+def agg1_rank_of_hits(t: Tables) -> DataFrame:
+    """The rank from tables of hits."""
+    own = match.profile_dims(t.spark, PROFILES)
+    found = match.match_symbols(t.symbols(), match.symbol_dim(t.spark, CATALOG))
+    devices = match.match_patterns(t.symbols().withColumnRenamed("symbol", "name"), own["patterns"].filter("kind = 'device_name'"))
+    return match.rank(match.match_profiles(found, own["symbols"]), devices, own["weights"])
+
+
 @query(f"WITH {_MATCHES} SELECT item, array_to_string(scopes, ',') AS scopes, array_to_string(ranked, ',') AS ranked FROM m")
 def agg2_scope_matches(t: Tables) -> DataFrame:
     ranked = F.array_join(F.col("matches.rank").cast("array<string>"), ",")
