@@ -2,19 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def assign_interval(points: DataFrame, ranges: DataFrame, width: int) -> DataFrame:
-    """Each point with its half-open range [lo, hi): ranges are dealt to buckets of the width, so the join has a key."""
-    buckets = ranges.withColumn("bucket", F.explode(F.sequence(F.expr(f"lo div {width}"), F.expr(f"(hi - 1) div {width}"))))
-    return points.withColumn("bucket", F.expr(f"x div {width}")).join(buckets, "bucket").filter("x >= lo AND x < hi").drop("bucket")
+LEVELS = 63
 
 
-def valid_targets(calls: DataFrame, addresses: DataFrame, known: DataFrame) -> DataFrame:
-    return calls.join(addresses, "addr", "left_semi").join(known, "addr", "left_anti")
+def dyadic_keys(lo: str, hi: str) -> Column:
+    """The whole blocks of 2^level numbers, at the place node * 2^level, that make up the half-open range [lo, hi) together: at most
+    two of each level, so a range of any length has no more than 2 log2 of its length. Empty where the range is or a bound is null."""
+
+    def at(level: Column) -> Column:
+        first, end = -_shifted(-F.col(lo).cast("long"), level), _shifted(F.col(hi).cast("long"), level)
+        piece = lambda when, node: F.when((first < end) & when, F.struct(level.cast("int").alias("level"), node.alias("node")))
+        return F.array(piece(first.bitwiseAND(1) == 1, first), piece(end.bitwiseAND(1) == 1, end - 1))
+
+    none = F.array().cast("array<struct<level: int, node: long>>")
+    return F.coalesce(F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at))), none)
+
+
+def _shifted(x: Column, level: Column) -> Column:
+    return F.call_function("shiftright", x, level)
+
+
+def _blocks(ranges: DataFrame, lo: str, hi: str) -> tuple[DataFrame, list[int]]:
+    """A row for each block of each range, and the levels that occur (63 at most)."""
+    blocks = ranges.withColumn("_key", F.explode(dyadic_keys(lo, hi))).select("*", "_key.*").drop("_key")
+    levels = sorted(r[0] for r in ranges.select(F.explode(F.array_distinct(F.transform(dyadic_keys(lo, hi), lambda k: k["level"])))).distinct().collect())
+    return blocks, levels
+
+
+def _placed(points: DataFrame, x: str, levels: list[int]) -> DataFrame:
+    """A row for each point and level, with the block that holds it."""
+    key = [F.struct(F.lit(k).alias("level"), _shifted(F.col(x).cast("long"), F.lit(k)).alias("node")) for k in levels]
+    return points.withColumn("_key", F.explode(F.array(*key))).select("*", "_key.*").drop("_key") if key else points.limit(0).withColumns({"level": F.lit(0), "node": F.lit(0).cast("long")})
+
+
+def assign_interval(points: DataFrame, ranges: DataFrame, x: str = "x", lo: str = "lo", hi: str = "hi", on: tuple[str, ...] = ()) -> DataFrame:
+    """Each point with every half-open range [lo, hi) that holds it (and agrees in the columns `on`). Ranges are cut into dyadic blocks, of which
+    one holds the point, so the join has equal keys whatever the ranges' lengths; overlapping ranges give a row each."""
+    blocks, levels = _blocks(ranges, lo, hi)
+    return _placed(points, x, levels).join(blocks, [*on, "level", "node"]).drop("level", "node")
+
+
+def in_any_interval(points: DataFrame, ranges: DataFrame, x: str = "x", lo: str = "lo", hi: str = "hi", on: tuple[str, ...] = ()) -> DataFrame:
+    """The distinct points that any half-open range holds: a semi join."""
+    blocks, levels = _blocks(ranges.select(*on, lo, hi), lo, hi)
+    return _placed(points, x, levels).join(blocks.select(*on, "level", "node").distinct(), [*on, "level", "node"], "left_semi").drop("level", "node").distinct()
+
+
+def valid_targets(calls: DataFrame, addresses: DataFrame, known: DataFrame, sections: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
+    """The distinct call targets (addr) that are an address, not known already, and inside a section [lo, hi), all of the same item if `on`
+    names it."""
+    keys = [*on, "addr"]
+    found = calls.select(*keys).distinct().join(addresses, keys, "left_semi").join(known, keys, "left_anti")
+    return in_any_interval(found, sections, "addr", on=on)
 
 
 def unresolved_citations(cited: DataFrame, files: DataFrame) -> DataFrame:

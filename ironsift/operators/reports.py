@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ironsift.functions.columns import gaps, present_checks, source_text
+from ironsift.operators.dims import small
+from ironsift.sources.shared import new_folder
 
 _NONE = "array<string>"
 
@@ -13,7 +15,7 @@ _NONE = "array<string>"
 def classified(ioctls: DataFrame, dim: DataFrame) -> DataFrame:
     """Requests (item, pos, method, api_calls and more) with sinks: name, category and severity of their catalogued calls in order."""
     calls = ioctls.select("item", "pos", F.posexplode("api_calls").alias("at", "name"))
-    known = calls.join(dim, F.lower("name") == F.col("symbol_lower"))
+    known = calls.join(small(dim), F.lower("name") == F.col("symbol_lower"))
     sinks = F.array_sort(F.collect_list(F.struct("at", "name", "category", "severity")))
     known = known.groupBy("item", "pos").agg(F.transform(sinks, lambda s: F.struct(s["name"].alias("name"), s["category"].alias("category"), s["severity"].alias("severity"))).alias("sinks"))
     none = F.array().cast("array<struct<name: string, category: string, severity: string>>")
@@ -29,12 +31,22 @@ def sink_hints(ioctls: DataFrame, dim: DataFrame) -> DataFrame:
     return out.withColumns({"source": source_text(F.col("method")), "sink_categories": F.array_sort(F.array_distinct(F.col("sinks.category")))})
 
 
+# How findings of the engine are titled.
+IMPORT_TITLE, HIDDEN_TITLE = "Dangerous import:", "hidden function"
+
+
 def unresolved_hints(findings: DataFrame, ioctls: DataFrame, dim: DataFrame) -> DataFrame:
-    """For items without any ioctl: catalogued import findings, each with the item's hidden-function candidates."""
+    """For items without any ioctl: item, pos, sink, category and severity of each catalogued import finding, and the item's candidates (addr and
+    purpose of its hidden functions, in order). findings: item, pos, title, function, finding_severity, location, purpose; the name stands in the
+    title where function is null or empty."""
     rest = findings.join(ioctls.select("item").distinct(), "item", "left_anti")
-    hidden = rest.filter(F.col("title").contains("hidden function")).groupBy("item").agg(F.array_sort(F.collect_set("function")).alias("candidates"))
-    named = rest.join(dim, F.lower("function") == F.col("symbol_lower")).withColumnRenamed("severity", "catalog_severity")
-    return named.join(hidden, "item", "left").select("item", "function", "category", F.coalesce("finding_severity", "catalog_severity").alias("severity"), "candidates")
+    place = F.struct("pos", F.struct(F.col("location").alias("addr"), "purpose").alias("c"))
+    hidden = rest.filter(F.startswith(F.lower("title"), F.lit(HIDDEN_TITLE))).groupBy("item").agg(F.array_sort(F.collect_list(place))["c"].alias("candidates"))
+    name = F.coalesce(F.nullif("function", F.lit("")), F.trim(F.substring("title", len(IMPORT_TITLE) + 1, 1 << 20)))
+    named = rest.filter(F.startswith("title", F.lit(IMPORT_TITLE))).withColumn("sink", name).join(small(dim), F.lower("sink") == F.col("symbol_lower"))
+    severity = F.coalesce(F.nullif("finding_severity", F.lit("")), F.col("severity"))
+    none = F.array().cast("array<struct<addr: string, purpose: string>>")
+    return named.join(hidden, "item", "left").select("item", "pos", "sink", "category", severity.alias("severity"), F.coalesce("candidates", none).alias("candidates"))
 
 
 def gap_rows(ioctls: DataFrame) -> DataFrame:
@@ -92,11 +104,22 @@ def select_functions(handlers: DataFrame, patterns: list[str], must_have: list[s
     return pick(coded, "handlers_dispatched_from_matching_ioctl").unionByName(pick(called, "functions_calling_any_of_must_have_one"))
 
 
-def promote_functions(functions: DataFrame, calls: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
-    """Functions that reach a seed function in at most depth calls: a bounded chain of joins."""
-    reached = seeds.select("item", "fn").distinct()
-    front = reached
-    for _ in range(depth):
-        front = calls.join(front.select("item", F.col("fn").alias("callee")), ["item", "callee"]).select("item", F.col("caller").alias("fn")).distinct()
-        reached = reached.union(front)
-    return functions.join(reached.distinct(), ["item", "fn"], "left_semi")
+def promote_functions(functions: DataFrame, calls: DataFrame, seeds: DataFrame, depth: int | None = None) -> DataFrame:
+    """Functions that reach a seed function, in at most depth calls if that is given.
+
+    Each round takes one step from what the last one reached first, leaves out what is reached already, and is written once, as the table of
+    that round; so cycles end, and no round is computed twice. The last round is the one that reaches nothing new.
+    """
+    spark, folder = functions.sparkSession, new_folder(functions.sparkSession, "reached")
+    edges = calls.select("item", "callee", F.col("caller").alias("fn")).filter("callee IS NOT NULL")
+    seeds.select("item", "fn").distinct().write.parquet(f"{folder}/round=0")
+    k = 0
+    while depth is None or k < depth:
+        reached = spark.read.parquet(folder)
+        front = spark.read.parquet(f"{folder}/round={k}").select("item", F.col("fn").alias("callee"))
+        step = edges.join(front, ["item", "callee"]).select("item", "fn").distinct().join(reached, ["item", "fn"], "left_anti")
+        k += 1
+        step.write.parquet(f"{folder}/round={k}")
+        if spark.read.parquet(f"{folder}/round={k}").isEmpty():
+            break
+    return functions.join(spark.read.schema("item " + dict(seeds.dtypes)["item"] + ", fn " + dict(seeds.dtypes)["fn"]).parquet(*(f"{folder}/round={i}" for i in range(k + 1))), ["item", "fn"], "left_semi")

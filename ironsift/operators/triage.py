@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ironsift.operators.worklist import restrict, skip_done
@@ -61,10 +61,49 @@ def work_list_counts(items: DataFrame, key: str, keys: DataFrame | None = None,
     return items.agg(F.array(*counts).alias("s")).select(F.inline("s"))
 
 
-def search_terms(terms: DataFrame, aliases: DataFrame) -> DataFrame:
-    """The query of the scope that a term names; the term itself where none does."""
-    known = aliases.groupBy(F.lower("alias").alias("a")).agg(F.min("search").alias("search"))
-    return terms.join(known, F.lower("term") == F.col("a"), "left").select("term", F.coalesce("search", "term").alias("search"))
+def counted_work_list(items: DataFrame, key: str, observation: Observation, keys: DataFrame | None = None, short: DataFrame | None = None, done: DataFrame | None = None) -> DataFrame:
+    """The work list, whose counts come with the pass that writes it: observation.get has total and, for each filter, how many passed it and
+    all before (keys, shortlist, done)."""
+    passed, metrics = F.lit(True), [F.count(F.lit(1)).alias("total")]
+    columns = items.columns
+    for name, t in (("keys", keys), ("shortlist", short), ("done", done)):
+        if t is not None:
+            items = items.join(t.select(key, F.lit(True).alias(f"_{name}")).distinct(), key, "left")
+            hit = F.coalesce(F.col(f"_{name}"), F.lit(False))
+            passed = passed & (~hit if name == "done" else hit)
+            metrics.append(F.count_if(passed).alias(name))
+    return items.withColumn("_passed", passed).observe(observation, *metrics).filter("_passed").select(*columns)
+
+
+def resolve_scopes(terms: DataFrame, profiles: DataFrame) -> DataFrame:
+    """term, queries, categories, label and source of each term.
+
+    profiles: file, stem, name, short_name, search (queries, categories) and classes, as `read_scopes` gives them. A term names the first profile
+    by file whose stem, name or short name it is, exactly; a profile without a search block is searched by its classes and its name. Any other
+    term is its own query. Terms are trimmed; a null term is dropped.
+    """
+    search = F.coalesce(F.col("search.queries").isNotNull() | F.col("search.categories").isNotNull(), F.lit(False))
+    named = F.nullif("name", F.lit(""))
+    none = F.array().cast("array<string>")
+    derived = F.array_compact(F.concat(F.coalesce("classes", none), F.array(F.replace(named, F.lit("-"), F.lit(" ")))))
+    queries = F.when(search, F.coalesce("search.queries", none)).otherwise(derived)
+    told = F.struct(
+        F.when(F.size(queries) > 0, queries).alias("queries"),
+        F.when(search, F.coalesce("search.categories", none)).otherwise(none).alias("categories"),
+        F.coalesce(named, "stem").alias("label"),
+    )
+    aliases = profiles.select("file", told.alias("told"), F.explode(F.array_distinct(F.array_compact(F.array("stem", "name", "short_name")))).alias("alias"))
+    first = aliases.groupBy("alias").agg(F.min_by("told", "file").alias("told"))
+    own = terms.select(F.trim("term").alias("term")).filter("term IS NOT NULL")
+    known = own.join(first, F.col("term") == F.col("alias"), "left")
+    hit = F.col("told").isNotNull()
+    return known.select(
+        "term",
+        F.when(hit, F.col("told.queries")).otherwise(F.array("term")).alias("queries"),
+        F.when(hit, F.col("told.categories")).otherwise(none).alias("categories"),
+        F.when(hit, F.col("told.label")).otherwise(F.col("term")).alias("label"),
+        F.when(hit, "profile").otherwise("adhoc").alias("source"),
+    )
 
 
 def attribute(items: DataFrame, manifests: DataFrame) -> DataFrame:

@@ -79,9 +79,10 @@ def fresh_snapshot(df: DataFrame, min_bytes: float, now: Column, max_days: int =
 
 
 def scope_partition(findings: DataFrame, names: DataFrame, symbols: list[str], patterns: list[str], strings: list[str]) -> DataFrame:
-    """Adds in_scope: by function, by device name (for device findings), or by a string of the scope (own casing)."""
+    """Adds in_scope: by function, by device name (for device findings), or by a string of the scope in the title or in the description
+    (own casing)."""
     device = names.groupBy("item").agg(F.max(F.exists(F.array(*map(F.lit, patterns)), lambda p: F.regexp_like("name", p))).alias("device_hit"))
-    text = F.concat_ws(" ", "title", "description")
-    by_device = F.coalesce("device_hit", F.lit(False)) & F.col("title").rlike("Device|SDDL")
-    by_string = F.exists(F.array(*map(F.lit, strings)), lambda s: F.contains(text, s))
+    by_device = F.coalesce("device_hit", F.lit(False)) & F.coalesce(F.col("title").rlike("Device|SDDL"), F.lit(False))
+    has = lambda c, s: F.contains(F.coalesce(c, F.lit("")), s)
+    by_string = F.exists(F.array(*map(F.lit, strings)), lambda s: has("title", s) | has("description", s)) if strings else F.lit(False)
     return findings.join(device, "item", "left").withColumn("in_scope", F.coalesce(F.col("function").isin(*symbols), F.lit(False)) | by_device | by_string).drop("device_hit")

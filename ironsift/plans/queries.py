@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ironsift.functions import columns as C
@@ -213,11 +214,14 @@ def flt12_native_only(t: Tables) -> DataFrame:
     return worklist.native_only(rows).select("p_partkey")
 
 
-@query("SELECT doc_id, contains(text, ' the ') OR (doc_id % 3 = 0 AND regexp_matches(lang, '^e')) AS in_scope FROM documents")
+@query("""SELECT doc_id, contains(text, ' the ') OR contains(coalesce(text[50:], ''), 'in re') OR contains(left(text, 40), 'in re') OR (doc_id % 3 = 0 AND regexp_matches(lang, '^e')) OR (doc_id % 5 = 0 AND doc_id % 3 <> 0) AS in_scope FROM documents""")
 def flt13_scope_partition(t: Tables) -> DataFrame:
-    found = t.documents.select(F.col("doc_id").alias("item"), F.when(F.col("doc_id") % 3 == 0, "Device SDDL").otherwise("other").alias("title"), F.col("text").alias("description"), F.lit(None).cast("string").alias("function"))
-    names = t.documents.select(F.col("doc_id").alias("item"), F.col("lang").alias("name"))
-    return worklist.scope_partition(found, names, ["X"], ["^e"], [" the "]).select(F.col("item").alias("doc_id"), "in_scope")
+    """Functions, device names, and strings in the title or in the description but not across both."""
+    n = F.col("doc_id")
+    found = t.documents.select(n.alias("item"), F.when(n % 3 == 0, F.concat(F.left("text", F.lit(40)), F.lit(" Device SDDL"))).otherwise(F.left("text", F.lit(40))).alias("title"), F.substring("text", 50, 1 << 30).alias("description"), F.when((n % 5 == 0) & (n % 3 != 0), "X").alias("function"), "text")
+    found = found.withColumn("description", F.when(F.contains("text", F.lit(" the ")), "all the same").otherwise(F.col("description")))
+    names = t.documents.select(n.alias("item"), F.col("lang").alias("name"))
+    return worklist.scope_partition(found, names, ["X"], ["^e"], [" the ", "in re"]).select(F.col("item").alias("doc_id"), "in_scope")
 
 
 @query("SELECT page_id FROM pages WHERE regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1) = 'm.therou.example.com'")
@@ -386,10 +390,27 @@ def jn7_triage_status(t: Tables) -> DataFrame:
     return triage.triage_status(t.customer.select(F.col("c_custkey").alias("item"), F.lit("BUILDING").alias("scope")), index)
 
 
-@query("SELECT n_name AS term, CASE WHEN n_nationkey < 10 THEN 'q' || n_nationkey ELSE n_name END AS search FROM nation")
-def jn8_search_terms(t: Tables) -> DataFrame:
-    aliases = t.nation.filter("n_nationkey < 10").select(F.upper("n_name").alias("alias"), F.concat(F.lit("q"), F.col("n_nationkey").cast("string")).alias("search"))
-    return triage.search_terms(t.nation.select(F.col("n_name").alias("term")), aliases)
+def _scopes(t: Tables) -> DataFrame:
+    """A profile for each nation but the last five: two of a region share a name, a third has no name; a half has no search block."""
+    n, own = F.col("n_nationkey"), F.lower(F.col("n_name"))
+    name = F.when(n % 3 == 0, F.concat(F.lit("scope-"), F.col("n_regionkey").cast("string"))).when(n % 3 == 1, F.concat(F.lit("scope-"), (F.col("n_regionkey") + 1).cast("string")))
+    search = F.when(n % 4 == 0, F.struct(F.array(own, F.lit("usb")).alias("queries"), F.array(F.lit("CS")).alias("categories"))).when(n % 4 == 1, F.struct(F.array().cast("array<string>").alias("queries"), F.lit(None).cast("array<string>").alias("categories")))
+    return t.nation.filter(n < 20).select(F.concat(own, F.lit(".yaml")).alias("file"), own.alias("stem"), name.alias("name"), F.concat(F.lit("n"), n.cast("string")).alias("short_name"), search.alias("search"), F.when(n % 2 == 0, F.array(F.lit("disk"), own)).alias("classes"))
+
+
+_SCOPES = """prof AS (SELECT lower(n_name) || '.yaml' AS file, lower(n_name) AS stem, CASE n_nationkey % 3 WHEN 0 THEN 'scope-' || n_regionkey WHEN 1 THEN 'scope-' || (n_regionkey + 1) END AS name, 'n' || n_nationkey AS short_name, n_nationkey AS n FROM nation WHERE n_nationkey < 20),
+told AS (SELECT *, CASE n % 4 WHEN 0 THEN stem || ',usb' WHEN 1 THEN NULL ELSE nullif(concat_ws(',', CASE WHEN n % 2 = 0 THEN 'disk,' || stem END, replace(name, '-', ' ')), '') END AS queries, CASE n % 4 WHEN 0 THEN 'CS' ELSE '' END AS categories, coalesce(name, stem) AS label FROM prof),
+terms AS (SELECT ' scope-' || r_regionkey || ' ' AS term FROM region UNION ALL SELECT lower(n_name) FROM nation UNION ALL SELECT n_name FROM nation UNION ALL SELECT 'n' || n_nationkey FROM nation),
+alias AS (SELECT alias, arg_min(n, file) AS n FROM (SELECT file, n, unnest([stem, name, short_name]) AS alias FROM prof) WHERE alias IS NOT NULL GROUP BY 1)"""
+
+
+@query(f"""WITH {_SCOPES} SELECT trim(term) AS term, CASE WHEN told.n IS NULL THEN trim(term) ELSE queries END AS queries, coalesce(categories, '') AS categories, coalesce(label, trim(term)) AS label, CASE WHEN told.n IS NULL THEN 'adhoc' ELSE 'profile' END AS source
+FROM terms LEFT JOIN alias ON alias = trim(term) LEFT JOIN told USING (n)""")
+def jn8_resolve_scopes(t: Tables) -> DataFrame:
+    n = t.nation
+    terms = [t.region.select(F.concat(F.lit(" scope-"), F.col("r_regionkey").cast("string"), F.lit(" ")).alias("term")), n.select(F.lower("n_name").alias("term")), n.select(F.col("n_name").alias("term")), n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("term"))]
+    out = triage.resolve_scopes(reduce(DataFrame.unionByName, terms), _scopes(t))
+    return out.select("term", F.array_join("queries", ",").alias("queries"), F.array_join("categories", ",").alias("categories"), "label", "source")
 
 
 @query("SELECT p_partkey, category FROM part, (VALUES ('gear'), ('small ring set'), ('bolt')) c(category) WHERE contains(lower(p_name), category) OR contains(category, lower(p_name))")
@@ -398,17 +419,38 @@ def jn9_match_categories(t: Tables) -> DataFrame:
     return match.match_categories(t.part.select("p_partkey", F.col("p_name").alias("term")), cats).select("p_partkey", "category")
 
 
-@query("SELECT event_id, CAST(floor(epoch(ts) / 86400) AS BIGINT) AS day FROM events")
+_SPANS = """spans AS (SELECT 'day' AS kind, day, day * 86400 AS lo, day * 86400 + 86400 AS hi FROM (SELECT DISTINCT CAST(floor(epoch(ts) / 86400) AS BIGINT) AS day FROM events) UNION ALL SELECT 'all', 0, -5, 4000000000 UNION ALL
+SELECT 'odd', event_id, CAST(floor(epoch(ts)) AS BIGINT), CAST(floor(epoch(ts)) AS BIGINT) + event_id % 1000 FROM events WHERE event_id % 50 = 0)"""
+
+
+@query(f"WITH {_SPANS} SELECT event_id, kind, day FROM events JOIN spans ON floor(epoch(ts)) >= lo AND floor(epoch(ts)) < hi")
 def jn10_assign_interval(t: Tables) -> DataFrame:
+    """Days, one range over the whole axis, and ranges of any length that overlap or are empty."""
     points = t.events.select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("x"))
-    days = points.select(F.expr("x div 86400").alias("day")).distinct().select("day", (F.col("day") * 86400).alias("lo"), ((F.col("day") + 1) * 86400).alias("hi"))
-    return ranges.assign_interval(points, days, 86400).select("event_id", "day")
+    days = points.select(F.expr("x div 86400").alias("day")).distinct().select(F.lit("day").alias("kind"), "day", (F.col("day") * 86400).alias("lo"), ((F.col("day") + 1) * 86400).alias("hi"))
+    odd = points.filter("event_id % 50 = 0").select(F.lit("odd").alias("kind"), F.col("event_id").alias("day"), F.col("x").alias("lo"), (F.col("x") + F.col("event_id") % 1000).alias("hi"))
+    whole = dims.local_table(t.spark, [("all", 0, -5, 4_000_000_000)], "kind string, day long, lo long, hi long")
+    return ranges.assign_interval(points, days.unionByName(odd).unionByName(whole)).select("event_id", "kind", "day")
 
 
-@query("SELECT o_orderkey AS addr FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_orderkey NOT IN (SELECT l_partkey FROM lineitem)")
+@query("""SELECT DISTINCT l_orderkey AS addr FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') AND l_orderkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1)
+AND EXISTS (SELECT 1 FROM supplier WHERE l_orderkey >= s_suppkey * 100 AND l_orderkey < s_suppkey * 100 + 60)""")
 def jn11_valid_targets(t: Tables) -> DataFrame:
     key = lambda df, c: df.select(F.col(c).alias("addr"))
-    return ranges.valid_targets(key(t.orders, "o_orderkey"), key(t.lineitem, "l_orderkey"), key(t.lineitem, "l_partkey"))
+    sections = t.supplier.select((F.col("s_suppkey") * 100).alias("lo"), (F.col("s_suppkey") * 100 + 60).alias("hi"))
+    return ranges.valid_targets(key(t.lineitem, "l_orderkey"), key(t.orders.filter("o_orderstatus <> 'P'"), "o_orderkey"), key(t.lineitem.filter("l_linenumber = 1"), "l_partkey"), sections)
+
+
+@query("""SELECT DISTINCT user_id AS item, event_id + 3 AS addr FROM events e WHERE EXISTS (SELECT 1 FROM events a WHERE a.user_id = e.user_id AND a.event_id >= e.event_id - 20 AND a.event_id < e.event_id + 10 AND a.event_type = 'signup')
+AND EXISTS (SELECT 1 FROM events a WHERE a.event_id = e.event_id + 3) AND e.event_type <> 'error'""")
+def jn11_valid_targets_by_item(t: Tables) -> DataFrame:
+    """Sections of each user around their signups."""
+    e = t.events
+    calls = e.select(F.col("user_id").alias("item"), (F.col("event_id") + 3).alias("addr"))
+    addresses = calls.join(e.select(F.col("event_id").alias("addr")), "addr", "left_semi")
+    known = e.filter("event_type = 'error'").select(F.col("user_id").alias("item"), (F.col("event_id") + 3).alias("addr"))
+    sections = e.filter("event_type = 'signup'").select(F.col("user_id").alias("item"), (F.col("event_id") - 6).alias("lo"), (F.col("event_id") + 24).alias("hi"))
+    return ranges.valid_targets(calls, addresses, known, sections, ("item",)).select("item", "addr")
 
 
 @query("SELECT c.conv_id AS file, c.turn + 1 AS line FROM conversations c JOIN (SELECT conv_id, max(turn) AS n FROM conversations GROUP BY 1) m USING (conv_id) WHERE c.turn + 1 > m.n")
@@ -661,11 +703,23 @@ def rpt1_sink_hints(t: Tables) -> DataFrame:
     return reports.sink_hints(_ioctls(t), match.symbol_dim(t.spark, CATALOG)).select("item", F.array_join(text, ",").alias("sinks"), F.array_join("sink_categories", ",").alias("categories"), "source")
 
 
-@query(f"WITH {_DIM} SELECT DISTINCT l_orderkey AS item, p_name AS function, category, severity FROM lineitem JOIN part ON l_partkey = p_partkey JOIN dim ON lower(p_name) = symbol_lower WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+@query(f"""WITH {_DIM}, f AS (SELECT l_orderkey AS item, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos, p_name, p_size, p_partkey FROM lineitem JOIN part ON l_partkey = p_partkey),
+open AS (SELECT * FROM f WHERE item NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')),
+h AS (SELECT item, string_agg('0x' || p_size || ':' || coalesce(CASE WHEN p_partkey % 2 = 0 THEN p_name END, '-'), ',' ORDER BY pos) AS candidates FROM open WHERE pos % 4 = 0 GROUP BY 1)
+SELECT item, pos, p_name AS sink, category, CASE WHEN p_partkey % 3 = 0 THEN 'noted' ELSE severity END AS severity, coalesce(candidates, '') AS candidates FROM open JOIN dim ON lower(p_name) = symbol_lower LEFT JOIN h USING (item) WHERE pos % 4 IN (1, 2)""")
 def rpt2_unresolved_hints(t: Tables) -> DataFrame:
-    found = t.symbols().distinct().select("item", F.lit("Dangerous import").alias("title"), F.col("symbol").alias("function"), F.lit(None).cast("string").alias("finding_severity"))
+    """Of four lines two are imports (one with the name in its title alone), one a note and one a hidden function."""
+    pos, own = F.col("ordinal"), F.col("symbol")
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    by = F.row_number().over(dedup.Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")).cast("long")
+    lines = rows.select(F.col("l_orderkey").alias("item"), by.alias("ordinal"), F.col("p_name").alias("symbol"), "p_size", "p_partkey")
+    title = F.when(pos % 4 == 1, F.concat(F.lit("Dangerous import: "), own)).when(pos % 4 == 2, "Dangerous import: see details").when(pos % 4 == 3, F.concat(F.lit("Note on dangerous import: "), own)).otherwise(F.concat(F.lit("Hidden Function at "), own))
+    function = F.when(pos % 4 == 1, F.when(F.col("p_size") % 2 == 0, "")).otherwise(own)
+    found = lines.select("item", pos.alias("pos"), title.alias("title"), function.alias("function"), F.when(F.col("p_partkey") % 3 == 0, "noted").when(F.col("p_partkey") % 3 == 1, "").alias("finding_severity"), F.concat(F.lit("0x"), F.col("p_size").cast("string")).alias("location"), F.when(F.col("p_partkey") % 2 == 0, own).alias("purpose"))
     ioctls = t.orders.filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("item"))
-    return reports.unresolved_hints(found, ioctls, match.symbol_dim(t.spark, CATALOG)).select("item", "function", "category", "severity")
+    out = reports.unresolved_hints(found, ioctls, match.symbol_dim(t.spark, CATALOG))
+    candidates = F.transform("candidates", lambda c: F.concat_ws(":", c["addr"], F.coalesce(c["purpose"], F.lit("-"))))
+    return out.select("item", "pos", "sink", "category", "severity", F.array_join(candidates, ",").alias("candidates"))
 
 
 @query(f"WITH {_MISSING} SELECT item, array_to_string(missing, ',') AS missing, CASE WHEN names <> '' THEN method || ' reaches ' || names || ' without ' ELSE method || ' takes raw user pointers without ' END || array_to_string(missing, ', ') AS reason FROM m WHERE len(missing) > 0")
@@ -753,14 +807,28 @@ def rpt13_select_functions(t: Tables) -> DataFrame:
     return reports.select_functions(handlers, ["^[AR]"], PROFILES["alpha"]["must_have_one"])
 
 
+def _called(t: Tables, ring: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each event of a user calls the next one; with ring the last one calls the first."""
+    w = dedup.Window.partitionBy("user_id").orderBy("event_id")
+    after = F.lead("event_id").over(w)
+    if ring:
+        after = F.coalesce(after, F.min("event_id").over(dedup.Window.partitionBy("user_id")))
+    calls = t.events.select(F.col("user_id").alias("item"), F.col("event_id").alias("caller"), after.alias("callee"))
+    functions = t.events.select(F.col("user_id").alias("item"), F.col("event_id").alias("fn"), "event_type")
+    return functions.drop("event_type"), calls, functions.filter("event_type = 'purchase'")
+
+
 @query("""WITH RECURSIVE c AS (SELECT user_id AS item, event_id AS caller, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS callee FROM events),
 r AS (SELECT user_id AS item, event_id AS fn, 0 AS d FROM events WHERE event_type = 'purchase' UNION SELECT c.item, caller, d + 1 FROM c JOIN r ON r.item = c.item AND r.fn = callee WHERE d < 3)
 SELECT DISTINCT item, fn FROM r""")
 def rpt13_promote_functions(t: Tables) -> DataFrame:
-    w = dedup.Window.partitionBy("user_id").orderBy("event_id")
-    calls = t.events.select(F.col("user_id").alias("item"), F.col("event_id").alias("caller"), F.lead("event_id").over(w).alias("callee"))
-    functions = t.events.select(F.col("user_id").alias("item"), F.col("event_id").alias("fn"), "event_type")
-    return reports.promote_functions(functions.drop("event_type"), calls, functions.filter("event_type = 'purchase'"), 3)
+    return reports.promote_functions(*_called(t), 3)
+
+
+@query("SELECT user_id AS item, event_id AS fn FROM events WHERE user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase')")
+def rpt13_reachable_in_cycles(t: Tables) -> DataFrame:
+    """Rings of calls, to the end."""
+    return reports.promote_functions(*_called(t, ring=True))
 
 
 # Triage ------------------------------------------------------------------------------------------
@@ -827,6 +895,15 @@ def tri6_work_list_counts(t: Tables) -> DataFrame:
     return triage.work_list_counts(t.orders.select("o_orderkey"), "o_orderkey", *_work(t))
 
 
+@query(f"WITH {_STEPS} SELECT count(*) AS total, count(*) FILTER (a) AS keys, count(*) FILTER (a AND b) AS shortlist, count(*) FILTER (a AND b AND c) AS done FROM s")
+def tri6_counts_of_the_written_list(t: Tables) -> DataFrame:
+    """The list is written, and its counts come with the same pass."""
+    seen = Observation()
+    triage.counted_work_list(t.orders.select("o_orderkey"), "o_orderkey", seen, *_work(t)).write.parquet(shared.new_folder(t.spark, "work-list"))
+    names = ("total", "keys", "shortlist", "done")
+    return dims.local_table(t.spark, [tuple(seen.get[x] for x in names)], "total long, keys long, shortlist long, done long")
+
+
 # Scalars and sets --------------------------------------------------------------------------------
 
 

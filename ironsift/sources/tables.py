@@ -57,6 +57,17 @@ def read_profiles(spark: SparkSession, glob: str) -> dict[str, DataFrame]:
     }
 
 
+_SCOPE = "name string, short_name string, search struct<queries: array<string>, categories: array<string>>, device_classes_of_interest array<string>"
+
+
+def read_scopes(spark: SparkSession, glob: str) -> DataFrame:
+    """file, stem, name, short_name, search and classes of hunt profiles, one JSON document each; a file that can't be read as one is skipped."""
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1)
+    files = spark.read.text(glob, wholetext=True).select(file.alias("file"), F.from_json("value", f"{_SCOPE}, {BAD} string", {"columnNameOfCorruptRecord": BAD}).alias("p"))
+    docs = files.filter(F.col("p").isNotNull() & F.col(f"p.{BAD}").isNull())
+    return docs.select("file", F.regexp_replace("file", r"\.[^.]*$", "").alias("stem"), "p.name", "p.short_name", "p.search", F.col("p.device_classes_of_interest").alias("classes"))
+
+
 _CATALOG = "_path string, _dateTime string, _size long, ComponentType struct<_value: string>, Category struct<_value: string>"
 
 
