@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ironsift.functions.columns import little_endian
+from ironsift.sources.versions import Manifest, VersionedTable
 
 BAD = "_corrupt_record"
 # The component type of drivers in a package catalog, and the categories that are kept by default.
@@ -121,21 +120,21 @@ def row_size_violations(df: DataFrame, key: str, limit: int = 4096, text: str |
     return df.select(F.col(key), size.cast("long").alias("row_bytes")).filter(F.col("row_bytes") >= limit)
 
 
-def rewrite_table(df: DataFrame, path: str, dry_run: bool = False) -> str | None:
-    """Writes df as a new version below the path, then points to it; the version being read is never touched, and a
-    reader of current_table sees the old rows or the new ones. Nothing on a dry run."""
+def rewrite_table(df: DataFrame, path: str, dry_run: bool = False, base: Manifest | None = None) -> str | None:
+    """Writes df as the next version of a table, whose folder comes back; a reader of current_table sees the old rows or the new ones.
+    Nothing on a dry run. base: the version that df was made from; if there is a newer one, that is an error, and nothing is lost."""
     if dry_run:
         return None
-    version = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
-    df.write.parquet(version)
-    df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at")).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_pointers")
-    return version
+    table = VersionedTable(df.sparkSession, path)
+    return f"{table.folder}/{table.rewrite(df, base or table.manifest()).parts[0].folder}"
 
 
 def current_table(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the version that was pointed to last."""
-    last = spark.read.parquet(f"{path.rstrip('/')}/_pointers").agg(F.max_by("version", F.struct("at", "version"))).first()[0]
-    return spark.read.parquet(last)
+    """The rows of the last version."""
+    rows = VersionedTable(spark, path).read()
+    if rows is None:
+        raise FileNotFoundError(f"{path} has no version")
+    return rows
 
 
 def write_run_summary(df: DataFrame, path: str) -> None:

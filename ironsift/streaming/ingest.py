@@ -2,66 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ironsift.operators.dedup import latest_per_key
 from ironsift.operators.match import fingerprint
 from ironsift.sources.tables import audit_lines
+from ironsift.sources.versions import VersionedTable
+from ironsift.streaming.key_store import KeyStore, once_per_key
 
 
-def start_fingerprint(items: DataFrame, catalog: list[str], profiles: dict[str, dict], sink: str, checkpoint: str) -> StreamingQuery:
-    """Each content key once, scored as in batch, appended to a Parquet sink. Rows without symbols pass unscored."""
-    once = items.dropDuplicates(["item"])
-    out = fingerprint(once.withColumn("symbols", F.coalesce("symbols", F.array().cast("array<string>"))), catalog, profiles)
-    return out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def start_fingerprint(items: DataFrame, catalog: list[str], profiles: dict[str, dict], folder: str, checkpoint: str) -> StreamingQuery:
+    """Each content key once, scored as in batch, in a versioned table of the folder (rows). What was seen is kept in a store by hash bucket, not in
+    the state of the stream, which has none. Rows without symbols pass unscored."""
+    spark = items.sparkSession
+
+    def score(df: DataFrame) -> DataFrame:
+        return fingerprint(df.withColumn("symbols", F.coalesce("symbols", F.array().cast("array<string>"))), catalog, profiles)
+
+    step = once_per_key(KeyStore(spark, f"{folder}/seen", "item"), VersionedTable(spark, f"{folder}/rows"), score)
+    return items.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def new_to_store(store: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch step: rows whose key the store doesn't have are appended under the batch's id; a repeat adds nothing."""
+    """A foreachBatch step: rows whose key the store doesn't have are appended to its table (rows); a repeat adds nothing."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            known = spark.read.parquet(store).filter(F.col("batch_id") != batch_id).select(key)
-            batch = batch.join(known, key, "left_anti")
-        except AnalysisException as e:  # the store has no table yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        batch.dropDuplicates([key]).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store)
+        once_per_key(KeyStore(spark, f"{store}/seen", key), VersionedTable(spark, f"{store}/rows"))(batch, batch_id)
 
     return step
 
 
-def latest_view(view: str, keys: list[str], ts: str, seq: str, compact: int = 20) -> Callable[[DataFrame, int], None]:
+def latest_view(view: str, keys: list[str], ts: str, seq: str, compact: int = 20, grace: float = 3600) -> Callable[[DataFrame, int], None]:
     """A foreachBatch step: the latest row of each key of the batch, appended under the batch's id (a repeat replaces it). Each
-    compact-th batch folds all so far into a base, so that the cost of a batch follows its rows and not the view's."""
+    compact-th batch folds all so far into one part, so that the cost of a batch follows its rows and not the view's, and collects what no reader
+    of the last grace seconds can need."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, keys, ts, seq).write.mode("overwrite").parquet(f"{view}/log/batch_id={batch_id}")
-        if batch_id % compact == compact - 1:
-            read_latest(batch.sparkSession, view, keys, ts, seq).write.mode("overwrite").parquet(f"{view}/base/upto={batch_id}")
+        table = VersionedTable(batch.sparkSession, view)
+        base = table.append(latest_per_key(batch, keys, ts, seq), batch_id)
+        if batch_id % compact == compact - 1 and base.folded < batch_id:
+            table.rewrite(latest_per_key(table.read(base), keys, ts, seq), base, folded=batch_id)
+            table.collect_garbage(grace)
 
     return step
 
 
 def read_latest(spark: SparkSession, view: str, keys: list[str], ts: str, seq: str) -> DataFrame:
-    """The latest row of each key: the newest base, and the batches after it."""
-    rows = spark.read.parquet(f"{view}/log")
-    try:
-        base = spark.read.parquet(f"{view}/base")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return latest_per_key(rows.drop("batch_id"), keys, ts, seq)
-    upto = base.agg(F.max("upto")).first()[0]
-    return latest_per_key(rows.filter(F.col("batch_id") > upto).drop("batch_id").unionByName(base.filter(F.col("upto") == upto).drop("upto")), keys, ts, seq)
+    """The latest row of each key, from one version of the view."""
+    return latest_per_key(VersionedTable(spark, view).read(), keys, ts, seq)
 
 
 def rows_and_rejects(lines: DataFrame, schema: str, rows: str, rejects: str, checkpoint: str) -> tuple[StreamingQuery, StreamingQuery]:
@@ -73,23 +66,3 @@ def rows_and_rejects(lines: DataFrame, schema: str, rows: str, rejects: str, che
 
 def live_totals(items: DataFrame, source: str) -> DataFrame:
     return items.groupBy(source).agg(F.count("*").alias("n"))
-
-
-def _streak(hit: str, reset: str, threshold: int) -> Callable:
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
-        for frame in frames:
-            rows = []
-            for status in frame.sort_values("seq")["status"]:
-                n = n + 1 if status == hit else 0 if status == reset else n
-                rows.append((key[0], status, n if status == hit else 0, n >= threshold))
-            yield pd.DataFrame(rows, columns=["source", "status", "streak", "stopped"])
-        state.update((n,))
-
-    return update
-
-
-def streak_state(outcomes: DataFrame, hit: str, reset: str, threshold: int) -> DataFrame:
-    """Streaks across batches: rows (source, seq, status); the state of a source is one number."""
-    out = "source string, status string, streak long, stopped boolean"
-    return outcomes.groupBy("source").applyInPandasWithState(_streak(hit, reset, threshold), out, "n long", "append", GroupStateTimeout.NoTimeout)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ironsift.operators import gate, match, quality, worklist
 from ironsift.operators.dedup import latest_per_key
 from ironsift.sources import tables
+from ironsift.sources.versions import VersionedTable
 from ironsift.streaming import ingest
 from tests.conftest import DATA
 
@@ -127,7 +128,7 @@ def test_fingerprint_stream(spark, tmp_path):
     profiles = {"p": {"must_have_one": ["red bolt"], "device_name": ["^small"], "weights": {"must_have_one": 2, "device_match": 5}}}
     ingest.start_fingerprint(stream(spark, f"{tmp_path}/in", df.schema), ["red bolt"], profiles, f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination()
     whole = df.withColumn("symbols", F.coalesce("symbols", F.array().cast("array<string>")))
-    assert rows(spark.read.parquet(f"{tmp_path}/out").select("item", "matches")) == rows(match.fingerprint(whole, ["red bolt"], profiles).select("item", "matches"))
+    assert rows(VersionedTable(spark, f"{tmp_path}/out/rows").read().select("item", "matches")) == rows(match.fingerprint(whole, ["red bolt"], profiles).select("item", "matches"))
 
 
 def run_batches(df, step, checkpoint):
@@ -148,23 +149,17 @@ def test_new_to_store(spark, tmp_path, events):
     table, folder = events
     step = ingest.new_to_store(f"{tmp_path}/store", "user_id")
     run_batches(stream(spark, folder, table.schema), step, f"{tmp_path}/ck")
-    store = spark.read.parquet(f"{tmp_path}/store")
-    assert store.count() == store.select("user_id").distinct().count() == table.select("user_id").distinct().count()
+    read = lambda: VersionedTable(spark, f"{tmp_path}/store/rows").read()
+    assert read().count() == read().select("user_id").distinct().count() == table.select("user_id").distinct().count()
     step(table, 7)
-    assert spark.read.parquet(f"{tmp_path}/store").count() == store.count()
+    assert read().count() == table.select("user_id").distinct().count()
 
 
-def test_totals_and_streaks(spark, tmp_path, events):
+def test_totals(spark, events):
     table, folder = events
     live = ingest.live_totals(stream(spark, folder, table.schema), "event_type")
     live.writeStream.outputMode("complete").format("memory").queryName("live_totals").trigger(availableNow=True).start().awaitTermination()
     assert rows(spark.table("live_totals")) == rows(table.groupBy("event_type").agg(F.count("*")))
-    outcomes = [("s", k, x) for k, x in enumerate(["ok", "bad", "bad", "other", "bad", "ok", "bad"])]
-    df = spark.createDataFrame(outcomes, "source string, seq long, status string")
-    df.coalesce(1).write.parquet(f"{tmp_path}/outcomes")
-    out = ingest.streak_state(stream(spark, f"{tmp_path}/outcomes", df.schema), "bad", "ok", 3)
-    out.writeStream.format("memory").queryName("streaks").trigger(availableNow=True).start().awaitTermination()
-    assert [(r.status, r.streak, r.stopped) for r in spark.table("streaks").collect()] == [("ok", 0, False), ("bad", 1, False), ("bad", 2, False), ("other", 0, False), ("bad", 3, True), ("ok", 0, False), ("bad", 1, False)]
 
 
 def test_dead_letters(spark, tmp_path):
