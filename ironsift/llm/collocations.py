@@ -25,12 +25,12 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ironsift.llm.arrowtext import GOLD, LOWER, LOWER_IDS, U, mix, pieces, rows_of, text_buffers, tokens
+from ironsift.llm.bit_filter import BitFilter, filter_of
 from ironsift.llm.shared import Kept
 
 MAX_BITS = 1 << 27
@@ -187,22 +187,6 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return mix(words[:-1] * GOLD + words[1:])
 
 
-@dataclass(frozen=True)
-class BitFilter:
-    """What may be frequent. Two bits stand for each hash."""
-
-    bits: Broadcast[bytes]
-    size: int
-
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        table = np.frombuffer(self.bits.value, np.uint8)
-        out = np.ones(len(hashes), bool)
-        for x in (hashes, hashes >> U(32)):
-            cell = (x & U(self.size - 1)).astype(np.int64)
-            out &= (table[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
-        return out
-
-
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A hash for each phrase of one or two words."""
     for batch in batches:
@@ -218,16 +202,10 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["h"])
 
 
-def bit_filter(spark: SparkSession, phrases: DataFrame) -> BitFilter:
+def bit_filter(phrases: DataFrame) -> BitFilter:
     """The filter of phrases of one word, or of two. Its size follows their number up to MAX_BITS (16 MB)."""
     size = min(MAX_BITS, 1 << max(15, (16 * phrases.count()).bit_length()))
-    hashed = phrases.select("lang", "phrase").mapInArrow(_hashes, "h long")
-    cells = hashed.select(F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 32))).alias("x")).select((F.col("x").bitwiseAND(size - 1) + 1).alias("cell"))
-    blocks = cells.groupBy(F.bitmap_bucket_number("cell").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
-    bits = bytearray(size // 8)
-    for block, part in blocks.collect():  # at most MAX_BITS in all
-        bits[(block - 1) * 4096 : block * 4096] = part
-    return BitFilter(spark.sparkContext.broadcast(bytes(bits)), size)
+    return filter_of(phrases.select("lang", "phrase").mapInArrow(_hashes, "h long"), size)
 
 
 def _count(data: np.ndarray, offs: np.ndarray, langs: list[str], trie: HatTrie, lengths: tuple[int, ...], words_kept: BitFilter | None, pairs_kept: BitFilter | None) -> dict[str, int]:
@@ -366,7 +344,7 @@ def collocations(docs: DataFrame, least: int = 30, cover: int = 80, top: int = 2
     empty table gives an empty result, and other columns are ignored. A text is counted in parts of any number; memory
     follows the longest text and the bounds in `memory`. n counts all words of the language.
     """
-    spark, tables = docs.sparkSession, Kept(docs.sparkSession)
+    tables = Kept(docs.sparkSession)
     docs = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(text_col).cast("string").alias("text"))
     enough = F.col("f") >= least
     ones = tables.keep(count_phrases(docs, (1,), memory=memory).filter(enough | (F.col("phrase") == "")), "ones")
@@ -375,9 +353,9 @@ def collocations(docs: DataFrame, least: int = 30, cover: int = 80, top: int = 2
     n = totals.agg(F.sum("n")).first()[0] or 0
     often = words.filter(_wide("f") * HOT_SHARE >= n).select("lang", "phrase")  # HOT_SHARE at most
     hot = np.array([r.h for r in often.mapInArrow(_hashes, "h long").collect()], np.int64).view(U)
-    words_kept = bit_filter(spark, words)
+    words_kept = bit_filter(words)
     twos = tables.keep(count_phrases(docs, (2,), words_kept, None, hot, memory).filter(enough), "twos")
-    pairs_kept = bit_filter(spark, twos)
+    pairs_kept = bit_filter(twos)
     more = tables.keep(count_phrases(docs, (3, 4), words_kept, pairs_kept, hot, memory).filter(enough), "more")
     k = F.size(F.split("phrase", " "))
     frequent = words.withColumn("k", F.lit(1)).unionByName(twos.withColumn("k", F.lit(2))).unionByName(more.withColumn("k", k))

@@ -5,20 +5,17 @@ inequality and recursion. Equal sets are one node from the start; all that follo
 
 * Seeds. Where two documents share nothing their distance is 1 whatever the pivot, so distances alone cannot part a
   corpus of unlike texts. Each node therefore enters the regions of the first shingles of its set in an order common to
-  all: two nodes within distance 0.2 share one of the first fifth (and one) of their shingles. Shingles of cells that
-  are counted far more often than others come last in this order.
-* Pivots. Each region has a node as its pivot and all others are measured against it. Those within 0.2 are linked to
-  it, which mostly closes the region: it holds one component only.
+  all: two nodes within distance 0.2 share one of the first fifth (and one) of their shingles. Shingles that many documents
+  hold, as counted exactly over all of them, come last in this order, by how common they are.
+* Middle pivots. Each region has a node as its pivot, the one with the least place, and all others are measured against it. Those within
+  0.2 are linked to it, which mostly closes the region: it holds one component only.
 * Open regions of a few nodes are joined node by node, between components.
-* The nodes of large open regions (passages that many documents share) join again among themselves, now in the order
-  of the exact number of nodes that hold each shingle: shared passages come last and open no region but for nodes that
-  consist of them.
-* Regions that are still large are in a dense part of the space, and are joined recursively by distance. Each takes
-  pivots, first the node in its middle, and every node is measured against them; the nodes within 0.2 of a pivot are its ball and are linked to it. A node
-  between 0.2 and 0.4 from a pivot is on the boundary and is replicated to that pivot's region, where it meets the
-  nodes of the ball in the window of the triangle inequality: where its distance (or a lower bound of it) exceeds
-  theirs by over 0.2, a link is ruled out. Nodes beyond 0.4 have no link into the ball. What lies in no ball goes to the next level, with more pivots, until
-  few are left.
+* Larger open regions with the same middle are one region from here on, and are joined recursively by distance. In each round a region takes
+  pivots, and every node is measured against them. Nodes within 0.2 of a pivot are linked to it and belong to the Voronoi region of the
+  nearest one. A node within 0.4 of a pivot is replicated to that pivot's region, where it meets the region's own nodes in the window
+  of the triangle inequality: distances to the pivot that differ by over 0.2 rule out a link, and a node beyond 0.4 has none into the region.
+  So all links of nodes with a Voronoi region are found; what lies within 0.2 of no pivot goes to the next round, with four times as many
+  pivots, until few are left. Pivots are drawn outside of a region's largest component, since a link to be found has a node there.
 
 Parity sketches, whose Hamming distance never exceeds the symmetric difference of two sets, bound distances from below and
 spare most pairs the comparison of their texts; they rule out no link.
@@ -36,16 +33,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ironsift.llm.arrowtext import GOLD, LOWER_IDS, U, grams, id_and_text, mix, pieces, range_hashes, rows_of, signed, text_buffers, tokens
+from ironsift.llm.bit_filter import BitFilter, filter_of
 from ironsift.llm.components import components
-from ironsift.llm.shared import Kept
+from ironsift.llm.shared import Kept, hinted
 
 WORDS = 5
 PERCENT = 80
 RADIUS = 1 - PERCENT / 100 + 1e-9
 NEAR = 60  # similarity in percent at twice the distance of a link
-FEW = 32  # a region of so many nodes is joined node by node
-PIVOTS = 8  # of a large region at the second level of the recursion; the first takes the node in the middle
-CELLS, SLICES = 22, 16  # bits of a shingle's hash that say in which cell it is counted; parts in which cells are summed
+FEW = 16  # a region of so many nodes is joined node by node
+PIVOTS = 8  # of a large region in the first round, besides its middle; four times as many in each further one
+STEP, MOST_LEVELS = 8, 12  # a shingle is as common as its count has factors STEP
+COMMON_BITS = 1 << 26
 TEXTS = 256  # so many texts are measured against one copy of a pivot's
 
 
@@ -100,51 +99,56 @@ def _sketches(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
 _ROWS = "key long, region long, node long, place int, size int, pivot long, pivot_place int, pivot_size int, held int, bits binary"
 
 
-def _cells(h: np.ndarray) -> np.ndarray:
-    return (h >> U(64 - CELLS)).astype(np.int64)
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often shingles fall into each cell, by slices of all cells."""
-    total = np.zeros(1 << CELLS, "<u4")
+    """How many documents of a batch hold each shingle."""
     for batch in batches:
-        for a in range(0, batch.num_rows, 4000):
-            got = [_cells(h) for _, _, _, h, _ in _parts(batch.column("text").slice(a, 4000))]
-            if got:
-                total += np.bincount(np.concatenate(got), minlength=len(total)).astype("<u4")
-    parts = total.reshape(SLICES, -1)
-    some = np.flatnonzero(parts.any(1))
-    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())], ["slice", "counts"])
+        for _, _, _, h, _ in _parts(batch.column("text")):
+            distinct, n = np.unique(h, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(distinct)), pa.array(n, pa.int32())], ["h", "n"])
+
+
+def _levels(n: str) -> Column:
+    """0 up to the number of times that the count holds the factor STEP."""
+    return F.sequence(F.lit(0), F.floor(F.log(F.col(n) + 0.5) / float(np.log(STEP))).cast("int") - 1)
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
+def _at_level(h: np.ndarray, level: int) -> np.ndarray:
+    return mix(h ^ np.full(1, level + 1, U) * GOLD)
+
+
+def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash for each shingle and level."""
     for batch in batches:
-        for k, x in zip(batch.column("slice").to_pylist(), batch.column("counts"), strict=True):
-            total[k] = total.get(k, 0) + np.frombuffer(x.as_buffer(), "<u4").astype("<u8")
-    for k, x in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["slice", "counts"])
+        h = batch.column("h").to_numpy().view(U)
+        level = batch.column("level").to_numpy().astype(U)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(mix(h ^ (level + U(1)) * GOLD)))], ["h"])
+
+
+def common_shingles(docs: DataFrame) -> BitFilter:
+    """The shingles that STEP documents or more hold, once more for each further factor STEP, counted exactly over all documents. The filter has a
+    fixed size; what it lets through besides only changes the order of shingles, which may be any."""
+    counts = docs.select("text").mapInArrow(_counted, "h long, n int").repartition("h").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= STEP)
+    return filter_of(counts.select("h", F.explode(_levels("n")).alias("level")).mapInArrow(_leveled, "h long"), COMMON_BITS)
 
 
-def frequency_classes(docs: DataFrame) -> np.ndarray:
-    """A class for each cell of shingle hashes: 0 for a common count, one more for each doubling beyond. The counts are of all
-    documents; the table has 2 ** CELLS bytes whatever the corpus. It only orders shingles and rules nothing out."""
-    parts = docs.select("text").mapInArrow(_counted, "slice int, counts binary").repartition(SLICES, "slice").mapInArrow(_summed, "slice int, counts binary")
-    total = np.zeros((SLICES, (1 << CELLS) // SLICES), "<u8")
-    for row in parts.toLocalIterator():  # SLICES rows of fixed size
-        total[row["slice"]] = np.frombuffer(row["counts"], "<u8")
-    total = total.ravel()
-    common = max(1.0, 2 * total.sum() / len(total))
-    return np.maximum(0, np.floor(np.log2(np.maximum(total, 1) / common)) + 1).astype(np.uint8)
+def _classes(h: np.ndarray, common: BitFilter) -> np.ndarray:
+    """How common each shingle is: the levels that it has in the filter."""
+    out, left = np.zeros(len(h), np.int8), np.arange(len(h))
+    for level in range(MOST_LEVELS):
+        left = left[common(_at_level(h[left], level))]
+        if not len(left):
+            break
+        out[left] += 1
+    return out
 
 
-def _seed_rows(classes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _seed_rows(common: BitFilter) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Each node in the regions of its window. Of the nodes of a region, the batch's own pivot alone goes on to meet those of
     other batches, so that no region has more rows under its key than there are batches."""
 
     def places(column: pa.Array) -> Iterator[tuple]:
         for a, _, row, h, n in _parts(column):
-            order = np.lexsort((h, classes[_cells(h)], row))
+            order = np.lexsort((h, _classes(h, common), row))
             place = np.arange(len(h)) - np.concatenate(([0], np.cumsum(n)))[row]
             within = place < window_size(n)[row]
             yield row[within] + a, h[order][within], place[within], n, set_ids(h, n), _sketches(row, h, n)
@@ -256,23 +260,13 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in done], pa.int64()) for k in range(4)], ["a", "b", "n_shared", "n_union"])
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every shingle of the nodes asked for."""
-    for batch in batches:
-        wanted = batch.column("node").to_numpy(zero_copy_only=False)
-        for a, _, row, h, n in _parts(batch.column("text")):
-            ids = signed(set_ids(h, n))
-            stay = (ids == wanted[a : a + len(n)])[row]
-            yield pa.RecordBatch.from_arrays([pa.array(signed(h[stay])), pa.array(ids[row[stay]]), pa.array(n[row[stay]], pa.int32())], ["region", "node", "size"])
-
-
 class _Join:
     """One join: its documents (doc_id, text), the sketches of its nodes, and the tables it keeps."""
 
     def __init__(self, docs: DataFrame, few: int) -> None:
         self.docs, self.few = docs, few
         self.tables = Kept(docs.sparkSession)
-        rows = docs.mapInArrow(_seed_rows(frequency_classes(docs)), _ROWS)
+        rows = docs.mapInArrow(_seed_rows(common_shingles(docs)), _ROWS)
         self.seeds = self.tables.keep(_seeds(rows), "seeds")
         sets = self.seeds.filter(F.col("region").isNull()).select("node", F.col("pivot").alias("doc_id"), "size", "bits")
         first = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -285,111 +279,108 @@ class _Join:
         of = self.members.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("doc_id", "a")
         return self.members.join(of, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
 
-    def plausible(self, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
-        """a, b, doc_a, doc_b and a lower bound of the distance of the pairs that their sketches don't rule out."""
+    def plausible(self, pairs: DataFrame, percent: int = PERCENT, rows: int | None = None) -> DataFrame:
+        """a, b, doc_a, doc_b and a lower bound of the distance of the pairs that their sketches don't rule out. rows: of pairs, at most."""
         side = lambda k: self.nodes.select(F.col("node").alias(k), F.col("doc_id").alias(f"doc_{k}"), F.col("size").alias(f"size_{k}"), F.col("bits").alias(f"bits_{k}"))
         both = pairs.select("a", "b").distinct().join(side("b"), "b").join(side("a"), "a")
         both = both.select("a", "b", "doc_a", "doc_b", "size_a", "size_b", "bits_a", "bits_b")
-        return self.tables.keep(both.mapInArrow(_possible(percent), "a long, b long, doc_a long, doc_b long, bound double"), "pairs")
+        return self.tables.keep(both.mapInArrow(_possible(percent), "a long, b long, doc_a long, doc_b long, bound double"), "pairs", rows)
 
     def measured(self, pairs: DataFrame) -> DataFrame:
         """a, b and the exact overlap and union of plausible pairs. The texts of the b's of one a are measured in parts
         of about TEXTS, each with one copy of a's text, so that no task holds more and no copy is made for each pair."""
-        if pairs.isEmpty():
+        rows = pairs.count()
+        if not rows:
             return self.docs.sparkSession.createDataFrame([], "a long, b long, n_shared long, n_union long")
         parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TEXTS).alias("parts"))
-        pairs = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts"))
-        texts = self.docs.select("doc_id", "text")
+        pairs = pairs.join(hinted(parts, rows), "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts"))
         others = pairs.select("a", "part", F.col("b").alias("node"), F.lit(False).alias("own"), F.col("doc_b").alias("doc_id"))
         pivots = pairs.select("a", "part", F.col("a").alias("node"), F.lit(True).alias("own"), F.col("doc_a").alias("doc_id")).distinct()
-        rows = others.union(pivots).join(texts, "doc_id").select("a", "part", "node", "own", "text")
-        rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"), "node")
-        out = rows.mapInArrow(_measure, "a long, b long, n_shared long, n_union long")
-        return self.tables.keep(out.dropDuplicates(["a", "b"]), "measured")
+        texts = self.docs.select("doc_id", "text").join(hinted(others.union(pivots), 2 * rows), "doc_id").select("a", "part", "node", "own", "text")
+        texts = texts.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"), "node")
+        out = texts.mapInArrow(_measure, "a long, b long, n_shared long, n_union long")
+        return self.tables.keep(out.dropDuplicates(["a", "b"]), "measured", rows)
 
-    def links(self, pairs: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame, rows: int | None = None) -> DataFrame:
         """The pairs that are linked, with the exact overlap and union."""
-        return self.measured(self.plausible(pairs)).filter(_linked())
+        return self.measured(self.plausible(pairs, rows=rows)).filter(_linked())
 
-    def open(self, places: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Places in small and in large regions that hold several components, with the node's component."""
+    def open(self, places: DataFrame, found: DataFrame) -> DataFrame:
+        """Places in regions that hold several components, with the node's component, and whether the region is large."""
         rooted = places.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
         rooted = self.tables.keep(rooted, "rooted")
         parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"))
         sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).filter("parts > 1")
-        sizes = self.tables.keep(sizes.select("region", (F.col("n") > self.few).alias("large")), "sizes")
-        rooted = rooted.join(sizes, "region")
-        return tuple(rooted.filter(F.col("large") == x).drop("large") for x in (False, True))  # type: ignore[return-value]
-
-    def ranked(self, nodes: DataFrame) -> DataFrame:
-        """Places of the nodes in the regions of their rarest shingles, by the exact number of these nodes that hold each.
-
-        Shingles of one node come first and open no region, so only the others are ordered."""
-        wanted = nodes.join(self.nodes.select("node", "doc_id"), "node")
-        texts = self.tables.keep(self.docs.join(wanted, "doc_id").select("node", "doc_id", "text"), "texts")
-        self.docs = texts.select("doc_id", "text")  # all that the next levels measure
-        rows = texts.mapInArrow(_shingles, "region long, node long, size int")
-        rows = self.tables.keep(rows, "shingles")
-        often = self.tables.keep(rows.groupBy("region").agg(F.count("*").alias("n")).filter("n > 1"), "often")
-        rows = rows.join(often, "region")
-        by = Window.partitionBy("node").orderBy("n", "region")
-        common = F.count("*").over(Window.partitionBy("node"))
-        rows = rows.withColumn("place", (F.col("size") - common + F.row_number().over(by) - 1).cast("int"))
-        return self.tables.keep(rows.filter(F.col("place") <= F.floor((100 - PERCENT) * F.col("size") / 100)).select("region", "node", "size", "place"), "ranked")
-
-    def by_distance(self, places: DataFrame, found: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-        """Links of regions that are large, by recursion over balls around pivots (see the method), and the components that they
-        make with those known. The largest component of a region is one already, so that every link to be found has a node
-        outside of it. By the places of a region's shingle, the smaller set of a link has it among its first ninth (core):
-        pivots are the core nodes outside the largest component, and where none is left, its own core meets the others."""
-        links, pivots, level = [], 0, 0
+        return self.tables.keep(rooted.join(sizes.select("region", (F.col("n") > self.few).alias("large")), "region"), "open")
+
+    def by_distance(self, places: DataFrame, found: DataFrame, rows: int) -> tuple[list[DataFrame], DataFrame]:
+        """Links of large regions, and the components that they make with those known; see the method. rows: the number of places.
+
+        Regions with the same node in their middle (the least place) are one from here on."""
+        middle = places.groupBy("region").agg(F.min_by("node", F.struct("place", "node")).alias("middle"))
+        cells = places.join(hinted(middle, rows), "region").select(F.col("middle").alias("region"), "node", "size").distinct()
+        links, level = [], 0
         while True:
-            rooted = self.tables.keep(places.join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root"), "rooted")
-            core = (F.col("size") - F.col("place")) * (100 + PERCENT) >= 2 * PERCENT * F.col("size")
-            rooted = rooted.withColumn("core", core)
-            parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"), F.count_if("core").alias("cores"))
-            main = F.max_by(F.struct("component", "n", "cores"), F.struct("n", "component"))
-            sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), main.alias("m"), F.sum("cores").alias("cores")).filter("n > m.n AND cores > 0")
-            sizes = sizes.select("region", "n", F.col("m.component").alias("main"), (F.col("cores") - F.col("m.cores")).alias("minors"))
-            rooted = self.tables.keep(rooted.join(sizes, "region").withColumn("minor", F.col("component") != F.col("main")).drop("main"), "open")
-            small = rooted.filter(F.col("n") <= self.few)
-            new = [self.links(_apart(small, small.filter("minor"), ~F.col("x_minor") | (F.col("x_node") > F.col("y_node"))))]
-            rest = rooted.filter((F.col("n") > self.few) & (F.col("minors") == 0))
-            new.append(self.links(_apart(rest.filter("core AND NOT minor"), rest.filter("minor"), F.lit(True))))
-            rooted = rooted.filter((F.col("n") > self.few) & (F.col("minors") > 0))
-            if not rooted.isEmpty():
-                # The node with the least place has hardly a shingle that is rarer than those of the region: it is in the middle.
-                least = rooted.filter("minor AND core").groupBy("region").agg(F.min_by("node", F.struct("place", "node")).alias("least"))
-                drawn = F.xxhash64("node", F.lit(level)) / 2.0**64 + 0.5 < F.lit(pivots) / F.col("minors")  # of similar regions mostly the same
-                chosen = rooted.filter("minor AND core").join(least, "region").filter((F.col("node") == F.col("least")) | drawn)
-                chosen = self.tables.keep(chosen.select("region", F.col("node").alias("pivot")), "pivots")
-                pairs = rooted.join(chosen, "region").filter(F.col("node") != F.col("pivot"))
-                pairs = self.tables.keep(pairs.select("region", "node", "pivot"), "around")
-                near = self.plausible(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), NEAR)
-                new.append(self.measured(near.filter(F.col("bound") <= RADIUS)).filter(_linked()))
-            made = reduce(DataFrame.unionByName, new)
-            links.append(made)
-            if level == 0 and not made.isEmpty():  # most links are found here, and most regions closed by them
-                roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
-                found = self.tables.keep(components(made.select("a", "b").union(roots), "a", "b"), "found")
-            if rooted.isEmpty():
+            cells = self.tables.keep(cells, "cells", rows)
+            rows = cells.count()
+            if not rows:
+                return links, found
+            own = self.tables.keep(found.join(hinted(cells.select("node").distinct(), rows), "node", "left_semi"), "own", rows)
+            rooted = cells.join(hinted(own, rows), "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
+            parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"))
+            main = F.max_by("component", F.struct("n", "component"))
+            sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), main.alias("main")).filter("parts > 1")
+            rooted = rooted.join(hinted(sizes, rows), "region").withColumn("minor", F.col("component") != F.col("main")).select("region", "node", "size", "component", "minor", "n")
+            rooted = self.tables.keep(rooted, "open", rows)
+            small, large = rooted.filter(F.col("n") <= self.few), rooted.filter(F.col("n") > self.few)
+            met = F.col("x_minor") & (~F.col("y_minor") | (F.col("x_node") < F.col("y_node")))
+            links.append(self.links(_apart(small, small, met, rows)))
+            found = self.grown(found, links[-1])
+            n_large = large.count()
+            if not n_large:
                 return links, found
-            ball = new[-1].select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
-            near = near.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "bound").join(ball, ["pivot", "node"], "left")
-            info = rooted.select("node", "size").distinct().join(found, "node", "left").select("node", "size", F.lit(0).alias("place"), F.coalesce("root", "node").alias("component"))
-            around = self.tables.keep(near.join(info, "node"), "windows")
-            window = F.col("y_distance").isNull() & (F.col("y_bound") <= F.col("x_distance") + RADIUS)
-            links.append(self.links(_apart(around.filter("distance IS NOT NULL").drop("bound"), around, window, "pivot")))
-            done = pairs.join(ball, ["pivot", "node"], "left_semi").select("region", "node").union(chosen.select("region", "pivot")).distinct()
-            places = rooted.join(done, ["region", "node"], "left_anti").select("region", "node", "size", "place")
-            pivots, level = 4 * pivots if level else PIVOTS, level + 1
-
-
-def _apart(x: DataFrame, y: DataFrame, where: Column, on: str = "region") -> DataFrame:
-    """Pairs of nodes that share a region (or a pivot), are in different components and may be linked; where: a condition on those
-    with the columns of both sides."""
-    x, y = (t.select(on, *(F.col(c).alias(f"{k}_{c}") for c in t.columns if c != on)) for k, t in (("x", x), ("y", y)))
-    met = x.join(y, on).filter((F.col("x_node") != F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & _near("x_size", "x_place", "y_size", "y_place"))
+            drawn = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("node", F.lit(level)), "node")) <= PIVOTS * 4**level
+            chosen = large.filter("minor").withColumn("drawn", drawn).filter("drawn").select("region", F.col("node").alias("pivot"))
+            if level == 0:
+                chosen = chosen.union(large.select("region", F.col("region").alias("pivot"))).distinct()
+            chosen = self.tables.keep(chosen, "pivots", n_large)
+            n_pivots = chosen.count()
+            pairs = large.join(hinted(chosen, n_pivots), "region").select("region", "node", "pivot")
+            apart = pairs.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+            near = self.measured(self.plausible(apart, NEAR, n_large * min(n_pivots, PIVOTS * 4**level + 1)))
+            links.append(near.filter(_linked()))
+            found = self.grown(found, links[-1])
+            distance = near.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("n_shared") / F.col("n_union")).alias("distance"))
+            distance = distance.union(chosen.select("pivot", F.col("pivot").alias("node"), F.lit(0.0).alias("distance")).distinct())
+            around = self.tables.keep(pairs.join(distance, ["pivot", "node"]), "around")
+            home = around.filter(F.col("distance") <= RADIUS).groupBy("region", "node").agg(F.min_by("pivot", F.struct("distance", "pivot")).alias("pivot"))
+            home = self.tables.keep(home, "home", n_large)  # the Voronoi region of a node
+            info = large.select("region", "node", "size").join(found, "node", "left").select("region", "node", "size", F.coalesce("root", "node").alias("component"))
+            info = self.tables.keep(info, "info", n_large)
+            seen = around.join(hinted(info, n_large), ["region", "node"])
+            inner = seen.join(hinted(home, n_large), ["region", "node", "pivot"], "left_semi")
+            window = F.abs(F.col("x_distance") - F.col("y_distance")) <= RADIUS
+            links.append(self.links(_apart(inner, seen, window, n_large, ["region", "pivot"])))
+            found = self.grown(found, links[-1])
+            cells = large.join(hinted(home, n_large), ["region", "node"], "left_anti").select("region", "node", "size")
+            level, rows = level + 1, n_large
+
+    def grown(self, found: DataFrame, links: DataFrame) -> DataFrame:
+        """The components that new links make with those known."""
+        n = links.count()
+        if not n:
+            return found
+        roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
+        return self.tables.keep(components(links.select("a", "b").union(roots), "a", "b"), "found")
+
+
+def _apart(x: DataFrame, y: DataFrame, where: Column, rows: int | None = None, on: list[str] | None = None) -> DataFrame:
+    """Pairs of nodes that share a region (or what else on names), are in different components and of sizes that may be linked; where: a
+    condition on those with the columns of both sides. rows: of y, at most, if known."""
+    on = on or ["region"]
+    x, y = (t.select(*on, *(F.col(c).alias(f"{k}_{c}") for c in t.columns if c not in on)) for k, t in (("x", x), ("y", y)))
+    sizes = F.least("x_size", "y_size") * 100 >= F.greatest("x_size", "y_size") * PERCENT
+    met = x.join(y if rows is None else hinted(y, rows), on).filter((F.col("x_node") != F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & sizes)
     return met.filter(where).select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"))
 
 
@@ -414,20 +405,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = [join.links(near.select(F.col("pivot").alias("a"), F.col("node").alias("b")))]
     found = tables.keep(components(pair(links[0]).union(join.same_document()), "a", "b"), "found")
 
-    small, large = join.open(placed.select("region", "node", "size", "place"), found)
-    links.append(join.links(_apart(small, small, F.col("x_node") < F.col("y_node"))))
-    large = tables.keep(large.select("node").distinct(), "large")
-    if not large.isEmpty():
-        more, found = join.by_distance(join.ranked(large), found)
+    open_ = join.open(placed.select("region", "node", "size", "place"), found)
+    small, large = (open_.filter(F.col("large") == x).drop("large") for x in (False, True))
+    links.append(join.links(_apart(small, small, (F.col("x_node") < F.col("y_node")) & _near("x_size", "x_place", "y_size", "y_place"))))
+    found = join.grown(found, links[-1])
+    rows = large.count()
+    if rows:
+        more, found = join.by_distance(large.select("region", "node", "size", "place"), found, rows)
         links += more
-    roots = found.select(F.col("root").alias("a"), F.col("node").alias("b"))
-    if not reduce(DataFrame.union, (pair(x) for x in links[1:])).isEmpty():
-        found = tables.keep(components(reduce(DataFrame.union, (pair(x) for x in links[1:]), roots), "a", "b"), "found")
     spanning = reduce(DataFrame.unionByName, links)
 
     rooted = join.nodes.select("node", F.col("doc_id").alias("first"), "size").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = tables.keep(rooted, "rooted")
-    least = tables.keep(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(least, "root").select("node", F.col("size").cast("long").alias("n_shingles"), "component_id")
     out = tables.keep(join.members, "members").join(classes, "node").select("doc_id", "n_shingles", "component_id")
     tables.drop(join.seeds)

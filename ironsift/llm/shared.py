@@ -6,7 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+#: Tables with fewer rows are written by a task for each ROWS_A_TASK and may be broadcast; larger ones are left to Spark.
+FEW_ROWS, ROWS_A_TASK = 200_000, 25_000
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -34,8 +37,11 @@ class Kept:
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.folder = spark, f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """The table, written and read again. rows: how many it has at most, where that is known: few rows are written by few tasks."""
         path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        if rows is not None and rows < FEW_ROWS:
+            df = df.coalesce(1 + rows // ROWS_A_TASK)
         before = self.spark.conf.get(_CLEANUP)
         self.spark.conf.set(_CLEANUP, "true")
         try:
@@ -52,3 +58,8 @@ class Kept:
             for folder in {x.rpartition("/")[0] for x in table.inputFiles()}:
                 system, path = fs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder.removeprefix("file:"))
                 system.delete_dir(path)
+
+
+def hinted(df: DataFrame, rows: int) -> DataFrame:
+    """df with a broadcast hint if it has few rows, as counted before."""
+    return F.broadcast(df) if rows < FEW_ROWS else df

@@ -98,7 +98,7 @@ def test_trie_bursts_and_spills():
 def test_filter_stops_nothing_frequent(spark, monkeypatch):
     monkeypatch.setattr(own, "MAX_BITS", 1 << 15)
     phrases = spark.createDataFrame([("en", f"w{k}" if k % 2 else f"w{k} v{k % 7}") for k in range(3000)], "lang string, phrase string")
-    kept = bit_filter(spark, phrases)
+    kept = bit_filter(phrases)
     hashed = phrases.mapInArrow(own._hashes, "h long").collect()
     assert kept(np.array([r.h for r in hashed]).view(U)).all()
     assert kept(np.arange(1, 2000, dtype=U) * U(0x9E3779B97F4A7C15)).mean() < 0.5

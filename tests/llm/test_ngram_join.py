@@ -70,6 +70,21 @@ def test_all_pairs(spark, monkeypatch, few):
         assert got == want
 
 
+def test_links_come_from_voronoi_regions(spark, monkeypatch):
+    """Copies of one text with a tenth of the words changed, too far from one another for one pivot: links are found through pivots and windows."""
+    found, whole = [], ngram_join._Join.by_distance
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join._Join, "by_distance", lambda *x: found.append(whole(*x)) or found[-1])
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(120)]
+    groups = [[w if rng.random() > 0.02 else f"g{g}x{k}" for k, w in enumerate(base)] for g in range(6)]
+    rows = [(len(groups) * c + g, " ".join(w if rng.random() > 0.012 else f"c{c}y{g}z{k}" for k, w in enumerate(text))) for c in range(7) for g, text in enumerate(groups)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in similar_documents(docs, few=2)[0].collect()), key=repr)
+    assert got == brute(rows)
+    assert sum(x.count() for links, _ in found for x in links) > 0
+
+
 def test_sets_and_windows():
     texts = pa.array(["a b c d e f", "A b c d e f", "a b", "", "b c d e f a b c d e f"])
     data, offs = np.frombuffer(b"".join(x.as_py().encode() for x in texts), np.uint8), np.cumsum([0, *(len(x.as_py()) for x in texts)])
