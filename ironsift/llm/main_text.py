@@ -36,7 +36,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset("article main".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*(?:["'][^>]*)?)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 _MARKED = re.compile(
     r"\b(?:ads?|adverts?|advertisement|advertising|banner|sponsored|sponsor|promo|promotion|sidebar|side-bar|comments?|commentlist|disqus|replies|respond|cookies?|consent|gdpr|notice|alert|popup|pop-up|modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|breadcrumbs?|navbar|nav|navigation|menu|footer|masthead|site-header|toolbar|pagination|pager|copyright|login|search|widget|tags)\b",
     re.I,
@@ -198,8 +198,8 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page, row by row.
 
-    A null or empty page has an empty text; null and repeated ids or urls are carried along. Unclosed or stray tags
-    are tolerated. Other columns are ignored.
+    A null or empty page has an empty text, an empty table gives an empty one; null and repeated ids or urls are carried along. Unclosed or stray
+    tags are tolerated; a quote that nothing closes ends with its tag. A page is one record whatever its length. Other columns are ignored.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     out = rows.mapInArrow(_extracted, "page_id long, url string, text string")

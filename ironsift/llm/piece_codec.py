@@ -105,40 +105,50 @@ class Codec:
         self.normalize = Normalizer(CharacterMap(spec.precompiled_charsmap), spec.add_dummy_prefix, spec.remove_extra_whitespaces)
         self.prefixed = spec.add_dummy_prefix or spec.remove_extra_whitespaces
         self.sizes = np.array([1 if p.type == p.BYTE else len(p.piece.encode()) for p in model.pieces])
-        self.unknown = [i for i, p in enumerate(model.pieces) if p.type == p.UNKNOWN]
+        self.unknown = {i for i, p in enumerate(model.pieces) if p.type == p.UNKNOWN}
+        self.knows_all = bool(model.trainer_spec.byte_fallback)
         self.separable = all(_ALONE.fullmatch(p.piece) for p in model.pieces if p.type in (p.NORMAL, p.USER_DEFINED)) and model.trainer_spec.byte_fallback
         spec.add_dummy_prefix = spec.remove_extra_whitespaces = False
         spec.precompiled_charsmap = b""
         self.library = sentencepiece.SentencePieceProcessor()
         self.library.load_from_serialized_proto(model.SerializeToString())
         self.cache: dict[str, tuple[bytes, str]] = {}
+        self.odd: dict[str, bytes] = {}  # sizes of the pieces of segments with characters that the model doesn't know
 
     def _learn(self, segments: set[str]) -> None:
         new = list(segments - self.cache.keys())
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
+            self.odd.clear()
             new = list(segments)
         ids = self.library.encode(new, num_threads=1)
         for segment, x, text in zip(new, ids, self.library.decode(ids, num_threads=1), strict=True):
             self.cache[segment] = np.array(x, "<i4").tobytes(), text
+            if self.knows_all is False and not self.unknown.isdisjoint(x):
+                found = self.library.encode(segment, return_type="proto").pieces
+                self.odd[segment] = np.array([len(p.surface.encode()) for p in found], "<i4").tobytes()
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[str], list[tuple[str, np.ndarray]]]:
-        """Per text its ids (packed), what they decode to, and its normalised form with source places."""
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[str], list[tuple[str, np.ndarray]], list[np.ndarray]]:
+        """Per text its ids (packed), what they decode to, its normalised form with source places, and the sizes of its pieces in that form."""
         normal = [self.normalize(x) for x in texts]
         parts = [_SEGMENT.findall(x) if self.separable else [x] for x, _ in normal]
         self._learn(set().union(*parts))
-        ids, decoded = [], []
+        ids, decoded, sizes = [], [], []
         for part in parts:
             both = [self.cache[x] for x in part]
             ids.append(b"".join([x[0] for x in both]))
             text = "".join([x[1] for x in both])
             decoded.append(text[1:] if self.prefixed and text.startswith(" ") else text)
-        return ids, decoded, normal
-
-    def spans(self, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Source byte range of every piece of a normalised text, given the source places of its bytes."""
-        size = self.sizes[ids]
-        if any((ids == x).any() for x in self.unknown) or size.sum() != len(places) - 1:
+            if not self.odd or self.odd.keys().isdisjoint(part):
+                sizes.append(self.sizes[np.frombuffer(ids[-1], "<i4")])
+            else:
+                odd = [self.odd.get(x) for x in part]
+                sizes.append(np.concatenate([self.sizes[np.frombuffer(x[0], "<i4")] if y is None else np.frombuffer(y, "<i4") for x, y in zip(both, odd, strict=True)]))
+        return ids, decoded, normal, sizes
+
+    def spans(self, places: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Source byte range of every piece of a normalised text, given the source places of its bytes and the pieces' sizes."""
+        if size.sum() != len(places) - 1:
             raise ValueError("pieces don't add up to the normalised text")
         end = np.cumsum(size)
         return places[end - size], places[end]
@@ -161,13 +171,13 @@ def _encoded(path: str, spans: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
             _, offs = text_buffers(batch.column("text"))
             for a, b in pieces(offs):
                 texts = [x or "" for x in batch.column("text").slice(a, b - a).to_pylist()]
-                packed, decoded, normal = own.encode(texts)
+                packed, decoded, normal, sizes = own.encode(texts)
                 ids = np.frombuffer(b"".join(packed), "<i4")
                 at = pa.array(np.concatenate(([0], np.cumsum([len(x) // 4 for x in packed]))), pa.int32())
                 columns = [batch.column("doc_id").slice(a, b - a), pa.ListArray.from_arrays(at, pa.array(ids)), pa.array(decoded)]
                 names = ["doc_id", "ids", "decoded"]
                 if spans:
-                    both = [own.spans(places, np.frombuffer(x, "<i4")) for (_, places), x in zip(normal, packed, strict=True)]
+                    both = [own.spans(places, x) for (_, places), x in zip(normal, sizes, strict=True)]
                     for k, name in enumerate(("starts", "ends")):
                         columns.append(pa.ListArray.from_arrays(at, pa.array(np.concatenate([x[k] for x in both]), pa.int64())))
                         names.append(name)
@@ -179,8 +189,9 @@ def _encoded(path: str, spans: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
 def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", spans: bool = True) -> DataFrame:
     """doc_id, ids, decoded text and (if asked for) the source byte starts and ends of the pieces of every document.
 
-    A null text counts as empty: no ids, empty text. Null and repeated ids are carried along row by row. The model
-    file must be at the same path on every worker. Other columns are ignored.
+    A null text counts as empty: no ids, empty text. Null and repeated ids are carried along row by row; an empty table gives an empty one. With a
+    model that has no bytes to fall back to, what it doesn't know becomes its unknown piece, with the span of all that this piece stands for. A text is
+    one record whatever its length. The model file must be at the same path on every worker. Other columns are ignored.
     """
     schema = "doc_id long, ids array<int>, decoded string" + ", starts array<long>, ends array<long>" * spans
     return id_and_text(docs, id_col, text_col).mapInArrow(_encoded(model_path, spans), schema)

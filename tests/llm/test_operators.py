@@ -196,13 +196,12 @@ def test_model_with_a_character_map(tmp_path, prefix, trim):
     (tmp_path / "mapped.model").write_bytes(model.SerializeToString())
     library = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "mapped.model"))
     texts = ["", "a cab in the ﬁeld", "é e\u0301 tab\there", "  two  blanks  ", "abab aab", "line\n\nbreak", "🙂 a"]
-    ids, decoded, normal = codec(str(tmp_path / "mapped.model")).encode(texts)
-    for text, packed, plain, (form, places) in zip(texts, ids, decoded, normal, strict=True):
+    for text, packed, plain, (_, places), sizes in zip(texts, *codec(str(tmp_path / "mapped.model")).encode(texts), strict=True):
         own = np.frombuffer(packed, "<i4")
         assert own.tolist() == library.encode(text), text
         assert plain == library.decode(own.tolist()), text
         if own.size:
-            starts, ends = codec(str(tmp_path / "mapped.model")).spans(places, own)
+            starts, ends = codec(str(tmp_path / "mapped.model")).spans(places, sizes)
             assert starts[1:].tolist() == ends[:-1].tolist() and ends[-1] == len(text.encode())
 
 
