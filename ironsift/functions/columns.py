@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,7 +29,15 @@ DEVICE_CLASSES = [
 TRUST = {"dell-oem-catalog": "first_party", "techpowerup-mirror": "mirror", "aggregator-rehost": "aggregator", "samlab-rehost": "re_host", "cpuid-embedded": "embedded"}
 ENTRY_SIGNATURE = "NTSTATUS DriverEntry(PDRIVER_OBJECT, PUNICODE_STRING)"
 DISPATCH_SIGNATURE = "NTSTATUS (PDEVICE_OBJECT DeviceObject, PIRP Irp)"
-CALLER_CHECKS = ("privilege", "sedebug", "administrator", "integrity", "token")
+#: Texts of which one names a check; for the input length a text of each of two kinds together does too.
+CHECK_TEXTS = {
+    "ProbeForRead": ("probeforread", "probe for read"),
+    "ProbeForWrite": ("probeforwrite", "probe for write"),
+    "input_length_check": ("inputbufferlength", "input length"),
+    "output_length_check": ("outputbufferlength", "output length"),
+    "caller_privilege_check": ("privilege", "sedebug", "administrator", "integrity", "token"),
+}
+INPUT_LENGTH_TOGETHER = ("input buffer", "length")
 
 
 def _lookup(values: dict, key: Column) -> Column:
@@ -179,13 +190,8 @@ def _has(text: Column, *words: str) -> Column:
 def present_checks(lines: Column) -> Column:
     """The checks that free text names clearly."""
     text = F.lower(F.array_join(F.coalesce(lines, F.array().cast("array<string>")), " "))
-    rules = {
-        "ProbeForRead": _has(text, "probeforread", "probe for read"),
-        "ProbeForWrite": _has(text, "probeforwrite", "probe for write"),
-        "input_length_check": _has(text, "inputbufferlength", "input length") | (_has(text, "input buffer") & _has(text, "length")),
-        "output_length_check": _has(text, "outputbufferlength", "output length"),
-        "caller_privilege_check": _has(text, *CALLER_CHECKS),
-    }
+    rules = {check: _has(text, *texts) for check, texts in CHECK_TEXTS.items()}
+    rules["input_length_check"] |= reduce(and_, (_has(text, x) for x in INPUT_LENGTH_TOGETHER))
     return F.array_compact(F.array(*(F.when(v, F.lit(k)) for k, v in rules.items())))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ironsift.sources.shared import new_folder
+
 
 def _first(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= n).drop("_n")
@@ -37,8 +39,10 @@ def size_order(size: str) -> Column:
 
 
 def top_sorted(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first n rows in order; 0 means all."""
-    return df.orderBy(*order).limit(n) if n else df.orderBy(*order)
+    """The first n rows with their place; 0 means all."""
+    if not n:
+        return placed(df, *order)
+    return df.orderBy(*order).limit(n).withColumn("place", F.row_number().over(Window.orderBy(*order)).cast("long"))  # n rows
 
 
 def cap_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
@@ -67,8 +71,21 @@ def preview(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame
     return cap_per_group(df, group, order, n)
 
 
+def placed(df: DataFrame, *order: Column) -> DataFrame:
+    """Adds place, from 1, in the order of the whole table. Rows are dealt out by ranges and sorted once, into a table of their own; each part's
+    places begin after the rows of the parts before it, so no task sees more than its part."""
+    spark, folder = df.sparkSession, new_folder(df.sparkSession, "placed")
+    at = F.monotonically_increasing_id()
+    df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", F.shiftright(at, 33).alias("_part"), at.bitwiseAND((1 << 33) - 1).alias("_at")).write.parquet(folder)
+    rows = spark.read.parquet(folder)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    offsets = rows.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(offsets), "_part").withColumn("place", F.col("_before") + F.col("_at") + 1).drop("_part", "_at", "_before")
+
+
 def rank_order(df: DataFrame) -> DataFrame:
-    return df.orderBy(F.desc("rank"), "item")
+    """Adds place: by falling rank, then by item."""
+    return placed(df, F.desc("rank"), F.asc("item"))
 
 
 def union_distinct(a: DataFrame, b: DataFrame) -> DataFrame:

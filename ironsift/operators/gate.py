@@ -38,16 +38,16 @@ def gate(headers: DataFrame, blocklist: DataFrame, policy: str = "any", kernel_m
     modules = F.coalesce("modules", F.array().cast("array<string>"))
     known = F.exists(modules, lambda m: F.lower(m).isin(*kernel_modules))
     subsystem = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in SUBSYSTEMS.items() for x in pair)), F.col("subsystem").cast("int")), F.lit("UNKNOWN"))
-    modules_text = F.when(F.size(modules) == 0, "no import table").otherwise(_text("imports '", F.lower(F.get(modules, F.lit(0))), "' but no kernel module"))
+    modules_text = F.when(F.size(modules) == 0, "nothing is imported").otherwise(_text("no kernel module among the imports, which begin with ", F.lower(F.get(modules, F.lit(0)))))
     rules = [
-        (F.col("blocked"), F.lit("operator opted this item out")),
-        (F.col("size") == 0, F.lit("file is empty (0 bytes)")),
-        (F.col("machine").isNull(), F.lit("header could not be parsed")),
-        (beyond.isNotNull(), _text("section '", beyond["name"], "' data ends at ", (beyond["raw_ptr"] + beyond["raw_size"]).cast("long"), " but file is ", F.col("size").cast("long"), " bytes")),
-        (F.col("subsystem") != NATIVE, _text("IMAGE_SUBSYSTEM = ", F.col("subsystem"), " (", subsystem, ") -- expected 1 (NATIVE)")),
+        (F.col("blocked"), F.lit("on the blocklist")),
+        (F.col("size") == 0, F.lit("no content")),
+        (F.col("machine").isNull(), F.lit("no readable header")),
+        (beyond.isNotNull(), _text("section ", beyond["name"], " reaches to ", (beyond["raw_ptr"] + beyond["raw_size"]).cast("long"), " in a file of ", F.col("size").cast("long"))),
+        (F.col("subsystem") != NATIVE, _text("subsystem ", F.col("subsystem"), ", ", subsystem, f", isn't {NATIVE}")),
         (~known, modules_text),
-        (F.lit(policy == "present") & ~F.col("has_signature"), F.lit("policy=present but no signature")),
-        ((F.size(code) > 0) & F.forall(code, lambda s: s["entropy"] > PACKED), _text(f"entropy heuristic (all exec sections > {PACKED}, max ", F.format_number(F.array_max(F.transform(code, lambda s: s["entropy"])), 2), ")")),
+        (F.lit(policy == "present") & ~F.col("has_signature"), F.lit("the policy asks for a signature")),
+        ((F.size(code) > 0) & F.forall(code, lambda s: s["entropy"] > PACKED), _text("code of an entropy up to ", F.format_number(F.array_max(F.transform(code, lambda s: s["entropy"])), 2), f", all over {PACKED}")),
     ]
     reason = F.coalesce(*(F.when(test, F.lit(r)) for (test, _), r in zip(rules, REASONS, strict=True)))
     detail = F.coalesce(*(F.when(test, text) for test, text in rules))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ironsift.operators.dedup import rank_order
 from ironsift.operators.dims import local_table, small
 from ironsift.operators.patterns import find_patterns
 
@@ -100,9 +101,9 @@ def verdict(items: DataFrame, matches: DataFrame, clones: DataFrame | None = Non
 
 
 def shortlist(matches: DataFrame, scope: str, min_rank: int = 1) -> DataFrame:
-    """item and rank where the scope's first entry reaches the least rank."""
+    """item, rank and place where the scope's first entry reaches the least rank, by falling rank and then by item."""
     own = F.get(F.filter("matches", lambda x: x["scope"] == scope), F.lit(0))
-    return matches.select("item", own["rank"].alias("rank")).filter(F.col("rank") >= min_rank).orderBy(F.desc("rank"), "item")
+    return rank_order(matches.select("item", own["rank"].alias("rank")).filter(F.col("rank") >= min_rank))
 
 
 def match_categories(terms: DataFrame, cats: DataFrame) -> DataFrame:

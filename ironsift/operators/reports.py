@@ -95,13 +95,17 @@ def item_summaries(items: DataFrame) -> DataFrame:
     return items.select("item", F.concat(F.lit("# "), F.col("item").cast("string"), F.lit("\n\n## Scopes\n"), listed(scopes), F.lit("\n\n## Symbols\n"), listed(symbols)).alias("summary"))
 
 
+# Names of the selectors that promote functions.
+BY_IOCTL, BY_CALL = "handlers_dispatched_from_matching_ioctl", "functions_calling_any_of_must_have_one"
+
+
 def select_functions(handlers: DataFrame, patterns: list[str], must_have: list[str]) -> DataFrame:
     """item, fn and selector of functions that a profile asks for: handlers whose code fits a pattern of the profile, and
     functions that call a symbol that it must have. handlers: item, fn, code, symbol (called, one row each)."""
     coded = handlers.filter(F.exists(F.array(*map(F.lit, patterns)), lambda p: F.regexp_like("code", p))) if patterns else handlers.limit(0)
     called = handlers.filter(F.col("symbol").isin(*must_have))
     pick = lambda df, name: df.select("item", "fn").distinct().withColumn("selector", F.lit(name))
-    return pick(coded, "handlers_dispatched_from_matching_ioctl").unionByName(pick(called, "functions_calling_any_of_must_have_one"))
+    return pick(coded, BY_IOCTL).unionByName(pick(called, BY_CALL))
 
 
 def promote_functions(functions: DataFrame, calls: DataFrame, seeds: DataFrame, depth: int | None = None) -> DataFrame:

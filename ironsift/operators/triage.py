@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ironsift.operators.dedup import latest_per_key, rank_order
 from ironsift.operators.worklist import restrict, skip_done
 
 
@@ -25,6 +26,43 @@ def triage(ranks: DataFrame, symbols: DataFrame, index: DataFrame, scope: str, w
     return triage_status(both, index)
 
 
+_SCOPES, _CLONES = "array<struct<scope: string, rank: long>>", "array<struct<ref_id: string, cve: string, similarity: double>>"
+
+
+def mass_triage(fingerprints: DataFrame, index: DataFrame, scope: str, symbols: list[str]) -> DataFrame:
+    """The candidates of a question over the raw tables, ranked: item, scope, rank, scope_hits, symbols_hit, clone_hits, status, run_id, bundle_path
+    and place.
+
+    fingerprints: item, detected_at, seq, scope_matches, dangerous_imports and clone_hits; index: item, scope, generated_at, seq, run_id and
+    bundle_path. Both are append-only: the latest row of an item, and of an item and scope, counts. A candidate has a match of the scope, one of the symbols, or a
+    clone; its rank is that of the scope's first match, or 0. It is already_analyzed_deep where the index has the scope, with the run to open, and
+    needs_deep_rerun where it has none, with the latest run of another scope if there is one. Null arrays count as empty.
+    """
+    latest = latest_per_key(fingerprints, ["item"], "detected_at", "seq")
+    hits = F.filter(F.coalesce(F.col("scope_matches"), F.array().cast(_SCOPES)), lambda m: m["scope"] == scope)
+    wanted = F.array(*map(F.lit, symbols)).cast("array<string>")
+    hit = F.array_sort(F.array_intersect(F.coalesce("dangerous_imports", F.array().cast("array<string>")), wanted))
+    clones = F.coalesce(F.col("clone_hits"), F.array().cast(_CLONES))
+    found = latest.select("item", hits.alias("scope_hits"), hit.alias("symbols_hit"), clones.alias("clone_hits"))
+    found = found.filter((F.size("scope_hits") > 0) | (F.size("symbols_hit") > 0) | (F.size("clone_hits") > 0))
+    runs = latest_per_key(index, ["item", "scope"], "generated_at", "seq")
+    own = F.col("scope") == scope
+    told = F.struct(own.alias("own"), "generated_at", "seq", "run_id", "bundle_path")
+    best = runs.groupBy("item").agg(F.max(told).alias("run"))  # the scope's own run before any other
+    out = found.join(best, "item", "left").select(
+        "item",
+        F.lit(scope).alias("scope"),
+        F.coalesce(F.get("scope_hits", F.lit(0))["rank"], F.lit(0).cast("long")).alias("rank"),
+        "scope_hits",
+        "symbols_hit",
+        "clone_hits",
+        F.when(F.coalesce("run.own", F.lit(False)), "already_analyzed_deep").otherwise("needs_deep_rerun").alias("status"),
+        "run.run_id",
+        "run.bundle_path",
+    )
+    return rank_order(out)
+
+
 def scan_counts(df: DataFrame, key: str) -> DataFrame:
     """One row: rows scanned, and what is left with one row for each key."""
     return df.groupBy(key).agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows_scanned"), F.count(key).alias("rows_after_dedup"))

@@ -175,7 +175,7 @@ def flt5_size_cap(t: Tables) -> DataFrame:
     return worklist.size_cap(t.part, "p_size", 20).select("p_partkey")
 
 
-@query(f"WITH {_RANKS} SELECT item, rank FROM ranks WHERE scope = 'alpha' AND qualifies AND rank >= 14")
+@query(f"WITH {_RANKS} SELECT item, rank, row_number() OVER (ORDER BY rank DESC, item) AS place FROM ranks WHERE scope = 'alpha' AND qualifies AND rank >= 14")
 def flt6_shortlist(t: Tables) -> DataFrame:
     return match.shortlist(match.scope_matches(t.ranks()), "alpha", 14)
 
@@ -185,9 +185,9 @@ def flt7_restrict(t: Tables) -> DataFrame:
     return worklist.restrict(t.orders, t.lineitem.filter("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey").select("o_orderkey")
 
 
-@query(f"WITH {_RANKS} SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey IN (SELECT item FROM ranks WHERE scope = 'beta' AND qualifies)")
+@query(f"WITH {_RANKS} SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey IN (SELECT item FROM ranks WHERE scope = 'alpha' AND qualifies)")
 def flt8_restrict_to_shortlist(t: Tables) -> DataFrame:
-    short = match.shortlist(match.scope_matches(t.ranks()), "beta").select(F.col("item").alias("o_orderkey"))
+    short = match.shortlist(match.scope_matches(t.ranks()), "alpha").select(F.col("item").alias("o_orderkey"))
     return worklist.restrict(t.orders, short, "o_orderkey").select("o_orderkey", "o_orderstatus")
 
 
@@ -274,13 +274,13 @@ def ddp6_first_seen(t: Tables) -> DataFrame:
     return dedup.first_per_key(t.events.select("user_id", "event_type", "event_id"), ["user_id", "event_type"], ["event_id"])
 
 
-@query("SELECT p_partkey, CAST(p_size % 10 AS BIGINT) AS size FROM part ORDER BY CASE WHEN p_size % 10 = 0 THEN 99 ELSE p_size % 10 END, p_partkey LIMIT 300")
+@query("SELECT *, row_number() OVER (ORDER BY CASE WHEN size = 0 THEN 99 ELSE size END, p_partkey) AS place FROM (SELECT p_partkey, CAST(p_size % 10 AS BIGINT) AS size FROM part) QUALIFY place <= 300")
 def ddp7_smallest_first(t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", (F.col("p_size") % 10).cast("long").alias("size"))
     return dedup.top_sorted(rows, [dedup.size_order("size"), F.col("p_partkey")], 300)
 
 
-@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
+@query("SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders QUALIFY place <= 100")
 def ddp8_newest_first(t: Tables) -> DataFrame:
     return dedup.top_sorted(t.orders.select("o_orderkey", "o_orderdate"), [F.desc("o_orderdate"), F.col("o_orderkey")], 100)
 
@@ -316,9 +316,10 @@ def ddp13_preview(t: Tables) -> DataFrame:
     return dedup.preview(t.lineitem, "l_orderkey", [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")], 5).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query(f"WITH {_RANKS} SELECT item, scope, rank FROM ranks WHERE qualifies")
+@query(f"WITH {_RANKS} SELECT item, scope, rank, row_number() OVER (ORDER BY rank DESC, item, scope) AS place FROM ranks WHERE qualifies AND item % 2 = length(scope) % 2")
 def ddp14_rank_order(t: Tables) -> DataFrame:
-    return dedup.rank_order(t.ranks().filter("qualifies").select("item", "scope", "rank"))
+    rows = t.ranks().filter(F.col("qualifies") & (F.col("item") % 2 == F.char_length("scope") % 2))  # a scope for each item, so that no tie is left
+    return dedup.rank_order(rows.select("item", "scope", "rank"))
 
 
 # Joins and ranks ---------------------------------------------------------------------------------
@@ -619,10 +620,10 @@ WHEN bool_or(l_returnflag <> 'N') AND bool_and(l_returnflag = 'N' OR l_discount
 arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey)) FILTER (l_extendedprice > o_totalprice) AS section, arg_min(l_extendedprice, (l_linenumber, l_partkey, l_suppkey)) FILTER (l_extendedprice > o_totalprice) AS stop,
 lower(min(l_linestatus)) AS module, max(l_discount * 100) FILTER (l_returnflag <> 'N') AS worst
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderdate, o_totalprice, o_orderpriority, o_orderstatus, o_custkey),
-d AS (SELECT item, size, reason, CASE reason WHEN 'blacklisted' THEN 'operator opted this item out' WHEN 'not-pe' THEN 'header could not be parsed'
-WHEN 'corrupted' THEN CASE WHEN size = 0 THEN 'file is empty (0 bytes)' ELSE 'section ' || chr(39) || section || chr(39) || ' data ends at ' || CAST(trunc(stop) AS BIGINT) || ' but file is ' || CAST(trunc(size) AS BIGINT) || ' bytes' END
-WHEN 'wrong-subsystem' THEN 'IMAGE_SUBSYSTEM = 2 (WINDOWS_GUI) -- expected 1 (NATIVE)' WHEN 'kernel-imports-unresolved' THEN 'imports ' || chr(39) || module || chr(39) || ' but no kernel module'
-WHEN 'signature-policy-mismatch' THEN 'policy=present but no signature' WHEN 'packed-unknown' THEN printf('entropy heuristic (all exec sections > 7.5, max %.2f)', worst) END AS reason_detail FROM g)"""
+d AS (SELECT item, size, reason, CASE reason WHEN 'blacklisted' THEN 'on the blocklist' WHEN 'not-pe' THEN 'no readable header'
+WHEN 'corrupted' THEN CASE WHEN size = 0 THEN 'no content' ELSE 'section ' || section || ' reaches to ' || CAST(trunc(stop) AS BIGINT) || ' in a file of ' || CAST(trunc(size) AS BIGINT) END
+WHEN 'wrong-subsystem' THEN 'subsystem 2, WINDOWS_GUI, isn' || chr(39) || 't 1' WHEN 'kernel-imports-unresolved' THEN 'no kernel module among the imports, which begin with ' || module
+WHEN 'signature-policy-mismatch' THEN 'the policy asks for a signature' WHEN 'packed-unknown' THEN printf('code of an entropy up to %.2f, all over 7.5', worst) END AS reason_detail FROM g)"""
 
 
 @query(f"WITH {_GATE} SELECT item, reason, reason_detail FROM d")
@@ -849,15 +850,43 @@ def tri1_triage(t: Tables) -> DataFrame:
     return _triaged(t).select("item", "rank", F.array_join("symbols_hit", ",").alias("symbols_hit"), "status")
 
 
+def _raw_fingerprints(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of customers, one for each of their orders: the later ones replace the earlier. Runs are events of users, by type."""
+    at, n = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey")
+    scopes = F.array(F.struct(F.when(n % 3 == 0, "alpha").otherwise("beta").alias("scope"), (n % 20).alias("rank")), F.struct(F.lit("alpha").alias("scope"), F.lit(99).cast("long").alias("rank")))
+    hits = F.when(n % 4 == 0, F.array(F.struct(F.concat(F.lit("ref-"), n.cast("string")).alias("ref_id"), F.lit(None).cast("string").alias("cve"), F.lit(0.6).alias("similarity"))))
+    imports = F.when(n % 5 < 3, F.array("o_orderpriority", "o_orderstatus"))
+    rows = t.orders.select(F.col("o_custkey").alias("item"), at.alias("detected_at"), n.alias("seq"), F.slice(scopes, 1, F.when(n % 7 == 0, 2).when(n % 3 == 0, 1).when(n % 3 == 1, 0).otherwise(1)).alias("scope_matches"), imports.alias("dangerous_imports"), hits.alias("clone_hits"))
+    kind = F.when(F.col("event_type") == "purchase", "alpha").otherwise(F.col("event_type"))
+    runs = t.events.select(F.col("user_id").alias("item"), kind.alias("scope"), F.date_format("ts", "yyyy-MM-dd").alias("generated_at"), F.col("event_id").alias("seq"), F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"), F.concat(F.lit("reports/"), F.col("event_id").cast("string")).alias("bundle_path"))
+    return rows, runs
+
+
+@query("""WITH f AS (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY strftime(o_orderdate, '%Y-%m-%d') DESC, o_orderkey DESC) = 1),
+h AS (SELECT o_custkey AS item, o_orderkey AS n, CASE WHEN n % 7 = 0 THEN CASE WHEN n % 3 = 0 THEN ['alpha:' || (n % 20), 'alpha:99'] ELSE ['alpha:99'] END WHEN n % 3 = 0 THEN ['alpha:' || (n % 20)] ELSE []::VARCHAR[] END AS scope_hits,
+CASE WHEN n % 5 < 3 THEN list_sort(list_filter([o_orderpriority, o_orderstatus], lambda x: x IN ('F', '1-URGENT'))) ELSE []::VARCHAR[] END AS symbols_hit, CASE WHEN n % 4 = 0 THEN 'ref-' || n ELSE '' END AS clone_hits FROM f),
+r AS (SELECT user_id AS item, event_id, event_type = 'purchase' AS own, strftime(ts, '%Y-%m-%d') AS day FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY strftime(ts, '%Y-%m-%d') DESC, event_id DESC) = 1),
+b AS (SELECT item, arg_max(event_id, (own, day, event_id)) AS event_id, bool_or(own) AS own FROM r GROUP BY 1),
+c AS (SELECT h.item, CASE WHEN len(scope_hits) > 0 THEN CAST(split_part(scope_hits[1], ':', 2) AS BIGINT) ELSE 0 END AS rank, array_to_string(scope_hits, ',') AS scope_hits, array_to_string(symbols_hit, ',') AS symbols_hit, clone_hits,
+CASE WHEN own THEN 'already_analyzed_deep' ELSE 'needs_deep_rerun' END AS status, 'run-' || event_id AS run_id FROM h LEFT JOIN b USING (item) WHERE len(scope_hits) > 0 OR len(symbols_hit) > 0 OR clone_hits <> '')
+SELECT *, row_number() OVER (ORDER BY rank DESC, item) AS place FROM c""")
+def tri1_mass_triage(t: Tables) -> DataFrame:
+    """Over raw tables: the latest fingerprint of each customer, the latest run of each scope, and clones among the signals."""
+    out = triage.mass_triage(*_raw_fingerprints(t), "alpha", ["F", "1-URGENT"])
+    scopes = F.transform("scope_hits", lambda m: F.concat_ws(":", m["scope"], m["rank"].cast("string")))
+    return out.select("item", "rank", F.array_join(scopes, ",").alias("scope_hits"), F.array_join("symbols_hit", ",").alias("symbols_hit"), F.array_join("clone_hits.ref_id", ",").alias("clone_hits"), "status", "run_id", "place")
+
+
 @query("SELECT count(*) AS rows_scanned, count(DISTINCT user_id) AS rows_after_dedup FROM events")
 def tri1_scan_counts(t: Tables) -> DataFrame:
     return triage.scan_counts(t.events, "user_id")
 
 
-@query(f"WITH {_TRIAGE} SELECT item, scope, rank FROM ranks WHERE scope = 'beta' AND qualifies AND item NOT IN (SELECT item FROM own)")
+@query(f"WITH {_RANKS} SELECT item, scope, rank FROM ranks WHERE qualifies AND item NOT IN (SELECT item FROM ranks WHERE scope = 'alpha' AND qualifies AND rank >= 16)")
 def tri2_near_misses(t: Tables) -> DataFrame:
+    """Items of related scopes that are no candidates, here those that reach a rank."""
     ranked = t.ranks()
-    return triage.near_misses(ranked, ranked.filter("scope = 'alpha' AND qualifies").select("item"), ["beta"]).select("item", "scope", "rank")
+    return triage.near_misses(ranked, ranked.filter("scope = 'alpha' AND qualifies AND rank >= 16").select("item"), ["alpha", "beta"]).select("item", "scope", "rank")
 
 
 @query(f"WITH {_MATCHES} SELECT item, array_to_string(scopes, ',') AS scopes FROM m")

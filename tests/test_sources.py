@@ -84,9 +84,9 @@ def test_key_list_and_gate(spark, tmp_path):
     items = [("AB", 9, 1, 1, True, ["hal.dll"], fine), ("c", 0, 1, 1, True, ["hal.dll"], fine), ("d", 9, 1, 1, True, [], fine), ("e", 9, 1, 7, True, ["x"], fine), ("f", 9, 1, 1, False, ["HAL.dll"], fine), ("g", 9, 1, 1, True, ["ks.sys"], packed), ("h", 9, None, 1, True, None, None), ("i", 4, 1, 1, True, ["hal.dll"], fine)]
     heads = spark.createDataFrame(items, f"item string, size long, machine int, subsystem int, has_signature boolean, modules array<string>, sections {section}")
     got = {r["item"]: (r.reason, r.reason_detail) for r in gate.gate(heads, keys.select(F.col("key").alias("item")), "present").collect()}
-    assert got["AB"] == ("blacklisted", "operator opted this item out") and got["c"][1] == "file is empty (0 bytes)" and got["d"][1] == "no import table"
-    assert got["e"] == ("wrong-subsystem", "IMAGE_SUBSYSTEM = 7 (POSIX_CUI) -- expected 1 (NATIVE)") and got["f"][0] == "signature-policy-mismatch"
-    assert got["g"] == ("packed-unknown", "entropy heuristic (all exec sections > 7.5, max 7.90)") and got["h"][0] == "not-pe" and got["i"][1] == "section '.text' data ends at 5 but file is 4 bytes"
+    assert got["AB"] == ("blacklisted", "on the blocklist") and got["c"][1] == "no content" and got["d"][1] == "nothing is imported"
+    assert got["e"] == ("wrong-subsystem", "subsystem 7, POSIX_CUI, isn't 1") and got["f"][0] == "signature-policy-mismatch"
+    assert got["g"] == ("packed-unknown", "code of an entropy up to 7.90, all over 7.5") and got["h"][0] == "not-pe" and got["i"][1] == "section .text reaches to 5 in a file of 4"
     assert [x for x in gate.gate(heads, keys.limit(0).select(F.col("key").alias("item"))).filter("reason IS NULL").select("item").collect() if x[0] == "f"]
     assert {r.size_bytes for r in gate.rejected_rows(gate.gate(heads, keys.select(F.col("key").alias("item")))).filter("item = 'c'").collect()} == {None}
 
