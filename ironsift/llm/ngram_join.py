@@ -99,12 +99,11 @@ def _sketches(row: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
 _ROWS = "key long, region long, node long, place int, size int, pivot long, pivot_place int, pivot_size int, held int, bits binary"
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many documents of a batch hold each shingle."""
+def _all_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each shingle, once for each document."""
     for batch in batches:
         for _, _, _, h, _ in _parts(batch.column("text")):
-            distinct, n = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(distinct)), pa.array(n, pa.int32())], ["h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h))], ["h"])
 
 
 def _levels(n: str) -> Column:
@@ -124,11 +123,14 @@ def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(signed(mix(h ^ (level + U(1)) * GOLD)))], ["h"])
 
 
-def common_shingles(docs: DataFrame) -> BitFilter:
+def common_shingles(docs: DataFrame, tables: Kept) -> BitFilter:
     """The shingles that STEP documents or more hold, once more for each further factor STEP, counted exactly over all documents. The filter has a
     fixed size; what it lets through besides only changes the order of shingles, which may be any."""
-    counts = docs.select("text").mapInArrow(_counted, "h long, n int").repartition("h").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= STEP)
-    return filter_of(counts.select("h", F.explode(_levels("n")).alias("level")).mapInArrow(_leveled, "h long"), COMMON_BITS)
+    counts = docs.select("text").mapInArrow(_all_shingles, "h long").repartition("h").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= STEP)
+    leveled = tables.keep(counts.select("h", F.explode(_levels("n")).alias("level")).mapInArrow(_leveled, "h long"), "common")
+    out = filter_of(leveled, COMMON_BITS)
+    tables.drop(leveled)
+    return out
 
 
 def _classes(h: np.ndarray, common: BitFilter) -> np.ndarray:
@@ -266,7 +268,7 @@ class _Join:
     def __init__(self, docs: DataFrame, few: int) -> None:
         self.docs, self.few = docs, few
         self.tables = Kept(docs.sparkSession)
-        rows = docs.mapInArrow(_seed_rows(common_shingles(docs)), _ROWS)
+        rows = docs.mapInArrow(_seed_rows(common_shingles(docs, self.tables)), _ROWS)
         self.seeds = self.tables.keep(_seeds(rows), "seeds")
         sets = self.seeds.filter(F.col("region").isNull()).select("node", F.col("pivot").alias("doc_id"), "size", "bits")
         first = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
