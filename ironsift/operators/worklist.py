@@ -18,7 +18,8 @@ def filter_hosts(df: DataFrame, url_col: str, allowed: list[str]) -> DataFrame:
     return df.filter(F.exists(F.array(*map(F.lit, allowed)), lambda a: (h == a) | h.endswith(F.concat(F.lit("."), a))))
 
 
-def same_site(df: DataFrame, url_col: str, site: str) -> DataFrame:
+def same_site(df: DataFrame, url_col: str, site: str | Column) -> DataFrame:
+    """Rows whose host is the site's, exactly; the site may be a column."""
     return df.filter(host(F.col(url_col)) == site)
 
 

@@ -224,9 +224,15 @@ def flt13_scope_partition(t: Tables) -> DataFrame:
     return worklist.scope_partition(found, names, ["X"], ["^e"], [" the ", "in re"]).select(F.col("item").alias("doc_id"), "in_scope")
 
 
-@query("SELECT page_id FROM pages WHERE regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1) = 'm.therou.example.com'")
+@query("""WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages)
+SELECT page_id, link FROM l WHERE link LIKE '/%' AND link NOT LIKE '//%' AND page_id % 3 <> 0""")
 def flt14_same_site(t: Tables) -> DataFrame:
-    return worklist.same_site(t.pages, "url", "m.therou.example.com").select("page_id")
+    """Links of each page that stay on its host, where a third of the pages is said to be elsewhere."""
+    links = tables.extract_links(t.pages, "html", 'href="([^"]+)"', "page_id", "url")
+    own = C.host(F.col("url"))
+    site = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("www."), own)).otherwise(own)
+    full = F.when(F.col("link").startswith("//"), F.concat(F.lit("https:"), "link")).when(F.col("link").startswith("/"), F.concat(F.lit("https://"), own, "link")).otherwise(F.col("link"))
+    return worklist.same_site(links.withColumn("full", full), "full", site).select("page_id", "link")
 
 
 @query("SELECT event_id FROM events WHERE user_id <> 7 AND ts <= TIMESTAMP '2024-01-10 00:00:00'")
