@@ -15,7 +15,9 @@ inequality and recursion. Equal sets are one node from the start; all that follo
   nearest one. A node within 0.4 of a pivot is replicated to that pivot's region, where it meets the region's own nodes in the window
   of the triangle inequality: distances to the pivot that differ by over 0.2 rule out a link, and a node beyond 0.4 has none into the region.
   So all links of nodes with a Voronoi region are found; what lies within 0.2 of no pivot goes to the next round, with four times as many
-  pivots, until few are left. Pivots are drawn outside of a region's largest component, since a link to be found has a node there.
+  pivots. A link to be found has a node outside of the region's largest component, and its smaller set has the shingle of some region
+  among its first ninth (core). So pivots are drawn from the core outside of the largest component; when all of it has a Voronoi region, the
+  core of the largest component meets what is outside of it, shingle by shingle.
 
 Parity sketches, whose Hamming distance never exceeds the symmetric difference of two sets, bound distances from below and
 spare most pairs the comparison of their texts; they rule out no link.
@@ -320,29 +322,34 @@ class _Join:
 
         Regions with the same node in their middle (the least place) are one from here on."""
         middle = places.groupBy("region").agg(F.min_by("node", F.struct("place", "node")).alias("middle"))
-        cells = places.join(hinted(middle, rows), "region").select(F.col("middle").alias("region"), "node", "size").distinct()
-        links, level = [], 0
+        core = (F.col("size") - F.col("place")) * (100 + PERCENT) >= 2 * PERCENT * F.col("size")
+        places = self.tables.keep(places.withColumn("core", core).join(hinted(middle, rows), "region"), "places", rows)
+        cells = places.groupBy(F.col("middle").alias("region"), "node", "size").agg(F.max("core").alias("core"))
+        links, level, first, most = [], 0, None, rows
         while True:
             cells = self.tables.keep(cells, "cells", rows)
             rows = cells.count()
             if not rows:
-                return links, found
+                break
             own = self.tables.keep(found.join(hinted(cells.select("node").distinct(), rows), "node", "left_semi"), "own", rows)
             rooted = cells.join(hinted(own, rows), "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
             parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"))
             main = F.max_by("component", F.struct("n", "component"))
             sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), main.alias("main")).filter("parts > 1")
-            rooted = rooted.join(hinted(sizes, rows), "region").withColumn("minor", F.col("component") != F.col("main")).select("region", "node", "size", "component", "minor", "n")
-            rooted = self.tables.keep(rooted, "open", rows)
+            rooted = rooted.join(hinted(sizes, rows), "region").withColumn("minor", F.col("component") != F.col("main")).select("region", "node", "size", "core", "component", "minor", "n")
+            rooted = self.tables.keep(rooted if first is None else rooted.drop("minor").join(hinted(first, rows), ["region", "node"]), "open", rows)
+            if first is None:
+                first = self.tables.keep(rooted.select("region", "node", "minor"), "first", rows)
             small, large = rooted.filter(F.col("n") <= self.few), rooted.filter(F.col("n") > self.few)
+            large = large.join(hinted(large.filter("minor AND core").select("region").distinct(), rows), "region", "left_semi")
             met = F.col("x_minor") & (~F.col("y_minor") | (F.col("x_node") < F.col("y_node")))
             links.append(self.links(_apart(small, small, met, rows)))
             found = self.grown(found, links[-1])
             n_large = large.count()
             if not n_large:
-                return links, found
+                break
             drawn = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("node", F.lit(level)), "node")) <= PIVOTS * 4**level
-            chosen = large.filter("minor").withColumn("drawn", drawn).filter("drawn").select("region", F.col("node").alias("pivot"))
+            chosen = large.filter("minor AND core").withColumn("drawn", drawn).filter("drawn").select("region", F.col("node").alias("pivot"))
             if level == 0:
                 chosen = chosen.union(large.select("region", F.col("region").alias("pivot"))).distinct()
             chosen = self.tables.keep(chosen, "pivots", n_large)
@@ -364,8 +371,16 @@ class _Join:
             window = F.abs(F.col("x_distance") - F.col("y_distance")) <= RADIUS
             links.append(self.links(_apart(inner, seen, window, n_large, ["region", "pivot"])))
             found = self.grown(found, links[-1])
-            cells = large.join(hinted(home, n_large), ["region", "node"], "left_anti").select("region", "node", "size")
+            cells = large.join(hinted(home, n_large), ["region", "node"], "left_anti").select("region", "node", "size", "core")
             level, rows = level + 1, n_large
+        # What is left: links of a core node of the first largest component with a node outside of it.
+        if first is not None:
+            sides = places.join(hinted(first.withColumnRenamed("region", "middle"), most), ["middle", "node"]).join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
+            sides = self.tables.keep(sides.select("region", "node", "size", "place", "core", "minor", "component"), "sides")
+            last = _near("x_size", "x_place", "y_size", "y_place")
+            links.append(self.links(_apart(sides.filter("core AND NOT minor"), sides.filter("minor"), last)))
+            found = self.grown(found, links[-1])
+        return links, found
 
     def grown(self, found: DataFrame, links: DataFrame) -> DataFrame:
         """The components that new links make with those known."""
