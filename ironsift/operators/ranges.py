@@ -6,51 +6,72 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-LEVELS = 63
+STEP, TOP = 3, 60  # blocks hold 2^level numbers, for levels 0, 3, ... 60
+KEYS, SPREAD = 4096, 256  # a level of few blocks has its blocks in as many parts as make KEYS of them, SPREAD at most
+KEY = ["level", "node", "part"]
 
 
 def dyadic_keys(lo: str, hi: str) -> Column:
     """The whole blocks of 2^level numbers, at the place node * 2^level, that make up the half-open range [lo, hi) together: at most
-    two of each level, so a range of any length has no more than 2 log2 of its length. Empty where the range is or a bound is null."""
+    14 of each level, so a range of any length has no more than 5 log2 of its length. Empty where the range is or a bound is null."""
+    first, end = F.col(lo).cast("long"), F.col(hi).cast("long")
+    none = F.array().cast("array<struct<level: int, node: long>>")
+    blocks = F.flatten(F.array(*(_at(first, end, level) for level in range(0, TOP + 1, STEP))))
+    return F.when(first < end, blocks).otherwise(none)
 
-    def at(level: Column) -> Column:
-        first, end = -_shifted(-F.col(lo).cast("long"), level), _shifted(F.col(hi).cast("long"), level)
-        piece = lambda when, node: F.when((first < end) & when, F.struct(level.cast("int").alias("level"), node.alias("node")))
-        return F.array(piece(first.bitwiseAND(1) == 1, first), piece(end.bitwiseAND(1) == 1, end - 1))
 
-    none = F.array().cast("array<struct<level: int, node: long>>")
-    return F.coalesce(F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at))), none)
+def _at(lo: Column, hi: Column, level: int) -> Column:
+    """The blocks of one level that are in no larger block of the range."""
+    first, end = _up(lo, level), _shifted(hi, level)
+    left, right = end, end
+    if level < TOP:
+        outer, last = _up(lo, level + STEP), _shifted(hi, level + STEP)
+        left, right = (F.when(outer < last, x * (1 << STEP)).otherwise(end) for x in (outer, last))
+    nodes = F.concat(_run(first, left), _run(right, end))
+    return F.transform(nodes, lambda node: F.struct(F.lit(level).alias("level"), node.alias("node")))
+
+
+def _run(first: Column, end: Column) -> Column:
+    return F.when(first < end, F.sequence(first, end - 1)).otherwise(F.array().cast("array<long>"))
+
+
+def _shifted(x: Column, level: int) -> Column:
+    return F.call_function("shiftright", x, F.lit(level))
 
 
-def _shifted(x: Column, level: Column) -> Column:
-    return F.call_function("shiftright", x, level)
+def _up(x: Column, level: int) -> Column:
+    """The first block that begins at x or after it."""
+    return _shifted(x, level) + F.when(x.bitwiseAND((1 << level) - 1) != 0, 1).otherwise(0)
 
 
-def _blocks(ranges: DataFrame, lo: str, hi: str) -> tuple[DataFrame, list[int]]:
-    """A row for each block of each range, and the levels that occur (63 at most)."""
+def _blocks(ranges: DataFrame, lo: str, hi: str) -> tuple[DataFrame, dict[int, int]]:
+    """A row for each part of each block of each range, and the levels that occur (21 at most) with their number of parts. Levels of few
+    blocks, which may hold most of the points each, are dealt out in parts."""
     blocks = ranges.withColumn("_key", F.explode(dyadic_keys(lo, hi))).select("*", "_key.*").drop("_key")
-    levels = sorted(r[0] for r in ranges.select(F.explode(F.array_distinct(F.transform(dyadic_keys(lo, hi), lambda k: k["level"])))).distinct().collect())
-    return blocks, levels
+    parts = {level: min(SPREAD, max(1, KEYS // n)) for level, n in blocks.groupBy("level").count().collect()}
+    of = F.coalesce(*(F.when(F.col("level") == k, n) for k, n in parts.items()), F.lit(1))
+    return blocks.withColumn("part", F.explode(F.sequence(F.lit(0), of - 1))), parts
 
 
-def _placed(points: DataFrame, x: str, levels: list[int]) -> DataFrame:
-    """A row for each point and level, with the block that holds it."""
-    key = [F.struct(F.lit(k).alias("level"), _shifted(F.col(x).cast("long"), F.lit(k)).alias("node")) for k in levels]
-    return points.withColumn("_key", F.explode(F.array(*key))).select("*", "_key.*").drop("_key") if key else points.limit(0).withColumns({"level": F.lit(0), "node": F.lit(0).cast("long")})
+def _placed(points: DataFrame, x: str, parts: dict[int, int]) -> DataFrame:
+    """A row for each point and level, with the block that holds it and its part."""
+    at = F.col(x).cast("long")
+    key = [F.struct(F.lit(k).alias("level"), _shifted(at, k).alias("node"), F.pmod(F.xxhash64(at), F.lit(n)).cast("int").alias("part")) for k, n in parts.items()]
+    return points.withColumn("_key", F.explode(F.array(*key))).select("*", "_key.*").drop("_key") if key else points.limit(0).withColumns({"level": F.lit(0), "node": F.lit(0).cast("long"), "part": F.lit(0)})
 
 
 def assign_interval(points: DataFrame, ranges: DataFrame, x: str = "x", lo: str = "lo", hi: str = "hi", on: tuple[str, ...] = ()) -> DataFrame:
     """Each point with every half-open range [lo, hi) that holds it (and agrees in the columns `on`). Ranges are cut into dyadic blocks, of which
-    one holds the point, so the join has equal keys whatever the ranges' lengths; overlapping ranges give a row each."""
-    blocks, levels = _blocks(ranges, lo, hi)
-    return _placed(points, x, levels).join(blocks, [*on, "level", "node"]).drop("level", "node")
+    one holds the point, so the join has equal keys whatever the ranges' lengths; overlapping ranges give a row each. Neither side is
+    broadcast: Spark's estimate of the sizes leaves out that both are multiplied."""
+    blocks, parts = _blocks(ranges, lo, hi)
+    return _placed(points, x, parts).join(blocks.hint("merge"), [*on, *KEY]).drop(*KEY)
 
 
 def in_any_interval(points: DataFrame, ranges: DataFrame, x: str = "x", lo: str = "lo", hi: str = "hi", on: tuple[str, ...] = ()) -> DataFrame:
     """The distinct points that any half-open range holds: a semi join."""
-    blocks, levels = _blocks(ranges.select(*on, lo, hi), lo, hi)
-    return _placed(points, x, levels).join(blocks.select(*on, "level", "node").distinct(), [*on, "level", "node"], "left_semi").drop("level", "node").distinct()
+    blocks, parts = _blocks(ranges.select(*on, lo, hi), lo, hi)
+    return _placed(points, x, parts).join(blocks.select(*on, *KEY).distinct().hint("merge"), [*on, *KEY], "left_semi").drop(*KEY).distinct()
 
 
 def valid_targets(calls: DataFrame, addresses: DataFrame, known: DataFrame, sections: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
