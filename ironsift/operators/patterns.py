@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ironsift.operators.dims import small
+from ironsift.sources.shared import new_folder
 
 GRAM = 3
+FEW = 16  # patterns that meet every row of names, rather than distinct names
 LOOSE = 256  # patterns without a literal that meet each name at a time
 _FOLD = (string.ascii_uppercase, string.ascii_lowercase)
 # What Java's patterns and Python's read differently: classes within classes, quotes, octal escapes, Unicode casing.
@@ -79,16 +81,26 @@ def pattern_index(patterns: DataFrame, column: str = "pattern") -> DataFrame:
 
 def find_patterns(names: DataFrame, patterns: DataFrame, name: str = "name", pattern: str = "pattern") -> DataFrame:
     """Every row of names with every row of patterns that is found in its name: the columns of both. Null names and patterns are
-    found nowhere. The two have no column in common."""
-    indexed = pattern_index(patterns.filter(F.col(pattern).isNotNull()), pattern)
-    names = names.filter(F.col(name).isNotNull())
+    found nowhere. The two have no column in common. With more than FEW patterns, each distinct name meets each distinct pattern
+    once, however many rows have them; their index is written first, or Spark would look for literals before it drops copies, and again
+    for each use."""
+    names, patterns = names.filter(F.col(name).isNotNull()), patterns.filter(F.col(pattern).isNotNull())
+    if patterns.limit(FEW + 1).count() <= FEW:
+        return _met(names, pattern_index(patterns, pattern), name, pattern).select(*names.columns, *patterns.columns)
+    folder = new_folder(names.sparkSession, "patterns")
+    pattern_index(patterns.select(pattern).distinct(), pattern).write.parquet(folder)
+    hits = _met(names.select(name).distinct(), names.sparkSession.read.parquet(folder), name, pattern).select(name, pattern).join(patterns, pattern)
+    return names.join(hits, name).select(*names.columns, *patterns.columns)
+
+
+def _met(names: DataFrame, indexed: DataFrame, name: str, pattern: str) -> DataFrame:
     found = F.regexp_like(F.col(name), F.col(pattern))
     strict = small(indexed.filter("gram IS NOT NULL"))
     parts = names.withColumn("_folded", _folded(name)).withColumn("_gram", F.explode(_grams(F.col("_folded"))))
     hits = parts.join(strict, F.col("_gram") == F.col("gram")).filter(F.contains("_folded", "literal") & found)
-    columns = [*names.columns, *patterns.columns]
+    columns = [*names.columns, *(x for x in indexed.columns if x not in ("literal", "gram"))]
     out = hits.select(*columns)
-    loose = indexed.filter("gram IS NULL").select(*patterns.columns)
+    loose = indexed.filter("gram IS NULL").drop("literal", "gram")
     for block in _blocks(loose, pattern):
         out = out.unionByName(names.join(F.broadcast(block), found).select(*columns))
     return out
