@@ -111,19 +111,35 @@ def select_functions(handlers: DataFrame, patterns: list[str], must_have: list[s
 def promote_functions(functions: DataFrame, calls: DataFrame, seeds: DataFrame, depth: int | None = None) -> DataFrame:
     """Functions that reach a seed function, in at most depth calls if that is given.
 
-    Each round takes one step from what the last one reached first, leaves out what is reached already, and is written once, as the table of
-    that round; so cycles end, and no round is computed twice. The last round is the one that reaches nothing new.
+    Each round takes one step from what the last one reached first and goes on with the calls of functions that aren't reached yet, which
+    are written for the next round; so cycles end, no round is computed twice, and a round costs no more than the calls that are left.
+    Without a depth, a call of a function that has a single call left goes on to what that one calls, so a chain halves in each round.
+    The last round is the one that reaches nothing new.
     """
     spark, folder = functions.sparkSession, new_folder(functions.sparkSession, "reached")
-    edges = calls.select("item", "callee", F.col("caller").alias("fn")).filter("callee IS NOT NULL")
-    seeds.select("item", "fn").distinct().write.parquet(f"{folder}/round=0")
+    kinds = "item " + dict(seeds.dtypes)["item"] + ", fn " + dict(seeds.dtypes)["fn"]
+    rounds, left = f"{folder}/rounds", f"{folder}/left"
+    seeds.select("item", "fn").distinct().write.parquet(f"{rounds}/0")
+    front = spark.read.schema(kinds).parquet(f"{rounds}/0")
+    edges = calls.select("item", F.col("caller").alias("fn"), "callee").filter("item IS NOT NULL AND fn IS NOT NULL AND callee IS NOT NULL AND fn <> callee")
+    edges.distinct().join(front, ["item", "fn"], "left_anti").write.parquet(f"{left}/0")
     k = 0
     while depth is None or k < depth:
-        reached = spark.read.parquet(folder)
-        front = spark.read.parquet(f"{folder}/round={k}").select("item", F.col("fn").alias("callee"))
-        step = edges.join(front, ["item", "callee"]).select("item", "fn").distinct().join(reached, ["item", "fn"], "left_anti")
+        edges = spark.read.parquet(f"{left}/{k}")
+        edges.join(front.withColumnRenamed("fn", "callee"), ["item", "callee"], "left_semi").select("item", "fn").distinct().write.parquet(f"{rounds}/{k + 1}")
         k += 1
-        step.write.parquet(f"{folder}/round={k}")
-        if spark.read.parquet(f"{folder}/round={k}").isEmpty():
+        front = spark.read.schema(kinds).parquet(f"{rounds}/{k}")
+        if front.isEmpty():
             break
-    return functions.join(spark.read.schema("item " + dict(seeds.dtypes)["item"] + ", fn " + dict(seeds.dtypes)["fn"]).parquet(*(f"{folder}/round={i}" for i in range(k + 1))), ["item", "fn"], "left_semi")
+        rest = edges.join(front, ["item", "fn"], "left_anti")
+        (rest if depth is not None else _shortened(rest)).write.parquet(f"{left}/{k}")
+    reached = spark.read.schema(kinds).parquet(*(f"{rounds}/{i}" for i in range(k + 1)))
+    return functions.join(reached, ["item", "fn"], "left_semi")
+
+
+def _shortened(edges: DataFrame) -> DataFrame:
+    """Calls (item, fn, callee) among functions that aren't reached yet: where the callee has a single call, what it calls takes its place. As the
+    callee reaches a seed just where that does, nothing changes for the caller; what ends at the caller itself is left out."""
+    single = edges.groupBy("item", F.col("fn").alias("callee")).agg(F.min("callee").alias("next"), F.count("*").alias("n")).filter("n = 1").drop("n")
+    onward = edges.join(single, ["item", "callee"], "left").select("item", "fn", F.coalesce("next", "callee").alias("callee"))
+    return onward.filter("fn <> callee").distinct()
