@@ -79,14 +79,16 @@ def _entry(broken: Column, place: Column, path: Column, rule: str, value: Column
     return F.when(F.coalesce(broken, F.lit(False)), F.struct(place.alias("place"), path.alias("path"), F.lit(rule).alias("rule"), value.alias("value")))
 
 
-def _below(path: Column, name: str | Column) -> Column:
-    return F.concat_ws("/", F.nullif(path, F.lit("")), F.lit(name) if isinstance(name, str) else name)
+def _below(path: Column | None, name: str | Column) -> Column:
+    """The path of an element below another; each path occurs once in it, so that its size is that of the depth."""
+    name = F.lit(name) if isinstance(name, str) else name
+    return name if path is None else F.concat(path, F.lit("/"), name)
 
 
-def _checked(spec: Schema, root: Schema, kind: DataType, value: Column, place: Column, path: Column) -> Column:
-    """The violations of an element and all below it, as an array."""
+def _checked(spec: Schema, root: Schema, kind: DataType, value: Column, place: Column | None, path: Column | None) -> Column:
+    """The violations of an element and all below it, as an array. The row as a whole has no place and no path."""
     spec = _resolved(spec, root)
-    own = [_entry(test, place, F.coalesce(F.nullif(path, F.lit("")), F.lit(ROOT)), rule, _text(value, kind)) for rule, test in _own(spec, value, kind).items()]
+    own = [_entry(test, F.lit("") if place is None else place, F.lit(ROOT) if path is None else path, rule, _text(value, kind)) for rule, test in _own(spec, value, kind).items()]
     nested: list[Column] = []
     if isinstance(kind, StructType):
         known: Mapping[str, Schema] = spec.get("properties", {})  # type: ignore[assignment]
@@ -117,6 +119,6 @@ def nested_violations(df: DataFrame, key: str, schema: Schema, severity: str = "
     root = {**schema, "properties": schema.get("properties", {})}
     fields = [f for f in df.schema.fields if f.name != key or key in root["properties"]]  # type: ignore[operator]
     row = F.struct(*(F.col(f"`{f.name}`") for f in fields))
-    found = _checked(root, root, StructType(fields), row, F.lit(""), F.lit(""))
+    found = _checked(root, root, StructType(fields), row, None, None)
     listed = df.select(F.col(key).alias("key"), F.posexplode(F.array_sort(found)).alias("n", "v"))
     return listed.select("key", "n", "v.path", "v.rule", "v.value", F.lit(severity).alias("severity"))
