@@ -14,6 +14,8 @@ inequality and recursion. Equal sets are one node from the start; all that follo
   pivots, and every node is measured against them. Nodes within 0.2 of a pivot are linked to it and belong to the Voronoi region of the
   nearest one. A node within 0.4 of a pivot is replicated to that pivot's region, where it meets the region's own nodes in the window
   of the triangle inequality: distances to the pivot that differ by over 0.2 rule out a link, and a node beyond 0.4 has none into the region.
+  They also meet only where their sizes and least places among the middle's regions still allow a link, and by steps of size, so that near
+  copies of one text don't meet each of those that are too far from it.
   So all links of nodes with a Voronoi region are found; what lies within 0.2 of no pivot goes to the next round, with four times as many
   pivots. A link to be found has a node outside of the region's largest component, and its smaller set has the shingle of some region
   among its first ninth (core). So pivots are drawn from the core outside of the largest component; when all of it has a Voronoi region, the
@@ -45,6 +47,7 @@ RADIUS = 1 - PERCENT / 100 + 1e-9
 NEAR = 60  # similarity in percent at twice the distance of a link
 FEW = 16  # a region of so many nodes is joined node by node
 PIVOTS = 8  # of a large region in the first round, besides its middle; four times as many in each further one
+SIZE_STEP = 1.05  # sizes in one step differ by a factor below it
 STEP, MOST_LEVELS = 8, 12  # a shingle is as common as its count has factors STEP
 COMMON_BITS = 1 << 26
 TEXTS = 256  # so many texts are measured against one copy of a pivot's
@@ -213,6 +216,29 @@ def _near(size_a: str, place_a: str, size_b: str, place_b: str) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT) & (F.least(a - F.col(place_a), b - F.col(place_b)) * (100 + PERCENT) >= need)
 
 
+def _places() -> Column:
+    """_near for the two sides of a join."""
+    return _near("x_size", "x_place", "y_size", "y_place")
+
+
+def _step(size: Column) -> Column:
+    """The step of a size."""
+    return F.floor(F.log(size) / float(np.log(SIZE_STEP)) + 1e-6)
+
+
+def _of_size(x: DataFrame) -> DataFrame:
+    """Each row with the step of its size."""
+    return x.withColumn("step", _step(F.col("size")))
+
+
+def _by_partner(x: DataFrame) -> DataFrame:
+    """Each row once for every step of the sizes that its own size and place leave to another node, if any."""
+    size, rest = F.col("size"), F.col("size") - F.col("place")
+    most = F.least(size * 100 / PERCENT, rest * (100 + PERCENT) / PERCENT - size)
+    least = size * PERCENT / 100
+    return x.filter(most + 1e-6 >= least).withColumn("step", F.explode(F.sequence(_step(least - 1e-3), _step(most + 1e-3))))
+
+
 def _folded(bits: bytes, size: int) -> int:
     """The sketch with 8 * size bits, from one with as many or more."""
     value, have = int.from_bytes(bits, "little"), len(bits)
@@ -324,7 +350,7 @@ class _Join:
         middle = places.groupBy("region").agg(F.min_by("node", F.struct("place", "node")).alias("middle"))
         core = (F.col("size") - F.col("place")) * (100 + PERCENT) >= 2 * PERCENT * F.col("size")
         places = self.tables.keep(places.withColumn("core", core).join(hinted(middle, rows), "region"), "places", rows)
-        cells = places.groupBy(F.col("middle").alias("region"), "node", "size").agg(F.max("core").alias("core"))
+        cells = places.groupBy(F.col("middle").alias("region"), "node", "size").agg(F.min("place").alias("place"), F.max("core").alias("core"))
         links, level, first, most = [], 0, None, rows
         while True:
             cells = self.tables.keep(cells, "cells", rows)
@@ -336,14 +362,14 @@ class _Join:
             parts = rooted.groupBy("region", "component").agg(F.count("*").alias("n"))
             main = F.max_by("component", F.struct("n", "component"))
             sizes = parts.groupBy("region").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), main.alias("main")).filter("parts > 1")
-            rooted = rooted.join(hinted(sizes, rows), "region").withColumn("minor", F.col("component") != F.col("main")).select("region", "node", "size", "core", "component", "minor", "n")
+            rooted = rooted.join(hinted(sizes, rows), "region").withColumn("minor", F.col("component") != F.col("main")).select("region", "node", "size", "place", "core", "component", "minor", "n")
             rooted = self.tables.keep(rooted if first is None else rooted.drop("minor").join(hinted(first, rows), ["region", "node"]), "open", rows)
             if first is None:
                 first = self.tables.keep(rooted.select("region", "node", "minor"), "first", rows)
             small, large = rooted.filter(F.col("n") <= self.few), rooted.filter(F.col("n") > self.few)
             large = large.join(hinted(large.filter("minor AND core").select("region").distinct(), rows), "region", "left_semi")
             met = F.col("x_minor") & (~F.col("y_minor") | (F.col("x_node") < F.col("y_node")))
-            links.append(self.links(_apart(small, small, met, rows)))
+            links.append(self.links(_apart(small, small, met & _places(), rows)))
             found = self.grown(found, links[-1])
             n_large = large.count()
             if not n_large:
@@ -364,21 +390,23 @@ class _Join:
             around = self.tables.keep(pairs.join(distance, ["pivot", "node"]), "around")
             home = around.filter(F.col("distance") <= RADIUS).groupBy("region", "node").agg(F.min_by("pivot", F.struct("distance", "pivot")).alias("pivot"))
             home = self.tables.keep(home, "home", n_large)  # the Voronoi region of a node
-            info = large.select("region", "node", "size").join(found, "node", "left").select("region", "node", "size", F.coalesce("root", "node").alias("component"))
+            info = large.select("region", "node", "size", "place").join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("root")
             info = self.tables.keep(info, "info", n_large)
             seen = around.join(hinted(info, n_large), ["region", "node"])
             inner = seen.join(hinted(home, n_large), ["region", "node", "pivot"], "left_semi")
+            of = info.select("region", F.col("node").alias("pivot"), F.col("component").alias("around"))
+            outer = seen.join(hinted(of, n_large), ["region", "pivot"]).filter(F.col("component") != F.col("around")).drop("around")
             window = F.abs(F.col("x_distance") - F.col("y_distance")) <= RADIUS
-            links.append(self.links(_apart(inner, seen, window, n_large, ["region", "pivot"])))
+            links.append(self.links(_apart(_of_size(inner), _by_partner(outer), window & _places(), on=["region", "pivot", "step"])))
             found = self.grown(found, links[-1])
-            cells = large.join(hinted(home, n_large), ["region", "node"], "left_anti").select("region", "node", "size", "core")
+            cells = large.join(hinted(home, n_large), ["region", "node"], "left_anti").select("region", "node", "size", "place", "core")
             level, rows = level + 1, n_large
         # What is left: links of a core node of the first largest component with a node outside of it.
         if first is not None:
             sides = places.join(hinted(first.withColumnRenamed("region", "middle"), most), ["middle", "node"]).join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
             sides = self.tables.keep(sides.select("region", "node", "size", "place", "core", "minor", "component"), "sides")
-            last = _near("x_size", "x_place", "y_size", "y_place")
-            links.append(self.links(_apart(sides.filter("core AND NOT minor"), sides.filter("minor"), last)))
+            main, minor = _of_size(sides.filter("core AND NOT minor")), _by_partner(sides.filter("minor"))
+            links.append(self.links(_apart(main, minor, _places(), on=["region", "step"])))
             found = self.grown(found, links[-1])
         return links, found
 
@@ -424,7 +452,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     open_ = join.open(placed.select("region", "node", "size", "place"), found)
     small, large = (open_.filter(F.col("large") == x).drop("large") for x in (False, True))
-    links.append(join.links(_apart(small, small, (F.col("x_node") < F.col("y_node")) & _near("x_size", "x_place", "y_size", "y_place"))))
+    links.append(join.links(_apart(small, small, (F.col("x_node") < F.col("y_node")) & _places())))
     found = join.grown(found, links[-1])
     rows = large.count()
     if rows:

@@ -85,6 +85,38 @@ def test_links_come_from_voronoi_regions(spark, monkeypatch):
     assert sum(x.count() for links, _ in found for x in links) > 0
 
 
+def test_far_copies_meet_no_near_ones(spark, monkeypatch):
+    """Near copies of one text, others with just too many words changed for a link, and parts of it that open the regions of both: pairs of the
+    first two kinds aren't made, however wide the window of the triangle inequality."""
+    made, whole = [], ngram_join._Join.plausible
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join._Join, "plausible", lambda self, pairs, *x, **y: made.append(pairs.distinct().count()) or whole(self, pairs, *x, **y))
+    rng = random.Random(3)
+    base = [f"b{k}" for k in range(200)]
+    rows = []
+    for i, (n, length) in enumerate([(0, 200)] + [(1, 200)] * 60 + [(5, 200)] * 60 + [(1, 130)] * 3):
+        at = set(range(15, length, 30)[:n]) if n > 1 else set(rng.sample(range(length), n))
+        rows.append((i, " ".join(f"d{i}w{k}" if k in at else w for k, w in enumerate(base[:length]))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in similar_documents(docs, few=2)[0].collect()), key=repr)
+    assert got == brute(rows)
+    assert len({r[2] for r in got}) > 30
+    assert sum(made) < 15 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_steps_of_size_lose_no_pair(spark, percent, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PERCENT", percent)
+    rng = random.Random(7)
+    sizes = [*range(1, 40), *(rng.randrange(40, 3000) for _ in range(120))]
+    rows = [(1, k, n, rng.randrange(0, 1 + n // 5), k) for k, n in enumerate(sizes)] + [(1, 1000 + n, n, 0, 1000 + n) for n in (4, 5, 8, 10, 64, 80, 100, 125)]
+    x = spark.createDataFrame(rows, "region long, node long, size int, place int, component long")
+    plain = ngram_join._apart(x, x, ngram_join._places()).distinct().collect()
+    stepped = ngram_join._apart(ngram_join._of_size(x), ngram_join._by_partner(x), ngram_join._places(), on=["region", "step"])
+    assert sorted(plain) == sorted(stepped.distinct().collect())
+    assert plain
+
+
 def test_sets_and_windows():
     texts = pa.array(["a b c d e f", "A b c d e f", "a b", "", "b c d e f a b c d e f"])
     data, offs = np.frombuffer(b"".join(x.as_py().encode() for x in texts), np.uint8), np.cumsum([0, *(len(x.as_py()) for x in texts)])
